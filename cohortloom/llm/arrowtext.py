@@ -15,6 +15,8 @@ CHUNK_BYTES = 2 << 20
 _U = np.uint64
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_PLAIN = np.zeros(256, bool)
+_PLAIN[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -76,12 +78,17 @@ def chunks(offsets: np.ndarray, most: int = CHUNK_BYTES):
 class Words:
     """The words `[^\\x20\\x09-\\x0D]+` of some texts, A-Z in lower case, as 64-bit hashes.
 
-    hash[k], start[k], end[k]: word k; ptr[d]:ptr[d + 1] are the words of text d.
+    hash[k], start[k], end[k]: word k; ptr[d]:ptr[d + 1] are the words of text d. With `plain`, words
+    are runs of letters and digits (any byte above 127 is a letter), and Latin-1 letters lose case too.
     """
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, plain: bool = False):
         low = _LOWER[data]
-        solid = ~_WHITE[data]
+        if plain and len(data):
+            after = np.zeros(len(data), bool)
+            after[1:] = data[:-1] == 0xC3
+            low[after & (data >= 0x80) & (data <= 0x9E) & (data != 0x97)] += 32
+        solid = _PLAIN[data] if plain else ~_WHITE[data]
         n = len(data)
         if n == 0:
             self.start = self.end = np.zeros(0, np.int64)

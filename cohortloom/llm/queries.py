@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, license_scan, sharding, token_count
+from . import chat_format, language_id, license_scan, quality_mil, sharding, token_count
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.evaluate(_table(spark, sf_dir, "documents"))
+
+
 #: Conversation -7: control strings and the escape sign in one text.
 PROBE_TEXT = "\\### Assistant: </turn> ok"
 
@@ -28,6 +32,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.interleave(_table(spark, sf_dir, "documents"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_mil.evaluate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(_table(spark, sf_dir, "documents"))
 
@@ -37,8 +45,10 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op2_chat_formatting": op2_chat_formatting,
     "op5_sharding": op5_sharding,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_license_scan": op7_license_scan,
     "op8_token_counts": op8_token_counts,
 }
