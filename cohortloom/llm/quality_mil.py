@@ -60,7 +60,7 @@ def encode(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     ptr = np.concatenate([[0], np.cumsum(n_pass)])
     total = int(ptr[-1])
     out = np.zeros((total, FEATURES), np.float32)
-    if not len(words.start):
+    if not len(data):
         return out, ptr
     doc = np.repeat(np.arange(len(count)), count)
     place = np.arange(len(doc)) - words.ptr[doc]
