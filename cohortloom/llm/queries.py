@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, language_id, license_scan, quality_mil, sharding, token_count
+from . import chat_format, decontaminate, language_id, license_scan, quality_mil, sharding, token_count
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.conversation_digests(chat_format.format_turns(talks.unionByName(probe)))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.interleave(_table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_chat_formatting": op2_chat_formatting,
+    "op4_decontamination": op4_decontamination,
     "op5_sharding": op5_sharding,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_license_scan": op7_license_scan,
