@@ -147,9 +147,11 @@ def shingles(words: Words, k: int = 5) -> tuple[np.ndarray, np.ndarray]:
 
 def distinct_sets(values: np.ndarray, ptr: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each text's distinct values in ascending order, with their ptr."""
-    owner = np.repeat(np.arange(len(ptr) - 1), np.diff(ptr))
-    order = np.lexsort((values, owner))
-    values, owner = values[order], owner[order]
+    values = values.copy()
+    for a, b in zip(ptr[:-1].tolist(), ptr[1:].tolist()):
+        if b - a > 1:
+            values[a:b].sort()
     keep = np.ones(len(values), bool)
-    keep[1:] = (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])
-    return values[keep], np.searchsorted(owner[keep], np.arange(len(ptr)))
+    keep[1:] = values[1:] != values[:-1]
+    keep[ptr[:-1][np.diff(ptr) > 0]] = True
+    return values[keep], np.concatenate([[0], np.cumsum(keep)])[ptr]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, decontaminate, embedding_dedup, language_id, license_scan, quality_mil, sharding, token_count
+from . import chat_format, decontaminate, embedding_dedup, jaccard_join, language_id, license_scan, quality_mil, sharding, token_count
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +48,10 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link_groups(_table(spark, sf_dir, "documents"))
+
+
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_classifier": op6_quality_classifier,
     "op7_license_scan": op7_license_scan,
     "op8_token_counts": op8_token_counts,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_embedding_dedup": op10_embedding_dedup,
 }
 

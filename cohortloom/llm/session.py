@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -13,3 +14,12 @@ def use_checkpoints(spark: SparkSession) -> None:
     if context._jsc.sc().getCheckpointDir().isDefined():
         return
     context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="checkpoints"))
+
+
+def written(frame, name: str):
+    """The frame, written as Parquet to the shared checkpoint folder and read again: lineage ends there."""
+    spark = frame.sparkSession
+    use_checkpoints(spark)
+    path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
