@@ -4,7 +4,7 @@ Texts become words (runs of letters and digits, without case). From each place o
 reads words: step j gives out the current word and moves on if bit j of the word's hash is set. This
 is the CGK embedding; two places whose words differ by few edits give out mostly the same words, so
 edit distance becomes Hamming distance. A repetition takes K of the first STEPS outputs as a bucket key
-(bit sampling). Benchmark items are walked from anchors every ANCHOR words, so that an edit near an item's start spoils
+(bit sampling); a walk that has passed its text's end is in no bucket. Benchmark items are walked from anchors every ANCHOR words, so that an edit near an item's start spoils
 some anchors only. A place that shares a bucket with an anchor is a candidate: the item-sized window
 around it is compared by exact word edit distance, with the window's ends free.
 
@@ -34,7 +34,7 @@ from .arrowtext import Words, chunks, mix, string_buffers
 
 SIMILARITY = 0.75
 #: Repetitions, outputs of the walk, and outputs sampled in each repetition. Recall by measurement, see the tests.
-REPETITIONS, STEPS, K = 6, 12, 5
+REPETITIONS, STEPS, K = 6, 14, 5
 ANCHOR = 3
 SHORT = 8
 #: Items, and bytes of items, that are sent to the tasks at once.
@@ -46,8 +46,9 @@ SCHEMA = "doc_id long, item_id long, edit_distance int, item_words int, similari
 
 
 def _sampled(seed: int = 9) -> list[np.ndarray]:
+    """The sampled steps of each repetition, no two of them neighbours (these often give out the same word)."""
     rng = np.random.default_rng(seed)
-    return [np.sort(rng.choice(STEPS, K, replace=False)) for _ in range(REPETITIONS)]
+    return [np.sort(rng.choice(STEPS - K + 1, K, replace=False)) + np.arange(K) for _ in range(REPETITIONS)]
 
 
 def _bits(hashes: np.ndarray, repetition: int) -> np.ndarray:
@@ -56,17 +57,28 @@ def _bits(hashes: np.ndarray, repetition: int) -> np.ndarray:
 
 
 def _walk(hashes: np.ndarray, bits: np.ndarray, at: np.ndarray, sampled: np.ndarray, may: list[np.ndarray] | None) -> tuple[np.ndarray, np.ndarray]:
-    """(place, key) of the walks from `at` whose sampled outputs could be an anchor's. may: tables of the keys so far."""
+    """(place, key) of the walks from `at` whose sampled outputs could be an anchor's. may: tables of the keys so far.
+
+    Without tables, the anchors' own walks: the key is 0 where a walk passes the end, or where in all K
+    outputs fewer than K - 1 places of the text appear, which would put common words in one bucket.
+    """
     place, key, step = at, np.zeros(len(at), _U), 0
+    before, moves = at, np.zeros(len(at), np.int64)
     now = at.copy()
     for k, s in enumerate(sampled):
         while step < s:
             now = now + ((bits[now] >> _U(step)) & _U(1)).astype(now.dtype)
             step += 1
+        here = hashes[now]
         with np.errstate(over="ignore"):
-            key = mix(key * _FOLD + hashes[now])
-        if may is not None:
-            keep = may[k][(key & _U(len(may[k]) - 1)).astype(np.int64)]
+            key = mix(key * _FOLD + here)
+        if may is None:
+            moves += (now != before) | (k == 0)
+            before = now
+            ended_, few = here == 0, (k == K - 1) & (moves < K - 1)
+            key[ended_ | few] = 0
+        else:
+            keep = may[k][(key & _U(len(may[k]) - 1)).astype(np.int64)] & (here != 0)
             place, key, now = place[keep], key[keep], now[keep]
             if not len(place):
                 break
@@ -114,6 +126,7 @@ class Items:
         words = Words(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]), plain=True)
         self.ids = ids
         self.words = [words.hash[a:b] for a, b in zip(words.ptr[:-1], words.ptr[1:])]
+        self.sets = [set(w.tolist()) for w in self.words]
         self.sampled = _sampled()
         hashes, _, starts = ended(words)
         anchors = [(i, o) for i, w in enumerate(self.words) if len(w) >= SHORT for o in range(0, max(1, len(w) - 9), ANCHOR)]
@@ -127,9 +140,10 @@ class Items:
             for k in range(K):
                 _, key = _walk(hashes, bits, at, sampled[: k + 1], None)
                 table = np.zeros(size, bool)
-                table[(key & _U(size - 1)).astype(np.int64)] = True
+                table[(key[key != 0] & _U(size - 1)).astype(np.int64)] = True
                 tables.append(table)
-            order = np.argsort(key, kind="stable")
+            order = np.flatnonzero(key != 0)
+            order = order[np.argsort(key[order], kind="stable")]
             self.may.append(tables)
             self.keys.append(key[order])
             self.order.append(order)
@@ -172,7 +186,7 @@ class Items:
             a = max(lo, lo + place - int(starts[d]) - most - 1)
             b = min(hi, lo + place - int(starts[d]) + len(w) + most + 1)
             window = words.hash[a:b]
-            if b - a < len(w) - most or np.isin(w, window).sum() < len(w) - most:
+            if b - a < len(w) - most or sum(map(self.sets[item].__contains__, window.tolist())) < len(w) - most:
                 continue
             distance, start, to = edit_distance(w, window)
             if distance <= most:
