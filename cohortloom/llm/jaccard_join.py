@@ -9,7 +9,7 @@ first one they share, the tokens that follow must still allow an overlap of 3 (a
 gives the same links; the sample only makes rare tokens come first.
 
 1. Grouping. Every class goes to its leading tokens; tokens that one class alone has are dropped. In
-   each token's list the classes are compared with its first class only, by exact overlap. What is
+   each token's list the classes are compared with one of its classes only, by exact overlap. What is
    linked so far partitions the texts into groups of similar ones.
 2. Token-group matrix. For every leading token and group: the largest number of tokens that can still
    follow in a member, and the sizes of the members, so the union of the group's leading tokens with
@@ -44,6 +44,8 @@ WORDS = 5
 SAMPLE_DOCS, COMMON_USES, MAX_COMMON = 8000, 3, 200_000
 #: Classes whose tokens a task has given out already and does not repeat.
 SEEN_CLASSES = 200_000
+#: Pairs of one class that a task compares with it.
+PART_PAIRS = 5000
 #: Slots of the table that keeps most texts out when sets are needed again.
 FILTER_SLOTS = 1 << 22
 
@@ -144,7 +146,10 @@ _LISTED = "token long, class long, n long, pos int, hub long, hub_n long, hub_po
 
 
 def _shared_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in order of token and class: those of tokens with several classes, with the token's first class."""
+    """Rows in order of token, place and class: those of tokens with several classes, with the token's first class.
+
+    The first class has the fewest rarer tokens, so it is the likeliest middle of a family of edited copies.
+    """
     carry, told = None, False  # the hub of the last token, and whether it was given out
     for b in batches:
         if not b.num_rows:
@@ -176,9 +181,16 @@ def _possible(n: Column, pos: Column, m: Column, other: Column) -> Column:
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
-    """The pairs of classes (a, b) that link, by the exact overlap of their sets."""
+    """The pairs of classes (a, b) that link, by the exact overlap of their sets.
+
+    Texts travel rather than sets, which are four times as large: each b goes to its a, and each a once
+    to every part of its pairs. Within a part the texts stream past the set of a.
+    """
     spark = docs.sparkSession
-    used = written(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(classes, "class").select("class", "doc_id", "text_key"), "used")
+    sizes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PART_PAIRS).cast("int").alias("parts"))
+    owned = pairs.join(sizes, "a").withColumn("part", F.pmod(F.hash("b"), "parts"))
+    seats = owned.select("a", "part", F.col("b").alias("class")).unionByName(sizes.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("a").alias("class")))
+    used = written(seats.join(classes, "class").select("doc_id", "text_key", "a", "part", "class"), "used")
     slot = F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(FILTER_SLOTS))
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,38 +199,42 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int) ->
             table[b.column("slot").to_numpy()] = True
         yield pa.RecordBatch.from_arrays([pa.array([np.packbits(table).tobytes()], pa.binary())], names=["bits"])
 
-    # a bit table of fixed size, and eight of them at most come to the driver
+    # a bit table of fixed size keeps most texts out; eight of them at most come to the driver
     table = np.zeros(FILTER_SLOTS // 8, np.uint8)
     for row in used.select(slot.alias("slot")).coalesce(8).mapInArrow(bits, "bits binary").collect():
         table |= np.frombuffer(row["bits"], np.uint8)
     shared = spark.sparkContext.broadcast(table)
 
-    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_ = np.unpackbits(shared.value).astype(bool)
         for b in batches:
-            b = b.filter(pa.array(open_[b.column("slot").to_numpy()]))
+            yield b.filter(pa.array(open_[b.column("slot").to_numpy()])).select(["doc_id", "text_key", "text"])
+
+    def overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, own = None, None
+        for b in batches:
             data, offsets = string_buffers(b.column("text"))
+            rows = list(zip(b.column("a").to_pylist(), b.column("part").to_pylist(), b.column("class").to_pylist()))
+            good = []
             for i, j in chunks(offsets):
                 values, ptr = _sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], k)
-                sets = [values[x:y].tobytes() for x, y in zip(ptr[:-1], ptr[1:])]
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(i, j - i), b.column("text_key").slice(i, j - i), pa.array(sets, pa.binary())], names=["doc_id", "text_key", "tokens"])
+                for d, (a, part, c) in enumerate(rows[i:j]):
+                    mine = values[ptr[d] : ptr[d + 1]]
+                    if a == c:
+                        key, own = (a, part), mine.copy()
+                    elif key == (a, part):
+                        both = np.sort(np.concatenate([own, mine]))
+                        same = int((both[1:] == both[:-1]).sum())
+                        if 100 * same >= 75 * (len(both) - same):
+                            good.append((a, c))
+                    else:
+                        raise ValueError("a pair's first text is missing")
+            yield pa.RecordBatch.from_arrays([pa.array([g[x] for g in good], pa.int64()) for x in (0, 1)], names=["a", "b"])
 
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").withColumn("slot", slot)
-    sets = keyed.mapInArrow(again, "doc_id long, text_key long, tokens binary").join(used, ["doc_id", "text_key"]).groupBy("class").agg(F.first("tokens").alias("tokens"))
-
-    def overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            x, y = b.column("left"), b.column("right")
-            good = np.zeros(b.num_rows, bool)
-            for r in range(b.num_rows):
-                p, q = np.frombuffer(x[r].as_buffer(), _U), np.frombuffer(y[r].as_buffer(), _U)
-                both = np.sort(np.concatenate([p, q]))
-                same = int((both[1:] == both[:-1]).sum())
-                good[r] = 100 * same >= 75 * (len(both) - same)
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(good))
-
-    left = pairs.join(sets.select(F.col("class").alias("b"), F.col("tokens").alias("right")), "b")
-    return left.join(sets.select(F.col("class").alias("a"), F.col("tokens").alias("left")), "a").select("a", "b", "left", "right").mapInArrow(overlaps, "a long, b long")
+    texts = keyed.mapInArrow(possible, "doc_id long, text_key long, text string").join(used, ["doc_id", "text_key"]).select("a", "part", "class", "text")
+    ordered = texts.repartition("a", "part").sortWithinPartitions("a", "part", F.col("class") != F.col("a"))
+    return ordered.mapInArrow(overlaps, "a long, b long").distinct()  # a row that is repeated gives its pair again
 
 
 def link_groups(docs: DataFrame, k: int = WORDS) -> DataFrame:
@@ -227,11 +243,13 @@ def link_groups(docs: DataFrame, k: int = WORDS) -> DataFrame:
     rows = written(_classified(docs, _common(docs, k), k), "classified")
     classes = rows.where("n > 0").groupBy("class").agg(F.min(F.struct("doc_id", "text_key")).alias("first"), F.min("n").alias("n")).select("class", "first.doc_id", "first.text_key")
     tokens = rows.where("size(lead) > 0").select("class", "n", F.posexplode("lead").alias("pos", "token")).select("token", "class", "n", "pos")
-    listed = written(tokens.repartition("token").sortWithinPartitions("token", "class").mapInArrow(_shared_tokens, _LISTED), "listed")
+    listed = written(tokens.repartition("token").sortWithinPartitions("token", "pos", "class").mapInArrow(_shared_tokens, _LISTED), "listed")
 
     n, pos = F.col("n"), F.col("pos")
     stars = listed.where((F.col("class") != F.col("hub")) & _possible(n, pos, F.col("hub_n"), F.col("hub_pos")))
-    stars = stars.select(F.col("hub").alias("a"), F.col("class").alias("b")).distinct()
+    # each class is compared with the hub that most of its tokens name
+    stars = stars.groupBy(F.col("class").alias("b"), F.col("hub").alias("a")).agg(F.count(F.lit(1)).alias("votes"), (-F.min("hub_pos")).alias("middle"))
+    stars = stars.groupBy("b").agg(F.max_by("a", F.struct("votes", "middle", "a")).alias("a")).select("a", "b")
     links = written(_verified(stars, docs, classes, k), "links")
     groups = written(connected_components(links), "groups").select(F.col("id").alias("class"), F.col("component").alias("group"))
 

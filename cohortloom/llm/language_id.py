@@ -181,6 +181,22 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
+def keep(docs: DataFrame, model: LanguageModel, least: float) -> DataFrame:
+    """The rows with a language and a score of at least `least`, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = None
+        for b in batches:
+            scorer = scorer or Scorer(shared.value)
+            text = b.column("text")
+            _, offsets = string_buffers(text)
+            found = [scorer.predict(t) for i, j in chunks(offsets) for t in text.slice(i, j - i).to_pylist()]
+            yield b.filter(pa.array([x != UNDETERMINED and p >= least for x, p in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def evaluate(docs: DataFrame) -> DataFrame:
     """Learns from the rows that are not held out and predicts every row, with held_out."""
     model = fit(docs.where(~held_out(F.col("doc_id"), 3, 1)))

@@ -203,6 +203,21 @@ def score(docs: DataFrame, network: Network) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, score double, predicted int")
 
 
+def keep(docs: DataFrame, network: Network) -> DataFrame:
+    """The rows whose score is at least THRESHOLD, with all their columns; rows are filtered where they are."""
+    shared = docs.sparkSession.sparkContext.broadcast(network)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            data, offsets = string_buffers(b.column(b.schema.get_field_index("text")))
+            good = [np.zeros(0, bool)]
+            for i, j in chunks(offsets):
+                good.append(shared.value.score(*encode(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])) >= THRESHOLD)
+            yield b.filter(pa.array(np.concatenate(good)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def evaluate(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Learns from the labels that are not held out and scores every row, with held_out."""
     scored = score(docs, fit(docs, labels))

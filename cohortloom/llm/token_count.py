@@ -114,24 +114,12 @@ def surviving(symbols: np.ndarray, row: np.ndarray, n_rows: int, pairs: PairTabl
     return left
 
 
-class Counter:
-    """Counts tokens by a byte-level BPE vocabulary in the JSON form of the tokenizers library."""
+class WordCutter:
+    """Cuts texts into pre-tokens."""
 
-    def __init__(self, vocabulary: str):
-        with open(vocabulary, encoding="utf-8") as f:
-            spec = json.load(f)
-        model, pre = spec["model"], spec["pre_tokenizer"]
-        if model["type"] != "BPE" or pre["type"] != "ByteLevel" or pre["add_prefix_space"] or spec["normalizer"] or not pre["use_regex"] or model["ignore_merges"]:
-            raise ValueError("only plain byte-level BPE vocabularies are supported")
-        ids = model["vocab"]
-        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
-        self.pairs = PairTable(*(np.array([ids[f(m)] for m in merges]) for f in (lambda m: m[0], lambda m: m[1], lambda m: m[0] + m[1])))
-        self.symbol = np.array([ids[c] for _, c in sorted(byte_letters().items())], np.int64)
-        added = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
-        self.added = regex.compile("|".join(map(regex.escape, added))) if added else None
+    def __init__(self):
         self.words = regex.compile(PATTERN)
         self.edge = regex.compile(r"(?<=\P{White_Space})(?=\p{White_Space})")
-        self.known: dict[str, int] = {}
 
     def pieces(self, text: str) -> Iterator[list[str]]:
         """Pre-tokens of a text, some at a time."""
@@ -145,6 +133,25 @@ class Counter:
             yield self.words.findall(text[at:to])
             at = to
 
+
+class Counter(WordCutter):
+    """Counts tokens by a byte-level BPE vocabulary in the JSON form of the tokenizers library."""
+
+    def __init__(self, vocabulary: str):
+        super().__init__()
+        with open(vocabulary, encoding="utf-8") as f:
+            spec = json.load(f)
+        model, pre = spec["model"], spec["pre_tokenizer"]
+        if model["type"] != "BPE" or pre["type"] != "ByteLevel" or pre["add_prefix_space"] or spec["normalizer"] or not pre["use_regex"] or model["ignore_merges"]:
+            raise ValueError("only plain byte-level BPE vocabularies are supported")
+        ids = model["vocab"]
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        self.pairs = PairTable(*(np.array([ids[f(m)] for m in merges]) for f in (lambda m: m[0], lambda m: m[1], lambda m: m[0] + m[1])))
+        self.symbol = np.array([ids[c] for _, c in sorted(byte_letters().items())], np.int64)
+        added = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
+        self.added = regex.compile("|".join(map(regex.escape, added))) if added else None
+        self.known: dict[str, int] = {}
+
     def learn(self, words: set[str]) -> None:
         """Adds the counts of new pre-tokens."""
         words = list(words)
