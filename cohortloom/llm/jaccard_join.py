@@ -40,8 +40,9 @@ from .components import connected_components
 from .session import written
 
 WORDS = 5
-#: Texts that common tokens are looked for in (in expectation), uses there that make a token common, most common tokens.
-SAMPLE_DOCS, COMMON_USES, MAX_COMMON = 8000, 3, 200_000
+#: Share of the texts that common tokens are looked for in, and least texts (in expectation); uses there that make a token
+#: common; most common tokens. A share, and not a number of texts, so that a token has as few uses at any size before it is common.
+SAMPLE_SHARE, SAMPLE_DOCS, COMMON_USES, MAX_COMMON = 1 / 6, 8000, 3, 1_000_000
 #: Classes whose tokens a task has given out already and does not repeat.
 SEEN_CLASSES = 200_000
 #: Pairs of one class that a task compares with it.
@@ -101,7 +102,7 @@ class Order:
 
 
 def _common(docs: DataFrame, k: int) -> Order:
-    share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
+    share = min(1.0, max(SAMPLE_SHARE, SAMPLE_DOCS / max(1, docs.count())))
     chance = F.pmod(F.xxhash64(F.lit(31), "doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,7 +113,15 @@ def _common(docs: DataFrame, k: int) -> Order:
                 yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64))], names=["token"])
 
     uses = docs.where(chance < share).select("text").mapInArrow(run, "token long").groupBy("token").agg(F.count(F.lit(1)).alias("uses")).where(F.col("uses") >= COMMON_USES)
-    found = uses.orderBy(F.desc("uses"), "token").limit(MAX_COMMON).toArrow()
+    uses = written(uses, "uses")
+    # the most used tokens that are not too many, by a table of counts of counts
+    left, least = MAX_COMMON, 1 << 62
+    for n, tokens in uses.groupBy("uses").count().orderBy(F.desc("uses")).collect():
+        left -= tokens
+        if left < 0:
+            break
+        least = n
+    found = uses.where(F.col("uses") >= least).toArrow()
     return Order(found["token"].to_numpy().view(_U), found["uses"].to_numpy())
 
 
