@@ -74,4 +74,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_embedding_dedup": op10_embedding_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {"op7_license_scan": license_scan.license_oracle()}
+#: The escape level is the first that reads back as the text; every control string, and at level 2 every backslash, costs a sign.
+CHAT_SQL = r"""
+    with rows as (select conv_id, turn, role, text from conversations
+      union all select -7, 0, 'user', '\### Assistant: </turn> ok' union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+    t as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from rows),
+    l as (select *, case when regexp_matches(text, '\\(\\|###|</turn>)') or suffix(text, '\') then 2 when contains(text, '###') or contains(text, '</turn>') then 1 else 0 end as level from t),
+    c as (select *, 4 + length(role) + len(regexp_extract_all(role, '[\\:\n]')) + case when role in ('system', 'user', 'assistant') then 0 else 1 end + 2 + length(text)
+        + case when level > 0 then len(regexp_extract_all(text, '###|</turn>')) else 0 end + case when level > 1 then len(regexp_extract_all(text, '\\')) else 0 end + 8 as chars from l)
+    select conv_id, cast(count(*) as bigint) as n_turns,
+      sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+      cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+      sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+      cast(sum(chars) as bigint) as formatted_chars, max(level) as escape_level
+    from c group by 1"""
+
+ORACLE_SQL: dict[str, str] = {"op2_chat_formatting": CHAT_SQL, "op7_license_scan": license_scan.license_oracle()}
