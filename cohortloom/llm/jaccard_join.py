@@ -247,7 +247,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int) ->
 
 
 def link_groups(docs: DataFrame, k: int = WORDS) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row."""
+    """doc_id, n_shingles, component_id, text_key (hash of the text) and group_id (null without words) of every row."""
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = written(_classified(docs, _common(docs, k), k), "classified")
     classes = rows.where("n > 0").groupBy("class").agg(F.min(F.struct("doc_id", "text_key")).alias("first"), F.min("n").alias("n")).select("class", "first.doc_id", "first.text_key")
@@ -280,6 +280,24 @@ def link_groups(docs: DataFrame, k: int = WORDS) -> DataFrame:
 
     named = classes.select("class", "doc_id").join(groups, "class", "left").withColumn("group", F.coalesce("group", "class"))
     smallest_id = named.groupBy("group").agg(F.min("doc_id").alias("component_id"))
-    named = named.join(smallest_id, "group").select("class", "component_id")
-    whole = rows.where("n > 0").select("doc_id", "n", "class").join(named, "class").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return whole.unionByName(rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    named = named.join(smallest_id, "group").select("class", "component_id", F.col("group").alias("group_id"))
+    whole = rows.where("n > 0").select("doc_id", "n", "class", "text_key").join(named, "class").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "text_key", "group_id")
+    return whole.unionByName(rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "text_key", F.lit(None).cast("long").alias("group_id")))
+
+
+def keep_one_of_each_group(docs: DataFrame, k: int = WORDS) -> DataFrame:
+    """The rows of docs that stay: of each group the one with the smallest doc_id (then text), and all without words.
+
+    A row is told by doc_id and text; if such a row is repeated, one of the repetitions stays.
+    """
+    found = link_groups(docs, k)
+    first = found.where("group_id is not null").groupBy("group_id").agg(F.min(F.struct("doc_id", "text_key")).alias("f")).select("f.doc_id", "f.text_key")
+    stay = written(first.unionByName(found.where("group_id is null").select("doc_id", "text_key").distinct()), "stay").withColumnsRenamed({"doc_id": "__id", "text_key": "__key"})
+    keyed = docs.withColumn("__text_key", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    mine = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__text_key") == F.col("__key"))
+    left = keyed.join(stay, mine, "left_semi")
+    with_words = F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    repeated = keyed.where(with_words).groupBy("doc_id", "__text_key").count().where("count > 1").limit(1)
+    if not repeated.isEmpty():  # else nothing has to be dealt anew
+        left = left.where(with_words).dropDuplicates(["doc_id", "__text_key"]).unionByName(left.where(~F.coalesce(with_words, F.lit(False))))
+    return left.drop("__text_key")

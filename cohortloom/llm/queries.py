@@ -54,7 +54,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.link_groups(_table(spark, sf_dir, "documents"))
+    return jaccard_join.link_groups(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,9 +37,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document, the one with the smallest doc_id, of each group of near duplicates, and all documents without words."""
-    groups = jaccard_join.link_groups(docs).where((F.col("doc_id") == F.col("component_id")) | F.col("doc_id").isNull()).select("doc_id").distinct()
-    same = docs.join(groups, docs["doc_id"].eqNullSafe(groups["doc_id"]), "left_semi")
-    return same.dropDuplicates(["doc_id"]) if "doc_id" in docs.columns else same
+    return jaccard_join.keep_one_of_each_group(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
