@@ -12,7 +12,7 @@ the same expression, so the sample changes the time and never a result. Nothing
 sample's word counts.
 
 A text's ids are a string with one letter (code point) for each id, which UTF-16 turns into their
-little-endian integers; decoding looks up the bytes of each id and concatenates them.
+little-endian integers; decoding looks up the bytes of each id and concatenates them, for many ids at once.
 
 Defined results: a null text is empty (no ids, empty bytes); repeated rows each give a row; other
 columns are ignored; no rows give no rows. The vocabulary can have up to 55,296 ids.
@@ -25,6 +25,7 @@ import collections
 import json
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -91,11 +92,10 @@ class Codec:
         ranks = {k.decode("latin-1"): v for k, v in read_ranks(path).items()}
         self.spark = spark
         self.ranks = _rank_literal(spark, ranks)
-        by_id = [""] * (max(ranks.values()) + 1)
+        self.pieces = [b""] * (max(ranks.values()) + 1)
         for k, v in ranks.items():
-            by_id[v] = k
-        self.pieces = F.from_json(F.lit(json.dumps(by_id, ensure_ascii=False)), "array<string>")
-        self.letters = F.from_json(F.lit(json.dumps([chr(i) for i in range(len(by_id))])), "array<string>")
+            self.pieces[v] = k.encode("latin-1")
+        self.letters = F.from_json(F.lit(json.dumps([chr(i) for i in range(len(self.pieces))])), "array<string>")
 
     def rank(self, piece: Column) -> Column:
         return _look_up(self.ranks, piece, RANK_BUCKETS)
@@ -133,8 +133,8 @@ class Codec:
 
         return _let(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), known)
 
-    def fold_ahead(self, docs: DataFrame) -> pa.Table:
-        """word and ids (letters) of the distinct words of a bounded sample of texts."""
+    def fold_ahead(self, docs: DataFrame) -> list[bytes]:
+        """The distinct words of a bounded sample of texts with their ids, packed by the executors."""
         share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
         chance = F.pmod(F.xxhash64(F.lit(41), "doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
         used = written(docs.where(chance < share).select("text").mapInArrow(_word_counts, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
@@ -145,12 +145,12 @@ class Codec:
             if left < 0:
                 break
             least = n
-        return used.where(F.col("n") >= least).select("word", self.encode_word(F.col("word")).alias("ids")).toArrow()
+        folded = used.where(F.col("n") >= least).select("word", self.encode_word(F.col("word")).alias("ids"))
+        return [bytes(r["packed"]) for r in folded.mapInArrow(_packed, "packed binary").collect()]
 
     def encode(self, docs: DataFrame) -> DataFrame:
         """doc_id and letters of every row of doc_id and text."""
-        ahead = self.fold_ahead(docs)
-        shared = self.spark.sparkContext.broadcast((ahead["word"].to_pylist(), ahead["ids"].to_pylist()))
+        shared = self.spark.sparkContext.broadcast(self.fold_ahead(docs))
         cut = docs.mapInArrow(_known_words(shared), "doc_id long, letters string, others array<string>")
 
         def filled(between: Column) -> Column:
@@ -160,15 +160,14 @@ class Codec:
         letters = F.when(F.size("others") == 0, F.col("letters")).otherwise(_let(F.split("letters", OTHER, -1), filled))
         return cut.select("doc_id", letters.alias("letters"))
 
-    def ids(self, letters: Column) -> Column:
-        """Letters as little-endian unsigned 32-bit integers: a letter and a zero make one."""
-        split = F.split(letters, "")
-        return F.when(letters == "", F.lit(b"")).otherwise(F.encode(F.concat(F.array_join(split, "\0"), F.lit("\0")), "UTF-16LE"))
 
-    def decode(self, letters: Column) -> Column:
-        """The bytes of the ids, put together."""
-        pieces = F.transform(F.split(letters, ""), lambda c: F.get(self.pieces, F.ascii(c)))
-        return F.when(letters == "", F.lit(b"")).otherwise(F.encode(F.array_join(pieces, ""), "ISO-8859-1"))
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words and ids as compressed bytes, so that the driver holds no objects for them."""
+    for b in batches:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, b.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_batch(b)
+        yield pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["packed"])
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,7 +187,10 @@ def _known_words(shared):
     """Cuts texts into words: their ids where they are known, OTHER and the word where not."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter, known = WordCutter(), dict(zip(*shared.value))
+        cutter, known = WordCutter(), {}
+        for packed in shared.value:
+            for b in pa.ipc.open_stream(pa.py_buffer(packed)):
+                known.update(zip(b.column("word").to_pylist(), b.column("ids").to_pylist()))
         for b in batches:
             text = b.column("text")
             _, offsets = string_buffers(text)
@@ -209,9 +211,34 @@ def _known_words(shared):
     return run
 
 
+def _ids_and_bytes(pieces: list[bytes]):
+    """Letters as little-endian integers, and the pieces of those integers put together again."""
+    pool = np.frombuffer(b"".join(pieces), np.uint8)
+    size = np.array([len(p) for p in pieces], np.int64)
+    start = np.cumsum(size) - size
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            data, offsets = string_buffers(b.column("letters"))
+            for i, j in chunks(offsets):
+                raw, own = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+                ids = np.frombuffer(raw.tobytes().decode("utf-8").encode("utf-16-le"), "<u2").astype("<u4")
+                # a letter begins at every byte that goes on no letter
+                ends = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])[own]
+                long = size[ids]
+                to = np.concatenate([[0], np.cumsum(long)])
+                text = pool[np.repeat(start[ids] - to[:-1], long) + np.arange(to[-1])]
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(i, j - i), pa.array(np.diff(ends)), _binaries(ids.view(np.uint8), 4 * ends), _binaries(text, to[ends])], names=["doc_id", "n_tokens", "ids", "decoded"])
+
+    return run
+
+
+def _binaries(data: np.ndarray, ends: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)]).cast(pa.binary())
+
+
 def encode_and_decode(docs: DataFrame, vocabulary: str) -> DataFrame:
     """doc_id, n_tokens, ids (little-endian unsigned 32-bit) and decoded (bytes) of every row."""
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     codec = Codec(docs.sparkSession, vocabulary)
-    letters = F.col("letters")
-    return codec.encode(docs).select("doc_id", F.length(letters).cast("long").alias("n_tokens"), codec.ids(letters).alias("ids"), codec.decode(letters).alias("decoded"))
+    return codec.encode(docs).mapInArrow(_ids_and_bytes(codec.pieces), "doc_id long, n_tokens long, ids binary, decoded binary")
