@@ -205,8 +205,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     parts = []
     for k in range(blocks):
-        block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).orderBy("item_id", "text").toPandas()
-        shared = spark.sparkContext.broadcast(Items(block["item_id"].tolist(), block["text"].tolist()))
+        block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).orderBy("item_id", "text").toArrow()
+        shared = spark.sparkContext.broadcast(Items(block["item_id"].to_pylist(), block["text"].to_pylist()))
         parts.append(texts.mapInArrow(_finder(shared, similarity), SCHEMA))
     return reduce(DataFrame.unionAll, parts)
 

@@ -29,7 +29,9 @@ from .session import use_checkpoints
 #: Documents per language that the model learns from, in expectation.
 DOCS_PER_LANG = 5000
 #: Most words, and most n-grams, in a model.
-MODEL_ROWS = 240_000
+MODEL_ROWS = 120_000
+#: Most languages in a model, the ones with the most documents.
+MAX_LANGUAGES = 1000
 LONGEST_GRAM = 5
 #: Unseen words whose score a worker keeps.
 CACHE_WORDS = 200_000
@@ -61,7 +63,8 @@ class LanguageModel:
 def fit(labelled: DataFrame, docs_per_lang: int = DOCS_PER_LANG, model_rows: int = MODEL_ROWS) -> LanguageModel:
     """Learns from doc_id, text and lang of rows whose lang is not null."""
     rows = labelled.where(F.col("lang").isNotNull()).select(F.col("doc_id").cast("string"), F.col("text").cast("string"), F.col("lang").cast("string"))
-    share = rows.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(docs_per_lang)) / F.count(F.lit(1))).alias("share"))
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("docs")).orderBy(F.desc("docs"), "lang").limit(MAX_LANGUAGES)
+    share = F.broadcast(counts.select("lang", F.least(F.lit(1.0), float(docs_per_lang) / F.col("docs")).alias("share")))  # MAX_LANGUAGES rows at most
     chance = F.pmod(F.xxhash64(F.lit(11), "doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
     sample = rows.join(share, "lang").where(chance < F.col("share"))
     words = sample.select("lang", F.explode(F.expr(r"regexp_extract_all(lower(text), '[\\p{L}]+', 0)")).alias("token")).groupBy("lang", "token").agg(F.count(F.lit(1)).alias("n"))
@@ -77,35 +80,33 @@ def fit(labelled: DataFrame, docs_per_lang: int = DOCS_PER_LANG, model_rows: int
         order = Window.partitionBy("lang", *by).orderBy(F.desc("n"), "token")
         return counts.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most)
 
-    n_languages = max(1, words.select("lang").distinct().count())
+    n_languages = max(1, words.select("lang").distinct().count())  # at most MAX_LANGUAGES
     each = max(1, model_rows // n_languages)
     size = F.substring("token", 1, 1)
     kept = largest(words, each).select("lang", F.lit(True).alias("word"), "token", "n")
     kept = kept.unionByName(largest(grams, max(1, each // LONGEST_GRAM), size).select("lang", F.lit(False).alias("word"), "token", "n"))
-    return build(kept.toPandas())
+    return build(kept.toArrow())
 
 
-def build(counts) -> LanguageModel:
+def build(counts: pa.Table) -> LanguageModel:
     """A model of a bounded table of lang, word (or n-gram), token, n."""
-    languages = sorted(counts["lang"].unique())
+    languages = sorted(set(counts["lang"].to_pylist()))
     column = {x: i for i, x in enumerate(languages)}
     words: dict[str, int] = {}
     grams: dict[str, int] = {}
-    parts = []
-    for into, rows, kind in ((words, counts[counts["word"]], lambda t: ""), (grams, counts[~counts["word"]], lambda t: t[0])):
-        by: dict[str, list] = {}
-        for row in rows[["lang", "token", "n"]].itertuples(index=False, name=None):
-            by.setdefault(kind(row[1]), []).append(row)
-        for own in by.values():
-            first = sum(map(len, (words, grams)))
-            for _, token, _ in own:
-                if token not in into:
-                    into[token] = len(words) + len(grams)
-            c = np.full((len(words) + len(grams) - first, len(languages)), 0.5)
-            for lang, token, n in own:
-                c[into[token] - first, column[lang]] += n
-            parts.append(np.log(c / c.sum(axis=0)))
-    table = np.concatenate(parts) if parts else np.zeros((0, len(languages)))
+    table = np.full((counts.num_rows, len(languages)), 0.5)
+    kind = np.zeros(counts.num_rows, np.int64)  # 0: words; n: n-grams of that length
+    for batch in counts.to_batches(max_chunksize=20_000):
+        for lang, word, token, n in zip(*(batch.column(c).to_pylist() for c in ("lang", "word", "token", "n"))):
+            into = words if word else grams
+            row = into.setdefault(token, len(words) + len(grams))
+            kind[row] = 0 if word else int(token[0])
+            table[row, column[lang]] += n
+    used = len(words) + len(grams)
+    table, kind = table[:used], kind[:used]
+    for k in np.unique(kind):
+        own = kind == k
+        table[own] = np.log(table[own] / table[own].sum(axis=0))
     return LanguageModel(languages, words, grams, table.astype(np.float32))
 
 

@@ -182,8 +182,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("quality"), pa.array(bags, pa.binary())], names=["doc_id", "quality", "bag"])
 
     pairs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(sample), "doc_id")  # bounded by max_labelled
-    got = pairs.mapInArrow(run, "doc_id long, quality int, bag binary").toPandas().sort_values(["doc_id", "quality", "bag"])
-    return train([np.frombuffer(x, np.float32).reshape(-1, FEATURES).astype(np.float64) for x in got["bag"]], got["quality"].to_numpy(float))
+    got = pairs.mapInArrow(run, "doc_id long, quality int, bag binary").toArrow()
+    rows = sorted(zip(got["doc_id"].to_pylist(), got["quality"].to_pylist(), got["bag"].to_pylist()))
+    return train([np.frombuffer(x, np.float32).reshape(-1, FEATURES) for _, _, x in rows], np.array([q for _, q, _ in rows], float))
 
 
 def score(docs: DataFrame, network: Network) -> DataFrame:
