@@ -34,7 +34,7 @@ from .session import written
 from .token_count import WordCutter
 
 #: Texts whose words are folded ahead (in expectation), and the most words of them.
-SAMPLE_DOCS, MAX_WORDS = 60_000, 1_300_000
+SAMPLE_DOCS, MAX_WORDS = 50_000, 1_100_000
 #: Maps in the literal of ranks.
 RANK_BUCKETS = 1 << 13
 #: Ids must stay below the first code point that is no letter of its own; OTHER stands for a word that is folded later.
