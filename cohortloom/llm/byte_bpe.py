@@ -85,6 +85,10 @@ def _placed(state: Column) -> Column:
     return F.struct(state["parts"].alias("parts"), state["ranks"].alias("ranks"), _let(F.coalesce(F.array_min(state["ranks"]), F.lit(NO_RANK)), at).alias("at"))
 
 
+def _rank(ranks: Column, piece: Column) -> Column:
+    return _look_up(ranks, piece, RANK_BUCKETS)
+
+
 class Codec:
     """Expressions that encode and decode by one vocabulary."""
 
@@ -97,13 +101,10 @@ class Codec:
             self.pieces[v] = k.encode("latin-1")
         self.letters = F.from_json(F.lit(json.dumps([chr(i) for i in range(len(self.pieces))])), "array<string>")
 
-    def rank(self, piece: Column) -> Column:
-        return _look_up(self.ranks, piece, RANK_BUCKETS)
+    def _pair(self, ranks: Column, a: Column, b: Column) -> Column:
+        return F.coalesce(_rank(ranks, F.concat(a, b)), F.lit(NO_RANK))
 
-    def _pair(self, a: Column, b: Column) -> Column:
-        return F.coalesce(self.rank(F.concat(a, b)), F.lit(NO_RANK))
-
-    def _merge(self, state: Column) -> Column:
+    def _merge(self, table: Column, state: Column) -> Column:
         """The state after its lowest-ranked pair is merged; at: the place of that pair, 0 if there is none."""
 
         def merged(s: Column) -> Column:
@@ -111,25 +112,28 @@ class Codec:
             joined = F.concat(F.element_at(parts, at), F.element_at(parts, at + 1))
 
             def around(joined: Column) -> Column:
-                left = F.when(at > 1, F.concat(F.slice(ranks, 1, at - 2), F.array(self._pair(F.element_at(parts, at - 1), joined)))).otherwise(F.array().cast(_EMPTY))
-                right = F.when(at < F.size(ranks), F.concat(F.array(self._pair(joined, F.element_at(parts, at + 2))), F.slice(ranks, at + 2, F.size(ranks)))).otherwise(F.array().cast(_EMPTY))
+                left = F.when(at > 1, F.concat(F.slice(ranks, 1, at - 2), F.array(self._pair(table, F.element_at(parts, at - 1), joined)))).otherwise(F.array().cast(_EMPTY))
+                right = F.when(at < F.size(ranks), F.concat(F.array(self._pair(table, joined, F.element_at(parts, at + 2))), F.slice(ranks, at + 2, F.size(ranks)))).otherwise(F.array().cast(_EMPTY))
                 return F.struct(F.concat(F.slice(parts, 1, at - 1), F.array(joined), F.slice(parts, at + 2, F.size(parts))).alias("parts"), F.concat(left, right).alias("ranks"))
 
             return _let(_let(joined, around), _placed)
 
         return F.when(state["at"] == 0, state).otherwise(merged(state))
 
-    def encode_word(self, word: Column) -> Column:
-        """The ids of one word as letters."""
+    def encode_words(self, words: Column) -> Column:
+        """The ids of each word of an array, as letters. The literals are bound once, so that a plan holds one copy of them."""
+        return _let(F.struct(self.ranks.alias("ranks"), self.letters.alias("letters")), lambda t: F.transform(words, lambda w: self._encode(t["ranks"], t["letters"], w)))
+
+    def _encode(self, table: Column, letters_of: Column, word: Column) -> Column:
 
         def fold(letters: Column) -> Column:
-            pairs = F.transform(F.arrays_zip(F.slice(letters, 1, F.size(letters) - 1).alias("a"), F.slice(letters, 2, F.size(letters)).alias("b")), lambda p: self._pair(p["a"], p["b"]))
+            pairs = F.transform(F.arrays_zip(F.slice(letters, 1, F.size(letters) - 1).alias("a"), F.slice(letters, 2, F.size(letters)).alias("b")), lambda p: self._pair(table, p["a"], p["b"]))
             start = F.struct(letters.alias("parts"), pairs.alias("ranks"))
-            folded = F.aggregate(F.slice(letters, 2, F.size(letters)), _let(start, _placed), lambda s, _: self._merge(s), lambda s: s["parts"])
-            return F.array_join(F.transform(folded, lambda p: F.get(self.letters, self.rank(p))), "")
+            folded = F.aggregate(F.slice(letters, 2, F.size(letters)), _let(start, _placed), lambda s, _: self._merge(table, s), lambda s: s["parts"])
+            return F.array_join(F.transform(folded, lambda p: F.get(letters_of, _rank(table, p))), "")
 
         def known(raw: Column) -> Column:
-            return F.coalesce(F.get(self.letters, self.rank(raw)), _let(F.split(raw, ""), fold))
+            return F.coalesce(F.get(letters_of, _rank(table, raw)), _let(F.split(raw, ""), fold))
 
         return _let(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), known)
 
@@ -145,7 +149,7 @@ class Codec:
             if left < 0:
                 break
             least = n
-        folded = used.where(F.col("n") >= least).select("word", self.encode_word(F.col("word")).alias("ids"))
+        folded = used.where(F.col("n") >= least).select("word", F.get(self.encode_words(F.array("word")), F.lit(0)).alias("ids"))
         return [bytes(r["packed"]) for r in folded.mapInArrow(_packed, "packed binary").collect()]
 
     def encode(self, docs: DataFrame) -> DataFrame:
@@ -154,7 +158,7 @@ class Codec:
         cut = docs.mapInArrow(_known_words(shared), "doc_id long, letters string, others array<string>")
 
         def filled(between: Column) -> Column:
-            folded = F.concat(F.transform("others", self.encode_word), F.array(F.lit("")))
+            folded = F.concat(self.encode_words(F.col("others")), F.array(F.lit("")))
             return F.array_join(F.zip_with(between, folded, lambda a, b: F.concat(a, b)), "")
 
         letters = F.when(F.size("others") == 0, F.col("letters")).otherwise(_let(F.split("letters", OTHER, -1), filled))
