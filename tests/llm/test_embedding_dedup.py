@@ -3,6 +3,7 @@
 import os
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cohortloom.llm import embedding_dedup as ed
@@ -68,6 +69,18 @@ def test_repeated_rows(spark):
     assert got == [(1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 0, 3, True)]
 
 
+def test_a_large_group_of_near_copies_loses_no_link(spark):
+    n, rng = 21_000, np.random.default_rng(5)
+    x = rng.normal(size=(n, 64))
+    x[: n // 3] = rng.normal(size=64) + rng.normal(size=(n // 3, 64)) * 0.176  # cosine about 0.97
+    x = x.astype(np.float32)
+    df = spark.createDataFrame(pa.table({"vec_id": np.arange(n), "embedding": list(x)})).repartition(4)
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    links = np.concatenate([(unit[i : i + 1000] @ unit.T >= 0.95).sum(axis=1) - 1 for i in range(0, n, 1000)])
+    got = {r.vec_id: r.n_links for r in ed.near_duplicates(df).collect()}
+    assert links.sum() > 40_000_000 and [got[i] for i in range(n)] == links.tolist()
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="needs the test tables")
 def test_recall_on_the_test_table(spark):
     df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
