@@ -8,10 +8,12 @@ edit distance becomes Hamming distance. A repetition takes K of the first STEPS
 some anchors only. A place that shares a bucket with an anchor is a candidate: the item-sized window
 around it is compared by exact word edit distance, with the window's ends free.
 
-All places of all texts are walked; a walk stops as soon as its outputs so far are no anchor's. Items of
-fewer than SHORT words are found from their first or last word instead, which at a similarity of 0.75
-or more one of them keeps. An item contaminates a text when 1 - distance / words of the item is at least
-0.75.
+All places of all texts are walked; a walk stops as soon as its outputs so far are no anchor's. Walks alone
+lose copies with many edits, short ones above all, so every item has exact seeds too: of an item that
+`most` edits are allowed for, cut into most + 1 pieces, one piece at least is without an edit, and each place
+of a text that has the first words of a piece (SEED_WORDS at most) is a candidate. So all copies are found.
+Items of fewer than SHORT words have seeds only. An item contaminates a text when 1 - distance / words of
+the item is at least 0.75.
 
 The items are a query set: they are sent to the tasks in blocks of bounded size, one pass over the
 documents for each block, so a large benchmark needs more passes and no more memory.
@@ -33,10 +35,12 @@ from pyspark.sql import DataFrame, functions as F
 from .arrowtext import Words, chunks, mix, string_buffers
 
 SIMILARITY = 0.75
-#: Repetitions, outputs of the walk, and outputs sampled in each repetition. Recall by measurement, see the tests.
+#: Repetitions, outputs of the walk, and outputs sampled in each repetition.
 REPETITIONS, STEPS, K = 6, 14, 5
 ANCHOR = 3
 SHORT = 8
+#: Most words of a seed.
+SEED_WORDS = 4
 #: Items, and bytes of items, that are sent to the tasks at once.
 BLOCK_ITEMS, BLOCK_BYTES = 20_000, 16 << 20
 
@@ -85,6 +89,20 @@ def _walk(hashes: np.ndarray, bits: np.ndarray, at: np.ndarray, sampled: np.ndar
     return place, key
 
 
+def _grams(hashes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(g, key of the g words from each place that has them) for g of 1 to SEED_WORDS."""
+    key = np.zeros(len(hashes), _U)
+    for g in range(1, SEED_WORDS + 1):
+        with np.errstate(over="ignore"):
+            key = mix(key[: max(0, len(hashes) - g + 1)] * _FOLD + hashes[g - 1 :])
+        yield g, key
+
+
+def _most(similarity: float, words: int) -> int:
+    """Edits that an item of so many words may have."""
+    return int(np.floor((1 - similarity) * words + 1e-9))
+
+
 def ended(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hashes with an end mark after each text, places that are words, start of each text)."""
     n = len(words.ptr) - 1
@@ -119,9 +137,9 @@ def edit_distance(item: np.ndarray, window: np.ndarray) -> tuple[int, int, int]:
 
 
 class Items:
-    """A block of benchmark items with their anchors' bucket keys."""
+    """A block of benchmark items with their anchors' bucket keys and their seeds."""
 
-    def __init__(self, ids: list[int], texts: list[str]):
+    def __init__(self, ids: list[int], texts: list[str], similarity: float = SIMILARITY):
         raw = [t.encode("utf-8", "surrogatepass") for t in texts]
         words = Words(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]), plain=True)
         self.ids = ids
@@ -147,31 +165,44 @@ class Items:
             self.may.append(tables)
             self.keys.append(key[order])
             self.order.append(order)
-        self.short: dict[int, list[tuple[int, int]]] = {}
+        # for each seed length: which keys may be a seed's, and keys, items and offsets in order of the key
+        seeds: dict[int, list[tuple[int, int]]] = {}
         for i, w in enumerate(self.words):
-            if 0 < len(w) < SHORT:
-                for o in {0, len(w) - 1}:
-                    self.short.setdefault(int(w[o]), []).append((i, o))
-        self.short_words = np.array(sorted(self.short), _U)
+            n = min(_most(similarity, len(w)) + 1, len(w))
+            cuts = [len(w) * c // n for c in range(n + 1)] if n else []
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                seeds.setdefault(min(b - a, SEED_WORDS), []).append((i, a))
+        self.seeds: dict[int, tuple[np.ndarray, ...]] = {}
+        for g, grams in _grams(hashes):
+            if g in seeds:
+                owner, offset = np.array(seeds[g], np.int64).T
+                key = grams[starts[owner] + offset]
+                order = np.argsort(key, kind="stable")
+                table = np.zeros(1 << max(16, int(len(key) * 64).bit_length()), bool)
+                table[(key & _U(len(table) - 1)).astype(np.int64)] = True
+                self.seeds[g] = table, key[order], owner[order], offset[order]
 
     def candidates(self, hashes: np.ndarray, at: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Rows (text, place of the item's first word, item), distinct and in order; the place can lie outside its text."""
         found = [np.zeros((0, 3), np.int64)]
         text = lambda place: np.searchsorted(starts, place, "right") - 1
+
+        def add(place: np.ndarray, key: np.ndarray, keys: np.ndarray, owner: np.ndarray, offset: np.ndarray) -> None:
+            lo, hi = np.searchsorted(keys, key, "left"), np.searchsorted(keys, key, "right")
+            n = hi - lo
+            take = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]) if len(n) else lo, n) + np.arange(n.sum())
+            place = np.repeat(place, n)
+            found.append(np.stack([text(place), place - offset[take], owner[take]], axis=1))
+
         if len(self.owner):
             for r, sampled in enumerate(self.sampled):
                 place, key = _walk(hashes, _bits(hashes, r), at, sampled, self.may[r])
-                lo, hi = np.searchsorted(self.keys[r], key, "left"), np.searchsorted(self.keys[r], key, "right")
-                n = hi - lo
-                take = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]) if len(n) else lo, n) + np.arange(n.sum())
-                anchor = self.order[r][take]
-                place = np.repeat(place, n)
-                found.append(np.stack([text(place), place - self.offset[anchor], self.owner[anchor]], axis=1))
-        if len(self.short_words):
-            slot = np.searchsorted(self.short_words, hashes[at])
-            hit = self.short_words[np.minimum(slot, len(self.short_words) - 1)] == hashes[at]
-            rows = [(d, int(p) - o, i) for d, p in zip(text(at[hit]), at[hit]) for i, o in self.short[int(hashes[p])]]
-            found.append(np.array(rows, np.int64).reshape(-1, 3))
+                add(place, key, self.keys[r], self.owner[self.order[r]], self.offset[self.order[r]])
+        for g, grams in _grams(hashes):
+            if g in self.seeds:
+                table, keys, owner, offset = self.seeds[g]
+                place = np.flatnonzero(table[(grams & _U(len(table) - 1)).astype(np.int64)])
+                add(place, grams[place], keys, owner, offset)
         return np.unique(np.concatenate(found), axis=0)
 
     def matches(self, data: np.ndarray, offsets: np.ndarray, similarity: float) -> Iterator[tuple[int, int, int, int, int, int]]:
@@ -181,7 +212,7 @@ class Items:
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         for d, place, item in self.candidates(hashes, at, starts).tolist():
             w = self.words[item]
-            most = int(np.floor((1 - similarity) * len(w) + 1e-9))
+            most = _most(similarity, len(w))
             lo, hi = int(words.ptr[d]), int(words.ptr[d + 1])
             a = max(lo, lo + place - int(starts[d]) - most - 1)
             b = min(hi, lo + place - int(starts[d]) + len(w) + most + 1)
@@ -206,7 +237,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
     parts = []
     for k in range(blocks):
         block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).orderBy("item_id", "text").toArrow()
-        shared = spark.sparkContext.broadcast(Items(block["item_id"].to_pylist(), block["text"].to_pylist()))
+        shared = spark.sparkContext.broadcast(Items(block["item_id"].to_pylist(), block["text"].to_pylist(), similarity))
         parts.append(texts.mapInArrow(_finder(shared, similarity), SCHEMA))
     return reduce(DataFrame.unionAll, parts)
 

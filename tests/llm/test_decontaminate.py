@@ -79,6 +79,18 @@ def test_leaks_with_few_edits_are_found_and_nothing_else(spark):
     assert dc.find_leaks(docs.limit(0), bench).count() == 0 and dc.find_leaks(docs, bench.limit(0)).count() == 0
 
 
+def test_every_copy_with_a_quarter_of_its_words_edited_is_found():
+    rng = random.Random(12)
+    for n in [1, 3, 5, 7, *range(8, 25), 30, 37, 45, 60]:
+        items = [_words(rng, n) for _ in range(25)]
+        texts = [_words(rng, 30) + _edited(rng, w, n // 4) + _words(rng, 30) for w in items]
+        raw = [" ".join(t).encode() for t in texts]
+        block = dc.Items(list(range(len(items))), [" ".join(w) for w in items])
+        got = {(d, i): e for d, i, e, *_ in block.matches(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]), 0.75)}
+        least = {(d, i): _brute(w, t) for d, t in enumerate(texts) for i, w in enumerate(items)}
+        assert got == {k: e for k, e in least.items() if e <= n // 4}
+
+
 def test_blocks_of_items_give_the_same(spark, monkeypatch):
     rng = random.Random(8)
     items = [_words(rng, 20) for _ in range(30)]
