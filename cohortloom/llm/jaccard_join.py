@@ -23,7 +23,8 @@ only pairs between groups that the bounds cannot tell apart.
 
 Defined results: a text with fewer words than a shingle has its whole sequence as its one shingle; null
 texts and texts without words have an empty set and are components of their own; repeated rows keep a
-row each; other columns are ignored; no rows give no rows. Different sets or shingles share a 64-bit hash with
+row each; a row with a null doc_id links as any other, and a component's id is the smallest doc_id that is not null
+(null if there is none); other columns are ignored; no rows give no rows. Different sets or shingles share a 64-bit hash with
 a chance of about (number of classes)^2 / 2^65.
 """
 
@@ -241,7 +242,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int) ->
             yield pa.RecordBatch.from_arrays([pa.array([g[x] for g in good], pa.int64()) for x in (0, 1)], names=["a", "b"])
 
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").withColumn("slot", slot)
-    texts = keyed.mapInArrow(possible, "doc_id long, text_key long, text string").join(used, ["doc_id", "text_key"]).select("a", "part", "class", "text")
+    used = used.withColumnsRenamed({"doc_id": "used_id", "text_key": "used_key"})
+    same = F.col("doc_id").eqNullSafe(F.col("used_id")) & (F.col("text_key") == F.col("used_key"))
+    texts = keyed.mapInArrow(possible, "doc_id long, text_key long, text string").join(used, same).select("a", "part", "class", "text")
     ordered = texts.repartition("a", "part").sortWithinPartitions("a", "part", F.col("class") != F.col("a"))
     return ordered.mapInArrow(overlaps, "a long, b long").distinct()  # a row that is repeated gives its pair again
 
@@ -250,7 +253,7 @@ def link_groups(docs: DataFrame, k: int = WORDS) -> DataFrame:
     """doc_id, n_shingles, component_id, text_key (hash of the text) and group_id (null without words) of every row."""
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = written(_classified(docs, _common(docs, k), k), "classified")
-    classes = rows.where("n > 0").groupBy("class").agg(F.min(F.struct("doc_id", "text_key")).alias("first"), F.min("n").alias("n")).select("class", "first.doc_id", "first.text_key")
+    classes = rows.where("n > 0").groupBy("class").agg(F.min(F.struct("doc_id", "text_key")).alias("first"), F.min("doc_id").alias("low")).select("class", "first.doc_id", "first.text_key", "low")
     tokens = rows.where("size(lead) > 0").select("class", "n", F.posexplode("lead").alias("pos", "token")).select("token", "class", "n", "pos")
     listed = written(tokens.repartition("token").sortWithinPartitions("token", "pos", "class").mapInArrow(_shared_tokens, _LISTED), "listed")
 
@@ -278,20 +281,20 @@ def link_groups(docs: DataFrame, k: int = WORDS) -> DataFrame:
         links = links.unionByName(_verified(pairs, docs, classes, k))
         groups = connected_components(links).select(F.col("id").alias("class"), F.col("component").alias("group"))
 
-    named = classes.select("class", "doc_id").join(groups, "class", "left").withColumn("group", F.coalesce("group", "class"))
-    smallest_id = named.groupBy("group").agg(F.min("doc_id").alias("component_id"))
+    named = classes.select("class", "low").join(groups, "class", "left").withColumn("group", F.coalesce("group", "class"))
+    smallest_id = named.groupBy("group").agg(F.min("low").alias("component_id"))
     named = named.join(smallest_id, "group").select("class", "component_id", F.col("group").alias("group_id"))
     whole = rows.where("n > 0").select("doc_id", "n", "class", "text_key").join(named, "class").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "text_key", "group_id")
     return whole.unionByName(rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "text_key", F.lit(None).cast("long").alias("group_id")))
 
 
 def keep_one_of_each_group(docs: DataFrame, k: int = WORDS) -> DataFrame:
-    """The rows of docs that stay: of each group the one with the smallest doc_id (then text), and all without words.
+    """The rows of docs that stay: of each group the one with the smallest doc_id (null last, then text), and all without words.
 
     A row is told by doc_id and text; if such a row is repeated, one of the repetitions stays.
     """
     found = link_groups(docs, k)
-    first = found.where("group_id is not null").groupBy("group_id").agg(F.min(F.struct("doc_id", "text_key")).alias("f")).select("f.doc_id", "f.text_key")
+    first = found.where("group_id is not null").groupBy("group_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("f")).select("f.doc_id", "f.text_key")
     stay = written(first.unionByName(found.where("group_id is null").select("doc_id", "text_key").distinct()), "stay").withColumnsRenamed({"doc_id": "__id", "text_key": "__key"})
     keyed = docs.withColumn("__text_key", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
     mine = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__text_key") == F.col("__key"))

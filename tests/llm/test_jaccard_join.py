@@ -86,6 +86,27 @@ def test_one_of_each_group_stays(spark):
     assert jj.keep_one_of_each_group(df.limit(0)).count() == 0
 
 
+def test_null_ids_among_copies(spark):
+    rng = random.Random(11)
+    rows = []
+    for family in range(12):
+        words = [f"f{family}w{i}" for i in range(40)]
+        for k in range(6):
+            edited = list(words)
+            if k % 3:
+                edited[rng.randrange(40)] = f"x{k}"
+            null = family % 4 == 3 or (family % 4 and k % 2 == family % 2)
+            rows.append((None if null else 100 * family + k, " ".join(edited), family))
+    df = spark.createDataFrame(rows, "doc_id long, text string, family int")
+    got = jj.link_groups(df).collect()
+    low = {f: min((d for d, _, g in rows if g == f and d is not None), default=None) for f in range(12)}
+    assert sorted((str(r.doc_id), str(r.component_id)) for r in got) == sorted((str(d), str(low[f])) for d, _, f in rows)
+    assert len({r.group_id for r in got}) == 12
+    kept = jj.keep_one_of_each_group(df).collect()
+    assert sorted((r.family, r.doc_id) for r in kept if r.doc_id is not None) == [(f, d) for f, d in low.items() if d is not None]
+    assert sorted(r.family for r in kept) == list(range(12))
+
+
 def test_empty_table(spark):
     assert jj.link_groups(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
