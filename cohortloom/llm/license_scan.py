@@ -6,6 +6,13 @@ and mapped to the letter of a known licence sentence, or to a blank. A text so b
 of letters, and the ordered rules are an ordered alternation over it: at each place the first rule
 that fits wins, and what it covers is used up. All of it happens within a row, without a shuffle.
 
+Hard-wrapped notices are cut a third way (blocks): at sentence ends, at lines without letters or digits
+(blank ones, or with a comment sign alone), after the colon of 'conditions:' and 'met:', after ');', and before a
+line that starts as a known sentence. There, sentences that are not known may stand between the parts of a BSD notice, and
+'All rights reserved' before a notice's grant is part of that notice: it does not show Proprietary if no
+other 'reserved' of the text does. The SQL of the query has the first two cuts only, and so is equal where a text has no
+notice that the third alone finds.
+
 Defined results: a null or empty text has no licence ('' and 0); repeated rows each give a row; ties
 between rules go to the earlier rule; other columns are ignored; no rows give no rows.
 """
@@ -86,6 +93,15 @@ for _name, _ids in RULES:
 PATTERN = "|".join(SEQUENCES)
 assert re.fullmatch(r"[A-Za-z|]+", PATTERN) and len(LETTER) <= 52
 
+#: A line starts as a known sentence if these words are its first, whatever signs are between them.
+_STARTS = ["mit license", "permission is hereby granted", "the above copyright notice and", "this program is free software", "this program is distributed in", "redistribution and use in source", "licensed under the apache", "unless required by applicable law", "neither the name of", "this source code form", "all rights reserved", "copyright"]
+#: Ends of a sentence in the third cut.
+BLOCK_END = r"(?i)(?<=[.!?]|conditions:|met:|\);)[ \t\r\n\x0B\f]+|\n[^A-Za-z0-9]*\n|\n(?=[^A-Za-z0-9\n]*(?:" + "|".join(x.replace(" ", "[^A-Za-z0-9]+") for x in _STARTS) + r")[^A-Za-z0-9])"
+#: 'All rights reserved' that belongs to the notice after it.
+ABSORBED = f"{LETTER['reserved']} *(?=[{''.join(LETTER[i] for i in ('bsd-grant', 'mit-grant', 'gpl-free', 'gpl-free-2', 'apache-2.0-head'))}])"
+#: A BSD notice's clauses between its grant and its last one.
+BSD_CLAUSES = f"(?<={LETTER['bsd-grant']}) {{1,12}}(?={LETTER['bsd-name']})"
+
 _SPACE = r"[ \t\r\n\x0B\f]+"
 
 
@@ -107,12 +123,20 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     ended = r"([.!?])[ \t\r\n\x0B\f]+"
     by_line = F.split(F.regexp_replace(text, ended, "$1\n"), "\n")
     wrapped = F.split(F.regexp_replace(F.regexp_replace(text, _SPACE, " "), "([.!?]) ", "$1\n"), "\n")
-    rows = docs.select(F.col("doc_id").cast("long"), _letters(by_line).alias("lines"), _letters(wrapped).alias("wraps"))
+    blocks = F.split(text, BLOCK_END)
+    rows = docs.select(F.col("doc_id").cast("long"), _letters(by_line).alias("lines"), _letters(wrapped).alias("wraps"), _letters(blocks).alias("blocks"))
     name = F.create_map(*[F.lit(x) for pair in SEQUENCES.items() for x in pair])
-    found = lambda c: F.regexp_extract_all(F.col(c), F.lit(PATTERN), F.lit(0))
-    rows = rows.withColumns({"in_lines": found("lines"), "in_wraps": found("wraps")})
-    licences = F.array_sort(F.array_distinct(F.transform(F.concat("in_lines", "in_wraps"), lambda m: name[m])))
-    return rows.select("doc_id", F.array_join(licences, ",").alias("licences"), F.greatest(F.size("in_lines"), F.size("in_wraps")).cast("long").alias("n_matches"), F.length(F.replace("lines", F.lit(" "), F.lit(""))).cast("long").alias("n_known"))
+    found = lambda c: F.regexp_extract_all(c, F.lit(PATTERN), F.lit(0))
+    names = lambda c: F.transform(c, lambda m: name[m])
+    whole = F.regexp_replace(F.regexp_replace("blocks", ABSORBED, " "), BSD_CLAUSES, "")
+    rows = rows.withColumns({"in_lines": found(F.col("lines")), "in_wraps": found(F.col("wraps")), "in_blocks": found(whole)})
+    licences = F.array_distinct(names(F.concat("in_lines", "in_wraps", "in_blocks")))
+    # a copyright line of a notice, and nothing else, looked proprietary; the less specific BSD is the same notice
+    part = F.col("blocks").rlike(ABSORBED) & ~F.array_contains(names(F.col("in_blocks")), "Proprietary")
+    licences = F.when(part, F.array_remove(licences, "Proprietary")).otherwise(licences)
+    clauses = F.col("blocks").rlike(BSD_CLAUSES) & ~F.array_contains(names(F.col("in_blocks")), "BSD")
+    licences = F.array_sort(F.when(clauses, F.array_remove(licences, "BSD")).otherwise(licences))
+    return rows.select("doc_id", F.array_join(licences, ",").alias("licences"), F.greatest(F.size("in_lines"), F.size("in_wraps"), F.size("in_blocks")).cast("long").alias("n_matches"), F.length(F.replace("lines", F.lit(" "), F.lit(""))).cast("long").alias("n_known"))
 
 
 def license_oracle() -> str:

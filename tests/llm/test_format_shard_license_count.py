@@ -74,6 +74,27 @@ def test_license_rules(spark):
     assert license_scan.scan_licenses(df.limit(0)).count() == 0
 
 
+WRAPPED = {
+    "MIT": "Copyright (c) 2020 A Person\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software is\nfurnished to do so, subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be included in all\ncopies or substantial portions of the Software.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\".",
+    "BSD-3-Clause": "Copyright (c) 2020, A Person\nAll rights reserved.\n\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this\n   list of conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice.\n\n3. Neither the name of the copyright holder nor the names of its\n   contributors may be used to endorse or promote products derived from\n   this software without specific prior written permission.\n",
+    "GPL-3.0-or-later": "Copyright (C) 2020 A Person\n\nThis program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.\n\nThis program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\nGNU General Public License for more details.\n",
+    "Apache-2.0": "Copyright 2020 A Person\n\nLicensed under the Apache License, Version 2.0\n(the \"License\"); you may not use this file except in\ncompliance with the License. You may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n",
+}
+
+
+def test_full_wrapped_notices(spark):
+    rows, want = [], []
+    for name, text in WRAPPED.items():
+        for sign in ["", " * ", "# ", "// "]:
+            for gap in ["\n\n", "\n"]:
+                rows.append((len(rows), "\n".join(sign + line for line in text.replace("\n\n", gap, 1).split("\n"))))
+                want.append(name)
+    rows.append((len(rows), "All rights reserved.\n\nProse.\n" + WRAPPED["BSD-3-Clause"]))
+    want.append("BSD-3-Clause,Proprietary")
+    got = {r.doc_id: r.licences for r in license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(len(rows))] == want
+
+
 def test_token_counts_equal_the_library(spark):
     path = public_tokenizers.path("byte_bpe_50k.json")
     t = Tokenizer.from_file(path)
