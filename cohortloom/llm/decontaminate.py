@@ -30,9 +30,11 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from .arrowtext import Words, chunks, mix, string_buffers
+from .session import written
 
 SIMILARITY = 0.75
 #: Repetitions, outputs of the walk, and outputs sampled in each repetition.
@@ -229,17 +231,39 @@ class Items:
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, item_id, edit_distance, item_words, similarity, first_word, last_word of every leak."""
-    spark = docs.sparkSession
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return reduce(DataFrame.unionAll, [texts.mapInArrow(_finder(shared, similarity), SCHEMA) for shared in _shared_items(benchmark, similarity)])
+
+
+def keep(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows in which no item is found, with all their columns; rows are filtered where they are."""
+    for k, shared in enumerate(_shared_items(benchmark, similarity)):
+        docs = (written(docs, "decontaminated") if k else docs).mapInArrow(_keeper(shared, similarity), docs.schema)
+    return docs
+
+
+def _shared_items(benchmark: DataFrame, similarity: float) -> Iterator[Broadcast]:
+    """The items, broadcast in blocks."""
+    spark = benchmark.sparkSession
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where(F.col("text").isNotNull())
     n, size = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     blocks = max(1, -(-n // BLOCK_ITEMS), -(-size // BLOCK_BYTES))
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    parts = []
     for k in range(blocks):
         block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).orderBy("item_id", "text").toArrow()
-        shared = spark.sparkContext.broadcast(Items(block["item_id"].to_pylist(), block["text"].to_pylist(), similarity))
-        parts.append(texts.mapInArrow(_finder(shared, similarity), SCHEMA))
-    return reduce(DataFrame.unionAll, parts)
+        yield spark.sparkContext.broadcast(Items(block["item_id"].to_pylist(), block["text"].to_pylist(), similarity))
+
+
+def _keeper(shared, similarity: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            data, offsets = string_buffers(b.column(b.schema.get_field_index("text")))
+            clean = np.ones(b.num_rows, bool)
+            for i, j in chunks(offsets):
+                for d, *_ in shared.value.matches(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], similarity):
+                    clean[i + d] = False
+            yield b.filter(pa.array(clean))
+
+    return run
 
 
 def _finder(shared, similarity: float):

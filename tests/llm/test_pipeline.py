@@ -55,3 +55,11 @@ def test_pipeline_edge_rows(spark):
     for _, stage in corpus_pipeline.STAGES:
         nothing = stage(spark, nothing, DATA)
     assert nothing.count() == 0
+
+
+def test_decontamination_tells_rows_apart_by_their_text(spark):
+    item = spark.read.parquet(f"{DATA}/benchmark.parquet").orderBy("item_id").first().text
+    rows = [(1, "clean words only"), (1, item), (None, item), (None, "also clean"), (None, None), (2, "x " + item)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = corpus_pipeline.decontamination(spark, docs, DATA).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([rows[0], rows[3], rows[4]], key=str)
