@@ -6,16 +6,18 @@ piece. A word is folded over its bytes: as long as a pair of neighbours has a ra
 merged, the leftmost first; the ranks of all pairs are kept and only the two beside a merge are looked up anew.
 A word that is a piece itself is not folded.
 
-Distinct words are folded once where that pays: those of a bounded, hash-chosen sample of texts are folded
-ahead, and their ids go to the workers that cut texts into words. Any other word is folded where it stands, by
-the same expression, so the sample changes the time and never a result. Nothing is shuffled but the
-sample's word counts.
+Distinct words are folded, not their uses. The most used ones of a bounded, hash-chosen sample of texts are folded
+ahead, and their ids go to the workers that cut texts into words. Of the others, those of a block of texts
+(BLOCK_BYTES, or one longer text) become one array in which each is once, and the same expression folds that array;
+the second pass over the block puts their ids in place. So the sample changes the time and never a result, a block
+needs as many folds as it has unseen words at any size of the table, and nothing is shuffled but the sample's counts.
 
 A text's ids are a string with one letter (code point) for each id, which UTF-16 turns into their
 little-endian integers; decoding looks up the bytes of each id and concatenates them, for many ids at once.
 
-Defined results: a null text is empty (no ids, empty bytes); repeated rows each give a row; other
-columns are ignored; no rows give no rows. The vocabulary can have up to 55,296 ids.
+Defined results: a null text is empty (no ids, empty bytes); a null doc_id stays null; repeated rows each give a row; a
+very long text is a block of its own, cut into words in pieces; other columns are ignored; no rows give no rows. The
+vocabulary can have up to 55,296 ids.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from __future__ import annotations
 import base64
 import collections
 import json
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +37,11 @@ from .session import written
 from .token_count import WordCutter
 
 #: Texts whose words are folded ahead (in expectation), and the most words of them.
-SAMPLE_DOCS, MAX_WORDS = 50_000, 1_100_000
+SAMPLE_DOCS, MAX_WORDS = 30_000, 300_000
+#: Bytes of texts whose other words are folded together.
+BLOCK_BYTES = 4 << 20
+#: Ids of texts that are decoded at once (one longer text goes alone).
+ROW_IDS = 1 << 17
 #: Maps in the literal of ranks.
 RANK_BUCKETS = 1 << 13
 #: Ids must stay below the first code point that is no letter of its own; OTHER stands for a word that is folded later.
@@ -153,16 +160,9 @@ class Codec:
         return [bytes(r["packed"]) for r in folded.mapInArrow(_packed, "packed binary").collect()]
 
     def encode(self, docs: DataFrame) -> DataFrame:
-        """doc_id and letters of every row of doc_id and text."""
+        """One row a block of texts: their doc_ids, and what _ids_and_bytes() needs to put their ids together."""
         shared = self.spark.sparkContext.broadcast(self.fold_ahead(docs))
-        cut = docs.mapInArrow(_known_words(shared), "doc_id long, letters string, others array<string>")
-
-        def filled(between: Column) -> Column:
-            folded = F.concat(self.encode_words(F.col("others")), F.array(F.lit("")))
-            return F.array_join(F.zip_with(between, folded, lambda a, b: F.concat(a, b)), "")
-
-        letters = F.when(F.size("others") == 0, F.col("letters")).otherwise(_let(F.split("letters", OTHER, -1), filled))
-        return cut.select("doc_id", letters.alias("letters"))
+        return docs.mapInArrow(_cut_blocks(shared), BLOCK).withColumn("others", self.encode_words(F.col("others")))
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,8 +187,13 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], names=["word", "n"])
 
 
-def _known_words(shared):
-    """Cuts texts into words: their ids where they are known, OTHER and the word where not."""
+#: doc_ids, letters (OTHER for a use of a word not folded ahead) of the texts of a block, the words of these uses as 32-bit
+#: places in others, and others: those words, each once (its letters after they are folded).
+BLOCK = "doc_id array<long>, letters array<string>, uses binary, others array<string>"
+
+
+def _cut_blocks(shared):
+    """Cuts texts into words: letters where they are folded ahead, OTHER where not."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter, known = WordCutter(), {}
@@ -198,23 +203,55 @@ def _known_words(shared):
         for b in batches:
             text = b.column("text")
             _, offsets = string_buffers(text)
-            for i, j in chunks(offsets):
-                letters, others = [], []
-                for t in text.slice(i, j - i).to_pylist():
-                    parts, new = [], []
-                    for words in cutter.pieces(t):
+            for i, j in chunks(offsets, BLOCK_BYTES):
+                letters, uses, others = [], array("i"), {}
+                for k in range(i, j):
+                    parts = []
+                    for words in cutter.pieces(text[k].as_py()):
                         found = list(map(known.get, words))
                         if None in found:
-                            new += [w for w, x in zip(words, found) if x is None]
+                            uses.extend([others.setdefault(w, len(others)) for w, x in zip(words, found) if x is None])
                             found = [OTHER if x is None else x for x in found]
                         parts.append("".join(found))
                     letters.append("".join(parts))
-                    others.append(new)
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(i, j - i), pa.array(letters, pa.string()), pa.array(others, pa.list_(pa.string()))], names=["doc_id", "letters", "others"])
+                row = [b.column("doc_id").slice(i, j - i).to_pylist()], [letters], [uses.tobytes()], [list(others)]
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, (pa.list_(pa.int64()), pa.list_(pa.string()), pa.binary(), pa.list_(pa.string())))], names=["doc_id", "letters", "uses", "others"])
 
     return run
 
 
+def _utf16(data: np.ndarray) -> np.ndarray:
+    return np.frombuffer(data.tobytes().decode("utf-8").encode("utf-16-le"), "<u2")
+
+
+def _letter_ends(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """offsets, counted in letters: a letter begins at every byte that goes on no letter."""
+    return np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets]
+
+
+def _filled(letters: pa.Array, uses: np.ndarray, others: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all texts of a block, end of each text, from 0): every OTHER gives way to the ids of its word."""
+    data, offsets = string_buffers(letters)
+    ids, ends = _utf16(data), _letter_ends(data, offsets)
+    if len(uses):
+        raw, cuts = string_buffers(others)
+        pool, cuts = _utf16(raw), _letter_ends(raw, cuts)
+        start, size = cuts[uses], np.diff(cuts)[uses]
+        at = np.flatnonzero(ids == ord(OTHER))
+        long = np.ones(len(ids), np.int64)
+        long[at] = size
+        to = np.concatenate([[0], np.cumsum(long)])
+        out = np.repeat(ids, long)
+        out[np.repeat(to[at], size) + _ramp(size)] = pool[np.repeat(start, size) + _ramp(size)]
+        ids, ends = out, to[ends]
+    return ids, ends
+
+
+def _ramp(size: np.ndarray) -> np.ndarray:
+    """0 .. size - 1 for each size, one after the other."""
+    return np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+
+
 def _ids_and_bytes(pieces: list[bytes]):
     """Letters as little-endian integers, and the pieces of those integers put together again."""
     pool = np.frombuffer(b"".join(pieces), np.uint8)
@@ -223,16 +260,15 @@ def _ids_and_bytes(pieces: list[bytes]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            data, offsets = string_buffers(b.column("letters"))
-            for i, j in chunks(offsets):
-                raw, own = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
-                ids = np.frombuffer(raw.tobytes().decode("utf-8").encode("utf-16-le"), "<u2").astype("<u4")
-                # a letter begins at every byte that goes on no letter
-                ends = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])[own]
-                long = size[ids]
-                to = np.concatenate([[0], np.cumsum(long)])
-                text = pool[np.repeat(start[ids] - to[:-1], long) + np.arange(to[-1])]
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(i, j - i), pa.array(np.diff(ends)), _binaries(ids.view(np.uint8), 4 * ends), _binaries(text, to[ends])], names=["doc_id", "n_tokens", "ids", "decoded"])
+            for k in range(b.num_rows):
+                doc_id, letters, others = (b.column(c).slice(k, 1).flatten() for c in ("doc_id", "letters", "others"))
+                ids, ends = _filled(letters, np.frombuffer(b.column("uses")[k].as_py(), np.int32), others)
+                for i, j in chunks(ends, ROW_IDS):
+                    some, own = ids[ends[i] : ends[j]], ends[i : j + 1] - ends[i]
+                    long = size[some]
+                    to = np.concatenate([[0], np.cumsum(long)])
+                    text = pool[np.repeat(start[some], long) + _ramp(long)]
+                    yield pa.RecordBatch.from_arrays([doc_id.slice(i, j - i), pa.array(np.diff(own)), _binaries(some.astype("<u4").view(np.uint8), 4 * own), _binaries(text, to[own])], names=["doc_id", "n_tokens", "ids", "decoded"])
 
     return run
 

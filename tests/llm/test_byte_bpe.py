@@ -29,5 +29,15 @@ def test_ids_equal_the_library_and_decode_to_the_text(spark, monkeypatch, ahead)
         assert bytes(r.decoded).decode() == text and r.n_tokens == len(r.ids) // 4
 
 
+def test_each_distinct_word_of_a_block_is_folded_once(spark):
+    words = [f"zq{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(50)]
+    texts = [" ".join(words[(i + k) % 50] for k in range(40)) for i in range(200)]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    none_ahead = spark.sparkContext.broadcast([])
+    blocks = rows.mapInArrow(byte_bpe._cut_blocks(none_ahead), byte_bpe.BLOCK).collect()
+    assert sum(len(b.uses) // 4 for b in blocks) == sum(len(t.split()) for t in texts)
+    assert len(blocks) == 1 and sorted(blocks[0].others) == sorted({w for t in texts for w in [t.split()[0]] + [" " + x for x in t.split()[1:]]})
+
+
 def test_empty_table(spark):
     assert byte_bpe.encode_and_decode(spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0
