@@ -1,7 +1,11 @@
 """Operators 1 and 6: held-out accuracy and edge cases."""
 
+import collections
+import math
 import os
 import random
+import re
+import zlib
 
 import numpy as np
 import pytest
@@ -16,12 +20,74 @@ def test_backoff_uses_shorter_grams_for_unseen_words(spark):
     rows = [(i, t, l) for i in range(40) for t, l in (("the house and the garden", "en"), ("das haus und der garten", "de"))]
     model = language_id.fit(spark.createDataFrame([(2 * i, *r[1:]) for i, r in enumerate(rows)], "doc_id long, text string, lang string"))
     s = language_id.Scorer(model)
-    assert s.predict("the the and")[0] == "en"
-    assert s.predict("houses")[0] == "en" and s.predict("haushaus")[0] == "de"
-    assert s.predict("zq")[0] in ("en", "de")
-    assert s.predict(None) == ("und", 0.0) and s.predict("12 ²³ $$")[0] == "und" and s.predict("")[0] == "und"
-    long = s.predict("haus " * 500_000)
-    assert long[0] == "de" and 0 <= long[1] <= 1
+    got = s.predict(["the the and", "houses", "haushaus", "zq", None, "12 ²³ $$", "", "haus " * 500_000])
+    assert [x for x, _ in got[:3]] == ["en", "en", "de"] and got[3][0] in ("en", "de")
+    assert got[4:7] == [("und", 0.0)] * 3
+    assert got[7][0] == "de" and 0 <= got[7][1] <= 1
+
+
+def _plain_predict(counts, languages, text):
+    """The method over dictionaries of counts by kind, token and language, one word at a time."""
+
+    def frequencies(kind, token):
+        total = [sum(c[l] for c in counts[kind].values()) + 0.5 * len(counts[kind]) for l in languages]
+        return [math.log((counts[kind][token][l] + 0.5) / t) for l, t in zip(languages, total)]
+
+    def word_score(w):
+        if w in counts[0]:
+            return frequencies(0, w)
+        marked = f"^{w}$"
+        for n in range(5, 0, -1):
+            grams = [marked[i : i + n] for i in range(len(marked) - n + 1)]
+            known = [g for g in grams if g in counts[n]]
+            if known and (2 * len(known) >= len(grams) or n == 1):
+                return [sum(x) / len(known) for x in zip(*(frequencies(n, g) for g in known))]
+        return [0.0] * len(languages)
+
+    words = re.findall(r"[^\W\d_]+", (text or "").lower())
+    words = [w for w in words if any(map(str.isalpha, w))]
+    if not words or not languages:
+        return "und", 0.0
+    mean = [sum(x) / len(words) for x in zip(*map(word_score, words))]
+    odds = [math.exp((m - max(mean)) * min(len(words), 20)) for m in mean]
+    best = max(range(len(languages)), key=lambda k: (mean[k], -k))
+    return languages[best], odds[best] / sum(odds)
+
+
+def test_predictions_equal_a_brute_force(spark):
+    rng = random.Random(4)
+    alphabets = {"aa": "abcdefgö", "bb": "efghijé", "cc": "aeioußм漢"}
+    word = lambda l: "".join(rng.choice(alphabets[l]) for _ in range(rng.randrange(1, 7)))
+    known = {l: [word(l) for _ in range(60)] for l in alphabets}
+    rows = []
+    for i in range(300):
+        l = rng.choice(list(alphabets))
+        rows.append((i, " ".join(rng.choice(known[l]) if rng.random() < 0.8 else word(l).upper() for _ in range(rng.randrange(0, 30))) + rng.choice(["", " 12,²", "."]), rng.choice([l, l, l, l, None])))
+    rows += [(300, None, "aa"), (300, "abc", "aa"), (300, "abc", "aa"), (None, "efg", "bb"), (301, "", None)]
+    counts = [collections.defaultdict(collections.Counter) for _ in range(6)]
+    for i, text, l in rows:
+        if l and zlib.crc32(str("" if i is None else i).encode()) % 3 != 1:
+            for w in re.findall(r"[^\W\d_]+", (text or "").lower()):
+                if any(map(str.isalpha, w)):
+                    counts[0][w][l] += 1
+                    for n in range(1, 6):
+                        for k in range(len(w) + 3 - n):
+                            counts[n][f"^{w}$"[k : k + n]][l] += 1
+    counts = [{t: c for t, c in kind.items() if sum(c.values()) >= 2} for kind in counts]
+    got = language_id.evaluate(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    made = sorted(((r.doc_id is None, r.doc_id or 0, r.lang_pred, r.score) for r in got.collect()))
+    want = sorted(((i is None, i or 0, *_plain_predict(counts, sorted(alphabets), t)) for i, t, _ in rows))
+    assert len(made) == len(want)
+    for a, b in zip(made, want):
+        assert a[:3] == b[:3] and abs(a[3] - b[3]) < 1e-4, (a, b)
+
+
+def test_every_language_and_word_of_the_sample_is_known(spark):
+    rows = [(i, f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}q zz", f"l{i:04d}") for i in range(1200) for _ in range(2)]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(model.languages) == 1200 and len(model.keys[0]) == 1201
+    got = language_id.Scorer(model).predict([t for _, t, _ in rows[::100]])
+    assert [x for x, _ in got] == [l for _, _, l in rows[::100]]
 
 
 def test_language_edge_rows(spark):
