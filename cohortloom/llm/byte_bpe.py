@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .arrowtext import chunks, string_buffers
-from .session import written
+from .session import discard, written
 from .token_count import WordCutter
 
 #: Texts whose words are folded ahead (in expectation), and the most words of them.
@@ -157,7 +157,9 @@ class Codec:
                 break
             least = n
         folded = used.where(F.col("n") >= least).select("word", F.get(self.encode_words(F.array("word")), F.lit(0)).alias("ids"))
-        return [bytes(r["packed"]) for r in folded.mapInArrow(_packed, "packed binary").collect()]
+        packed = [bytes(r["packed"]) for r in folded.mapInArrow(_packed, "packed binary").collect()]
+        discard(used)
+        return packed
 
     def encode(self, docs: DataFrame) -> DataFrame:
         """One row a block of texts: their doc_ids, and what _ids_and_bytes() needs to put their ids together."""

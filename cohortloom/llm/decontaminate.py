@@ -15,12 +15,13 @@ of a text that has the first words of a piece (SEED_WORDS at most) is a candidat
 Items of fewer than SHORT words have seeds only. An item contaminates a text when 1 - distance / words of
 the item is at least 0.75.
 
-The items are a query set: they are sent to the tasks in blocks of bounded size, one pass over the
-documents for each block, so a large benchmark needs more passes and no more memory.
+The items are a query set: they are sent to the tasks in blocks of bounded size (BLOCK_BYTES of text, or one longer item), one
+pass over the documents for each block, so a large benchmark needs more passes and no more memory.
 
 Defined results: one row per text (row of documents) and item found in it, with the best window, ties to
-the earliest; null or empty texts have none, items without words match nothing; repeated items and
-rows each give rows; other columns are ignored; no rows, or no items, give no rows.
+the earliest; null or empty texts have none, items without words match nothing; a null doc_id or item_id is given out as null;
+repeated items and rows each give rows; a very long text is searched as a whole; other columns are ignored; no rows, or no
+items, give no rows.
 """
 
 from __future__ import annotations
@@ -43,14 +44,30 @@ ANCHOR = 3
 SHORT = 8
 #: Most words of a seed.
 SEED_WORDS = 4
-#: Items, and bytes of items, that are sent to the tasks at once.
-BLOCK_ITEMS, BLOCK_BYTES = 20_000, 16 << 20
+#: Items, and bytes of items, that are sent to the tasks at once. So many bytes are 1 M words at most, with 350,000 anchors and
+#: 250,000 seeds; their tables take 60 MB (a test measures it), in a worker as on the driver.
+BLOCK_ITEMS, BLOCK_BYTES = 20_000, 2 << 20
+#: Bits of a table for each key in it.
+KEY_BITS = 16
 
 _U = np.uint64
 _FOLD = _U(0x9E3779B97F4A7C15)
 SCHEMA = "doc_id long, item_id long, edit_distance int, item_words int, similarity double, first_word long, last_word long"
 
 
+def _table(keys: np.ndarray) -> np.ndarray:
+    """Bits that are set at the keys."""
+    size = 1 << max(16, int(len(keys) * KEY_BITS).bit_length())
+    bits = np.zeros(size, bool)
+    bits[(keys & _U(size - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little")
+
+
+def _may_be_in(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = keys & _U(8 * len(table) - 1)
+    return (table[(at >> _U(3)).astype(np.int64)] >> (at & _U(7)).astype(np.uint8)) & np.uint8(1) != 0
+
+
 def _sampled(seed: int = 9) -> list[np.ndarray]:
     """The sampled steps of each repetition, no two of them neighbours (these often give out the same word)."""
     rng = np.random.default_rng(seed)
@@ -84,7 +101,7 @@ def _walk(hashes: np.ndarray, bits: np.ndarray, at: np.ndarray, sampled: np.ndar
             ended_, few = here == 0, (k == K - 1) & (moves < K - 1)
             key[ended_ | few] = 0
         else:
-            keep = may[k][(key & _U(len(may[k]) - 1)).astype(np.int64)] & (here != 0)
+            keep = _may_be_in(may[k], key) & (here != 0)
             place, key, now = place[keep], key[keep], now[keep]
             if not len(place):
                 break
@@ -105,6 +122,11 @@ def _most(similarity: float, words: int) -> int:
     return int(np.floor((1 - similarity) * words + 1e-9))
 
 
+def _shared(distinct: np.ndarray, window: np.ndarray) -> int:
+    """How many words of the window are among the distinct ones, which are not none."""
+    return int((distinct[np.minimum(np.searchsorted(distinct, window), len(distinct) - 1)] == window).sum())
+
+
 def ended(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hashes with an end mark after each text, places that are words, start of each text)."""
     n = len(words.ptr) - 1
@@ -146,22 +168,19 @@ class Items:
         words = Words(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]), plain=True)
         self.ids = ids
         self.words = [words.hash[a:b] for a, b in zip(words.ptr[:-1], words.ptr[1:])]
-        self.sets = [set(w.tolist()) for w in self.words]
+        self.distinct = [np.unique(w) for w in self.words]
         self.sampled = _sampled()
         hashes, _, starts = ended(words)
         anchors = [(i, o) for i, w in enumerate(self.words) if len(w) >= SHORT for o in range(0, max(1, len(w) - 9), ANCHOR)]
         self.owner = np.array([a for a, _ in anchors], np.int64)
         self.offset = np.array([o for _, o in anchors], np.int64)
         at = starts[self.owner] + self.offset if anchors else np.zeros(0, np.int64)
-        size = 1 << max(16, int(len(anchors) * 64).bit_length())
         self.may, self.keys, self.order = [], [], []
         for r, sampled in enumerate(self.sampled):
             bits, tables = _bits(hashes, r), []
             for k in range(K):
                 _, key = _walk(hashes, bits, at, sampled[: k + 1], None)
-                table = np.zeros(size, bool)
-                table[(key[key != 0] & _U(size - 1)).astype(np.int64)] = True
-                tables.append(table)
+                tables.append(_table(key[key != 0]))
             order = np.flatnonzero(key != 0)
             order = order[np.argsort(key[order], kind="stable")]
             self.may.append(tables)
@@ -180,9 +199,7 @@ class Items:
                 owner, offset = np.array(seeds[g], np.int64).T
                 key = grams[starts[owner] + offset]
                 order = np.argsort(key, kind="stable")
-                table = np.zeros(1 << max(16, int(len(key) * 64).bit_length()), bool)
-                table[(key & _U(len(table) - 1)).astype(np.int64)] = True
-                self.seeds[g] = table, key[order], owner[order], offset[order]
+                self.seeds[g] = _table(key), key[order], owner[order], offset[order]
 
     def candidates(self, hashes: np.ndarray, at: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Rows (text, place of the item's first word, item), distinct and in order; the place can lie outside its text."""
@@ -203,7 +220,7 @@ class Items:
         for g, grams in _grams(hashes):
             if g in self.seeds:
                 table, keys, owner, offset = self.seeds[g]
-                place = np.flatnonzero(table[(grams & _U(len(table) - 1)).astype(np.int64)])
+                place = np.flatnonzero(_may_be_in(table, grams))
                 add(place, grams[place], keys, owner, offset)
         return np.unique(np.concatenate(found), axis=0)
 
@@ -219,7 +236,7 @@ class Items:
             a = max(lo, lo + place - int(starts[d]) - most - 1)
             b = min(hi, lo + place - int(starts[d]) + len(w) + most + 1)
             window = words.hash[a:b]
-            if b - a < len(w) - most or sum(map(self.sets[item].__contains__, window.tolist())) < len(w) - most:
+            if b - a < len(w) - most or _shared(self.distinct[item], window) < len(w) - most:
                 continue
             distance, start, to = edit_distance(w, window)
             if distance <= most:

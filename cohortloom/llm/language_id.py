@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .arrowtext import chunks, mix, powers, string_buffers
-from .session import written
+from .session import discard, written
 
 #: Labelled rows of a language, and bytes of text over all languages, that the model learns from, in expectation.
 DOCS_PER_LANG, SAMPLE_BYTES = 5000, 32 << 20
@@ -155,13 +155,15 @@ def fit(labelled: DataFrame, docs_per_lang: int = DOCS_PER_LANG, sample_bytes: i
     rows = labelled.where(F.col("lang").isNotNull()).select(F.col("doc_id").cast("string"), F.col("text").cast("string"), F.col("lang").cast("string"))
     chance = F.pmod(F.xxhash64(F.lit(11), "doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
     sample = _share(rows.withColumn("chance", chance), F.least(F.lit(1.0), docs_per_lang / F.count(F.lit(1))))
-    sample = written(sample.select("lang", "text", "chance"), "language-sample")
-    languages = max(1, sample.select("lang").distinct().count())
-    sample = _share(sample, F.least(F.lit(1.0), sample_bytes / (languages * F.greatest(F.sum(F.octet_length("text")), F.lit(1)))))
+    by_rows = written(sample.select("lang", "text", "chance"), "language-sample")
+    languages = max(1, by_rows.select("lang").distinct().count())
+    sample = _share(by_rows, F.least(F.lit(1.0), sample_bytes / (languages * F.greatest(F.sum(F.octet_length("text")), F.lit(1)))))
     counts = sample.mapInArrow(_token_counts, _COUNTS).groupBy("kind", "key", "lang").agg(F.sum("n").alias("n"))
     # a token has an entry a language at most
     known = counts.groupBy("kind", "key").agg(F.sum("n").alias("uses"), F.collect_list(F.struct("lang", "n")).alias("by_lang")).where(F.col("uses") >= LEAST_USES)
-    return build(known.select("kind", "key", F.col("by_lang.lang").alias("lang"), F.col("by_lang.n").alias("n")).toArrow())
+    model = build(known.select("kind", "key", F.col("by_lang.lang").alias("lang"), F.col("by_lang.n").alias("n")).toArrow())
+    discard(by_rows)
+    return model
 
 
 def _share(rows: DataFrame, share: Column) -> DataFrame:

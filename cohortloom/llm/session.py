@@ -5,21 +5,43 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def use_checkpoints(spark: SparkSession) -> None:
-    """Takes the cluster's spark.checkpoint.dir; only where it is unset (tests on one machine) an own folder."""
+    """Takes the cluster's spark.checkpoint.dir; only where it is unset, and Spark runs on this machine alone, an own folder."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isDefined():
         return
-    context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="checkpoints"))
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="checkpoints")
+    context.setCheckpointDir(folder)
 
 
-def written(frame, name: str):
-    """The frame, written as Parquet to the shared checkpoint folder and read again: lineage ends there."""
-    spark = frame.sparkSession
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the shared checkpoint folder."""
     use_checkpoints(spark)
-    path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
+
+
+def written(frame: DataFrame, name: str) -> DataFrame:
+    """The frame, written as Parquet to the shared checkpoint folder and read again: lineage ends there."""
+    path = shared_folder(frame.sparkSession, name)
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    again = frame.sparkSession.read.schema(frame.schema).parquet(path)
+    again._written_to = path
+    return again
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes what written() wrote for these frames; all that reads them must have been written itself."""
+    for frame in frames:
+        remove(frame.sparkSession, frame._written_to)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,5 +1,6 @@
 """Operator 4 against brute force, and the recall of its buckets."""
 
+import pickle
 import random
 
 import numpy as np
@@ -64,8 +65,8 @@ def test_leaks_with_few_edits_are_found_and_nothing_else(spark):
             words[k:k] = _edited(rng, items[i], int(len(items[i]) * rng.choice([0, 0.05, 0.1, 0.15])))
         rows.append((d, ", ".join(words).upper() if d % 3 else "  ".join(words), 1))
         planted |= {(d, i) for i, w in enumerate(items) if w and _brute(w, words) <= int(0.25 * len(w) + 1e-9)}
-    rows += [(900, None, 1), (901, "", 1), (902, "-- ..", 1), (903, "x solo y", 1), (904, "aa bb xx dd ee", 1), (903, "x solo y", 1)]
-    planted |= {(903, 60), (904, 63)}
+    rows += [(900, None, 1), (901, "", 1), (902, "-- ..", 1), (903, "x solo y", 1), (904, "aa bb xx dd ee", 1), (903, "x solo y", 1), (None, "solo", 1)]
+    planted |= {(903, 60), (904, 63), (None, 60)}
     docs = spark.createDataFrame(rows, "doc_id long, text string, item_id int")
     bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)] + [(99, None)], "item_id long, text string")
     got = [tuple(r)[:3] for r in dc.find_leaks(docs, bench).collect()]
@@ -101,6 +102,16 @@ def test_blocks_of_items_give_the_same(spark, monkeypatch):
     assert sorted(map(tuple, dc.find_leaks(docs, bench).collect())) == whole and len(whole) >= 30
 
 
+def test_a_full_block_of_items_stays_small():
+    rng = random.Random(10)
+    texts, size = [], 0
+    while size < dc.BLOCK_BYTES:
+        texts.append(" ".join(f"{rng.randrange(36**2):x}" for _ in range(130)))
+        size += len(texts[-1])
+    block = dc.Items(list(range(len(texts))), texts)
+    assert len(block.owner) > 150_000 and len(pickle.dumps(block)) < 80 << 20
+
+
 def test_a_very_long_text(spark):
     rng = random.Random(9)
     item = _words(rng, 30)
