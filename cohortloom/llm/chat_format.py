@@ -9,11 +9,13 @@ Grammar of one turn, all of it deterministic:
 Rendering starts without any escape. The rendered turn is parsed again; if what is recovered differs
 from the source, the next level escapes the control strings, and the last one every backslash as
 well, until both are identical. A turn ends in the parser's start state, so turns that round-trip
-one by one also round-trip when they are put together, and nothing larger than a turn is in memory.
+one by one also round-trip when they are put together. A conversation is read back from its own text: its turns are put
+together, the parser finds where each begins and ends, and the spans of what an assistant says must be those of the loss mask.
+That happens some READ_CHARS at a time, so a conversation of many turns is never in memory as a whole.
 
 Defined results: a null text or role is empty; a null conv_id is a conversation of its own; turns are
-ordered by (turn, role, text), nulls first, so ties and repeated rows are all kept, in that order;
-other columns are ignored; no rows give no rows.
+ordered by (turn, role, text), nulls first, so ties and repeated rows are all kept, in that order; a very long text is one
+turn; other columns are ignored; no rows give no rows.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ _CONTROL = re.compile(r"###|</turn>")
 _MARK = re.compile(r"\\(?:\\|###|</turn>)|###|</turn>")
 _ROLE_MARK = re.compile(r"\\[\\:\n]|[:\n]")
 LEVELS = (0, 1, 2)
+#: Characters of a conversation that are put together before they are read.
+READ_CHARS = 1 << 20
 
 
 def escape(text: str, level: int) -> str:
@@ -84,6 +88,14 @@ def parse_turn(chunk: str, at: int = 0) -> tuple[str, str, int, int, int]:
     return name, "".join(text), p + 1, start, m.start()
 
 
+def parse_conversation(text: str) -> Iterator[tuple[str, str, int, int]]:
+    """(role, text, start, end) of every turn of a rendered conversation; start and end span its body."""
+    at = 0
+    while at < len(text):
+        role, body, at, start, end = parse_turn(text, at)
+        yield role, body, start, end
+
+
 def round_trip(role: str, text: str) -> tuple[str, int, int, int]:
     """(chunk, start, end, level): the first level whose parse equals the source."""
     for level in LEVELS:
@@ -115,35 +127,60 @@ def format_turns(conversations: DataFrame) -> DataFrame:
     return conversations.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.col("role").cast("string"), F.col("text").cast("string")).mapInPandas(run, "conv_id long, turn long, role string, text string, chunk string, level int, loss_start long, loss_end long")
 
 
-def conversation_digests(turns: DataFrame) -> DataFrame:
-    """What a reader recovers from the chunks of format_turns(), one row per conversation.
+class _Reader:
+    """Reads one conversation from its text, which comes in parts that each end with a turn."""
+
+    def __init__(self):
+        self.n_turns = self.loss_chars = self.chars = self.level = 0
+        self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
+        self.waiting, self.length, self.mask = [], 0, []
+
+    def add(self, chunk: str, start: int | None, end: int | None, level: int) -> None:
+        if start is not None:
+            self.mask.append((self.length + start, self.length + end))
+        self.waiting.append(chunk)
+        self.length += len(chunk)
+        self.level = max(self.level, level)
+        if self.length > READ_CHARS:
+            self.read()
+
+    def read(self) -> None:
+        text, mask = "".join(self.waiting), self.mask
+        spoken = []
+        for role, body, start, end in parse_conversation(text):
+            self.n_turns += 1
+            self.turns.update(f"{role}\n{body}\n".encode("utf-8", "surrogatepass"))
+            if role == "assistant":
+                spoken.append((start, end))
+                self.loss_chars += len(body)
+                self.loss.update(body.encode("utf-8", "surrogatepass"))
+        if spoken != mask:
+            raise ValueError("the mask is not what the assistant says")
+        self.chars += len(text)
+        self.waiting, self.length, self.mask = [], 0, []
+
+    def row(self, conv_id: int | None) -> tuple:
+        self.read()
+        return conv_id, self.n_turns, self.turns.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars, self.level
 
-    Turns stream through in order; a conversation is never held as a whole.
-    """
+
+def conversation_digests(turns: DataFrame) -> DataFrame:
+    """What a reader recovers from the text of each conversation of format_turns(), one row per conversation."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, state, done = None, None, []
+        key, reader, done = None, None, []
 
         def close() -> None:
-            if state:
-                done.append((None if key[0] else key[1], state[0], state[1].hexdigest(), state[2], state[3].hexdigest(), state[4], state[5]))
+            if reader:
+                done.append(reader.row(None if key[0] else key[1]))
 
         for b in batches:
             for missing, conv, chunk, start, end, level in zip(b["conv_id"].isna(), b["conv_id"].fillna(0).astype("int64"), b["chunk"], b["loss_start"], b["loss_end"], b["level"]):
                 if key != (missing, conv):
                     close()
-                    key, state = (missing, conv), [0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0]
-                role, text, after, s, e = parse_turn(chunk)
-                if after != len(chunk):
-                    raise ValueError("text after the turn")
-                state[0] += 1
-                state[1].update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
-                if not pd.isna(start):
-                    said = parse_turn(chunk[: int(start)] + chunk[int(start) : int(end)] + "</turn>\n")[1]
-                    state[2] += len(said)
-                    state[3].update(said.encode("utf-8", "surrogatepass"))
-                state[4] += len(chunk)
-                state[5] = max(state[5], int(level))
+                    key, reader = (missing, conv), _Reader()
+                masked = not pd.isna(start)
+                reader.add(chunk, int(start) if masked else None, int(end) if masked else None, int(level))
             yield frame(done)
             done.clear()
         close()

@@ -4,12 +4,14 @@ A text is a bag of passages of PASSAGE_WORDS words; only the bag has a label. Ev
 (shape of the characters and words, hashed words, one tanh layer), gated attention learned from the
 labels weighs the passages, and a logistic unit scores the weighted representation.
 
-The network is trained on a bounded, hash-chosen sample of labelled rows (MAX_LABELLED, in expectation) and
+The network is trained on a bounded, hash-chosen sample of labelled documents (MAX_LABELLED of them and MAX_PASSAGES
+passages, in expectation, whatever documents and labels are repeated; of a longer bag, BAG_PASSAGES evenly spaced passages) and
 has a few thousand weights; scoring streams over all rows and whole texts.
 
 Defined results: a null or empty text is one passage without words and gets a score; with no labelled
-rows every score is 0.5; repeated rows each give a row; repeated labels of a document each count;
-other columns are ignored; no rows give no rows.
+rows every score is 0.5; repeated rows each give a row; repeated labels of a document each count; a null doc_id has no label
+and stays null; a very long text is scored by all its passages; equal texts have equal scores; other columns are ignored; no
+rows give no rows.
 """
 
 from __future__ import annotations
@@ -19,13 +21,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .arrowtext import Words, chunks, mix, string_buffers
 from .language_id import held_out
+from .session import discard, written
 
-#: Labelled rows that the network learns from, in expectation.
-MAX_LABELLED = 6000
+#: Labelled documents, and passages of them, that the network learns from, in expectation; most passages of one document.
+MAX_LABELLED, MAX_PASSAGES, BAG_PASSAGES = 6000, 60_000, 256
 PASSAGE_WORDS = 64
 HASHED = 64
 #: Hashed words count for less than shapes, so that few labels do not make the network learn words by heart.
@@ -165,28 +168,44 @@ def gradients(w: dict, f: dict, bag: np.ndarray, d: np.ndarray) -> dict[str, np.
     return {"enc": f["x"].T @ dpre, "enc_b": dpre.sum(axis=0), "att": f["h"].T @ dt, "gate": f["h"].T @ dg, "att_out": (f["t"] * f["g"]).T @ dlogit, "out": f["z"].T @ d, "out_b": d.sum()}
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Network:
+def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_passages: int = MAX_PASSAGES) -> Network:
     """Learns from the rows of labels whose crc32(doc_id) mod 5 is not 0."""
     marked = labels.where(F.col("quality").isNotNull() & ~held_out(F.col("doc_id"), 5, 0)).select(F.col("doc_id").cast("long"), F.col("quality").cast("int"))
     share = min(1.0, max_labelled / max(1, marked.count()))
-    chance = F.pmod(F.xxhash64(F.lit(23), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    sample = marked.where(chance < share)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            data, offsets = string_buffers(b.column("text"))
-            bags = []
-            for i, j in chunks(offsets):
-                x, ptr = encode(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                bags += [x[ptr[k] : ptr[k + 1]].tobytes() for k in range(j - i)]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("quality"), pa.array(bags, pa.binary())], names=["doc_id", "quality", "bag"])
-
-    pairs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(sample), "doc_id")  # bounded by max_labelled
-    got = pairs.mapInArrow(run, "doc_id long, quality int, bag binary").toArrow()
+    sample = marked.where(_chance(F.xxhash64(F.lit(23), "doc_id")) < share)
+    if sample.count() <= 2 * max_labelled:  # else one doc_id has many labels
+        sample = F.broadcast(sample)
+    pairs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(sample, "doc_id")
+    bags = written(pairs.mapInArrow(_bags, "doc_id long, quality int, bag binary, passages int"), "bags")
+    # a document or a label can be repeated, so what is collected is bounded by what the join gave
+    n, passages = bags.agg(F.count(F.lit(1)), F.coalesce(F.sum("passages"), F.lit(0))).first()
+    share = min(1.0, 1.1 * max_labelled / max(1, n), max_passages / max(1, passages))
+    got = bags.where(_chance(F.xxhash64(F.lit(29), "doc_id", "quality", "bag")) < share) if share < 1 else bags
+    got = got.select("doc_id", "quality", "bag").toArrow()
+    discard(bags)
     rows = sorted(zip(got["doc_id"].to_pylist(), got["quality"].to_pylist(), got["bag"].to_pylist()))
     return train([np.frombuffer(x, np.float32).reshape(-1, FEATURES) for _, _, x in rows], np.array([q for _, q, _ in rows], float))
 
 
+def _chance(hashed: Column) -> Column:
+    return F.pmod(hashed, F.lit(1 << 30)) / float(1 << 30)
+
+
+def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The features of each text's passages."""
+    for b in batches:
+        data, offsets = string_buffers(b.column("text"))
+        bags, passages = [], []
+        for i, j in chunks(offsets):
+            x, ptr = encode(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+            for k in range(j - i):
+                n = int(ptr[k + 1] - ptr[k])
+                own = np.arange(n) if n <= BAG_PASSAGES else np.linspace(0, n - 1, BAG_PASSAGES).astype(np.int64)
+                bags.append(x[ptr[k] + own].tobytes())
+                passages.append(len(own))
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("quality"), pa.array(bags, pa.binary()), pa.array(passages, pa.int32())], names=["doc_id", "quality", "bag", "passages"])
+
+
 def score(docs: DataFrame, network: Network) -> DataFrame:
     """doc_id, score and predicted of every row; only the text is looked at."""
     shared = docs.sparkSession.sparkContext.broadcast(network)

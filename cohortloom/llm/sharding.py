@@ -1,17 +1,18 @@
 """Proportional stratified interleaving into shards (operator 5), in DataFrame functions only.
 
 Rows are put in a seeded order within their source (a hash of doc_id, text and seed), each gets its fractional
-rank (rank - 1/2) / rows of the source, and the rows sorted by fractional rank are cut into shards
-whose row counts differ by one at most. Every prefix of that order has each source in proportion, so
-every shard has the mixture of the whole.
+rank (rank + start) / rows of the source, and the rows sorted by fractional rank are cut into shards
+whose row counts differ by one at most. The start is a seeded hash of the source between 0 and 1, so sources of few rows
+spread over all shards. Every prefix of that order has each source in proportion, so every shard has the mixture of the whole.
 
 No window sees more than a small piece: ranks are counted within (source, bucket of the seeded hash)
 and offset by the sums of the earlier buckets, and places are counted in the same way within buckets of
 the fractional rank. Equal rows are counted as one with a weight and dealt out again at the end, so a
 row that is repeated for a third of the table is no hot key either.
 
-Defined results: a null source is a source of its own; a null text has size 1 and crc32 0; repeated rows keep
-a slot each; other columns are ignored; no rows give no rows.
+Defined results: a null source is a source of its own; a null text has size 1 and crc32 0; a null doc_id stays null; a very
+long text counts as one row; equal texts (the groups) are rows like any other, dealt apart; repeated rows keep a slot each;
+ties of fractional ranks go by source and rank; other columns are ignored; no rows give no rows.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 #: Buckets that ranks and places are counted in; the sums over buckets are this small at any input size.
 BUCKETS = 4096
+#: Different starts of a source.
+STARTS = 1 << 16
 
 
 def _rank_sums(counts: DataFrame, by: list[str], bucket: str, n: str) -> DataFrame:
@@ -45,8 +48,8 @@ def interleave(docs: DataFrame, n_shards: int = 8, seed: int = 17) -> DataFrame:
 
     ranked = offset(rows, ["stratum"], "bucket", ["h", "doc_id", "size", "text_crc32"])
     ranked = ranked.select(*same, "h", F.col("of_all").alias("of_source"), F.explode(F.sequence(F.col("rank0"), F.col("rank0") + F.col("copies") - 1)).alias("rank"))
-    # (2 rank + 1) / (2 of_source), rounded down to the buckets, is exact in integers
-    spread = ranked.withColumn("place", (2 * F.col("rank") + 1) / (2 * F.col("of_source"))).withColumn("part", F.floor(F.col("place") * BUCKETS).cast("int")).withColumn("all", F.lit(1)).withColumn("copies", F.lit(1))
+    start = F.pmod(F.xxhash64(F.lit(seed), "stratum"), F.lit(STARTS))
+    spread = ranked.withColumn("place", (STARTS * F.col("rank") + start) / (STARTS * F.col("of_source"))).withColumn("part", F.floor(F.col("place") * BUCKETS).cast("int")).withColumn("all", F.lit(1)).withColumn("copies", F.lit(1))
     placed = offset(spread, ["all"], "part", ["place", "stratum", "rank"])
     # shard s holds the rows i with floor(s n / n_shards) <= i < floor((s + 1) n / n_shards)
     first = F.expr(f"(shard * of_all) div {n_shards}")

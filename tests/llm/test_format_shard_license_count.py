@@ -7,6 +7,7 @@ import zlib
 import public_tokenizers
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cohortloom.llm import chat_format, license_scan, sharding, token_count
@@ -45,6 +46,32 @@ def test_chat_digests(spark):
     assert empty.count() == 0
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "a:b", ""]), st.lists(st.sampled_from(PIECES), max_size=5).map("".join)), max_size=5))
+def test_a_rendered_conversation_reads_back_as_its_turns(turns):
+    text = "".join(chat_format.round_trip(r, t)[0] for r, t in turns)
+    read = list(chat_format.parse_conversation(text))
+    assert [(r, t) for r, t, _, _ in read] == turns
+    assert all(chat_format.parse_turn("### User: " + text[a:b] + "</turn>\n")[1] == t for _, t, a, b in read)
+
+
+def test_a_conversation_is_read_from_its_text_in_parts(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = [(c, k, rng.choice(["user", "assistant"]), "".join(rng.choice(PIECES) for _ in range(rng.randrange(9)))) for c in range(20) for k in range(rng.randrange(1, 30))]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    whole = sorted(map(tuple, chat_format.conversation_digests(chat_format.format_turns(df)).collect()))
+    monkeypatch.setattr(chat_format, "READ_CHARS", 40)
+    assert sorted(map(tuple, chat_format.conversation_digests(chat_format.format_turns(df)).collect())) == whole
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    for c, n, turns, chars, loss, *_ in whole:
+        mine = [r for r in rows if r[0] == c]
+        said = "".join(t for _, _, r, t in mine if r == "assistant")
+        assert (n, turns, chars, loss) == (len(mine), sha("".join(f"{r}\n{t}\n" for _, _, r, t in mine)), len(said), sha(said))
+    forged = chat_format.format_turns(df).withColumn("loss_end", F.col("loss_end") + 1)
+    with pytest.raises(Exception, match="mask"):
+        chat_format.conversation_digests(forged).collect()
+
+
 def test_sharding_follows_the_brute_force_order(spark):
     rng = random.Random(3)
     rows = [(i, rng.choice(["hot"] * 6 + ["a", "b", None]), None if i % 50 == 0 else "t" * rng.randrange(9), 5) for i in range(701)] + [(3, "hot", "same", 5)] * 40
@@ -62,6 +89,34 @@ def test_sharding_follows_the_brute_force_order(spark):
         assert max(share) - min(share) <= 2  # the mixture of the whole in every shard
     assert sorted(map(tuple, got), key=str) == sorted(map(tuple, sharding.interleave(df.repartition(7)).collect()), key=str)
     assert sharding.interleave(df.limit(0)).count() == 0
+    assert sorted((r.doc_id, r.source or "", r.size, r.text_crc32, r.shard, r.slot) for r in got) == sorted(_brute_shards(spark, rows))
+
+
+def _brute_shards(spark, rows, seed=17, n_shards=8):
+    """The order, with all rows in one list; only the two seeded hashes are Spark's."""
+    made = spark.createDataFrame([(i, s, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, s, t, _ in rows], "doc_id long, source string, size long, crc long")
+    h = F.xxhash64(F.lit(seed), "doc_id", "crc", "size")
+    start = F.pmod(F.xxhash64(F.lit(seed), F.coalesce(F.concat(F.lit("="), "source"), F.lit("null"))), F.lit(1 << 16))
+    sources = {}
+    for r in made.withColumn("h", h).withColumn("start", start).collect():
+        # the buckets of a hash are its bits from the 20th on
+        sources.setdefault("null" if r.source is None else "=" + r.source, []).append(((r.h >> 20) % 4096, r.h, r.doc_id, r.size, r.crc, r.source or "", r.start))
+    order = []
+    for stratum, own in sources.items():
+        for rank, (*_, doc_id, size, crc, source, start) in enumerate(sorted(own)):
+            order.append(((65536 * rank + start) / (65536 * len(own)), stratum, rank, doc_id, source, size, crc))
+    n, out = len(order), []
+    for at, (_, _, _, doc_id, source, size, crc) in enumerate(sorted(order)):
+        shard = max(s for s in range(n_shards) if s * n // n_shards <= at)
+        out.append((doc_id, source, size, crc, shard, at - shard * n // n_shards))
+    return out
+
+
+def test_sources_of_one_row_spread_over_all_shards(spark):
+    df = spark.range(4000).selectExpr("id as doc_id", "concat('s', id) as source", "'t' as text").unionAll(spark.createDataFrame([(9000, "s1", "long " * 300_000)], "doc_id long, source string, text string"))
+    rows = sharding.interleave(df)
+    assert {r["count"] for r in rows.groupBy("shard").count().collect()} <= {500, 501}
+    assert rows.select(F.max("size")).first()[0] == 1_500_001
 
 
 def test_license_rules(spark):

@@ -151,6 +151,48 @@ def test_quality_edge_rows(spark):
     assert {r.score for r in quality_mil.evaluate(docs, labels.limit(0)).collect()} == {0.5}
 
 
+def _plain_score(net, text):
+    """The network over one text, one passage and one number at a time."""
+    w = net.w
+    words = text.encode().split(b" ")
+    passages = [words[i : i + quality_mil.PASSAGE_WORDS] for i in range(0, len(words), quality_mil.PASSAGE_WORDS)]
+    raw = [b"".join(x + b" " for x in p) for p in passages[:-1]] + [b" ".join(passages[-1])]
+    hidden, logits = [], []
+    for r in raw:
+        x = quality_mil.encode(np.frombuffer(r, np.uint8), np.array([0, len(r)]))[0][0]
+        x = [max(-6.0, min(6.0, (float(v) - m) / s)) for v, m, s in zip(x, net.mean, net.scale)]
+        x = [v * (quality_mil.HASHED_WEIGHT if k >= quality_mil.SHAPE else 1) for k, v in enumerate(x)]
+        h = [math.tanh(sum(v * w["enc"][k, j] for k, v in enumerate(x)) + w["enc_b"][j]) for j in range(quality_mil.HIDDEN)]
+        t = [math.tanh(sum(v * w["att"][k, j] for k, v in enumerate(h))) for j in range(quality_mil.ATTENTION)]
+        g = [1 / (1 + math.exp(-sum(v * w["gate"][k, j] for k, v in enumerate(h)))) for j in range(quality_mil.ATTENTION)]
+        hidden.append(h)
+        logits.append(sum(a * b * c for a, b, c in zip(t, g, w["att_out"])))
+    e = [math.exp(x - max(logits)) for x in logits]
+    z = [sum(a * h[j] for a, h in zip(e, hidden)) / sum(e) for j in range(quality_mil.HIDDEN)]
+    return 1 / (1 + math.exp(-(sum(a * b for a, b in zip(z, w["out"])) + float(w["out_b"]))))
+
+
+def test_scores_equal_a_brute_force(spark):
+    rng = random.Random(8)
+    word = lambda good: rng.choice(["plain", "words", "in", "a", "sentence."] if good else ["BAD!!", "W0RDS", "###", "buy", "||"])
+    texts = [" ".join(word(rng.random() < (0.9 if i % 2 else 0.2)) for _ in range(rng.choice([1, 5, 63, 64, 65, 200]))) for i in range(120)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    net = quality_mil.fit(docs, spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id long, quality int"))
+    got = {r.doc_id: r.score for r in quality_mil.score(docs, net).collect()}
+    assert max(abs(got[i] - _plain_score(net, t)) for i, t in enumerate(texts)) < 1e-4
+
+
+def test_what_is_learned_from_is_bounded_after_the_join(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality_mil, "train", lambda bags, labels: seen.append(bags))
+    docs = spark.createDataFrame([(3, f"w{i} x") for i in range(3000)] + [(4, "long " * 200_000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(3, 1), (3, 0), (4, 1)], "doc_id long, quality int")
+    quality_mil.fit(docs, labels, 400, 1000)
+    assert 300 < len(seen[0]) < 600 and max(map(len, seen[0])) <= quality_mil.BAG_PASSAGES
+    quality_mil.fit(docs, labels, 6000, 200)
+    assert sum(map(len, seen[1])) < 600
+
+
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="needs the test tables")
 def test_quality_held_out(spark):
     docs, labels = spark.read.parquet(f"{DATA}/documents.parquet"), spark.read.parquet(f"{DATA}/labels.parquet")
