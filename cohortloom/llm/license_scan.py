@@ -8,18 +8,22 @@ that fits wins, and what it covers is used up. All of it happens within a row, w
 
 Hard-wrapped notices are cut a third way (blocks): at sentence ends, at lines without letters or digits
 (blank ones, or with a comment sign alone), after the colon of 'conditions:' and 'met:', after ');', and before a
-line that starts as a known sentence. There, sentences that are not known may stand between the parts of a BSD notice, and
+line that starts as a known sentence; not after 'v.'. There, sentences that are not known may stand between the parts of a BSD notice, and
 'All rights reserved' before a notice's grant is part of that notice: it does not show Proprietary if no
 other 'reserved' of the text does. The SQL of the query has the first two cuts only, and so is equal where a text has no
 notice that the third alone finds.
 
-Defined results: a null or empty text has no licence ('' and 0); repeated rows each give a row; ties
-between rules go to the earlier rule; other columns are ignored; no rows give no rows.
+Every known sentence has one of a few words (TRIGGERS), so texts without any of them are not cut at all.
+
+Defined results: a null or empty text has no licence ('' and 0); a null doc_id stays null; repeated rows each give a row; a
+very long text is scanned as a whole; ties between rules go to the earlier rule; other columns are ignored; no rows give no
+rows.
 """
 
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -49,6 +53,24 @@ SENTENCES: dict[str, str] = {
     "bsd-grant": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
     "bsd-short": "licensed under the bsd license",
     "bsd-name": "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    "bsd-source": "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",
+    "bsd-binary": "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution",
+    "isc-grant": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    "lgpl-free": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version",
+    "lgpl-free-3": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "agpl-free": "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "gpl-title": "gnu general public license",
+    "lgpl-title": "gnu lesser general public license",
+    "agpl-title": "gnu affero general public license",
+    "gpl-3-date": "version 3 29 june 2007",
+    "agpl-3-date": "version 3 19 november 2007",
+    "gpl-2-date": "version 2 june 1991",
+    "lgpl-2.1-date": "version 2 1 february 1999",
+    "apache-title": "apache license",
+    "apache-2.0-date": "version 2 0 january 2004",
+    "mpl-2.0-title": "mozilla public license version 2 0",
+    "epl-2.0": "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0",
+    "unlicense": "this is free and unencumbered software released into the public domain",
     "mpl-2.0": "this source code form is subject to the terms of the mozilla public license v 2 0",
     "reserved": "all rights reserved",
 }
@@ -76,10 +98,27 @@ RULES: list[tuple[str, list[str]]] = [
     ("CC-BY-4.0", ["cc-by-4.0-short"]),
     ("CC-BY-SA-4.0", ["cc-by-sa-4.0-short"]),
     ("CC0-1.0", ["cc0-short"]),
+    ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-name"]),
+    ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-name"]),
+    ("BSD-3-Clause", ["bsd-grant", "bsd-binary", "bsd-name"]),
     ("BSD-3-Clause", ["bsd-grant", "bsd-name"]),
+    ("BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary"]),
     ("BSD", ["bsd-grant"]),
     ("BSD", ["bsd-short"]),
     ("MPL-2.0", ["mpl-2.0"]),
+    ("MPL-2.0", ["mpl-2.0-title"]),
+    ("ISC", ["isc-grant"]),
+    ("LGPL-2.1-or-later", ["lgpl-free"]),
+    ("LGPL-3.0-or-later", ["lgpl-free-3"]),
+    ("AGPL-3.0-or-later", ["agpl-free"]),
+    ("GPL-3.0-only", ["gpl-title", "gpl-3-date"]),
+    ("GPL-2.0-only", ["gpl-title", "gpl-2-date"]),
+    ("LGPL-3.0-only", ["lgpl-title", "gpl-3-date"]),
+    ("LGPL-2.1-only", ["lgpl-title", "lgpl-2.1-date"]),
+    ("AGPL-3.0-only", ["agpl-title", "agpl-3-date"]),
+    ("Apache-2.0", ["apache-title", "apache-2.0-date"]),
+    ("EPL-2.0", ["epl-2.0"]),
+    ("Unlicense", ["unlicense"]),
     ("Proprietary", [NOTICE, "reserved"]),
     ("Proprietary", ["reserved"]),
 ]
@@ -94,13 +133,16 @@ PATTERN = "|".join(SEQUENCES)
 assert re.fullmatch(r"[A-Za-z|]+", PATTERN) and len(LETTER) <= 52
 
 #: A line starts as a known sentence if these words are its first, whatever signs are between them.
-_STARTS = ["mit license", "permission is hereby granted", "the above copyright notice and", "this program is free software", "this program is distributed in", "redistribution and use in source", "licensed under the apache", "unless required by applicable law", "neither the name of", "this source code form", "all rights reserved", "copyright"]
+_STARTS = ["mit license", "permission is hereby granted", "the above copyright notice and", "this program is free software", "this program is distributed in", "redistribution and use in source", "licensed under the apache", "unless required by applicable law", "redistributions of source code", "redistributions in binary form", "neither the name of", "permission to use copy", "this library is free software", "this is free and unencumbered", "this program and the accompanying", "this source code form", "all rights reserved", "copyright c", "copyright [0-9]{4}"]
 #: Ends of a sentence in the third cut.
-BLOCK_END = r"(?i)(?<=[.!?]|conditions:|met:|\);)[ \t\r\n\x0B\f]+|\n[^A-Za-z0-9]*\n|\n(?=[^A-Za-z0-9\n]*(?:" + "|".join(x.replace(" ", "[^A-Za-z0-9]+") for x in _STARTS) + r")[^A-Za-z0-9])"
+BLOCK_END = r"(?i)(?<=[.!?]|conditions:|met:|\);)(?<! v\.)[ \t\r\n\x0B\f]+|\n[^A-Za-z0-9]*\n|\n(?=[^A-Za-z0-9\n]*(?:" + "|".join(x.replace(" ", "[^A-Za-z0-9]+") for x in _STARTS) + r")[^A-Za-z0-9])"
 #: 'All rights reserved' that belongs to the notice after it.
-ABSORBED = f"{LETTER['reserved']} *(?=[{''.join(LETTER[i] for i in ('bsd-grant', 'mit-grant', 'gpl-free', 'gpl-free-2', 'apache-2.0-head'))}])"
-#: A BSD notice's clauses between its grant and its last one.
-BSD_CLAUSES = f"(?<={LETTER['bsd-grant']}) {{1,12}}(?={LETTER['bsd-name']})"
+ABSORBED = f"{LETTER['reserved']} *(?=[{''.join(LETTER[i] for i in ('bsd-grant', 'mit-grant', 'isc-grant', 'gpl-free', 'gpl-free-2', 'lgpl-free', 'lgpl-free-3', 'agpl-free', 'apache-2.0-head'))}])"
+#: What stands between a BSD notice's grant and its clauses: numbers, and clauses in other words.
+BSD_GAPS = f"(?<=[{''.join(LETTER[i] for i in ('bsd-grant', 'bsd-source', 'bsd-binary'))}]) {{1,12}}(?=[{''.join(LETTER[i] for i in ('bsd-source', 'bsd-binary', 'bsd-name'))}])"
+#: Every known sentence has one of these words, so a text without any of them has no known sentence.
+TRIGGERS = ["license", "copyright", "permission", "reserved", "warranty", "redistribution", "domain", "june", "november", "february", "january"]
+assert all(any(t in s.split() or t + "d" in s.split() for t in TRIGGERS) or "redistributions" in s for s in [*SENTENCES.values(), NOTICE_PREFIX])
 
 _SPACE = r"[ \t\r\n\x0B\f]+"
 
@@ -124,17 +166,20 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     by_line = F.split(F.regexp_replace(text, ended, "$1\n"), "\n")
     wrapped = F.split(F.regexp_replace(F.regexp_replace(text, _SPACE, " "), "([.!?]) ", "$1\n"), "\n")
     blocks = F.split(text, BLOCK_END)
-    rows = docs.select(F.col("doc_id").cast("long"), _letters(by_line).alias("lines"), _letters(wrapped).alias("wraps"), _letters(blocks).alias("blocks"))
+    lower = F.lower(text)
+    docs = docs.select(F.col("doc_id").cast("long"), text.alias("text"), reduce(Column.__or__, [F.contains(lower, F.lit(t)) for t in TRIGGERS]).alias("may_have"))
+    cut = lambda sentences: F.when(F.col("may_have"), _letters(sentences)).otherwise(F.lit(""))
+    rows = docs.select("doc_id", cut(by_line).alias("lines"), cut(wrapped).alias("wraps"), cut(blocks).alias("blocks"))
     name = F.create_map(*[F.lit(x) for pair in SEQUENCES.items() for x in pair])
     found = lambda c: F.regexp_extract_all(c, F.lit(PATTERN), F.lit(0))
     names = lambda c: F.transform(c, lambda m: name[m])
-    whole = F.regexp_replace(F.regexp_replace("blocks", ABSORBED, " "), BSD_CLAUSES, "")
+    whole = F.regexp_replace(F.regexp_replace("blocks", ABSORBED, " "), BSD_GAPS, "")
     rows = rows.withColumns({"in_lines": found(F.col("lines")), "in_wraps": found(F.col("wraps")), "in_blocks": found(whole)})
     licences = F.array_distinct(names(F.concat("in_lines", "in_wraps", "in_blocks")))
     # a copyright line of a notice, and nothing else, looked proprietary; the less specific BSD is the same notice
     part = F.col("blocks").rlike(ABSORBED) & ~F.array_contains(names(F.col("in_blocks")), "Proprietary")
     licences = F.when(part, F.array_remove(licences, "Proprietary")).otherwise(licences)
-    clauses = F.col("blocks").rlike(BSD_CLAUSES) & ~F.array_contains(names(F.col("in_blocks")), "BSD")
+    clauses = F.arrays_overlap(names(F.col("in_blocks")), F.array(F.lit("BSD-2-Clause"), F.lit("BSD-3-Clause"))) & ~F.array_contains(names(F.col("in_blocks")), "BSD")
     licences = F.array_sort(F.when(clauses, F.array_remove(licences, "BSD")).otherwise(licences))
     return rows.select("doc_id", F.array_join(licences, ",").alias("licences"), F.greatest(F.size("in_lines"), F.size("in_wraps"), F.size("in_blocks")).cast("long").alias("n_matches"), F.length(F.replace("lines", F.lit(" "), F.lit(""))).cast("long").alias("n_known"))
 

@@ -137,6 +137,47 @@ WRAPPED = {
 }
 
 
+_BSD_HEAD = "Copyright (c) 2021, A Person\nAll rights reserved.\n\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n"
+_BSD_CLAUSES = "1. Redistributions of source code must retain the above copyright notice, this\n   list of conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice,\n   this list of conditions and the following disclaimer in the documentation\n   and/or other materials provided with the distribution.\n\n"
+_BSD_END = 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"\nAND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE\nIMPLIED WARRANTIES OF MERCHANTABILITY ARE DISCLAIMED.\n'
+_FREE = "This {0} is free software{1} you can redistribute it and/or\nmodify it under the terms of the GNU {2} General Public\nLicense as published by the Free Software Foundation; either\nversion {3} of the License, or (at your option) any later version.\n\nThis {0} is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY.\n"
+MORE_NOTICES = {
+    "BSD-2-Clause": _BSD_HEAD + _BSD_CLAUSES + _BSD_END,
+    "BSD-3-Clause": _BSD_HEAD + _BSD_CLAUSES + "3. Neither the name of the copyright holder nor the names of its\n   contributors may be used to endorse or promote products derived from\n   this software without specific prior written permission.\n\n" + _BSD_END,
+    "ISC": "Copyright (c) 2020, A Person\n\nPermission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.\n",
+    "LGPL-2.1-or-later": _FREE.format("library", ";", "Lesser", "2.1"),
+    "LGPL-3.0-or-later": _FREE.format("library", ";", "Lesser", "3"),
+    "AGPL-3.0-or-later": _FREE.format("program", ":", "Affero", "3"),
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/.\n",
+    "EPL-2.0": "This program and the accompanying materials are made\navailable under the terms of the Eclipse Public License 2.0\nwhich is available at https://www.eclipse.org/legal/epl-2.0/\n\nSPDX-License-Identifier: EPL-2.0\n",
+    "Unlicense": "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy it.\n",
+}
+TITLES = {
+    "GPL-3.0-only": "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\nPreamble",
+    "GPL-2.0-only": "                    GNU GENERAL PUBLIC LICENSE\n                       Version 2, June 1991\n",
+    "LGPL-2.1-only": "                  GNU LESSER GENERAL PUBLIC LICENSE\n                       Version 2.1, February 1999\n",
+    "LGPL-3.0-only": "                   GNU LESSER GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n",
+    "AGPL-3.0-only": "                    GNU AFFERO GENERAL PUBLIC LICENSE\n                       Version 3, 19 November 2007\n",
+    "Apache-2.0": "                                 Apache License\n                           Version 2.0, January 2004\n                        http://www.apache.org/licenses/\n",
+    "MPL-2.0": "Mozilla Public License Version 2.0\n==================================\n",
+}
+
+
+def test_more_notices_and_title_lines(spark):
+    rows, want = [], []
+    for name, text in MORE_NOTICES.items():
+        for sign in ["", " * ", "# ", "// "]:
+            rows.append((len(rows), "Some file.\n" * (len(rows) % 3) + "\n".join((sign + line).rstrip() for line in text.split("\n"))))
+            want.append(name)
+    for name, text in TITLES.items():
+        rows.append((len(rows), text + "\nterms and conditions\n"))
+        want.append(name)
+    rows += [(len(rows), "nothing of that kind. Version 2. June is warm.")]
+    want.append("")
+    got = {r.doc_id: r.licences for r in license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(len(rows))] == want
+
+
 def test_full_wrapped_notices(spark):
     rows, want = [], []
     for name, text in WRAPPED.items():
