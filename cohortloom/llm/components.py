@@ -2,10 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .session import use_checkpoints
 
+#: A key is hot if it has more than this part of all rows; so there are at most as many hot keys as parts, whatever the table.
+HOT_PARTS = 1000
+
+
+def join_by_hot_keys(rows: DataFrame, values: DataFrame, key: str, hot: Column, value: str) -> DataFrame:
+    """rows with the columns of values, which has every key once; the hot keys' values are broadcast, so their rows stay where they are.
+
+    hot: which rows of values have a hot key, HOT_PARTS of them at most; value: a column of values that is never null.
+    Null keys match nothing.
+    """
+    few = rows.join(F.broadcast(values.where(hot)), key, "left")
+    rest = few.where(F.col(value).isNull()).select(*rows.columns).join(values.where(~hot), key)
+    return few.where(F.col(value).isNotNull()).unionByName(rest)
+
 
 def connected_components(links: DataFrame) -> DataFrame:
     """(id, component): the smallest id that each id in links (a, b) can reach.

@@ -37,8 +37,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .arrowtext import Words, chunks, distinct_sets, mix, shingles, string_buffers
-from .components import connected_components
-from .session import written
+from .components import HOT_PARTS, connected_components, join_by_hot_keys
+from .session import discard, written
 
 WORDS = 5
 #: Share of the texts that common tokens are looked for in, and least texts (in expectation); uses there that make a token
@@ -48,8 +48,9 @@ SAMPLE_SHARE, SAMPLE_DOCS, COMMON_USES, MAX_COMMON = 1 / 6, 8000, 3, 1_000_000
 SEEN_CLASSES = 200_000
 #: Pairs of one class that a task compares with it.
 PART_PAIRS = 5000
-#: Slots of the table that keeps most texts out when sets are needed again.
-FILTER_SLOTS = 1 << 22
+#: Fewest and most slots of the bit table that keeps most texts out when sets are needed again (eight for each text that is needed);
+#: where more are needed, texts are joined without it.
+FILTER_SLOTS = 1 << 20, 1 << 27
 
 _U = np.uint64
 
@@ -123,6 +124,7 @@ def _common(docs: DataFrame, k: int) -> Order:
             break
         least = n
     found = uses.where(F.col("uses") >= least).toArrow()
+    discard(uses)
     return Order(found["token"].to_numpy().view(_U), found["uses"].to_numpy())
 
 
@@ -201,24 +203,14 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int) ->
     owned = pairs.join(sizes, "a").withColumn("part", F.pmod(F.hash("b"), "parts"))
     seats = owned.select("a", "part", F.col("b").alias("class")).unionByName(sizes.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("a").alias("class")))
     used = written(seats.join(classes, "class").select("doc_id", "text_key", "a", "part", "class"), "used")
-    slot = F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(FILTER_SLOTS))
-
-    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(FILTER_SLOTS, bool)
-        for b in batches:
-            table[b.column("slot").to_numpy()] = True
-        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(table).tobytes()], pa.binary())], names=["bits"])
-
-    # a bit table of fixed size keeps most texts out; eight of them at most come to the driver
-    table = np.zeros(FILTER_SLOTS // 8, np.uint8)
-    for row in used.select(slot.alias("slot")).coalesce(8).mapInArrow(bits, "bits binary").collect():
-        table |= np.frombuffer(row["bits"], np.uint8)
-    shared = spark.sparkContext.broadcast(table)
-
-    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_ = np.unpackbits(shared.value).astype(bool)
-        for b in batches:
-            yield b.filter(pa.array(open_[b.column("slot").to_numpy()])).select(["doc_id", "text_key", "text"])
+    slots = max(FILTER_SLOTS[0], 1 << (8 * used.count()).bit_length())
+    slot = F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(slots))
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    if slots <= FILTER_SLOTS[1]:
+        table = np.zeros(slots // 8, np.uint8)
+        for row in used.select(slot.alias("slot")).coalesce(8).mapInArrow(_bits(slots), "bits binary").collect():  # eight tables at most
+            table |= np.frombuffer(row["bits"], np.uint8)
+        keyed = keyed.withColumn("slot", slot).mapInArrow(_possible_texts(spark.sparkContext.broadcast(table)), "doc_id long, text_key long, text string")
 
     def overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, own = None, None
@@ -241,34 +233,62 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int) ->
                         raise ValueError("a pair's first text is missing")
             yield pa.RecordBatch.from_arrays([pa.array([g[x] for g in good], pa.int64()) for x in (0, 1)], names=["a", "b"])
 
-    keyed = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").withColumn("slot", slot)
-    used = used.withColumnsRenamed({"doc_id": "used_id", "text_key": "used_key"})
+    seats = used.withColumnsRenamed({"doc_id": "used_id", "text_key": "used_key"})
     same = F.col("doc_id").eqNullSafe(F.col("used_id")) & (F.col("text_key") == F.col("used_key"))
-    texts = keyed.mapInArrow(possible, "doc_id long, text_key long, text string").join(used, same).select("a", "part", "class", "text")
+    texts = keyed.join(seats, same).select("a", "part", "class", "text")
     ordered = texts.repartition("a", "part").sortWithinPartitions("a", "part", F.col("class") != F.col("a"))
-    return ordered.mapInArrow(overlaps, "a long, b long").distinct()  # a row that is repeated gives its pair again
+    linked = written(ordered.mapInArrow(overlaps, "a long, b long").distinct(), "linked")  # a row that is repeated gives its pair again
+    discard(used)
+    return linked
+
+
+def _bits(slots: int):
+    """Bits that are set at the slots of its rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(slots, bool)
+        for b in batches:
+            table[b.column("slot").to_numpy()] = True
+        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(table, bitorder="little").tobytes()], pa.binary())], names=["bits"])
+
+    return run
+
+
+def _possible_texts(shared):
+    """The rows whose slot is set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            slot = b.column("slot").to_numpy()
+            mine = (shared.value[slot >> 3] >> (slot & 7).astype(np.uint8)) & np.uint8(1)
+            yield b.filter(pa.array(mine != 0)).select(["doc_id", "text_key", "text"])
+
+    return run
 
 
 def link_groups(docs: DataFrame, k: int = WORDS) -> DataFrame:
     """doc_id, n_shingles, component_id, text_key (hash of the text) and group_id (null without words) of every row."""
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = written(_classified(docs, _common(docs, k), k), "classified")
-    classes = rows.where("n > 0").groupBy("class").agg(F.min(F.struct("doc_id", "text_key")).alias("first"), F.min("doc_id").alias("low")).select("class", "first.doc_id", "first.text_key", "low")
+    classes = rows.where("n > 0").groupBy("class").agg(F.min(F.struct("doc_id", "text_key")).alias("first"), F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("copies"))
+    classes = written(classes.select("class", "first.doc_id", "first.text_key", "low", "copies"), "classes")
     tokens = rows.where("size(lead) > 0").select("class", "n", F.posexplode("lead").alias("pos", "token")).select("token", "class", "n", "pos")
-    listed = written(tokens.repartition("token").sortWithinPartitions("token", "pos", "class").mapInArrow(_shared_tokens, _LISTED), "listed")
+    shared = written(tokens.repartition("token").sortWithinPartitions("token", "pos", "class").mapInArrow(_shared_tokens, _LISTED), "listed")
 
     n, pos = F.col("n"), F.col("pos")
-    stars = listed.where((F.col("class") != F.col("hub")) & _possible(n, pos, F.col("hub_n"), F.col("hub_pos")))
+    stars = shared.where((F.col("class") != F.col("hub")) & _possible(n, pos, F.col("hub_n"), F.col("hub_pos")))
     # each class is compared with the hub that most of its tokens name
     stars = stars.groupBy(F.col("class").alias("b"), F.col("hub").alias("a")).agg(F.count(F.lit(1)).alias("votes"), (-F.min("hub_pos")).alias("middle"))
-    stars = stars.groupBy("b").agg(F.max_by("a", F.struct("votes", "middle", "a")).alias("a")).select("a", "b")
-    links = written(_verified(stars, docs, classes, k), "links")
-    groups = written(connected_components(links), "groups").select(F.col("id").alias("class"), F.col("component").alias("group"))
+    stars = written(stars.groupBy("b").agg(F.max_by("a", F.struct("votes", "middle", "a")).alias("a")).select("a", "b"), "stars")
+    links = _verified(stars.select("a", "b"), docs, classes.select("class", "doc_id", "text_key"), k)
+    found = written(connected_components(links), "groups")
+    groups = found.select(F.col("id").alias("class"), F.col("component").alias("group"))
 
     # the matrix of leading tokens by groups, where a token has several groups
-    listed = listed.select("token", "class", "n", "pos").join(groups, "class", "left").withColumn("group", F.coalesce("group", "class"))
+    listed = shared.select("token", "class", "n", "pos").join(groups, "class", "left").withColumn("group", F.coalesce("group", "class"))
     several = listed.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("token")
     listed = written(listed.join(several, "token"), "several")
+    discard(shared)
     matrix = listed.groupBy("token", "group").agg(F.max(n - pos).alias("rest"), F.min("n").alias("least"), F.max("n").alias("most"))
     asks = listed.withColumnsRenamed({"class": "a", "n": "an", "pos": "ap", "group": "ag"})
     rest = F.least(F.col("an") - F.col("ap"), F.col("rest"))
@@ -277,30 +297,46 @@ def link_groups(docs: DataFrame, k: int = WORDS) -> DataFrame:
     members = listed.withColumnsRenamed({"class": "b", "n": "bn", "pos": "bp"})
     pairs = opened.select("token", "group", "a", "an", "ap").join(members, ["token", "group"]).where(_possible(F.col("an"), F.col("ap"), F.col("bn"), F.col("bp")))
     pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "pairs")
+    discard(listed)
+    last = found
     if not pairs.isEmpty():
-        links = links.unionByName(_verified(pairs, docs, classes, k))
-        groups = connected_components(links).select(F.col("id").alias("class"), F.col("component").alias("group"))
-
-    named = classes.select("class", "low").join(groups, "class", "left").withColumn("group", F.coalesce("group", "class"))
-    smallest_id = named.groupBy("group").agg(F.min("low").alias("component_id"))
-    named = named.join(smallest_id, "group").select("class", "component_id", F.col("group").alias("group_id"))
-    whole = rows.where("n > 0").select("doc_id", "n", "class", "text_key").join(named, "class").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "text_key", "group_id")
+        more = _verified(pairs, docs, classes.select("class", "doc_id", "text_key"), k)
+        last = written(connected_components(links.unionByName(more)), "groups")
+        groups = last.select(F.col("id").alias("class"), F.col("component").alias("group"))
+        discard(found, more)
+    discard(links, stars, pairs)
+
+    # hot groups and hot classes (a third of all rows may be one) are named where their rows are
+    linked = groups.join(classes.select("class", "low"), "class")
+    smallest = written(linked.groupBy("group").agg(F.min("low").alias("component_id"), F.count(F.lit(1)).alias("members")), "smallest")
+    hot = F.col("members") * HOT_PARTS > groups.count()
+    linked = join_by_hot_keys(groups, smallest, "group", hot, "members").select("class", "component_id", F.col("group").alias("group_id"))
+    alone = classes.join(groups, "class", "left_anti").select("class", F.col("low").alias("component_id"), F.col("class").alias("group_id"))
+    named = written(linked.unionByName(alone).join(classes.select("class", "copies"), "class"), "named")
+    discard(classes, smallest, last)
+    hot = F.col("copies") * HOT_PARTS > rows.count()
+    whole = join_by_hot_keys(rows.where("n > 0").select("doc_id", "n", "class", "text_key"), named, "class", hot, "copies")
+    whole = whole.select("doc_id", F.col("n").alias("n_shingles"), "component_id", "text_key", "group_id")
     return whole.unionByName(rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "text_key", F.lit(None).cast("long").alias("group_id")))
 
 
 def keep_one_of_each_group(docs: DataFrame, k: int = WORDS) -> DataFrame:
     """The rows of docs that stay: of each group the one with the smallest doc_id (null last, then text), and all without words.
 
-    A row is told by doc_id and text; if such a row is repeated, one of the repetitions stays.
+    A row is told by doc_id and text; if such a row is repeated, the repetition whose columns have the lowest hash stays.
     """
     found = link_groups(docs, k)
     first = found.where("group_id is not null").groupBy("group_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("f")).select("f.doc_id", "f.text_key")
-    stay = written(first.unionByName(found.where("group_id is null").select("doc_id", "text_key").distinct()), "stay").withColumnsRenamed({"doc_id": "__id", "text_key": "__key"})
-    keyed = docs.withColumn("__text_key", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    mine = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__text_key") == F.col("__key"))
+    stay = written(first.unionByName(found.where("group_id is null").select("doc_id", "text_key").distinct()), "stay")
+    # names that docs does not have
+    mark = "_" * (1 + max(len(c) for c in docs.columns))
+    stay = stay.withColumnsRenamed({"doc_id": f"{mark}id", "text_key": f"{mark}key"})
+    keyed = docs.withColumn(f"{mark}text", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    mine = F.col("doc_id").cast("long").eqNullSafe(F.col(f"{mark}id")) & (F.col(f"{mark}text") == F.col(f"{mark}key"))
     left = keyed.join(stay, mine, "left_semi")
-    with_words = F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    repeated = keyed.where(with_words).groupBy("doc_id", "__text_key").count().where("count > 1").limit(1)
+    with_words = F.coalesce(F.col("text").cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    repeated = keyed.where(with_words).groupBy("doc_id", f"{mark}text").count().where("count > 1").limit(1)
     if not repeated.isEmpty():  # else nothing has to be dealt anew
-        left = left.where(with_words).dropDuplicates(["doc_id", "__text_key"]).unionByName(left.where(~F.coalesce(with_words, F.lit(False))))
-    return left.drop("__text_key")
+        one = F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("row")
+        left = left.where(with_words).groupBy("doc_id", f"{mark}text").agg(one).select("row.*").unionByName(left.where(~with_words).select(*docs.columns))
+    return left.select(*docs.columns)
