@@ -3,17 +3,19 @@
 quality classifier -> language ID -> n-gram Jaccard join -> benchmark decontamination -> byte-level BPE.
 A stage takes (spark, docs, sf_dir) and works on every row the stage before it kept. Rows are told
 apart by doc_id and a hash of the text, so a repeated doc_id with another text is a row of its own.
+
+Defined results: no rows give no rows, and columns besides doc_id, text and lang are carried along, whatever their names. A null
+or empty text is scored as it is and dropped as text without a language; a null doc_id is a row like any other. Rows that
+repeat doc_id and text become one; a very long text is one row, looked at as a whole by every stage.
 """
 
 from __future__ import annotations
 
-import uuid
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortloom.llm import byte_bpe, decontaminate, jaccard_join, language_id, quality_mil
-from cohortloom.llm.session import use_checkpoints
+from cohortloom.llm.session import discard, written
 
 #: Below this share of the probability a language is a guess.
 MIN_LANGUAGE_SCORE = 0.5
@@ -24,29 +26,29 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents whose quality score is 0.3 or more; learns from labels of the incoming documents."""
+    """Keeps the rows whose quality score is 0.3 or more; learns from labels of the incoming rows. A null or empty text has a score too."""
     network = quality_mil.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality_mil.keep(docs, network)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents with a clear language; learns from the rows that are not held out."""
+    """Keeps the rows with a clear language; learns from those that are not held out. Texts that are null or have no letter have none."""
     model = language_id.fit(docs.where(~language_id.held_out(F.col("doc_id"), 3, 1)))
     return language_id.keep(docs, model, MIN_LANGUAGE_SCORE)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document, the one with the smallest doc_id, of each group of near duplicates, and all documents without words."""
+    """Keeps one row, the one with the smallest doc_id (null last), of each group of near duplicates, and all rows without words."""
     return jaccard_join.keep_one_of_each_group(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that hold a passage of the benchmark."""
+    """Drops the rows that hold a passage of the benchmark, and no other row with the same doc_id."""
     return decontaminate.keep(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of what is left, with digests of the ids and of the decoded bytes."""
+    """Token ids of every row that is left, with digests of the ids and of the decoded bytes."""
     made = byte_bpe.encode_and_decode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return made.select("doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
@@ -65,12 +67,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; what is between them is written to the shared checkpoint folder."""
-    use_checkpoints(spark)
-    folder = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/pipeline-{uuid.uuid4().hex}"
-    docs = _documents(spark, sf_dir)
-    for k, (_, stage) in enumerate(STAGES):
+    docs, before = _documents(spark, sf_dir), None
+    for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
-            docs.write.parquet(f"{folder}/{k}")
-            docs = spark.read.schema(docs.schema).parquet(f"{folder}/{k}")
+            docs = written(docs, name.replace(" ", "-"))
+            if before is not None:
+                discard(before)
+            before = docs
     return docs
