@@ -12,17 +12,20 @@ radius plus that error never loses a pair within a probed list. What is left
 is compared by exact cosine in double precision. So all links are found; spread-out vectors pay with more
 probed lists (33 of 226 on average over 51,282 vectors of the check's large table).
 
-A list meets its queries in blocks of rows, so that a hot list is many groups, and a group gives
-sums of links and a spanning forest of its links, never all pairs. The quantiser is fitted on a
-bounded, hash-chosen sample; all rows are indexed.
+Lists are put together to parts of bounded size, near ones to the same part, and a hot list is cut into several. A vector is
+indexed in one part and asks each part that has a list it probes, once, whatever number of lists that is. In a part the
+indexed rows come first and the queries stream past them; so many queries have their own copy of the part. A part gives sums
+of links and spanning forests of its links, never all pairs. The quantiser is fitted on a bounded, hash-chosen sample; all rows
+are indexed.
 
 Defined results: vectors that are null, empty, zero or with null or non-finite components link with
-nothing; vectors of different length never link; rows that repeat a vec_id are vectors of their own with the same
-id; other columns are ignored; no rows give no rows.
+nothing; vectors of different length never link; a null vec_id links with nothing and is kept; rows that repeat a vec_id are
+vectors of their own with the same id; other columns are ignored; no rows give no rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -30,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .arrowtext import mix
 from .components import connected_components
 from .session import use_checkpoints
 
@@ -37,9 +41,12 @@ COSINE = 0.95
 SUBSPACES, CODEWORDS = 8, 64
 #: Rows, and numbers, that the quantiser is fitted on (in expectation); most lists.
 SAMPLE_ROWS, SAMPLE_NUMBERS, MAX_LISTS = 20_000, 4 << 20, 4096
-#: Fewest and most rows of a block of a list or of its queries.
-BLOCK_ROWS = (256, 8192)
-_STEP = 128
+#: Fewest and most indexed rows of a part, and queries that share a copy of it.
+PART_ROWS, PART_QUERIES = (256, 8192), 1 << 18
+#: Numbers of a block of distances.
+_BLOCK = 1 << 20
+#: A cosine this near to the threshold is computed pair by pair, so that it does not depend on what is computed with it.
+_MARGIN = 1e-9
 
 
 def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) -> np.ndarray:
@@ -167,67 +174,176 @@ def _links(vectors: DataFrame, dim: int, cosine: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b["id"], b["weight"], b["vec"], pa.array(home, pa.int32()), lists, pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error)], names=["id", "weight", "vec", "list", "probes", "codes", "error"])
 
     coded = vectors.select("id", "weight", "vec").mapInArrow(assign, f"id long, weight long, vec {vec_type}, list int, probes array<int>, codes binary, error double").checkpoint()
-    low, high = BLOCK_ROWS
-    rows = float(min(high, max(low, n // 40)))
-    # at most MAX_LISTS rows each
-    members = coded.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias("blocks"))
-    askers = coded.select(F.explode("probes").alias("list")).groupBy("list").agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias("query_blocks"))
-    plan = F.broadcast(members.join(askers, "list"))
-    salt = lambda seed, k: F.pmod(F.xxhash64(F.lit(seed), "id"), F.col(k)).cast("int")
-    indexed = coded.join(plan, "list").select(F.lit(False).alias("asks"), "id", "weight", "vec", F.col("list").alias("home"), "probes", "codes", "error", "list", salt(1, "blocks").alias("block"), F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1)).alias("query_block"))
-    asked = coded.select("id", "weight", "vec", F.col("list").alias("home"), F.explode("probes").alias("list")).join(plan, "list")
-    asked = asked.select(F.lit(True).alias("asks"), "id", "weight", "vec", "home", F.lit(None).cast("array<int>").alias("probes"), F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("double").alias("error"), "list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), salt(2, "query_blocks").alias("query_block"))
-
-    def compare(group: pa.Table) -> pa.Table:
-        asks = group["asks"].to_numpy(zero_copy_only=False)
-        ours, theirs = group.filter(pa.array(asks)), group.filter(pa.array(~asks))
-        ids, others, counts = [], [], []
-        if len(ours) and len(theirs):
-            q, here = shared.value, int(theirs["list"][0].as_py())
-            x, y = _matrix(ours["vec"], dim), _matrix(theirs["vec"], dim)
-            xid, yid = ours["id"].to_numpy(), theirs["id"].to_numpy()
-            xw, yw = ours["weight"].to_numpy(), theirs["weight"].to_numpy()
-            home = ours["home"].to_numpy()
-            codes = np.frombuffer(b"".join(theirs["codes"].to_pylist()), np.uint8).reshape(len(y), -1)
-            reach = (radius + theirs["error"].to_numpy() + 1e-9) ** 2
-            probed = theirs["probes"].combine_chunks()
-            y_probes = np.zeros((len(y), len(q.centroids)), bool)
-            y_probes[np.repeat(np.arange(len(y)), np.diff(probed.offsets.to_numpy())), probed.flatten().to_numpy()] = True
-            y_links = np.zeros(len(y), np.int64)
-            edges: list[np.ndarray] = []
-            for i in range(0, len(x), _STEP):
-                part = x[i : i + _STEP]
-                distance = np.zeros((len(part), len(y)))
-                for m, table in enumerate(q.tables(part - q.centroids[here])):
-                    distance += table[:, codes[:, m]]
-                a, b = np.nonzero(distance <= reach)
-                keep = xid[a + i] != yid[b]
-                a, b = a[keep], b[keep]
-                if len(a) * 8 > distance.size:
-                    near = (part @ y.T)[a, b] >= cosine
+    low, high = PART_ROWS
+    members = {r["list"]: r["n"] for r in coded.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()}  # MAX_LISTS rows at most
+    askers = {r["list"]: r["n"] for r in coded.select(F.explode("probes").alias("list")).groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()}
+    parts = spark.sparkContext.broadcast(_parts(shared.value.centroids, members, askers, min(high, max(low, n // 12)), n))
+    dealt = coded.mapInArrow(_dealer(parts), f"part int, copy int, asks boolean, id long, weight long, vec {vec_type}, list int, probes array<int>, codes binary, error double")
+    ordered = dealt.repartition("part", "copy").sortWithinPartitions("part", "copy", "asks")
+
+    def compare(batches):
+        key, part = None, None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            keys = np.stack([b["part"].to_numpy(), b["copy"].to_numpy(), b["asks"].to_numpy(zero_copy_only=False)], axis=1)
+            cuts = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1), [True]]))
+            for i, j in zip(cuts[:-1], cuts[1:]):
+                if key != tuple(keys[i, :2]):
+                    if part:
+                        yield part.counts()
+                    key, part = tuple(keys[i, :2]), _Part(shared.value, dim, cosine)
+                if keys[i, 2]:
+                    yield from part.ask(b.slice(i, j - i))
                 else:
-                    near = np.concatenate([np.zeros(0, bool), *[np.einsum("ij,ij->i", part[a[k : k + 65536]], y[b[k : k + 65536]]) >= cosine for k in range(0, len(a), 65536)]])
-                a, b = a[near], b[near]
-                ids.append(xid[i : i + _STEP])
-                counts.append(np.bincount(a, yw[b], len(part)).astype(np.int64))
+                    part.index(b.slice(i, j - i))
+        if part:
+            yield part.counts()
+
+    return ordered.mapInArrow(compare, "id long, other long, n long")
+
+
+@dataclass
+class Parts:
+    """of_list[l]: the part of each block of list l; copies: copies of each part."""
+
+    of_list: list[np.ndarray]
+    copies: np.ndarray
+
+
+def _parts(centroids: np.ndarray, members: dict[int, int], askers: dict[int, int], rows: int, n: int) -> Parts:
+    """Lists, or blocks of them, in parts of about so many rows; near lists go to one part."""
+    wanted = max(1, -(-n // rows))
+    order = np.argsort(_nearest(centroids, _kmeans(centroids, wanted, np.random.default_rng(5)), 1)[:, 0], kind="stable")
+    of_list, filled, asked = [np.zeros(0, np.int64)] * len(centroids), [0], [0]
+    for i in order.tolist():
+        size, own = members.get(i, 0), []
+        blocks = max(1, -(-size // rows))
+        for _ in range(blocks):
+            if filled[-1] and filled[-1] + size // blocks > rows:
+                filled.append(0)
+                asked.append(0)
+            filled[-1] += size // blocks
+            asked[-1] += askers.get(i, 0)
+            own.append(len(filled) - 1)
+        of_list[i] = np.array(own)
+    return Parts(of_list, np.array([max(1, -(-min(n, a) // PART_QUERIES)) for a in asked]))
+
+
+def _dealer(shared):
+    """Rows for the part a vector is indexed in (once for each copy), and for every part it asks."""
+
+    def run(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            plan, home, probed = shared.value, b["list"].to_numpy(), b["probes"]
+            salt = mix(b["id"].to_numpy().view(np.uint64))
+            blocks = np.array([len(p) for p in plan.of_list])
+            start = np.cumsum(blocks) - blocks
+            flat = np.concatenate(plan.of_list)
+            # which part of a list has the row
+            own = flat[start[home] + (salt % blocks[home].astype(np.uint64)).astype(np.int64)]
+            copies = plan.copies[own]
+            ptr, lists = probed.offsets.to_numpy().astype(np.int64), probed.flatten().to_numpy()
+            lists = lists[: ptr[-1] - ptr[0]]
+            row = np.repeat(np.arange(b.num_rows), np.diff(ptr))
+            many = blocks[lists]
+            asked = np.repeat(row, many) * len(plan.copies) + flat[np.repeat(start[lists] - (np.cumsum(many) - many), many) + np.arange(many.sum())]
+            asker, part = np.divmod(np.unique(asked), len(plan.copies))
+            indexed = np.repeat(np.arange(b.num_rows), copies)
+            copy = np.arange(len(indexed)) - np.repeat(np.cumsum(copies) - copies, copies)
+            for take, parts, copy, asks in ((indexed, own[indexed], copy, False), (asker, part, (salt[asker] // np.uint64(7) % plan.copies[part].astype(np.uint64)).astype(np.int64), True)):
+                for i in range(0, len(take), 8192):
+                    rows = b.take(pa.array(take[i : i + 8192]))
+                    head = [pa.array(parts[i : i + 8192], pa.int32()), pa.array(copy[i : i + 8192], pa.int32()), pa.array(np.full(rows.num_rows, asks))]
+                    yield pa.RecordBatch.from_arrays([*head, *rows.columns], names=["part", "copy", "asks", *rows.schema.names])
+
+    return run
+
+
+class _Part:
+    """The indexed rows of a part, and the links of the queries that stream past them."""
+
+    def __init__(self, q: Quantiser, dim: int, cosine: float):
+        self.q, self.dim, self.cosine, self.waiting, self.ids = q, dim, cosine, [], np.zeros(0, np.int64)
+
+    def index(self, rows: pa.RecordBatch) -> None:
+        self.waiting.append(rows)
+
+    def _ready(self) -> None:
+        rows = pa.Table.from_batches(self.waiting).combine_chunks().sort_by("list")
+        self.waiting = []
+        self.vectors, self.ids, self.weight = _matrix(rows["vec"], self.dim), rows["id"].to_numpy(), rows["weight"].to_numpy()
+        self.codes = np.frombuffer(b"".join(rows["codes"].to_pylist()), np.uint8).reshape(len(self.ids), -1)
+        self.reach = (np.sqrt(2 - 2 * self.cosine) + rows["error"].to_numpy() + 1e-9) ** 2
+        lists = rows["list"].to_numpy()
+        self.lists, first = np.unique(lists, return_index=True)
+        self.cuts = np.append(first, len(lists))
+        self.probes = _probe_table(rows["probes"].combine_chunks(), len(self.q.centroids))
+        self.links = np.zeros(len(self.ids), np.int64)
+
+    def ask(self, rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        if self.waiting:
+            self._ready()
+        if not len(self.ids):
+            return
+        x, xid, xw, home = _matrix(rows["vec"], self.dim), rows["id"].to_numpy(), rows["weight"].to_numpy(), rows["list"].to_numpy()
+        wants = _probe_table(rows["probes"], len(self.q.centroids))
+        counts, edges = np.zeros(len(x), np.int64), []
+        for here, lo, hi in zip(self.lists.tolist(), self.cuts[:-1], self.cuts[1:]):
+            mine = np.flatnonzero(wants[:, here])
+            step = max(16, _BLOCK // int(hi - lo))
+            for i in range(0, len(mine), step):
+                a, b = self._near(x, mine[i : i + step], here, lo, hi)
+                keep = xid[a] != self.ids[b]
+                a, b = a[keep], b[keep]
+                counts += np.bincount(a, self.weight[b], len(x)).astype(np.int64)
                 # the other side counts the link itself if it probes our list
-                unseen = ~y_probes[b, home[a + i]]
-                y_links += np.bincount(b[unseen], xw[a[unseen] + i], len(y)).astype(np.int64)
-                edges.append(np.stack(_forest(xid[a + i], yid[b])))
-            ids.append(yid)
-            counts.append(y_links)
-            some = np.concatenate(counts) > 0
-            ids, counts = [np.concatenate(ids)[some]], [np.concatenate(counts)[some]]
-            fid, fother = _forest(*np.concatenate(edges, axis=1))
-            others = [np.full(len(ids[0]), -1), fother]
-            ids.append(fid)
-            counts.append(np.full(len(fid), -1))
-        join = lambda parts: np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, np.int64)
-        counts = join(counts)
-        edge = counts < 0
-        return pa.table({"id": join(ids), "other": pa.array(join(others), mask=~edge), "n": pa.array(counts, mask=edge)})
-
-    return indexed.unionByName(asked).groupBy("list", "block", "query_block").applyInArrow(compare, "id long, other long, n long")
+                unseen = ~self.probes[b, home[a]]
+                self.links += np.bincount(b[unseen], xw[a[unseen]], len(self.ids)).astype(np.int64)
+                edges.append(np.stack(_forest(xid[a], self.ids[b])))
+        if edges:
+            some = counts > 0
+            yield _found(xid[some], counts[some], *_forest(*np.concatenate(edges, axis=1)))
+
+    def _near(self, x: np.ndarray, rows: np.ndarray, here: int, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+        """(query, indexed row) of the linked pairs among some queries and one list."""
+        part, codes, y = x[rows], self.codes[lo:hi], self.vectors[lo:hi]
+        distance = np.zeros((len(part), hi - lo))
+        for m, table in enumerate(self.q.tables(part - self.q.centroids[here])):
+            distance += table[:, codes[:, m]]
+        a, b = np.nonzero(distance <= self.reach[lo:hi])
+        if len(a) * 8 > distance.size:
+            cosines = (part @ y.T)[a, b]
+            near, unsure = cosines >= self.cosine, np.flatnonzero(np.abs(cosines - self.cosine) <= _MARGIN)
+        else:
+            near, unsure = np.zeros(len(a), bool), np.arange(len(a))
+        for k in range(0, len(unsure), 65536):
+            at = unsure[k : k + 65536]
+            near[at] = np.einsum("ij,ij->i", part[a[at]], y[b[at]]) >= self.cosine
+        return rows[a[near]], lo + b[near]
+
+    def counts(self) -> pa.RecordBatch:
+        """What the queries found of the indexed rows' links."""
+        if self.waiting or not len(self.ids):
+            return _found(*[np.zeros(0, np.int64)] * 4)
+        some = self.links > 0
+        return _found(self.ids[some], self.links[some], np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def _probe_table(probes: pa.Array, lists: int) -> np.ndarray:
+    """Whether each row probes each list."""
+    out = np.zeros((len(probes), lists), bool)
+    ptr = probes.offsets.to_numpy().astype(np.int64)
+    out[np.repeat(np.arange(len(probes)), np.diff(ptr)), probes.flatten().to_numpy()] = True
+    return out
+
+
+def _found(ids: np.ndarray, counts: np.ndarray, ends: np.ndarray, others: np.ndarray) -> pa.RecordBatch:
+    """Numbers of links by id, and links of a forest."""
+    edge = np.concatenate([np.zeros(len(ids), bool), np.ones(len(ends), bool)])
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate([ids, ends])), pa.array(np.concatenate([np.zeros(len(ids), np.int64), others]), mask=~edge), pa.array(np.concatenate([counts, np.zeros(len(ends), np.int64)]), mask=edge)], names=["id", "other", "n"])
 
 
 def near_duplicates(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
