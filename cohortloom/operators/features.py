@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from cohortloom.operators import stats
 from cohortloom.operators.transforms import mask_tokens
+from cohortloom.sources import tables
 
 
 def fit(df: DataFrame, columns: list[str], ddof: int = 1) -> DataFrame:
-    """column, mean, scale, median of the scaled values, from two passes of one aggregation each."""
+    """column, mean, scale, median (of the values as they are). A row for each column: it can be written, and read for new rows."""
     spread = F.stddev_samp if ddof else F.stddev_pop
-    row = df.agg(*[f(c).alias(f"{n}_{i}") for i, c in enumerate(columns) for n, f in (("m", F.avg), ("s", spread))])
-    stats = row.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"m_{i}").alias("mean"), F.when(F.col(f"s_{i}") > 0, F.col(f"s_{i}")).otherwise(1.0).alias("scale")) for i, c in enumerate(columns)])).alias("p")).select("p.*")
-    medians = df.agg(*[F.percentile(c, F.lit(0.5)).alias(f"d_{i}") for i, c in enumerate(columns)])
-    medians = medians.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"d_{i}").alias("median")) for i, c in enumerate(columns)])).alias("p")).select("p.*")
-    return stats.join(medians, "column")
+    row = df.agg(*[f(c).alias(f"{n}_{i}") for i, c in enumerate(columns) for n, f in (("m", F.avg), ("s", spread))]).first()
+    medians = stats.exact_quantiles(df, columns, [0.5])
+    rows = [(c, row[f"m_{i}"], row[f"s_{i}"] if (row[f"s_{i}"] or 0) > 0 else 1.0, medians[c][0]) for i, c in enumerate(columns)]
+    return df.sparkSession.createDataFrame(rows, "column string, mean double, scale double, median double")
 
 
 def scale(df: DataFrame, fitted: DataFrame) -> DataFrame:
@@ -34,10 +35,10 @@ def encode(df: DataFrame, categories: dict[str, list]) -> DataFrame:
     return df
 
 
-def impute_median(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Exact medians of all columns in one aggregation, then filled in."""
-    row = df.agg(*[F.percentile(c, F.lit(0.5)).alias(c) for c in columns]).first()
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(row[c]).cast("double")) for c in columns})
+def impute_median(df: DataFrame, columns: list[str], fitted: dict[str, float | None] | None = None) -> DataFrame:
+    """Exact medians of all columns, or fitted ones, are filled in."""
+    medians = fitted or {c: q[0] for c, q in stats.exact_quantiles(df, columns, [0.5]).items()}
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(medians[c]).cast("double")) for c in columns})
 
 
 def impute_mean(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -45,16 +46,33 @@ def impute_mean(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(row[c]).cast("double")) for c in columns})
 
 
-def impute_scale_categorize(df: DataFrame, key: str, categories: dict[str, list] | None = None, do_scale: bool = True, do_impute: bool = True, ddof: int = 1) -> DataFrame:
-    """Mask, cast, scale, encode, impute: scaling comes before imputing, and encoded columns are imputed too."""
-    categories = categories or {}
+def impute_scale_categorize(df: DataFrame, key: str, categories: dict[str, list] | None = None, do_scale: bool = True, do_impute: bool = True, ddof: int = 1, store: str | None = None) -> DataFrame:
+    """Mask, cast, scale, encode, impute: scaling comes before imputing, and encoded columns are imputed too.
+
+    store: a folder for what is fitted. If it is there already, it is used instead of being fitted anew, so that new rows are
+    scaled and imputed as those it was fitted on.
+    """
+    categories, spark = categories or {}, df.sparkSession
+    restored = store is not None and tables.path_exists(spark, f"{store}/imputer")
     df = mask_tokens(df)
     numeric = [c for c in df.columns if c != key and c not in categories]
     df = df.withColumns({c: F.col(c).try_cast("double") for c in numeric})
     if do_scale and numeric:
-        df = scale(df, fit(df, numeric, ddof))
+        fitted = spark.read.parquet(f"{store}/scaler") if restored else fit(df, numeric, ddof)
+        if store and not restored:
+            fitted.coalesce(1).write.mode("overwrite").parquet(f"{store}/scaler")
+        df = scale(df, fitted)
     df = encode(df, categories)
-    return impute_median(df, [c for c in df.columns if c != key]) if do_impute else df
+    if not do_impute:
+        return df
+    columns = [c for c in df.columns if c != key]
+    if restored:
+        medians = {r["column"]: r["median"] for r in spark.read.parquet(f"{store}/imputer").collect()}
+    else:
+        medians = {c: q[0] for c, q in stats.exact_quantiles(df, columns, [0.5]).items()}
+        if store:
+            spark.createDataFrame(list(medians.items()), "column string, median double").coalesce(1).write.mode("overwrite").parquet(f"{store}/imputer")
+    return impute_median(df, columns, medians)
 
 
 def split(df: DataFrame, key: str, test_percent: int = 20, seed: int = 42) -> DataFrame:

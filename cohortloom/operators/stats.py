@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-#: Ranges that a cumulative distribution is cut into, so that no task sorts a whole column.
-RANGES = 64
+#: Ranges that a cumulative distribution is cut into, at least, and rows of a range, so that no task sorts a whole column.
+RANGES, RANGE_ROWS = 64, 2_000_000
+#: Rows that one task may rank or hold; share of the rows that a quantile is bracketed by on both sides.
+EXACT_ROWS, SKETCH_ERROR = 1_000_000, 0.002
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -32,13 +36,74 @@ def null_profile(df: DataFrame) -> DataFrame:
     return _long(row, df.columns, {"n_null": "long", "pct_null": "double"})
 
 
+def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float], rows: int | None = None) -> dict[str, list[float | None]]:
+    """The exact quantiles of each column, as percentile() gives them; columns x probabilities numbers come to the driver.
+
+    percentile() holds every distinct value of a column in one task. So from EXACT_ROWS rows on, each quantile is bracketed by a
+    sketch, and what lies in the brackets is bracketed again until it is few rows; these are ranked. rows: their number, if known.
+    """
+    values = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(f"x{i}") for i, c in enumerate(columns)])
+    if (df.count() if rows is None else rows) <= EXACT_ROWS:
+        row = values.agg(*[F.percentile(f"x{i}", F.array(*map(F.lit, probabilities))).alias(f"q{i}") for i in range(len(columns))]).first()
+        return {c: list(row[f"q{i}"] or [None] * len(probabilities)) for i, c in enumerate(columns)}
+    counts = values.agg(*[F.count(f"x{i}").alias(f"n{i}") for i in range(len(columns))]).first()
+    out = {}
+    for i, c in enumerate(columns):
+        n = counts[f"n{i}"]
+        places = [p * (n - 1) for p in probabilities] if n else []
+        own = values.select(F.col(f"x{i}").alias("x")).where("x is not null")
+        ranked = _ranked(own, sorted({r for p in places for r in (math.floor(p), math.ceil(p))}), n)
+        out[c] = [(math.floor(p) + 1 - p) * ranked[math.floor(p)] + (p - math.floor(p)) * ranked[math.ceil(p)] for p in places] or [None] * len(probabilities)
+    return out
+
+
+def _ranked(own: DataFrame, ranks: list[int], n: int) -> dict[int, float]:
+    """The value of each rank (from 0) among the n values x of a frame, by brackets that narrow until they hold few rows.
+
+    A bracket is an open interval with the number of rows below and within it. A rank that falls on an end of a new bracket is
+    found, so frequent values are no obstacle and every bracket has fewer rows than the one before.
+    """
+    bracket, out = dict.fromkeys(ranks, (None, None, 0, n)), {}
+    inside = lambda low, high: (F.lit(True) if low is None else F.col("x") > low) & (F.lit(True) if high is None else F.col("x") < high)
+    while open_ := {b for r, b in bracket.items() if r not in out and b[3] > EXACT_ROWS}:
+        ends = {}
+        for b in open_:
+            mine = [r for r in ranks if r not in out and bracket[r] == b]
+            near = [min(1.0, max(0.0, (r - b[2]) / b[3] + e)) for r in mine for e in (-SKETCH_ERROR, SKETCH_ERROR)]
+            found = own.where(inside(*b[:2])).approxQuantile("x", near, SKETCH_ERROR / 2)
+            ends |= {r: (found[2 * k], found[2 * k + 1]) for k, r in enumerate(mine)}
+        points = sorted({x for pair in ends.values() for x in pair})
+        row = own.agg(*[f for k, x in enumerate(points) for f in (F.count_if(F.col("x") < x).alias(f"b{k}"), F.count_if(F.col("x") == x).alias(f"e{k}"))]).first()
+        below, equal = ({x: row[f"{c}{k}"] for k, x in enumerate(points)} for c in "be")
+        for r, (low, high) in ends.items():
+            for x in (low, high):
+                if below[x] <= r < below[x] + equal[x]:
+                    out[r] = x
+            if r < below[low]:  # the sketch was off: all that is below
+                bracket[r] = (bracket[r][0], low, bracket[r][2], below[low] - bracket[r][2])
+            elif r >= below[high] + equal[high]:
+                bracket[r] = (high, bracket[r][1], below[high] + equal[high], bracket[r][2] + bracket[r][3] - below[high] - equal[high])
+            elif r not in out:
+                bracket[r] = (low, high, below[low] + equal[low], below[high] - below[low] - equal[low])
+    left = sorted({bracket[r] for r in ranks if r not in out}, key=str)
+    if left:
+        hits = F.array(*[F.when(inside(*b[:2]), F.lit(k)) for k, b in enumerate(left)])
+        rows = own.select("x", F.explode(F.array_compact(hits)).alias("k"))
+        place = F.row_number().over(Window.partitionBy("k").orderBy("x")) - 1  # EXACT_ROWS rows a bracket at most
+        wanted = [(left.index(bracket[r]), r - bracket[r][2], r) for r in ranks if r not in out]
+        chosen = reduce(lambda a, b: a | b, [(F.col("k") == k) & (F.col("place") == p) for k, p, _ in wanted])
+        found = {(r["k"], r["place"]): r["x"] for r in rows.withColumn("place", place).where(chosen).collect()}
+        out |= {r: found[k, p] for k, p, r in wanted}
+    return out
+
+
 def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """column, n, mean, std, min, q25, q50, q75, max, with exact quartiles."""
     columns = columns or numeric_columns(df)
+    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
     aggs = []
     for i, c in enumerate(columns):
-        q = F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-        aggs += [F.count(c).alias(f"n_{i}"), F.avg(c).alias(f"mean_{i}"), F.stddev_samp(c).alias(f"std_{i}"), F.min(c).alias(f"min_{i}"), F.max(c).alias(f"max_{i}"), *[q[k].alias(f"{n}_{i}") for k, n in enumerate(("q25", "q50", "q75"))]]
+        aggs += [F.count(c).alias(f"n_{i}"), F.avg(c).alias(f"mean_{i}"), F.stddev_samp(c).alias(f"std_{i}"), F.min(c).alias(f"min_{i}"), F.max(c).alias(f"max_{i}"), *[F.lit(x).alias(f"{n}_{i}") for x, n in zip(quartiles[c], ("q25", "q50", "q75"))]]
     return _long(df.agg(*aggs), columns, {"n": "long"} | dict.fromkeys(("mean", "std", "min", "q25", "q50", "q75", "max"), "double"))
 
 
@@ -74,10 +139,12 @@ def _cumulative(a: DataFrame, b: DataFrame, column: str) -> DataFrame:
     """
     x = F.col(column).cast("double")
     both = a.select(x.alias("x"), F.lit(1).alias("u"), F.lit(0).alias("v")).unionByName(b.select(x.alias("x"), F.lit(0).alias("u"), F.lit(1).alias("v"))).where("x is not null")
-    cuts = sorted(set(both.approxQuantile("x", [i / RANGES for i in range(1, RANGES)], 0.005)))
-    part = sum((F.when(F.col("x") > c, 1).otherwise(0) for c in cuts), F.lit(0))
+    ranges = max(RANGES, -(-both.count() // RANGE_ROWS))
+    cuts = sorted(set(both.approxQuantile("x", [i / ranges for i in range(1, ranges)], min(0.005, 0.3 / ranges))))
+    # the number of cuts below x
+    part = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col("x"))) if cuts else F.lit(0)
     counts = both.groupBy("x").agg(F.sum("u").alias("u"), F.sum("v").alias("v")).withColumn("part", part)
-    every = Window.orderBy("part")  # RANGES rows at most
+    every = Window.orderBy("part")  # one row a range
     totals = counts.groupBy("part").agg(F.sum("u").alias("pu"), F.sum("v").alias("pv"), F.min("x").alias("first_x"))
     earlier = every.rowsBetween(Window.unboundedPreceding, -1)
     whole = every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

@@ -87,6 +87,11 @@ def convert_large(spark: SparkSession, sources: dict[str, str], folder: str, lea
     return done
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def size_mb(spark: SparkSession, path: str) -> float:
     """By the file system that Spark reads the path from."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
