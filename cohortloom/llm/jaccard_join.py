@@ -199,8 +199,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int) ->
     to every part of its pairs. Within a part the texts stream past the set of a.
     """
     spark = docs.sparkSession
-    sizes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PART_PAIRS).cast("int").alias("parts"))
-    owned = pairs.join(sizes, "a").withColumn("part", F.pmod(F.hash("b"), "parts"))
+    sizes = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).withColumn("parts", F.ceil(F.col("n") / PART_PAIRS).cast("int"))
+    owned = join_by_hot_keys(pairs, sizes, "a", F.col("n") * HOT_PARTS > pairs.count(), "n").withColumn("part", F.pmod(F.hash("b"), "parts"))
     seats = owned.select("a", "part", F.col("b").alias("class")).unionByName(sizes.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("a").alias("class")))
     used = written(seats.join(classes, "class").select("doc_id", "text_key", "a", "part", "class"), "used")
     slots = max(FILTER_SLOTS[0], 1 << (8 * used.count()).bit_length())
