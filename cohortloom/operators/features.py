@@ -9,6 +9,10 @@ from cohortloom.operators.transforms import mask_tokens
 from cohortloom.sources import tables
 
 
+#: The seeded order of a sample is a multiplication modulo this prime.
+SAMPLE_PRIME = 2_147_483_647
+
+
 def fit(df: DataFrame, columns: list[str], ddof: int = 1) -> DataFrame:
     """column, mean, scale, median (of the values as they are). A row for each column: it can be written, and read for new rows."""
     spread = F.stddev_samp if ddof else F.stddev_pop
@@ -80,5 +84,9 @@ def split(df: DataFrame, key: str, test_percent: int = 20, seed: int = 42) -> Da
     return df.withColumn("is_test", F.pmod(F.col(key) * 7919 + seed, F.lit(100)) < test_percent)
 
 
-def sample_n(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    return df.orderBy(F.rand(seed)).limit(n)
+def sample_n(df: DataFrame, n: int, seed: int = 42, key: str | None = None) -> DataFrame:
+    """Exactly n rows (all, if there are fewer) in a seeded order of the key, or of the rows: the same whatever the partitioning."""
+    if key is None:
+        return df.orderBy(F.xxhash64(F.lit(seed), *df.columns), *df.columns).limit(n)
+    mixed = F.pmod(F.pmod(F.col(key), F.lit(SAMPLE_PRIME)) * 48_271 + seed, F.lit(SAMPLE_PRIME))
+    return df.orderBy(mixed, key).limit(n)

@@ -175,6 +175,16 @@ def plausible(df: DataFrame, part_of_name: str = "BMI", below: float = 100) -> D
     return df.where(F.col(found[0]).try_cast("double") < below) if found else df
 
 
+def intervals_to_days(df: DataFrame) -> DataFrame:
+    """Day-time intervals become whole days, rounded down."""
+    start = F.lit("1970-01-01").cast("timestamp_ntz")
+    return df.withColumns({c: whole_days(start, start + F.col(c)) for c, t in df.dtypes if t.startswith("interval day")})
+
+
+def decimals_to_double(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("double") for c, t in df.dtypes if t.startswith("decimal")})
+
+
 def mask_tokens(df: DataFrame, tokens: tuple[str, ...] = ("", "_", "__", "___")) -> DataFrame:
     """NULL for tokens that stand for missing, in all text columns."""
     return df.withColumns({c: F.when(~F.col(c).isin(*tokens), F.col(c)) for c, t in df.dtypes if t == "string"})

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import DataFrame, functions as F
 
-from cohortloom.operators import stats
+from cohortloom.operators import stats, transforms
+from cohortloom.sources import tables
 
-BINS = 30
+#: Bins of a chart, and of a number in a pair with a category.
+BINS, CONTINGENCY_BINS = 30, 10
 
 
 def common_columns(real: DataFrame, synthetic: DataFrame, wanted: list[str] | None = None) -> list[str]:
@@ -30,13 +33,42 @@ def column_shapes(real: DataFrame, synthetic: DataFrame, columns: list[str]) ->
 
 
 def pair_trends(real: DataFrame, synthetic: DataFrame, columns: list[str]) -> DataFrame:
-    """property, column ("a|b"), score: 1 - half the difference of the correlations of each pair of numbers."""
+    """property, column ("a|b"), score: 1 - half the difference of the correlations of two numbers, contingency similarity of other pairs."""
     numeric = [c for c in columns if c in set(stats.numeric_columns(real))]
-    if len(numeric) < 2:
-        return real.sparkSession.createDataFrame([], "property string, column string, score double")
-    a, b = stats.correlations(real, numeric), stats.correlations(synthetic, numeric).withColumnRenamed("r", "s")
-    both = a.join(b, ["a", "b"])
-    return both.select(F.lit("trend").alias("property"), F.concat_ws("|", "a", "b").alias("column"), (1 - F.abs(F.col("r") - F.col("s")) / 2).alias("score"))
+    parts = [real.sparkSession.createDataFrame([], "property string, column string, score double")]
+    if len(numeric) > 1:
+        a, b = stats.correlations(real, numeric), stats.correlations(synthetic, numeric).withColumnRenamed("r", "s")
+        both = a.join(b, ["a", "b"])
+        parts.append(both.select(F.lit("trend").alias("property"), F.concat_ws("|", "a", "b").alias("column"), (1 - F.abs(F.col("r") - F.col("s")) / 2).alias("score")))
+    mixed = [(a, b) for a, b in combinations(columns, 2) if a not in numeric or b not in numeric]
+    if mixed:
+        x, y = _categories(real, synthetic, columns, numeric)
+        for a, b in mixed:
+            parts.append(_contingency(x, y, a, b).select(F.lit("trend").alias("property"), F.lit(f"{a}|{b}").alias("column"), "score"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _categories(real: DataFrame, synthetic: DataFrame, columns: list[str], numeric: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Both frames with numbers as one of CONTINGENCY_BINS equal bins of the real values (-1 below them, and one more above)."""
+    ends = real.agg(*[f(F.col(c).cast("double")).alias(f"{n}{i}") for i, c in enumerate(numeric) for n, f in (("l", F.min), ("h", F.max))]).first() if numeric else None
+    bins = {}
+    for i, c in enumerate(numeric):
+        low, high, x = ends[f"l{i}"], ends[f"h{i}"], F.col(c).cast("double")
+        if low is None:
+            bins[c] = F.when(x.isNotNull(), F.lit(0))
+            continue
+        at = F.least(F.lit(CONTINGENCY_BINS - 1), F.floor((x - F.lit(low)) / F.lit((high - low) / CONTINGENCY_BINS or 1.0)).cast("int"))
+        bins[c] = F.when(x < low, -1).when(x > high, CONTINGENCY_BINS).when(x.isNotNull(), at)
+    made = [bins.get(c, F.col(c)).alias(c) for c in columns]
+    return real.select(*made), synthetic.select(*made)
+
+
+def _contingency(real: DataFrame, synthetic: DataFrame, a: str, b: str) -> DataFrame:
+    """score: 1 - half the sum of the differences of the shares of each pair of values, over the rows that have both."""
+    counts = lambda d, n: d.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(F.col(a).alias("a"), F.col(b).alias("b")).agg(F.count(F.lit(1)).alias(n))
+    both = counts(real, "u").join(counts(synthetic, "v"), ["a", "b"], "full_outer").na.fill(0, ["u", "v"])
+    totals = both.agg(F.sum("u").alias("nu"), F.sum("v").alias("nv"))
+    return both.crossJoin(F.broadcast(totals)).agg((1 - F.sum(F.abs(F.col("u") / F.col("nu") - F.col("v") / F.col("nv"))) / 2).alias("score"))  # totals is one row
 
 
 def quality(real: DataFrame, synthetic: DataFrame, columns: list[str]) -> DataFrame:
@@ -57,16 +89,38 @@ def correlation_difference(real: DataFrame, synthetic: DataFrame, columns: list[
     return a.join(b, ["a", "b"]).select("a", "b", (F.col("s") - F.col("r")).alias("difference"))
 
 
+def describe_difference(real: DataFrame, synthetic: DataFrame, columns: list[str]) -> DataFrame:
+    """column, and synthetic - real of n, mean, std, min, quartiles and max."""
+    a, b = stats.describe(real, columns), stats.describe(synthetic, columns)
+    names = [c for c in a.columns if c != "column"]
+    return a.join(b.withColumnsRenamed({c: f"s_{c}" for c in names}), "column").select("column", *[(F.col(f"s_{c}") - F.col(c)).alias(c) for c in names])
+
+
 def audit(real: DataFrame, synthetic: DataFrame, columns: list[str] | None = None) -> dict[str, DataFrame]:
     """All tables of an audit; charts are tables of bins and counts."""
     columns = common_columns(real, synthetic, columns)
     numeric = [c for c in columns if c in set(stats.numeric_columns(real))]
     out = {"quality": quality(real, synthetic, columns), "nulls": compare_nulls(real, synthetic, columns)}
     if numeric:
-        out |= {"real_numbers": stats.describe(real, numeric), "synthetic_numbers": stats.describe(synthetic, numeric)}
+        out |= {"real_numbers": stats.describe(real, numeric), "synthetic_numbers": stats.describe(synthetic, numeric), "number_differences": describe_difference(real, synthetic, numeric)}
     if len(numeric) > 1:
         out["correlations"] = correlation_difference(real, synthetic, numeric)
     for side, frame in (("real", real), ("synthetic", synthetic)):
         out |= {f"{side}_histogram_{c}": stats.histogram(frame, c, BINS) for c in numeric}
         out |= {f"{side}_counts_{c}": stats.value_counts(frame, c) for c in [c for c in columns if c not in numeric][:5]}
     return out
+
+
+def run(real: DataFrame, synthetic: DataFrame, folder: str, columns: list[str] | None = None, plausible: bool = True) -> dict[str, list[dict]]:
+    """The audit stage: plausible rows only, intervals as days, every table of audit() as one JSON report in the folder.
+
+    The tables have a row a column, pair, bin or frequent value, so the report is small whatever the frames are.
+    """
+    if plausible:
+        real, synthetic = transforms.plausible(real), transforms.plausible(synthetic)
+    real, synthetic = transforms.intervals_to_days(real), transforms.intervals_to_days(synthetic)
+    if real.isEmpty() or synthetic.isEmpty():
+        raise ValueError("a table without rows cannot be audited")
+    report = {name: [r.asDict() for r in table.collect()] for name, table in audit(real, synthetic, columns).items()}
+    tables.write_json(real.sparkSession, report, f"{folder}/audit_report.json")
+    return report

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cohortloom.operators import stats
+from cohortloom.operators import stats, transforms
 from cohortloom.operators.features import impute_mean
 from cohortloom.operators.neighbours import nearest
+from cohortloom.sources import tables
 
 
 def scaled_pair(real: DataFrame, synthetic: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -33,16 +36,18 @@ def closest_records(real: DataFrame, synthetic: DataFrame, key: str, columns: li
     return nearest(b.withColumnRenamed(key, "synthetic_id"), a.withColumnRenamed(key, "real_id"), "synthetic_id", "real_id", columns).drop("place")
 
 
-def distance_stats(distances: DataFrame) -> DataFrame:
-    """mean, median, min, max, std (ddof 0) of the distances."""
+def distance_stats(distances: DataFrame, rows: int | None = None) -> DataFrame:
+    """mean, median, min, max, std (ddof 0) of the distances. rows: their number, if known; keep many distances (persist) first."""
     d = F.col("distance")
-    return distances.agg(F.avg(d).alias("mean"), F.percentile(d, F.lit(0.5)).alias("median"), F.min(d).alias("min"), F.max(d).alias("max"), F.stddev_pop(d).alias("std"))
+    median = stats.exact_quantiles(distances, ["distance"], [0.5], rows)["distance"][0]
+    return distances.agg(F.avg(d).alias("mean"), F.lit(median).cast("double").alias("median"), F.min(d).alias("min"), F.max(d).alias("max"), F.stddev_pop(d).alias("std"))
 
 
-def membership_inference(distances: DataFrame) -> DataFrame:
+def membership_inference(distances: DataFrame, rows: int | None = None) -> DataFrame:
     """threshold (10th percentile), n_below, rate (higher is riskier; about 0.1 by the choice of the threshold)."""
-    threshold = distances.agg(F.percentile("distance", F.lit(0.1)).alias("threshold"))
-    return distances.crossJoin(F.broadcast(threshold)).groupBy("threshold").agg(F.sum((F.col("distance") < F.col("threshold")).cast("long")).alias("n_below"), F.avg((F.col("distance") < F.col("threshold")).cast("double")).alias("rate"))  # threshold is one row
+    threshold = F.lit(stats.exact_quantiles(distances, ["distance"], [0.1], rows)["distance"][0]).cast("double")
+    below = F.col("distance") < threshold
+    return distances.agg(threshold.alias("threshold"), F.sum(below.cast("long")).alias("n_below"), F.avg(below.cast("double")).alias("rate"))
 
 
 def attribute_disclosure(real: DataFrame, synthetic: DataFrame, key: str, known: list[str], sensitive: list[str]) -> DataFrame:
@@ -85,44 +90,119 @@ def numerical_lr(real: DataFrame, synthetic: DataFrame, known: str, sensitive: s
 
 
 def linkability(real: DataFrame, synthetic: DataFrame, key: str, left: list[str], right: list[str], attack: Column, k: int = 10) -> DataFrame:
-    """n_attacks, n_linked, rate: attacked rows whose k nearest synthetic rows by the left and by the right columns meet.
+    """n_attacks, n_linked, rate, baseline, risk: attacked rows whose k nearest synthetic rows by the left and by the right columns meet.
 
-    attack picks the rows that are attacked, a deterministic query set.
+    attack picks the rows that are attacked, a deterministic query set. baseline: the chance that two random sets of k rows
+    meet; risk = rate - baseline (higher is riskier).
     """
     a, b = scaled_pair(real, synthetic, [*left, *right])
     attacked = a.where(attack).withColumnRenamed(key, "real_id")
     table = b.withColumnRenamed(key, "synthetic_id")
+    n = synthetic.count()
+    apart = math.prod(max(0, n - k - i) / (n - i) for i in range(min(k, n)))
     by = [nearest(attacked, table, "real_id", "synthetic_id", c, k).select("real_id", "synthetic_id") for c in (left, right)]
     linked = by[0].join(by[1], ["real_id", "synthetic_id"]).select("real_id").distinct().withColumn("hit", F.lit(1))
-    return attacked.select("real_id").join(linked, "real_id", "left").agg(F.count(F.lit(1)).alias("n_attacks"), F.count("hit").alias("n_linked"), F.avg(F.coalesce(F.col("hit"), F.lit(0)).cast("double")).alias("rate"))
+    row = attacked.select("real_id").join(linked, "real_id", "left").agg(F.count(F.lit(1)).alias("n_attacks"), F.count("hit").alias("n_linked"), F.avg(F.coalesce(F.col("hit"), F.lit(0)).cast("double")).alias("rate"))
+    return row.withColumn("baseline", F.lit(1 - apart)).withColumn("risk", F.col("rate") - F.col("baseline"))
+
+
+def singling_out(real: DataFrame, synthetic: DataFrame, columns: list[str]) -> DataFrame:
+    """column, n_attacks, n_singled, rate, baseline, risk of univariate predicates that come from the synthetic table.
+
+    An attack guesses that exactly one real row has a value that exactly one synthetic row has. baseline: the share of all values
+    of either table that exactly one real row has, which is what a guess without the synthetic counts achieves; risk = rate -
+    baseline (higher is riskier).
+    """
+    parts = []
+    for c in columns:
+        counts = lambda d, n: d.where(F.col(c).isNotNull()).groupBy(F.col(c).alias("value")).agg(F.count(F.lit(1)).alias(n))  # noqa: E731, B023
+        both = counts(real, "u").join(counts(synthetic, "v"), "value", "full_outer")
+        attack, single = F.coalesce(F.col("v") == 1, F.lit(False)), F.coalesce(F.col("u") == 1, F.lit(False))
+        row = both.agg(F.count_if(attack).alias("n_attacks"), F.count_if(attack & single).alias("n_singled"), F.avg(single.cast("double")).alias("baseline"))
+        parts.append(row.select(F.lit(c).alias("column"), "n_attacks", "n_singled", F.when(F.col("n_attacks") > 0, F.col("n_singled") / F.col("n_attacks")).alias("rate"), "baseline"))
+    return reduce(DataFrame.unionByName, parts).withColumn("risk", F.col("rate") - F.col("baseline"))
+
+
+def inference(real: DataFrame, synthetic: DataFrame, key: str, known: list[str], secret: str, attack: Column, tolerance: float = 0.05) -> DataFrame:
+    """n_attacks, n_right, rate, baseline, risk: attacked rows whose secret the nearest synthetic row by the known columns tells.
+
+    A guess is right if it differs by tolerance x the true number at most (a category: if it is equal). baseline: the same with one
+    guess for all rows, the synthetic median (the most frequent category, ties to the first); risk = rate - baseline.
+    """
+    number = secret in stats.numeric_columns(real)
+    a, b = scaled_pair(real.select(key, *known), synthetic.select(key, *known), known)
+    truth = real.where(attack & F.col(secret).isNotNull()).select(F.col(key).alias("real_id"), F.col(secret).alias("true"))
+    near = nearest(a.where(attack).withColumnRenamed(key, "real_id"), b.withColumnRenamed(key, "synthetic_id"), "real_id", "synthetic_id", known)
+    guesses = synthetic.select(F.col(key).alias("synthetic_id"), F.col(secret).alias("guess"))
+    if number:
+        blind = F.lit(stats.exact_quantiles(synthetic, [secret], [0.5])[secret][0]).cast("double")
+        right = lambda g: F.coalesce(F.abs(g - F.col("true")) <= tolerance * F.abs(F.col("true")), F.lit(False))
+    else:
+        top = stats.value_counts(synthetic, secret, 1).first()
+        blind = F.lit(top["value"] if top else None)
+        right = lambda g: F.coalesce(g == F.col("true"), F.lit(False))
+    both = truth.join(near.join(guesses, "synthetic_id").select("real_id", "guess"), "real_id", "left")
+    row = both.agg(F.count(F.lit(1)).alias("n_attacks"), F.count_if(right(F.col("guess"))).alias("n_right"), F.avg(right(blind).cast("double")).alias("baseline"))
+    return row.select("n_attacks", "n_right", F.when(F.col("n_attacks") > 0, F.col("n_right") / F.col("n_attacks")).alias("rate"), "baseline").withColumn("risk", F.col("rate") - F.col("baseline"))
 
 
 def risk_band(risk: Column) -> Column:
     return F.when(risk < 0.1, "low").when(risk < 0.3, "medium").when(risk.isNotNull(), "high")
 
 
-def evaluate(real: DataFrame, synthetic: DataFrame, key: str) -> DataFrame:
-    """section, column, metric, value of all metrics over the columns that both frames have."""
+def evaluate(real: DataFrame, synthetic: DataFrame, key: str, attack: Column | None = None) -> DataFrame:
+    """section, column, metric, value of all metrics over the columns that both frames have, and the mean of the risks.
+
+    attack picks the rows that linkability and inference attack (without it, those whose key is divisible by 20). The metrics are a
+    few numbers a column, so each is computed at once and the distances that several of them share are released.
+    """
     common = [c for c in real.columns if c in synthetic.columns and c != key]
     if not common:
         raise ValueError("the two tables have no column in common")
+    attack = F.pmod(F.col(key).cast("long"), F.lit(20)) == 0 if attack is None else attack
     numeric = [c for c in stats.numeric_columns(real) if c in common]
     categorical = [c for c in stats.categorical_columns(real) if c in common]
-    parts = [_metrics(new_row_share(real, synthetic, common), "new_rows", "", ["share"])]
+    rows: list[tuple] = []
+
+    def add(row: DataFrame, section: str, names: list[str], column: str = "") -> None:
+        for r in row.collect():
+            rows.extend((section, r["column"] if "column" in row.columns else column, n, None if r[n] is None else float(r[n])) for n in names)
+
+    add(new_row_share(real, synthetic, common), "new_rows", ["share"])
     for c in numeric:
-        parts += [_metrics(stats.ks_statistic(real, synthetic, c), "numeric", c, ["ks"]), _metrics(stats.wasserstein(real, synthetic, c), "numeric", c, ["w1"])]
+        sizes = F.lit(real.where(F.col(c).isNotNull()).count()), F.lit(synthetic.where(F.col(c).isNotNull()).count())
+        add(stats.ks_statistic(real, synthetic, c).withColumn("p_value", stats.ks_p_value(F.col("ks"), *sizes)), "numeric", ["ks", "p_value"], c)
+        add(stats.wasserstein(real, synthetic, c), "numeric", ["w1"], c)
+    for c in numeric[1:]:
+        add(numerical_lr(real, synthetic, numeric[0], c), "numerical_lr", ["relative_error"], c)
     for c in categorical[1:]:
-        parts.append(_metrics(categorical_cap(real, synthetic, [categorical[0]], c), "cap", c, ["protection"]))
+        add(categorical_cap(real, synthetic, [categorical[0]], c), "cap", ["protection"], c)
+    add(singling_out(real, synthetic, common), "singling_out", ["rate", "baseline", "risk"])
     if numeric:
-        near = closest_records(real, synthetic, key, numeric).cache()
-        parts += [_metrics(distance_stats(near), "closest", "", ["mean", "median", "min", "max", "std"]), _metrics(membership_inference(near), "membership", "", ["threshold", "rate"])]
+        near, n = closest_records(real, synthetic, key, numeric).persist(StorageLevel.DISK_ONLY), synthetic.count()
+        add(distance_stats(near, n), "closest", ["mean", "median", "min", "max", "std"])
+        add(membership_inference(near, n), "membership", ["threshold", "rate"])
+        near.unpersist()
     if len(numeric) > 1:
         known, sensitive = numeric[: min(3, len(numeric) - 1)], numeric[min(3, len(numeric) - 1) :][:3]
-        told = attribute_disclosure(real, synthetic, key, known, sensitive)
-        parts.append(told.select(F.lit("attribute").alias("section"), "column", F.lit("risk").alias("metric"), F.col("risk").alias("value")))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _metrics(row: DataFrame, section: str, column: str, names: list[str]) -> DataFrame:
-    cells = F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).cast("double").alias("value")) for n in names])
-    return row.select(F.lit(section).alias("section"), F.lit(column).alias("column"), F.explode(cells).alias("m")).select("section", "column", "m.*")
+        add(attribute_disclosure(real, synthetic, key, known, sensitive), "attribute", ["risk"])
+        add(linkability(real, synthetic, key, numeric[:1], numeric[1:2], attack), "linkability", ["rate", "baseline", "risk"])
+        add(inference(real, synthetic, key, numeric[1:4], numeric[0], attack), "inference", ["rate", "baseline", "risk"], numeric[0])
+    risks = {s: [v for section, _, m, v in rows if section == s and m == ("rate" if s == "membership" else "risk") and v is not None] for s in ("singling_out", "linkability", "inference", "membership", "attribute")}
+    means = [sum(v) / len(v) for v in risks.values() if v]
+    if means:
+        rows.append(("summary", "", "mean_risk", sum(means) / len(means)))
+    return real.sparkSession.createDataFrame(rows, "section string, column string, metric string, value double")
+
+
+def run(real: DataFrame, synthetic: DataFrame, key: str, folder: str, plausible: bool = True) -> dict[str, dict]:
+    """The privacy stage: plausible rows only, intervals as days, the metrics with the band of each risk as one JSON report in the folder."""
+    if plausible:
+        real, synthetic = transforms.plausible(real), transforms.plausible(synthetic)
+    real, synthetic = transforms.intervals_to_days(real), transforms.intervals_to_days(synthetic)
+    banded = evaluate(real, synthetic, key).withColumn("band", F.when(F.col("metric").isin("risk", "mean_risk"), risk_band(F.col("value"))))
+    report: dict[str, dict] = {}
+    for r in banded.collect():
+        report.setdefault(r["section"], {}).setdefault(r["column"], {})[r["metric"]] = r["value"] if r["band"] is None else {"value": r["value"], "band": r["band"]}
+    tables.write_json(real.sparkSession, report, f"{folder}/privacy_report.json")
+    return report

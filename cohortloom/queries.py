@@ -395,9 +395,9 @@ def split_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.split(load(spark, sf_dir, "customer").select("c_custkey"), "c_custkey")
 
 
-@query()
+@query("select c_custkey from customer order by ((c_custkey % 2147483647) * 48271 + 42) % 2147483647, c_custkey limit 100")
 def sample_n(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.sample_n(load(spark, sf_dir, "customer").select("c_custkey"), 100)
+    return features.sample_n(load(spark, sf_dir, "customer").select("c_custkey"), 100, key="c_custkey")
 
 
 CDF_SQL = """with b as (select l_extendedprice as x, 1 as u, 0 as v from lineitem where l_returnflag = 'R' union all select l_extendedprice, 0, 1 from lineitem where l_returnflag = 'A'),
@@ -410,6 +410,14 @@ def ks_statistic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(stats.ks_statistic(*_flags(spark, sf_dir), "l_extendedprice"))
 
 
+@query(CDF_SQL + """, s as (select (select max(abs(f - g)) from k) * sqrt(n * m / (n + m)) as t from (select cast(sum(u) as double) as n, cast(sum(v) as double) as m from b))
+    select round(case when t < 0.2 then 1.0 else greatest(0.0, least(1.0, (select 2 * sum((case when j % 2 = 1 then 1 else -1 end) * exp(-2.0 * j * j * t * t)) from range(1, 101) r(j)))) end, 6) as p_value from s""")
+def ks_p_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = _flags(spark, sf_dir)
+    made = stats.ks_statistic(a, b, "l_extendedprice")
+    return rounded(made.select(stats.ks_p_value(F.col("ks"), F.lit(float(a.count())), F.lit(float(b.count()))).alias("p_value")))
+
+
 @query(CDF_SQL + " select round(sum(abs(f - g) * (nx - x)), 4) as w1 from k")
 def wasserstein(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.wasserstein(*_flags(spark, sf_dir), "l_extendedprice").select(F.round("w1", 4).alias("w1"))
@@ -435,8 +443,22 @@ def _ks_sql(c: str) -> str:
       from (select {c} as x, sum((o_orderkey % 2 = 0)::int) as u, sum((o_orderkey % 2 = 1)::int) as v from orders group by 1)))"""
 
 
+def _contingency_sql(number: str, category: str) -> str:
+    at = f"case when x < lo then -1 when x > hi then 10 else least(9, floor((x - lo) / ((hi - lo) / 10))) end"
+    return f"""(select 1 - sum(abs(u / nu - v / nv)) / 2 from (select u, v, sum(u) over () as nu, sum(v) over () as nv from
+      (select {at} as a, y, count(*) filter (even) as u, count(*) filter (not even) as v from (select cast({number} as double) as x, {category} as y, o_orderkey % 2 = 0 as even from orders),
+        (select cast(min({number}) as double) as lo, cast(max({number}) as double) as hi from orders where o_orderkey % 2 = 0) group by 1, 2)))"""
+
+
+@query(f"select round({_contingency_sql('o_totalprice', 'o_orderpriority')}, 6) as score")
+def contingency_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    real, synthetic = _halves(spark, sf_dir, "orders", "o_orderkey")
+    return rounded(audit.pair_trends(real, synthetic, ["o_totalprice", "o_orderpriority"]).select("score"))
+
+
 @query(f"""with s as (select ({_ks_sql('o_totalprice')} + {_ks_sql('o_custkey')} + {_tv_sql('o_orderpriority')}) / 3 as shape,
-      1 - abs((select corr(o_totalprice, o_custkey) from orders where o_orderkey % 2 = 0) - (select corr(o_totalprice, o_custkey) from orders where o_orderkey % 2 = 1)) / 2 as trend)
+      (1 - abs((select corr(o_totalprice, o_custkey) from orders where o_orderkey % 2 = 0) - (select corr(o_totalprice, o_custkey) from orders where o_orderkey % 2 = 1)) / 2
+        + {_contingency_sql('o_totalprice', 'o_orderpriority')} + {_contingency_sql('o_custkey', 'o_orderpriority')}) / 3 as trend)
     select 'shape' as property, round(shape, 6) as score from s union all select 'trend', round(trend, 6) from s union all select 'overall', round((shape + trend) / 2, 6) from s""")
 def quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     real, synthetic = _halves(spark, sf_dir, "orders", "o_orderkey")
@@ -502,12 +524,41 @@ def numerical_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""with {NN_SQL},
     x as (select real_id, synthetic_id from r, s where real_id % 20 = 0 qualify row_number() over (partition by real_id order by abs(r.a - s.a), synthetic_id) <= 10),
     y as (select real_id, synthetic_id from r, s where real_id % 20 = 0 qualify row_number() over (partition by real_id order by abs(r.b - s.b), synthetic_id) <= 10),
-    h as (select distinct real_id from x join y using (real_id, synthetic_id))
-    select cast(count(*) as bigint) as n_attacks, cast(count(h.real_id) as bigint) as n_linked, round(count(h.real_id) / count(*), 6) as rate from (select real_id from r where real_id % 20 = 0) left join h using (real_id)""")
+    h as (select distinct real_id from x join y using (real_id, synthetic_id)),
+    m as (select 1 - product((n - 10 - i) / (n - i)) as baseline from (select count(*) as n from s), range(10) t(i)),
+    o as (select count(*) as n, count(h.real_id) as k from (select real_id from r where real_id % 20 = 0) left join h using (real_id))
+    select cast(n as bigint) as n_attacks, cast(k as bigint) as n_linked, round(k / n, 6) as rate, round(baseline, 6) as baseline, round(k / n - baseline, 6) as risk from o, m""")
 def linkability_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(privacy.linkability(*_customer_halves(spark, sf_dir), "c_custkey", ["c_acctbal"], ["c_nationkey"], F.col("c_custkey") % 20 == 0))
 
 
+SINGLE_COLUMNS = ["c_acctbal", "c_nationkey", "c_mktsegment"]
+
+
+@query(" union all ".join(f"""select '{c}' as "column", cast(count(*) filter (v = 1) as bigint) as n_attacks, cast(count(*) filter (u = 1 and v = 1) as bigint) as n_singled,
+      round(count(*) filter (u = 1 and v = 1) / nullif(count(*) filter (v = 1), 0), 6) as rate, round(count(*) filter (u = 1) / count(*), 6) as baseline,
+      round(count(*) filter (u = 1 and v = 1) / nullif(count(*) filter (v = 1), 0) - count(*) filter (u = 1) / count(*), 6) as risk
+    from (select count(*) filter (c_custkey % 2 = 0) as u, count(*) filter (c_custkey % 2 = 1) as v from customer where {c} is not null group by {c})""" for c in SINGLE_COLUMNS))
+def singling_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(privacy.singling_out(*_halves(spark, sf_dir, "customer", "c_custkey"), SINGLE_COLUMNS))
+
+
+@query(f"""with {NN_SQL}, g as (select real_id, synthetic_id from r, s where real_id % 20 = 0 qualify row_number() over (partition by real_id order by abs(r.b - s.b), synthetic_id) = 1),
+    c as (select c_custkey as id, c_acctbal as x from customer), m as (select quantile_cont(c_acctbal, 0.5) as blind from customer where c_custkey % 2 = 1),
+    o as (select count(*) as n, count(*) filter (abs(t.x - y.x) <= 0.25 * abs(t.x)) as k, avg((abs(blind - t.x) <= 0.25 * abs(t.x))::int) as baseline from g join c t on t.id = real_id join c y on y.id = synthetic_id, m)
+    select cast(n as bigint) as n_attacks, cast(k as bigint) as n_right, round(k / n, 6) as rate, round(baseline, 6) as baseline, round(k / n - baseline, 6) as risk from o""")
+def inference_attack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(privacy.inference(*_customer_halves(spark, sf_dir), "c_custkey", ["c_nationkey"], "c_acctbal", F.col("c_custkey") % 20 == 0, 0.25))
+
+
+@query("""with c as (select c_custkey % 2 = 0 as even, c_acctbal as x from customer)
+    select 'c_acctbal' as "column", cast(count(*) filter (not even) - count(*) filter (even) as bigint) as n, round(avg(x) filter (not even) - avg(x) filter (even), 6) as mean, round(stddev_samp(x) filter (not even) - stddev_samp(x) filter (even), 6) as std,
+      round(min(x) filter (not even) - min(x) filter (even), 6) as min, round(quantile_cont(x, 0.25) filter (not even) - quantile_cont(x, 0.25) filter (even), 6) as q25, round(quantile_cont(x, 0.5) filter (not even) - quantile_cont(x, 0.5) filter (even), 6) as q50,
+      round(quantile_cont(x, 0.75) filter (not even) - quantile_cont(x, 0.75) filter (even), 6) as q75, round(max(x) filter (not even) - max(x) filter (even), 6) as max from c""")
+def describe_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(audit.describe_difference(*_halves(spark, sf_dir, "customer", "c_custkey"), ["c_acctbal"]))
+
+
 @query("select p_size, case when p_size / 100.0 < 0.1 then 'low' when p_size / 100.0 < 0.3 then 'medium' else 'high' end as band, cast(count(*) as bigint) as n from part group by 1, 2")
 def risk_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "part").groupBy("p_size", privacy.risk_band(F.col("p_size") / 100.0).alias("band")).agg(F.count(F.lit(1)).alias("n"))
@@ -567,6 +618,15 @@ def gaussian_copula_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return synthesis.synthesize(load(spark, sf_dir, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_returnflag"], 1000)
 
 
+@query("select distinct l_returnflag as value, true as near from lineitem")
+def copula_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each category is drawn as often as it occurs, to two hundredths of all rows."""
+    rows = load(spark, sf_dir, "lineitem")
+    made = synthesis.synthesize(rows, ["l_quantity", "l_returnflag"], 20_000)
+    share = lambda d, n: d.groupBy(F.col("l_returnflag").alias("value")).agg((F.count(F.lit(1)) / F.lit(float(d.count()))).alias(n))
+    return share(rows, "u").join(share(made, "v"), "value", "full_outer").select("value", (F.abs(F.coalesce("u", F.lit(0)) - F.coalesce("v", F.lit(0))) < 0.02).alias("near"))
+
+
 @query()
 def privacy_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     real, synthetic = (h.select("c_custkey", "c_acctbal", "c_nationkey", "c_mktsegment") for h in _halves(spark, sf_dir, "customer", "c_custkey"))

@@ -3,7 +3,10 @@
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from cohortloom.operators import features, neighbours, stats
+from cohortloom.plans import audit, privacy, synthesis
 
 
 @pytest.mark.parametrize("kind", ["spread", "ties", "one value", "two values"])
@@ -47,3 +50,48 @@ def test_what_was_fitted_is_used_for_new_rows(spark, tmp_path):
     new = spark.createDataFrame([(2, 2.0, None), (100, 4000.0, 1.0)], "k long, a double, b double")
     again = {r.k: r for r in features.impute_scale_categorize(new, "k", store=store).collect()}
     assert again[2].a == first[2].a and again[2].b == first[3].b and again[100].a > 1000
+
+
+def test_columns_of_many_categories_are_drawn_by_their_shares(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(synthesis, "LISTED_CATEGORIES", 1000)
+    rows = [("common", 1.0)] * 5000 + [(f"v{i}", 0.0) for i in range(5000)] + [(None, 0.5)] * 1000
+    df = spark.createDataFrame(rows, "c string, x double")
+    made = synthesis.run(df, ["c", "x"], 20_000, str(tmp_path))
+    share = {r.c: r["count"] / 20_000 for r in made.groupBy("c").count().collect()}
+    assert abs(share["common"] - 5 / 11) < 0.01 and abs(share[None] - 1 / 11) < 0.01 and len(share) > 3000 and made.count() == 20_000
+    assert max(v for k, v in share.items() if k not in ("common", None)) < 0.002
+    again = synthesis.load_copula(spark, str(tmp_path / "synth_GC"))
+    assert again.metadata()["c"]["kind"] == "category" and 4500 < again.metadata()["c"]["distinct"] < 5500
+    assert sorted(map(str, synthesis.sample_gaussian_copula(spark, again, 20_000).collect())) == sorted(map(str, made.collect()))
+
+
+def test_synthesis_stage_converts_decimals_and_intervals(spark, tmp_path):
+    df = spark.range(200).selectExpr("cast(id / 3.0 as decimal(10, 2)) as d", "make_dt_interval(cast(id % 30 as int), 5) as i", "id % 7 as n")
+    made = synthesis.run(df, ["d", "i", "n"], 100, str(tmp_path))
+    assert dict(made.dtypes) == {"id": "bigint", "d": "double", "i": "bigint", "n": "bigint"} and made.agg(F.max("i")).first()[0] <= 29
+
+
+def test_attacks_tell_a_copy_from_noise(spark):
+    rng = np.random.default_rng(5)
+    real = spark.createDataFrame([(i, float(a), float(a + b / 10), "xyz"[i % 3]) for i, (a, b) in enumerate(rng.normal(size=(200, 2)))], "id long, v double, w double, c string")
+    noise = spark.createDataFrame([(i, float(a), float(b), "xyz"[int(k)]) for i, (a, b, k) in enumerate(np.c_[rng.normal(size=(200, 2)), rng.integers(0, 3, 200)])], "id long, v double, w double, c string")
+    every = F.col("id") >= 0
+    for made, low, high in ((real, 0.5, 1.0), (noise, -0.2, 0.2)):
+        assert low <= privacy.inference(real, made, "id", ["v"], "w", every).first().risk <= high
+        assert low <= privacy.linkability(real, made, "id", ["v"], ["w"], every, 3).first().risk <= high
+    assert privacy.inference(real, real, "id", ["v", "w"], "c", every).first().rate == 1.0
+    assert privacy.singling_out(real, real, ["v"]).first().rate == 1.0 and privacy.singling_out(real, noise, ["v"]).first().rate == 0.0
+
+
+def test_stages_write_their_reports(spark, tmp_path):
+    import json
+
+    a = spark.createDataFrame([(i, float(i), float(i % 5), "xy"[i % 2], float(i)) for i in range(80)], "id long, v double, w double, c string, BMI double")
+    report = audit.run(a, a, str(tmp_path), ["v", "c", "BMI"])
+    assert {r["property"]: r["score"] for r in report["quality"]} == {"shape": 1.0, "trend": 1.0, "overall": 1.0}
+    assert json.loads((tmp_path / "audit_report.json").read_text()).keys() == report.keys()
+    made = privacy.run(a, a, "id", str(tmp_path))
+    assert made["inference"]["v"]["risk"]["band"] == "high" and "mean_risk" in made["summary"][""] and made["numeric"]["v"]["p_value"] == 1.0
+    assert json.loads((tmp_path / "privacy_report.json").read_text()) == made
+    with pytest.raises(ValueError):
+        audit.run(a.limit(0), a, str(tmp_path))
