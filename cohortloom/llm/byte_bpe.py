@@ -37,7 +37,7 @@ from .session import discard, written
 from .token_count import WordCutter
 
 #: Texts whose words are folded ahead (in expectation), and the most words of them.
-SAMPLE_DOCS, MAX_WORDS = 30_000, 300_000
+SAMPLE_DOCS, MAX_WORDS = 50_000, 650_000
 #: Bytes of texts whose other words are folded together.
 BLOCK_BYTES = 4 << 20
 #: Ids of texts that are decoded at once (one longer text goes alone).
@@ -75,9 +75,6 @@ def _look_up(table: Column, key: Column, buckets: int) -> Column:
     return F.try_element_at(F.get(table, _bucket(key, buckets)), key)
 
 
-_EMPTY = "array<int>"
-
-
 def _let(value: Column, body) -> Column:
     """body(value), with value computed once."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -89,7 +86,7 @@ def _placed(state: Column) -> Column:
     def at(low: Column) -> Column:
         return F.when(low == NO_RANK, F.lit(0)).otherwise(F.array_position(state["ranks"], low).cast("int"))
 
-    return F.struct(state["parts"].alias("parts"), state["ranks"].alias("ranks"), _let(F.coalesce(F.array_min(state["ranks"]), F.lit(NO_RANK)), at).alias("at"))
+    return F.struct(state["parts"].alias("parts"), state["ranks"].alias("ranks"), _let(F.array_min(state["ranks"]), at).alias("at"))
 
 
 def _rank(ranks: Column, piece: Column) -> Column:
@@ -116,14 +113,15 @@ class Codec:
 
         def merged(s: Column) -> Column:
             parts, ranks, at = s["parts"], s["ranks"], s["at"]
-            joined = F.concat(F.element_at(parts, at), F.element_at(parts, at + 1))
 
             def around(joined: Column) -> Column:
-                left = F.when(at > 1, F.concat(F.slice(ranks, 1, at - 2), F.array(self._pair(table, F.element_at(parts, at - 1), joined)))).otherwise(F.array().cast(_EMPTY))
-                right = F.when(at < F.size(ranks), F.concat(F.array(self._pair(table, joined, F.element_at(parts, at + 2))), F.slice(ranks, at + 2, F.size(ranks)))).otherwise(F.array().cast(_EMPTY))
-                return F.struct(F.concat(F.slice(parts, 1, at - 1), F.array(joined), F.slice(parts, at + 2, F.size(parts))).alias("parts"), F.concat(left, right).alias("ranks"))
+                new = F.array(self._pair(table, F.element_at(parts, at - 1), joined), self._pair(table, joined, F.element_at(parts, at + 2)))
+                return F.struct(
+                    F.concat(F.slice(parts, F.lit(1), at - 1), F.array(joined), F.slice(parts, at + 2, F.size(parts))).alias("parts"),
+                    F.concat(F.slice(ranks, F.lit(1), at - 2), new, F.slice(ranks, at + 2, F.size(ranks))).alias("ranks"),
+                )
 
-            return _let(_let(joined, around), _placed)
+            return _let(_let(F.concat(F.element_at(parts, at), F.element_at(parts, at + 1)), around), _placed)
 
         return F.when(state["at"] == 0, state).otherwise(merged(state))
 
@@ -135,8 +133,10 @@ class Codec:
 
         def fold(letters: Column) -> Column:
             pairs = F.transform(F.arrays_zip(F.slice(letters, 1, F.size(letters) - 1).alias("a"), F.slice(letters, 2, F.size(letters)).alias("b")), lambda p: self._pair(table, p["a"], p["b"]))
-            start = F.struct(letters.alias("parts"), pairs.alias("ranks"))
-            folded = F.aggregate(F.slice(letters, 2, F.size(letters)), _let(start, _placed), lambda s, _: self._merge(table, s), lambda s: s["parts"])
+            # an end mark on both sides, which no piece has, so that every pair has two neighbours
+            end, none = F.array(F.lit(OTHER)), F.array(F.lit(NO_RANK))
+            start = F.struct(F.concat(end, letters, end).alias("parts"), F.concat(none, pairs, none).alias("ranks"))
+            folded = F.aggregate(F.slice(letters, 2, F.size(letters)), _let(start, _placed), lambda s, _: self._merge(table, s), lambda s: F.slice(s["parts"], F.lit(2), F.size(s["parts"]) - 2))
             return F.array_join(F.transform(folded, lambda p: F.get(letters_of, _rank(table, p))), "")
 
         def known(raw: Column) -> Column:

@@ -24,7 +24,7 @@ only pairs between groups that the bounds cannot tell apart.
 Defined results: a text with fewer words than a shingle has its whole sequence as its one shingle; null
 texts and texts without words have an empty set and are components of their own; repeated rows keep a
 row each; a row with a null doc_id links as any other, and a component's id is the smallest doc_id that is not null
-(null if there is none); other columns are ignored; no rows give no rows. Different sets or shingles share a 64-bit hash with
+(null if there is none); a very long text is one row with all its shingles; other columns are ignored; no rows give no rows. Different sets or shingles share a 64-bit hash with
 a chance of about (number of classes)^2 / 2^65.
 """
 

@@ -6,7 +6,7 @@ same time (all places of that pair, left to right, without overlap; a pair that
 higher rank, so this equals merging one place at a time). Rows without a pair left are counted and go.
 Counts of recent pre-tokens are kept in a table of bounded size in each worker.
 
-Defined results: a null text is empty and has 0 tokens; strings of added tokens inside a text count as
+Defined results: a null text is empty and has 0 tokens; a null doc_id stays null; strings of added tokens inside a text count as
 one token, as the library does by default; repeated rows each give a row; other columns are ignored;
 no rows give no rows. A long text is read in pieces that end before white space, where no pre-token
 can span, so memory is bounded by the longest run without white space.
@@ -144,6 +144,8 @@ class Counter(WordCutter):
         model, pre = spec["model"], spec["pre_tokenizer"]
         if model["type"] != "BPE" or pre["type"] != "ByteLevel" or pre["add_prefix_space"] or spec["normalizer"] or not pre["use_regex"] or model["ignore_merges"]:
             raise ValueError("only plain byte-level BPE vocabularies are supported")
+        if any(t[flag] for t in spec["added_tokens"] for flag in ("single_word", "lstrip", "rstrip")):
+            raise ValueError("added tokens that take in white space or stand alone only are not supported")
         ids = model["vocab"]
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         self.pairs = PairTable(*(np.array([ids[f(m)] for m in merges]) for f in (lambda m: m[0], lambda m: m[1], lambda m: m[0] + m[1])))

@@ -77,6 +77,8 @@ def test_leaks_with_few_edits_are_found_and_nothing_else(spark):
     text = {d: dc.Words(np.frombuffer((t or "").encode(), np.uint8), np.array([0, len((t or "").encode())]), plain=True).hash for d, t, _ in rows}
     block = dc.Items(list(range(len(items))), [" ".join(w) for w in items])
     assert all(_brute(block.words[i].tolist(), text[d].tolist()) == e for d, i, e in got)
+    odd = bench.selectExpr("item_id", "text", "'x' as doc_id", "1 as n", "2 as similarity")
+    assert sorted(map(str, dc.find_leaks(docs, odd).collect())) == sorted(map(str, dc.find_leaks(docs, bench).collect()))
     assert dc.find_leaks(docs.limit(0), bench).count() == 0 and dc.find_leaks(docs, bench.limit(0)).count() == 0
 
 

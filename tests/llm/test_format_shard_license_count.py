@@ -1,6 +1,7 @@
 """Operators 2, 5, 7 and 8 against brute force, round trips and the public library."""
 
 import hashlib
+import json
 import random
 import zlib
 
@@ -205,3 +206,15 @@ def test_token_counts_equal_the_library(spark):
     assert got[-1].n_tokens == 0 and got[-1].n_bytes == 0 and not got[-1].over_limit
     assert all(got[i].n_bytes == len(x.encode()) for i, x in enumerate(texts))
     assert token_count.count_tokens(df.limit(0), path).count() == 0
+    again = spark.createDataFrame([(1, "word word"), (1, "word word"), (None, "word"), (2, "word word")], "doc_id long, text string").coalesce(1)
+    n = len(t.encode("word word", add_special_tokens=False).ids)
+    assert sorted(((r.doc_id or 0, r.n_tokens) for r in token_count.count_tokens(again, path).collect())) == [(0, len(t.encode("word", add_special_tokens=False).ids)), (1, n), (1, n), (2, n)]
+
+
+def test_unknown_kinds_of_added_tokens_are_refused(tmp_path):
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        spec = json.load(f)
+    spec["added_tokens"][0]["lstrip"] = True
+    (tmp_path / "odd.json").write_text(json.dumps(spec))
+    with pytest.raises(ValueError, match="added tokens"):
+        token_count.Counter(str(tmp_path / "odd.json"))

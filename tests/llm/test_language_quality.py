@@ -148,6 +148,8 @@ def test_quality_edge_rows(spark):
     assert len(got) == docs.count() and all(0 <= r.score <= 1 for r in got)
     assert np.mean([r.predicted == r.doc_id % 2 for r in got if r.doc_id is not None and r.doc_id < 200]) > 0.95
     assert quality_mil.evaluate(docs.limit(0), labels).count() == 0
+    same = quality_mil.evaluate(docs, labels.withColumns({"text": F.lit("x"), "score": F.lit(1), "bag": F.lit(2), "chance": F.lit(3)})).collect()
+    assert sorted(map(str, same)) == sorted(map(str, got))
     assert {r.score for r in quality_mil.evaluate(docs, labels.limit(0)).collect()} == {0.5}
 
 
