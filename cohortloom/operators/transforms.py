@@ -52,10 +52,10 @@ def datetime(df: DataFrame, col_to_date: str, formats: list[str] | None = None)
 
 @register("keepfirst")
 def keepfirst(df: DataFrame, sort_col: str, drop_col: str) -> DataFrame:
-    """The row with the smallest sort_col (nulls last) of each drop_col; all other columns break ties."""
+    """The row with the smallest sort_col (nulls last) of each drop_col; all other columns break ties. A minimum, so rows are reduced before the shuffle."""
     others = [c for c in df.columns if c not in (sort_col, drop_col) and not df.schema[c].dataType.simpleString().startswith("map")]
-    order = Window.partitionBy(drop_col).orderBy(*[F.col(c).asc_nulls_last() for c in [sort_col, *others]])
-    return df.withColumn("__place", F.row_number().over(order)).where("__place = 1").drop("__place")
+    order = F.struct(*[x for k, c in enumerate([sort_col, *others]) for x in (F.col(c).isNull().alias(f"n{k}"), F.col(c).alias(f"c{k}"))])
+    return df.groupBy(F.col(drop_col).alias("__of")).agg(F.min_by(F.struct(*df.columns), order).alias("__row")).select("__row.*")
 
 
 @register("datetime_keepfirst")

@@ -9,6 +9,7 @@ The settings are a dictionary (or a JSON file):
      "MergedTransforms": {...}, "final_cols": [...],
      "ref_date": "OpnameDatum", "tuple_vals_after": [...], "tuple_vals_anybefore": [...]}
 
+"conversions": the folder that convert_large() wrote its Parquet files and their map to; these are read instead.
 A code map may also be a list of dictionaries. Transforms run in the order of the settings. With SOURCE
 "TABLES", sources are catalogue tables {"table_name": ..., "columns": [...]}.
 """
@@ -62,6 +63,7 @@ class Settings:
     folder: str
     output: str
     tables: bool
+    conversions: str | None = None
 
     @property
     def key(self) -> str:
@@ -102,7 +104,7 @@ def parse(settings: dict | str) -> Settings:
         for s in steps[part]:
             if s.func not in transforms.REGISTRY:
                 raise ValueError(f"{part}: unknown transform {s.func!r} for {s.column}; known: {sorted(transforms.REGISTRY)}")
-    return Settings(settings.get("name", "cohort"), sources, steps["InitTransforms"], steps["PreTransforms"], steps["MergedTransforms"], tuple(settings.get("final_cols", ())), settings.get("ref_date", "OpnameDatum"), tuple(settings.get("tuple_vals_after", ())), tuple(settings.get("tuple_vals_anybefore", ())), settings.get("absolute_path", ""), settings.get("preprocessing", f"data/{settings.get('name', 'cohort')}/preprocessing"), by_table)
+    return Settings(settings.get("name", "cohort"), sources, steps["InitTransforms"], steps["PreTransforms"], steps["MergedTransforms"], tuple(settings.get("final_cols", ())), settings.get("ref_date", "OpnameDatum"), tuple(settings.get("tuple_vals_after", ())), tuple(settings.get("tuple_vals_anybefore", ())), settings.get("absolute_path", ""), settings.get("preprocessing", f"data/{settings.get('name', 'cohort')}/preprocessing"), by_table, settings.get("conversions"))
 
 
 def _apply(df: DataFrame, steps: tuple[Step, ...], names: set[str] | None) -> DataFrame:
@@ -119,7 +121,8 @@ def load_source(spark: SparkSession, settings: Settings, source: Source) -> Data
     if source.table:
         df = tables.read_table(spark, source.table)
     else:
-        df = tables.read(spark, f"{settings.folder.rstrip('/')}/{source.name}" if settings.folder else source.name)
+        path = f"{settings.folder.rstrip('/')}/{source.name}" if settings.folder else source.name
+        df = tables.read(spark, tables.converted(spark, path, settings.conversions))
     df = _apply(df, settings.init, source.names)
     if source.code_col:
         df = shape.expand(df, source.key, source.code_col, source.value_col, source.code_map, list(source.extra_cols))
@@ -147,12 +150,8 @@ def run(spark: SparkSession, raw: dict | str, time: str = "ts", reuse: bool = Tr
     settings = parse(raw)
     for stage, make in (("preprocessed", lambda _: preprocess(spark, settings)), ("selected", lambda df: select_values(df, settings, time))):
         path = tables.stage_path(settings.output, f"{settings.name}_{stage}", [stage, raw, time])
-        if not (reuse and _exists(spark, f"{path}/_SUCCESS")):
+        if not (reuse and tables.path_exists(spark, f"{path}/_SUCCESS")):
             tables.write_parquet(make(df if stage != "preprocessed" else None), path)
         df = spark.read.parquet(path)
     return df
 
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)

@@ -35,7 +35,9 @@ def read(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame
         return nan_to_null(spark.read.parquet(path))
     if kind == "csv":
         reader = spark.read.option("header", True)
-        return nan_to_null((reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path))
+        rows = (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
+        # a gzip file is one task to read, so its rows are dealt out for what follows
+        return nan_to_null(rows.repartition(spark.sparkContext.defaultParallelism) if path.lower().endswith(".gz") else rows)
     return nan_to_null(read_feather(spark, path))
 
 
@@ -87,6 +89,25 @@ def convert_large(spark: SparkSession, sources: dict[str, str], folder: str, lea
     return done
 
 
+def converted(spark: SparkSession, path: str, folder: str | None) -> str:
+    """The Parquet that convert_large() made of a source into the folder, or the source itself."""
+    where = f"{folder}/conversion_map.json"
+    if not folder or not path_exists(spark, where):
+        return path
+    return json.loads("".join(r["value"] for r in spark.read.text(where, wholetext=True).collect())).get(path, path)
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """A folder of CSV files with a header."""
+    df.write.mode("overwrite").option("header", True).csv(path)
+
+
+def create_table_as(spark: SparkSession, name: str, query: str) -> DataFrame:
+    """A catalogue table of what a SQL query gives, in place of an earlier one."""
+    write_table(spark.sql(query), name)
+    return spark.table(name)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)

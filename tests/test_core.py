@@ -246,6 +246,15 @@ def test_readers_and_sinks(spark, tmp_path):
     done = tables.convert_large(spark, {"a": str(tmp_path / "a.csv")}, str(tmp_path / "out"), least_mb=0)
     assert json.loads((tmp_path / "out/conversion_map.json").read_text()) == done
     assert tables.read(spark, done[str(tmp_path / "a.csv")]).count() == 2
+    assert tables.converted(spark, str(tmp_path / "a.csv"), str(tmp_path / "out")) == done[str(tmp_path / "a.csv")]
+    assert tables.converted(spark, "other", str(tmp_path / "out")) == tables.converted(spark, "other", None) == "other"
+    settings = pipeline.parse({"absolute_path": str(tmp_path), "conversions": str(tmp_path / "out"), "a.csv": ["id", "v"]})
+    (tmp_path / "a.csv").write_text("id,v\n9,z\n")
+    assert sorted(r.id for r in pipeline.load_source(spark, settings, settings.sources[0]).collect()) == [1, 2]
+    tables.write_csv(spark.range(2), str(tmp_path / "d.csv"))
+    assert tables.read(spark, str(tmp_path / "d.csv")).count() == 2
+    assert tables.create_table_as(spark, "made_of_a_view", "select id from range(5) where id > 1").count() == 3
+    spark.sql("drop table made_of_a_view")
     spark.range(3).selectExpr("id", "id as v").createOrReplaceTempView("t_view")
     assert tables.read_table(spark, "t_view", ["v", "absent"]).columns == ["v"] and tables.table_exists(spark, "t_view")
     with pytest.raises(ValueError):
