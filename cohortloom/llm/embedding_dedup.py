@@ -276,7 +276,7 @@ class _Part:
         self.waiting = []
         self.vectors, self.ids, self.weight = _matrix(rows["vec"], self.dim), rows["id"].to_numpy(), rows["weight"].to_numpy()
         self.codes = np.frombuffer(b"".join(rows["codes"].to_pylist()), np.uint8).reshape(len(self.ids), -1)
-        self.reach = (np.sqrt(2 - 2 * self.cosine) + rows["error"].to_numpy() + 1e-9) ** 2
+        self.reach = ((np.sqrt(2 - 2 * self.cosine) + rows["error"].to_numpy()) ** 2 + 1e-5).astype(np.float32)  # look-ups are in single precision
         lists = rows["list"].to_numpy()
         self.lists, first = np.unique(lists, return_index=True)
         self.cuts = np.append(first, len(lists))
@@ -309,11 +309,19 @@ class _Part:
 
     def _near(self, x: np.ndarray, rows: np.ndarray, here: int, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
         """(query, indexed row) of the linked pairs among some queries and one list."""
-        part, codes, y = x[rows], self.codes[lo:hi], self.vectors[lo:hi]
-        distance = np.zeros((len(part), hi - lo))
-        for m, table in enumerate(self.q.tables(part - self.q.centroids[here])):
-            distance += table[:, codes[:, m]]
-        a, b = np.nonzero(distance <= self.reach[lo:hi])
+        part, codes, y, reach = x[rows], self.codes[lo:hi], self.vectors[lo:hi], self.reach[lo:hi]
+        tables = [t.astype(np.float32) for t in self.q.tables(part - self.q.centroids[here])]
+        # pairs that are too far in half of the subspaces need no more look-ups
+        half = (len(tables) + 1) // 2
+        distance = np.zeros((len(part), hi - lo), np.float32)
+        for m in range(half):
+            distance += tables[m][:, codes[:, m]]
+        a, b = np.nonzero(distance <= reach)
+        far = distance[a, b]
+        for m in range(half, len(tables)):
+            far += tables[m][a, codes[b, m]]
+        near_enough = far <= reach[b]
+        a, b = a[near_enough], b[near_enough]
         if len(a) * 8 > distance.size:
             cosines = (part @ y.T)[a, b]
             near, unsure = cosines >= self.cosine, np.flatnonzero(np.abs(cosines - self.cosine) <= _MARGIN)
