@@ -39,8 +39,11 @@ def closest_records(real: DataFrame, synthetic: DataFrame, key: str, columns: li
 def distance_stats(distances: DataFrame, rows: int | None = None) -> DataFrame:
     """mean, median, min, max, std (ddof 0) of the distances. rows: their number, if known; keep many distances (persist) first."""
     d = F.col("distance")
-    median = stats.exact_quantiles(distances, ["distance"], [0.5], rows)["distance"][0]
-    return distances.agg(F.avg(d).alias("mean"), F.lit(median).cast("double").alias("median"), F.min(d).alias("min"), F.max(d).alias("max"), F.stddev_pop(d).alias("std"))
+    if rows is not None and rows <= stats.EXACT_ROWS:
+        median = F.percentile(d, F.lit(0.5))  # few enough for one task, and the distances are computed once
+    else:
+        median = F.lit(stats.exact_quantiles(distances, ["distance"], [0.5], rows)["distance"][0]).cast("double")
+    return distances.agg(F.avg(d).alias("mean"), median.alias("median"), F.min(d).alias("min"), F.max(d).alias("max"), F.stddev_pop(d).alias("std"))
 
 
 def membership_inference(distances: DataFrame, rows: int | None = None) -> DataFrame:

@@ -489,7 +489,8 @@ def nn_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"with {NN_SQL} select round(avg(distance), 6) as mean, round(quantile_cont(distance, 0.5), 6) as median, round(min(distance), 6) as min, round(max(distance), 6) as max, round(stddev_pop(distance), 6) as std from d")
 def disco_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(privacy.distance_stats(privacy.closest_records(*_customer_halves(spark, sf_dir), "c_custkey", NN_COLUMNS)))
+    real, synthetic = _customer_halves(spark, sf_dir)
+    return rounded(privacy.distance_stats(privacy.closest_records(real, synthetic, "c_custkey", NN_COLUMNS), synthetic.count()))
 
 
 @query(f"with {NN_SQL}, t as (select quantile_cont(distance, 0.1) as threshold from d) select round(threshold, 6) as threshold, cast(count(*) filter (distance < threshold) as bigint) as n_below, round(count(*) filter (distance < threshold) / count(*), 6) as rate from d, t group by threshold")
@@ -627,7 +628,36 @@ def copula_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return share(rows, "u").join(share(made, "v"), "value", "full_outer").select("value", (F.abs(F.coalesce("u", F.lit(0)) - F.coalesce("v", F.lit(0))) < 0.02).alias("near"))
 
 
-@query()
+def _report_sql() -> str:
+    """All metrics of the report over the customers' halves, from one statement."""
+    cdf = lambda c: f"""(select c as x, sum(sum(e)) over (order by c) / sum(sum(e)) over () as f, sum(sum(1 - e)) over (order by c) / sum(sum(1 - e)) over () as g, lead(c) over (order by c) as nx
+      from (select cast({c} as double) as c, (c_custkey % 2 = 0)::int as e from customer) group by c)"""
+    parts = ["select 'new_rows' as section, '' as \"column\", 'share' as metric, (select avg((not exists (select 1 from customer r where r.c_custkey % 2 = 0 and r.c_acctbal = s.c_acctbal and r.c_nationkey = s.c_nationkey and r.c_mktsegment = s.c_mktsegment))::int) from customer s where s.c_custkey % 2 = 1) as value"]
+    for c in NN_COLUMNS:
+        t = f"(select max(abs(f - g)) * sqrt((select n * m / (n + m) from sizes)) from {cdf(c)})"
+        p = f"(select case when t < 0.2 then 1.0 else greatest(0.0, least(1.0, (select 2 * sum((case when j % 2 = 1 then 1 else -1 end) * exp(-2.0 * j * j * t * t)) from range(1, 101) r(j)))) end from (select {t} as t))"
+        for name, value in (("ks", f"(select max(abs(f - g)) from {cdf(c)})"), ("p_value", p), ("w1", f"(select sum(abs(f - g) * (nx - x)) from {cdf(c)})")):
+            parts.append(f"select 'numeric', '{c}', '{name}', {value}")
+    parts.append("select 'numerical_lr', 'c_nationkey', 'relative_error', (select avg(abs(c_nationkey - (k * c_acctbal + b))) / (max(c_nationkey) - min(c_nationkey)) from customer, (select regr_slope(c_nationkey, c_acctbal) as k, regr_intercept(c_nationkey, c_acctbal) as b from customer where c_custkey % 2 = 1) where c_custkey % 2 = 0)")
+    parts += [f"select 'singling_out', c, '{m}', {m} from single" for m in ("rate", "baseline", "risk")]
+    parts += [f"select 'closest', '', '{m}', (select {f} from d)" for m, f in (("mean", "avg(distance)"), ("median", "quantile_cont(distance, 0.5)"), ("min", "min(distance)"), ("max", "max(distance)"), ("std", "stddev_pop(distance)"))]
+    parts += ["select 'membership', '', 'threshold', threshold from member", "select 'membership', '', 'rate', rate from member", "select 'attribute', 'c_nationkey', 'risk', risk from told"]
+    parts += [f"select '{t}', '{c}', '{m}', {m} from {t}" for t, c in (("linkability", ""), ("inference", "c_acctbal")) for m in ("rate", "baseline", "risk")]
+    parts.append("select 'summary', '', 'mean_risk', ((select avg(risk) from single) + (select risk from linkability) + (select risk from inference) + (select rate from member) + (select risk from told)) / 5")
+    single = " union all ".join(f"""select '{c}' as c, count(*) filter (u = 1 and v = 1) / nullif(count(*) filter (v = 1), 0) as rate, count(*) filter (u = 1) / count(*) as baseline, count(*) filter (u = 1 and v = 1) / nullif(count(*) filter (v = 1), 0) - count(*) filter (u = 1) / count(*) as risk
+      from (select count(*) filter (c_custkey % 2 = 0) as u, count(*) filter (c_custkey % 2 = 1) as v from customer where {c} is not null group by {c})""" for c in SINGLE_COLUMNS)
+    near = lambda c, k: f"(select real_id, synthetic_id from r, s where real_id % 20 = 0 qualify row_number() over (partition by real_id order by abs(r.{c} - s.{c}), synthetic_id) <= {k})"
+    return f"""with {NN_SQL}, sizes as (select cast(count(*) filter (c_custkey % 2 = 0) as double) as n, cast(count(*) filter (c_custkey % 2 = 1) as double) as m from customer), single as ({single}),
+    member as (select threshold, count(*) filter (distance < threshold) / count(*) as rate from d, (select quantile_cont(distance, 0.1) as threshold from d) group by 1),
+    told as (select greatest(0, 1 - avg(abs(t - g)) / (max(t) - min(t))) as risk from (select real_id, x.c_nationkey as t, arg_min(y.c_nationkey, (abs(r.a - s.a), synthetic_id)) as g from r, s, customer x, customer y where x.c_custkey = real_id and y.c_custkey = synthetic_id group by 1, 2)),
+    linkability as (select k / n as rate, baseline, k / n - baseline as risk from (select count(*) as n from r where real_id % 20 = 0), (select count(distinct real_id) as k from {near("a", 10)} join {near("b", 10)} using (real_id, synthetic_id)),
+      (select 1 - product((n - 10 - i) / (n - i)) as baseline from (select count(*) as n from s), range(10) t(i))),
+    inference as (select rate, baseline, rate - baseline as risk from (select avg((abs(t.c_acctbal - y.c_acctbal) <= 0.05 * abs(t.c_acctbal))::int) as rate, avg((abs(blind - t.c_acctbal) <= 0.05 * abs(t.c_acctbal))::int) as baseline
+      from {near("b", 1)} join customer t on t.c_custkey = real_id join customer y on y.c_custkey = synthetic_id, (select quantile_cont(c_acctbal, 0.5) as blind from customer where c_custkey % 2 = 1)))
+    select section, "column", metric, round(value, 6) as value from ({" union all ".join(parts)})"""
+
+
+@query(_report_sql())
 def privacy_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     real, synthetic = (h.select("c_custkey", "c_acctbal", "c_nationkey", "c_mktsegment") for h in _halves(spark, sf_dir, "customer", "c_custkey"))
     return rounded(privacy.evaluate(real, synthetic, "c_custkey"))
