@@ -6,11 +6,14 @@ record batch, a few megabytes at a time, and never keeps a whole partition.
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are turned into numpy arrays at once (one longer text goes alone).
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _U = np.uint64
 _WHITE = np.zeros(256, bool)
@@ -21,6 +24,20 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+def tidy(run: Callable) -> Callable:
+    """The task `run`, which at its end gives what it has freed back to the system: executors keep Python workers that wait for work."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except AttributeError:  # not with every C library
+            pass
+
+    return task
+
+
 def _splitmix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser, so that sums of products become well spread."""
     with np.errstate(over="ignore"):

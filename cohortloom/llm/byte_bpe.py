@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .arrowtext import chunks, string_buffers
+from .arrowtext import chunks, string_buffers, tidy
 from .session import discard, written
 from .token_count import WordCutter
 
@@ -148,7 +148,7 @@ class Codec:
         """The distinct words of a bounded sample of texts with their ids, packed by the executors."""
         share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
         chance = F.pmod(F.xxhash64(F.lit(41), "doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
-        used = written(docs.where(chance < share).select("text").mapInArrow(_word_counts, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
+        used = written(docs.where(chance < share).select("text").mapInArrow(tidy(_word_counts), "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
         # the most used words that are not too many: a table of counts of counts says from how many uses on
         left, least = MAX_WORDS, 1 << 62
         for n, words in used.groupBy("n").count().orderBy(F.desc("n")).collect():
@@ -157,14 +157,14 @@ class Codec:
                 break
             least = n
         folded = used.where(F.col("n") >= least).select("word", F.get(self.encode_words(F.array("word")), F.lit(0)).alias("ids"))
-        packed = [bytes(r["packed"]) for r in folded.mapInArrow(_packed, "packed binary").collect()]
+        packed = [bytes(r["packed"]) for r in folded.mapInArrow(tidy(_packed), "packed binary").collect()]
         discard(used)
         return packed
 
     def encode(self, docs: DataFrame) -> DataFrame:
         """One row a block of texts: their doc_ids, and what _ids_and_bytes() needs to put their ids together."""
         shared = self.spark.sparkContext.broadcast(self.fold_ahead(docs))
-        return docs.mapInArrow(_cut_blocks(shared), BLOCK).withColumn("others", self.encode_words(F.col("others")))
+        return docs.mapInArrow(tidy(_cut_blocks(shared)), BLOCK).withColumn("others", self.encode_words(F.col("others")))
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,4 +283,4 @@ def encode_and_decode(docs: DataFrame, vocabulary: str) -> DataFrame:
     """doc_id, n_tokens, ids (little-endian unsigned 32-bit) and decoded (bytes) of every row."""
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     codec = Codec(docs.sparkSession, vocabulary)
-    return codec.encode(docs).mapInArrow(_ids_and_bytes(codec.pieces), "doc_id long, n_tokens long, ids binary, decoded binary")
+    return codec.encode(docs).mapInArrow(tidy(_ids_and_bytes(codec.pieces)), "doc_id long, n_tokens long, ids binary, decoded binary")

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from .arrowtext import Words, chunks, mix, string_buffers
+from .arrowtext import chunks, mix, string_buffers, tidy, Words
 from .session import written
 
 SIMILARITY = 0.75
@@ -249,13 +249,13 @@ class Items:
 def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, item_id, edit_distance, item_words, similarity, first_word, last_word of every leak."""
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return reduce(DataFrame.unionAll, [texts.mapInArrow(_finder(shared, similarity), SCHEMA) for shared in _shared_items(benchmark, similarity)])
+    return reduce(DataFrame.unionAll, [texts.mapInArrow(tidy(_finder(shared, similarity)), SCHEMA) for shared in _shared_items(benchmark, similarity)])
 
 
 def keep(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows in which no item is found, with all their columns; rows are filtered where they are."""
     for k, shared in enumerate(_shared_items(benchmark, similarity)):
-        docs = (written(docs, "decontaminated") if k else docs).mapInArrow(_keeper(shared, similarity), docs.schema)
+        docs = (written(docs, "decontaminated") if k else docs).mapInArrow(tidy(_keeper(shared, similarity)), docs.schema)
     return docs
 
 

@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .arrowtext import mix
+from .arrowtext import mix, tidy
 from .components import connected_components
 from .session import use_checkpoints
 
@@ -173,12 +173,12 @@ def _links(vectors: DataFrame, dim: int, cosine: float) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(near, pa.int32()))
             yield pa.RecordBatch.from_arrays([b["id"], b["weight"], b["vec"], pa.array(home, pa.int32()), lists, pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error)], names=["id", "weight", "vec", "list", "probes", "codes", "error"])
 
-    coded = vectors.select("id", "weight", "vec").mapInArrow(assign, f"id long, weight long, vec {vec_type}, list int, probes array<int>, codes binary, error double").checkpoint()
+    coded = vectors.select("id", "weight", "vec").mapInArrow(tidy(assign), f"id long, weight long, vec {vec_type}, list int, probes array<int>, codes binary, error double").checkpoint()
     low, high = PART_ROWS
     members = {r["list"]: r["n"] for r in coded.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()}  # MAX_LISTS rows at most
     askers = {r["list"]: r["n"] for r in coded.select(F.explode("probes").alias("list")).groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()}
     parts = spark.sparkContext.broadcast(_parts(shared.value.centroids, members, askers, min(high, max(low, n // 12)), n))
-    dealt = coded.mapInArrow(_dealer(parts), f"part int, copy int, asks boolean, id long, weight long, vec {vec_type}, list int, probes array<int>, codes binary, error double")
+    dealt = coded.mapInArrow(tidy(_dealer(parts)), f"part int, copy int, asks boolean, id long, weight long, vec {vec_type}, list int, probes array<int>, codes binary, error double")
     ordered = dealt.repartition("part", "copy").sortWithinPartitions("part", "copy", "asks")
 
     def compare(batches):
@@ -200,7 +200,7 @@ def _links(vectors: DataFrame, dim: int, cosine: float) -> DataFrame:
         if part:
             yield part.counts()
 
-    return ordered.mapInArrow(compare, "id long, other long, n long")
+    return ordered.mapInArrow(tidy(compare), "id long, other long, n long")
 
 
 @dataclass

@@ -36,7 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .arrowtext import Words, chunks, distinct_sets, mix, shingles, string_buffers
+from .arrowtext import chunks, distinct_sets, mix, shingles, string_buffers, tidy, Words
 from .components import HOT_PARTS, connected_components, join_by_hot_keys
 from .session import discard, written
 
@@ -114,7 +114,7 @@ def _common(docs: DataFrame, k: int) -> Order:
                 values, _ = _sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], k)
                 yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64))], names=["token"])
 
-    uses = docs.where(chance < share).select("text").mapInArrow(run, "token long").groupBy("token").agg(F.count(F.lit(1)).alias("uses")).where(F.col("uses") >= COMMON_USES)
+    uses = docs.where(chance < share).select("text").mapInArrow(tidy(run), "token long").groupBy("token").agg(F.count(F.lit(1)).alias("uses")).where(F.col("uses") >= COMMON_USES)
     uses = written(uses, "uses")
     # the most used tokens that are not too many, by a table of counts of counts
     left, least = MAX_COMMON, 1 << 62
@@ -151,7 +151,7 @@ def _classified(docs: DataFrame, order: Order, k: int) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(lead[np.repeat(fresh, np.diff(out))].view(np.int64)))
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(i, j - i), b.column("text_key").slice(i, j - i), pa.array(np.diff(ptr)), pa.array(ids.view(np.int64)), lists], names=["doc_id", "text_key", "n", "class", "lead"])
 
-    return docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(run, "doc_id long, text_key long, n long, class long, lead array<long>")
+    return docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(tidy(run), "doc_id long, text_key long, n long, class long, lead array<long>")
 
 
 _LISTED = "token long, class long, n long, pos int, hub long, hub_n long, hub_pos int"
@@ -208,9 +208,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int) ->
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     if slots <= FILTER_SLOTS[1]:
         table = np.zeros(slots // 8, np.uint8)
-        for row in used.select(slot.alias("slot")).coalesce(8).mapInArrow(_bits(slots), "bits binary").collect():  # eight tables at most
+        for row in used.select(slot.alias("slot")).coalesce(8).mapInArrow(tidy(_bits(slots)), "bits binary").collect():  # eight tables at most
             table |= np.frombuffer(row["bits"], np.uint8)
-        keyed = keyed.withColumn("slot", slot).mapInArrow(_possible_texts(spark.sparkContext.broadcast(table)), "doc_id long, text_key long, text string")
+        keyed = keyed.withColumn("slot", slot).mapInArrow(tidy(_possible_texts(spark.sparkContext.broadcast(table))), "doc_id long, text_key long, text string")
 
     def overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, own = None, None
@@ -237,7 +237,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int) ->
     same = F.col("doc_id").eqNullSafe(F.col("used_id")) & (F.col("text_key") == F.col("used_key"))
     texts = keyed.join(seats, same).select("a", "part", "class", "text")
     ordered = texts.repartition("a", "part").sortWithinPartitions("a", "part", F.col("class") != F.col("a"))
-    linked = written(ordered.mapInArrow(overlaps, "a long, b long").distinct(), "linked")  # a row that is repeated gives its pair again
+    linked = written(ordered.mapInArrow(tidy(overlaps), "a long, b long").distinct(), "linked")  # a row that is repeated gives its pair again
     discard(used)
     return linked
 
@@ -273,7 +273,7 @@ def link_groups(docs: DataFrame, k: int = WORDS) -> DataFrame:
     classes = rows.where("n > 0").groupBy("class").agg(F.min(F.struct("doc_id", "text_key")).alias("first"), F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("copies"))
     classes = written(classes.select("class", "first.doc_id", "first.text_key", "low", "copies"), "classes")
     tokens = rows.where("size(lead) > 0").select("class", "n", F.posexplode("lead").alias("pos", "token")).select("token", "class", "n", "pos")
-    shared = written(tokens.repartition("token").sortWithinPartitions("token", "pos", "class").mapInArrow(_shared_tokens, _LISTED), "listed")
+    shared = written(tokens.repartition("token").sortWithinPartitions("token", "pos", "class").mapInArrow(tidy(_shared_tokens), _LISTED), "listed")
 
     n, pos = F.col("n"), F.col("pos")
     stars = shared.where((F.col("class") != F.col("hub")) & _possible(n, pos, F.col("hub_n"), F.col("hub_pos")))

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .arrowtext import chunks, mix, powers, string_buffers
+from .arrowtext import chunks, mix, powers, string_buffers, tidy
 from .session import discard, written
 
 #: Labelled rows of a language, and bytes of text over all languages, that the model learns from, in expectation.
@@ -158,7 +158,7 @@ def fit(labelled: DataFrame, docs_per_lang: int = DOCS_PER_LANG, sample_bytes: i
     by_rows = written(sample.select("lang", "text", "chance"), "language-sample")
     languages = max(1, by_rows.select("lang").distinct().count())
     sample = _share(by_rows, F.least(F.lit(1.0), sample_bytes / (languages * F.greatest(F.sum(F.octet_length("text")), F.lit(1)))))
-    counts = sample.mapInArrow(_token_counts, _COUNTS).groupBy("kind", "key", "lang").agg(F.sum("n").alias("n"))
+    counts = sample.mapInArrow(tidy(_token_counts), _COUNTS).groupBy("kind", "key", "lang").agg(F.sum("n").alias("n"))
     # a token has an entry a language at most
     known = counts.groupBy("kind", "key").agg(F.sum("n").alias("uses"), F.collect_list(F.struct("lang", "n")).alias("by_lang")).where(F.col("uses") >= LEAST_USES)
     model = build(known.select("kind", "key", F.col("by_lang.lang").alias("lang"), F.col("by_lang.n").alias("n")).toArrow())
@@ -311,7 +311,7 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
             found, scorer = _predictions(shared, b.column("text"), scorer)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())], names=["doc_id", "lang_pred", "score"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(tidy(run), "doc_id long, lang_pred string, score double")
 
 
 def keep(docs: DataFrame, model: LanguageModel, least: float) -> DataFrame:
@@ -324,7 +324,7 @@ def keep(docs: DataFrame, model: LanguageModel, least: float) -> DataFrame:
             found, scorer = _predictions(shared, b.column(b.schema.get_field_index("text")), scorer)
             yield b.filter(pa.array([x != UNDETERMINED and p >= least for x, p in found], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 def evaluate(docs: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .arrowtext import Words, chunks, mix, string_buffers
+from .arrowtext import chunks, mix, string_buffers, tidy, Words
 from .language_id import held_out
 from .session import discard, written
 
@@ -176,7 +176,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, ma
     if sample.count() <= 2 * max_labelled:  # else one doc_id has many labels
         sample = F.broadcast(sample)
     pairs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(sample, "doc_id")
-    bags = written(pairs.mapInArrow(_bags, "doc_id long, quality int, bag binary, passages int"), "bags")
+    bags = written(pairs.mapInArrow(tidy(_bags), "doc_id long, quality int, bag binary, passages int"), "bags")
     # a document or a label can be repeated, so what is collected is bounded by what the join gave
     n, passages = bags.agg(F.count(F.lit(1)), F.coalesce(F.sum("passages"), F.lit(0))).first()
     share = min(1.0, 1.1 * max_labelled / max(1, n), max_passages / max(1, passages))
@@ -220,7 +220,7 @@ def score(docs: DataFrame, network: Network) -> DataFrame:
             columns = {c: b.column(c) for c in b.schema.names if c != "text"}
             yield pa.RecordBatch.from_pydict(columns | {"score": pa.array(p), "predicted": pa.array((p >= THRESHOLD).astype(np.int32))})
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, score double, predicted int")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(tidy(run), "doc_id long, score double, predicted int")
 
 
 def keep(docs: DataFrame, network: Network) -> DataFrame:
@@ -235,7 +235,7 @@ def keep(docs: DataFrame, network: Network) -> DataFrame:
                 good.append(shared.value.score(*encode(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])) >= THRESHOLD)
             yield b.filter(pa.array(np.concatenate(good)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 def evaluate(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from .arrowtext import chunks, string_buffers
+from .arrowtext import chunks, string_buffers, tidy
 
 #: Pre-tokens whose counts a worker keeps; beyond it the table starts afresh.
 CACHE_WORDS = 400_000
@@ -217,4 +217,4 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 1024) -> DataFra
             n_tokens = np.array(n, np.int64)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.diff(offsets)), pa.array(n_tokens), pa.array(n_tokens > limit)], names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(tidy(run), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
