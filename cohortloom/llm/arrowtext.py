@@ -24,16 +24,21 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+def give_back() -> None:
+    """Gives memory that this process has freed back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # not with every C library
+        pass
+
+
 def tidy(run: Callable) -> Callable:
     """The task `run`, which at its end gives what it has freed back to the system: executors keep Python workers that wait for work."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        try:
-            ctypes.CDLL(None).malloc_trim(0)
-        except AttributeError:  # not with every C library
-            pass
+        give_back()
 
     return task
 

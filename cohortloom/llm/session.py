@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .arrowtext import give_back
+
 
 def use_checkpoints(spark: SparkSession) -> None:
     """Takes the cluster's spark.checkpoint.dir; only where it is unset, and Spark runs on this machine alone, an own folder."""
@@ -37,9 +39,13 @@ def written(frame: DataFrame, name: str) -> DataFrame:
 
 
 def discard(*frames: DataFrame) -> None:
-    """Deletes what written() wrote for these frames; all that reads them must have been written itself."""
+    """Deletes what written() wrote for these frames; all that reads them must have been written itself.
+
+    What was collected from them has mostly served by then, so the driver gives freed memory back as well.
+    """
     for frame in frames:
         remove(frame.sparkSession, frame._written_to)
+    give_back()
 
 
 def remove(spark: SparkSession, folder: str) -> None:
