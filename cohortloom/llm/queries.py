@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, chat_format, decontaminate, embedding_dedup, jaccard_join, language_id, license_scan, quality_mil, sharding, token_count
+from . import byte_bpe, chat_format, decontaminate, embedding_dedup, jaccard_join, language_id, license_scan, periodic_runs, quality_mil, sharding, token_count
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +61,10 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_digests(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_chat_formatting": op2_chat_formatting,
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 #: The escape level is the first that reads back as the text; every control string, and at level 2 every backslash, costs a sign.
