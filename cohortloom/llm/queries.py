@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, chat_format, decontaminate, embedding_dedup, jaccard_join, language_id, license_scan, periodic_runs, prefix_trie, quality_mil, sharding, token_count
+from . import byte_bpe, chat_format, decontaminate, embedding_dedup, jaccard_join, language_id, license_scan, periodic_runs, prefix_trie, quality_mil, sharding, suffix_dedup, token_count
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +61,10 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeat_digests(_table(spark, sf_dir, "documents"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_nodes(prefix_trie.rebuilt(_table(spark, sf_dir, "conversations"))).drop("node", "parent")
 
@@ -80,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_suffix_dedup": op11_suffix_dedup,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_periodic_runs": op13_periodic_runs,
 }
