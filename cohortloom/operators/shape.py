@@ -39,6 +39,24 @@ def expand(df: DataFrame, key: str, code_col: str, value_col: str, code_map: dic
     return rows.groupBy(key).agg(*[F.when(F.size(a) > 0, a).alias(n) for a, n in zip(lists, names)])
 
 
+#: An entry (value, date, ...) of a stored list; values and dates may be quoted.
+STORED_ENTRY = r"""\(\s*('(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|[^\s,()'"]+)\s*,\s*('[^']*'|"[^"]*"|[^\s,()'"]+)[^()]*\)"""
+
+
+def stored_entries(cell: Column, time: str) -> Column:
+    """The entries of a list that was stored as text, like [(7.1, '2020-01-31'), ...], as an array of (value, time).
+
+    Entries whose value is nan, NaN or None are left out. If one value of a cell is text, all of them are 1.0, as a measurement that is
+    there. A date that does not parse is NULL.
+    """
+    values, dates = (F.regexp_extract_all(cell, F.lit(STORED_ENTRY), F.lit(k)) for k in (1, 2))
+    bare = lambda t: F.regexp_replace(t, "^['\"]|['\"]$", "")
+    entries = F.filter(F.arrays_zip(values.alias("v"), dates.alias("t")), lambda e: ~F.lower(e["v"]).isin("nan", "none", "'nan'"))
+    text = F.exists(entries, lambda e: F.coalesce(e["v"].try_cast("double"), F.lit(float("nan"))) != F.coalesce(e["v"].try_cast("double"), F.lit(0.0)))
+    value = lambda e: F.when(text, F.lit(1.0)).otherwise(e["v"].try_cast("double"))
+    return F.transform(entries, lambda e: F.struct(value(e).alias("value"), F.try_to_timestamp(bare(e["t"])).cast("timestamp_ntz").alias(time)))
+
+
 def _selected(entries: Column, keep, is_text: bool) -> Column:
     found = F.get(F.filter(entries, keep), F.lit(0))
     return F.when(found.isNotNull(), F.lit(1.0)) if is_text else found["value"].cast("double")
@@ -48,23 +66,27 @@ def as_of(df: DataFrame, columns: list[str], ref: str, kind: str, time: str) ->
     """For each array column its first value at or after ("after") or its earliest before ("anybefore") the reference.
 
     Without a reference it is the earliest value. Entries without value or time do not count; text
-    values count as 1.0; a column that is no array passes through.
+    values count as 1.0; a text column holds stored lists (stored_entries) or numbers; a column of another type passes through.
     """
     if kind not in ("after", "anybefore"):
         raise ValueError("kind is 'after' or 'anybefore'")
     made = {}
     for c in columns:
         out = f"{c}_first_after" if kind == "after" else f"{c}_any_before"
-        type_ = df.schema[c].dataType
-        if type_.typeName() != "array":
+        type_, stored = df.schema[c].dataType, F.col(c)
+        if type_.typeName() == "string":
+            stored = stored_entries(F.col(c), time)
+        elif type_.typeName() != "array":
             made[out] = F.col(c).cast("double")
             continue
-        is_text = type_.elementType["value"].dataType.typeName() == "string"
-        use = F.filter(c, lambda t: t["value"].isNotNull() & t[time].isNotNull())
+        is_text = type_.typeName() == "array" and type_.elementType["value"].dataType.typeName() == "string"
+        use = F.filter(stored, lambda t: t["value"].isNotNull() & t[time].isNotNull())
         ordered = F.array_sort(F.transform(use, lambda t: F.struct(t[time].alias(time), t["value"].alias("value"))))
         at = F.col(ref)
         keep = (lambda t: at.isNull() | (t[time] >= at)) if kind == "after" else (lambda t: at.isNull() | (t[time] < at))
         made[out] = _selected(ordered, keep, is_text)
+        if type_.typeName() == "string":
+            made[out] = F.coalesce(F.col(c).try_cast("double"), made[out])  # a cell that is a number passes through
     return df.withColumns(made)
 
 

@@ -3,15 +3,21 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 from itertools import combinations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DoubleType
 
 #: Ranges that a cumulative distribution is cut into, at least, and rows of a range, so that no task sorts a whole column.
 RANGES, RANGE_ROWS = 64, 2_000_000
 #: Rows that one task may rank or hold; share of the rows that a quantile is bracketed by on both sides.
 EXACT_ROWS, SKETCH_ERROR = 1_000_000, 0.002
+#: Most values of a sample whose KS p-value is exact.
+EXACT_KS = 10_000
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -97,14 +103,28 @@ def _ranked(own: DataFrame, ranks: list[int], n: int) -> dict[int, float]:
     return out
 
 
+def number(column: str) -> Column:
+    """The column as double, with NULL for NaN."""
+    return F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
+
+
 def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """column, n, mean, std, min, q25, q50, q75, max, with exact quartiles."""
+    """column, n, mean, std, min, q25, q50, q75, max, with exact quartiles. NaN is missing; a column without values has n = 0 and NULLs."""
     columns = columns or numeric_columns(df)
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
+    rows, names, at = df.count(), ("q25", "q50", "q75"), [0.25, 0.5, 0.75]
+    quartiles = None if rows <= EXACT_ROWS else exact_quantiles(df, columns, at, rows)
     aggs = []
     for i, c in enumerate(columns):
-        aggs += [F.count(c).alias(f"n_{i}"), F.avg(c).alias(f"mean_{i}"), F.stddev_samp(c).alias(f"std_{i}"), F.min(c).alias(f"min_{i}"), F.max(c).alias(f"max_{i}"), *[F.lit(x).alias(f"{n}_{i}") for x, n in zip(quartiles[c], ("q25", "q50", "q75"))]]
-    return _long(df.agg(*aggs), columns, {"n": "long"} | dict.fromkeys(("mean", "std", "min", "q25", "q50", "q75", "max"), "double"))
+        x = number(c)
+        aggs += [F.count(x).alias(f"n_{i}"), F.avg(x).alias(f"mean_{i}"), F.stddev_samp(x).alias(f"std_{i}"), F.min(x).alias(f"min_{i}"), F.max(x).alias(f"max_{i}")]
+        if quartiles:
+            aggs += [F.lit(q).alias(f"{n}_{i}") for q, n in zip(quartiles[c], names)]
+        else:
+            aggs.append(F.percentile(x, F.array(*map(F.lit, at))).alias(f"q_{i}"))
+    row = df.agg(*aggs)
+    if not quartiles:
+        row = row.withColumns({f"{n}_{i}": F.get(f"q_{i}", F.lit(k)) for i in range(len(columns)) for k, n in enumerate(names)})
+    return _long(row, columns, {"n": "long"} | dict.fromkeys(("mean", "std", "min", *names, "max"), "double"))
 
 
 def value_counts(df: DataFrame, column: str, top: int = 10) -> DataFrame:
@@ -113,17 +133,18 @@ def value_counts(df: DataFrame, column: str, top: int = 10) -> DataFrame:
 
 
 def correlations(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """a, b, r for every pair, over the rows that have both."""
+    """a, b, r for every pair, over the rows that have both; NULL where one of them is constant there."""
     columns = columns or numeric_columns(df)
     pairs = list(combinations(columns, 2))
-    both = lambda a, b, x: F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), F.col(x).cast("double"))
-    row = df.agg(*[F.corr(both(a, b, a), both(a, b, b)).alias(f"r_{i}") for i, (a, b) in enumerate(pairs)])
+    # by sums of squares: corr() divides by zero for a constant
+    r = lambda x, y: F.try_divide(F.regr_sxy(x, y), F.sqrt(F.regr_sxx(x, y)) * F.sqrt(F.regr_syy(x, y)))
+    row = df.agg(*[r(number(a), number(b)).alias(f"r_{i}") for i, (a, b) in enumerate(pairs)])
     return row.select(F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r_{i}").alias("r")) for i, (a, b) in enumerate(pairs)])).alias("p")).select("p.*")
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """bin, n of equal bins from the least to the largest value; the last bin is closed."""
-    x = F.col(column).cast("double")
+    x = number(column)
     low, high = df.agg(F.min(x), F.max(x)).first()
     if low is None:
         return df.sparkSession.createDataFrame([], "bin long, n long")
@@ -131,53 +152,113 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     return df.where(x.isNotNull()).groupBy(at.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _cumulative(a: DataFrame, b: DataFrame, column: str) -> DataFrame:
-    """x, f, g, next_x: both distribution functions at each value.
+def _long_values(a: DataFrame, b: DataFrame, columns: list[str], value: Callable[[str], Column]) -> DataFrame:
+    """c (place of the column), x, u, v: how often each value that is not missing occurs in a and in b; one pass over each."""
+    cells = F.array(*[F.struct(F.lit(i).alias("c"), value(c).alias("x")) for i, c in enumerate(columns)])
+    side = lambda df, u, v: df.select(F.explode(cells).alias("e"), F.lit(u).alias("u"), F.lit(v).alias("v")).select("e.*", "u", "v")
+    both = side(a, 1, 0).unionByName(side(b, 0, 1)).where("x is not null")
+    return both.groupBy("c", "x").agg(F.sum("u").alias("u"), F.sum("v").alias("v"))
+
 
-    Values are counted first. Running sums go over ranges with about as many rows each, and ranges are
+def _cumulative(a: DataFrame, b: DataFrame, columns: list[str]) -> DataFrame:
+    """c (place of the column), x, f, g, next_x, n, m: both distribution functions at each value (NULL of a side without values), and values of both sides.
+
+    Values are counted first, for all columns in one pass. Running sums go over ranges with about as many rows each, and ranges are
     offset by the totals of the earlier ones.
     """
-    x = F.col(column).cast("double")
-    both = a.select(x.alias("x"), F.lit(1).alias("u"), F.lit(0).alias("v")).unionByName(b.select(x.alias("x"), F.lit(0).alias("u"), F.lit(1).alias("v"))).where("x is not null")
+    x = [number(c).alias(f"x{i}") for i, c in enumerate(columns)]
+    both = a.select(*x).unionByName(b.select(*x))
     ranges = max(RANGES, -(-both.count() // RANGE_ROWS))
-    cuts = sorted(set(both.approxQuantile("x", [i / ranges for i in range(1, ranges)], min(0.005, 0.3 / ranges))))
-    # the number of cuts below x
-    part = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col("x"))) if cuts else F.lit(0)
-    counts = both.groupBy("x").agg(F.sum("u").alias("u"), F.sum("v").alias("v")).withColumn("part", part)
-    every = Window.orderBy("part")  # one row a range
-    totals = counts.groupBy("part").agg(F.sum("u").alias("pu"), F.sum("v").alias("pv"), F.min("x").alias("first_x"))
+    found = both.approxQuantile([f"x{i}" for i in range(len(columns))], [i / ranges for i in range(1, ranges)], min(0.005, 0.3 / ranges))
+    cuts = F.array(*[F.array(*map(F.lit, sorted(set(q)))).cast("array<double>") for q in found])
+    # the number of the column's cuts below x
+    part = F.size(F.filter(F.get(cuts, F.col("c")), lambda cut: cut < F.col("x")))
+    counts = _long_values(a, b, columns, number).withColumn("part", part)
+    every = Window.partitionBy("c").orderBy("part")  # one row a range
+    totals = counts.groupBy("c", "part").agg(F.sum("u").alias("pu"), F.sum("v").alias("pv"), F.min("x").alias("first_x"))
     earlier = every.rowsBetween(Window.unboundedPreceding, -1)
     whole = every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    totals = totals.select("part", F.coalesce(F.sum("pu").over(earlier), F.lit(0)).alias("bu"), F.coalesce(F.sum("pv").over(earlier), F.lit(0)).alias("bv"), F.lead("first_x").over(every).alias("later_x"), F.sum("pu").over(whole).alias("nu"), F.sum("pv").over(whole).alias("nv"))
-    own = Window.partitionBy("part").orderBy("x")
+    totals = totals.select("c", "part", F.coalesce(F.sum("pu").over(earlier), F.lit(0)).alias("bu"), F.coalesce(F.sum("pv").over(earlier), F.lit(0)).alias("bv"), F.lead("first_x").over(every).alias("later_x"), F.sum("pu").over(whole).alias("n"), F.sum("pv").over(whole).alias("m"))
+    own = Window.partitionBy("c", "part").orderBy("x")
     running = own.rowsBetween(Window.unboundedPreceding, 0)
-    counts = counts.select("part", "x", F.sum("u").over(running).alias("ru"), F.sum("v").over(running).alias("rv"), F.lead("x").over(own).alias("own_next"))
-    return counts.join(F.broadcast(totals), "part").select("x", ((F.col("ru") + F.col("bu")) / F.col("nu")).alias("f"), ((F.col("rv") + F.col("bv")) / F.col("nv")).alias("g"), F.coalesce("own_next", "later_x").alias("next_x"))
+    counts = counts.select("c", "part", "x", F.sum("u").over(running).alias("ru"), F.sum("v").over(running).alias("rv"), F.lead("x").over(own).alias("own_next"))
+    share = lambda r, before, n: F.try_divide(F.col(r) + F.col(before), F.col(n))
+    return counts.join(F.broadcast(totals), ["c", "part"]).select("c", "x", share("ru", "bu", "n").alias("f"), share("rv", "bv", "m").alias("g"), F.coalesce("own_next", "later_x").alias("next_x"), "n", "m")
+
+
+def distances(a: DataFrame, b: DataFrame, columns: list[str]) -> DataFrame:
+    """column, ks (largest distance of the two distribution functions), w1 (area between them), n, m (values of each side).
+
+    NaN is missing. ks and w1 are NULL where a side has no value of the column.
+    """
+    gap = F.abs(F.col("f") - F.col("g"))
+    found = _cumulative(a, b, columns).groupBy("c").agg(F.max(gap).alias("ks"), F.coalesce(F.sum(gap * (F.col("next_x") - F.col("x"))), F.lit(0.0)).alias("w1"), F.max("n").alias("n"), F.max("m").alias("m"))
+    every = a.sparkSession.createDataFrame(list(enumerate(columns)), "c int, column string")
+    return every.join(found, "c", "left").select("column", "ks", F.when(F.col("ks").isNotNull(), F.col("w1")).alias("w1"), *[F.coalesce(k, F.lit(0)).cast("long").alias(k) for k in "nm"])
 
 
 def ks_statistic(a: DataFrame, b: DataFrame, column: str) -> DataFrame:
     """ks: the largest distance of the two distribution functions."""
-    return _cumulative(a, b, column).agg(F.max(F.abs(F.col("f") - F.col("g"))).alias("ks"))
+    return distances(a, b, [column]).select("ks")
 
 
 def ks_p_value(ks: Column, n: Column, m: Column) -> Column:
-    """The asymptotic two-sided p-value (a series of 100 terms; exact tests for small samples differ)."""
+    """The asymptotic two-sided p-value (a series of 100 terms)."""
     t = ks * F.sqrt(n * m / (n + m))
     total = 2 * sum(((-1) ** (k - 1)) * F.exp(-2.0 * k * k * t * t) for k in range(1, 101))
     return F.when(t < 0.2, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), total)))
 
 
+def exact_ks_p_value(ks: float, n: int, m: int) -> float:
+    """The two-sided p-value of small samples without ties: the share of all orders of both samples whose distance is ks or more.
+
+    An order is a path of n steps one way and m the other. The chance to have kept below the distance is followed over all places that
+    are equally many steps away, so it takes n + m steps over at most n + 1 numbers.
+    """
+    reach = round(ks * n * m) - 0.5  # distances are multiples of 1 / (n m)
+    inside = np.ones(1)
+    for steps in range(1, n + m + 1):
+        i = np.arange(max(0, steps - m), min(n, steps) + 1)
+        before = np.arange(max(0, steps - 1 - m), min(n, steps - 1) + 1)
+        wide = np.zeros(n + 2)
+        wide[before + 1] = inside
+        inside = (i * wide[i] + (steps - i) * wide[i + 1]) / steps
+        inside[np.abs(i * m - (steps - i) * n) > reach] = 0
+    return float(min(1.0, max(0.0, 1 - inside[-1])))
+
+
+@F.pandas_udf(DoubleType())
+def _exact_p(ks: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+    return pd.Series([None if pd.isna(d) or not a or not b or max(a, b) > EXACT_KS else exact_ks_p_value(d, int(a), int(b)) for d, a, b in zip(ks, n, m)], dtype=float)
+
+
+def ks_p_values(found: DataFrame) -> DataFrame:
+    """found (a row a pair of samples, with ks, n and m) with p_value: exact for up to EXACT_KS values a side, asymptotic beyond."""
+    return found.withColumn("p_value", F.coalesce(F.nanvl(_exact_p("ks", "n", "m"), F.lit(None).cast("double")), F.when((F.col("n") > 0) & (F.col("m") > 0), ks_p_value(F.col("ks"), F.col("n"), F.col("m")))))
+
+
 def wasserstein(a: DataFrame, b: DataFrame, column: str) -> DataFrame:
     """w1: the area between the two distribution functions."""
-    return _cumulative(a, b, column).agg(F.coalesce(F.sum(F.abs(F.col("f") - F.col("g")) * (F.col("next_x") - F.col("x"))), F.lit(0.0)).alias("w1"))
+    return distances(a, b, [column]).select("w1")
+
+
+def share_overlap(counts: DataFrame, by: str) -> DataFrame:
+    """by, overlap: 1 - half the sum of the differences of the shares that each value has in u and in v; NULL if one of them has none."""
+    totals = counts.groupBy(by).agg(F.sum("u").alias("nu"), F.sum("v").alias("nv"))  # a row a column, or a pair of columns
+    parts = counts.join(F.broadcast(totals), by)
+    return parts.groupBy(by).agg((1 - F.sum(F.abs(F.try_divide("u", "nu") - F.try_divide("v", "nv"))) / 2).alias("overlap"))
+
+
+def overlaps(a: DataFrame, b: DataFrame, columns: list[str]) -> DataFrame:
+    """column, tv_complement: 1 - half the sum of the differences of category shares, of all columns in one pass; NULL if a side has no value."""
+    found = share_overlap(_long_values(a, b, columns, lambda c: F.col(c).cast("string")), "c")
+    every = a.sparkSession.createDataFrame(list(enumerate(columns)), "c int, column string")
+    return every.join(found, "c", "left").select("column", F.col("overlap").alias("tv_complement"))
 
 
 def tv_complement(a: DataFrame, b: DataFrame, column: str) -> DataFrame:
     """tv_complement: 1 - half the sum of the differences of category shares."""
-    share = lambda d, n: d.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("k")).agg(F.count(F.lit(1)).alias(n))
-    both = share(a, "u").join(share(b, "v"), "k", "full_outer").na.fill(0, ["u", "v"])
-    totals = both.agg(F.sum("u").alias("nu"), F.sum("v").alias("nv"))
-    return both.crossJoin(F.broadcast(totals)).agg((1 - F.sum(F.abs(F.col("u") / F.col("nu") - F.col("v") / F.col("nv"))) / 2).alias("tv_complement"))  # totals is one row
+    return overlaps(a, b, [column]).select("tv_complement")
 
 
 def profile(df: DataFrame, sample_rows: int = 10_000, seed: int = 42) -> dict[str, DataFrame]:

@@ -23,17 +23,23 @@ def common_columns(real: DataFrame, synthetic: DataFrame, wanted: list[str] | No
 
 
 def column_shapes(real: DataFrame, synthetic: DataFrame, columns: list[str]) -> DataFrame:
-    """property, column, score: 1 - KS of numbers, 1 - total variation of categories."""
-    numeric = set(stats.numeric_columns(real))
+    """property, column, score: 1 - KS of numbers, 1 - total variation of categories. NULL where a side has no value."""
+    numeric = [c for c in columns if c in set(stats.numeric_columns(real))]
+    other = [c for c in columns if c not in numeric]
     parts = []
-    for c in columns:
-        one = stats.ks_statistic(real, synthetic, c).select((1 - F.col("ks")).alias("score")) if c in numeric else stats.tv_complement(real, synthetic, c).select(F.col("tv_complement").alias("score"))
-        parts.append(one.select(F.lit("shape").alias("property"), F.lit(c).alias("column"), "score"))
+    if numeric:
+        parts.append(stats.distances(real, synthetic, numeric).select(F.lit("shape").alias("property"), "column", (1 - F.col("ks")).alias("score")))
+    if other:
+        parts.append(stats.overlaps(real, synthetic, other).select(F.lit("shape").alias("property"), "column", F.col("tv_complement").alias("score")))
     return reduce(DataFrame.unionByName, parts)
 
 
 def pair_trends(real: DataFrame, synthetic: DataFrame, columns: list[str]) -> DataFrame:
-    """property, column ("a|b"), score: 1 - half the difference of the correlations of two numbers, contingency similarity of other pairs."""
+    """property, column ("a|b"), score: 1 - half the difference of the correlations of two numbers, contingency similarity of other pairs.
+
+    Whatever the number of columns, correlations take one pass over each table, and so do all other pairs. NULL where a
+    correlation has none (a constant), or a side has no row with both values.
+    """
     numeric = [c for c in columns if c in set(stats.numeric_columns(real))]
     parts = [real.sparkSession.createDataFrame([], "property string, column string, score double")]
     if len(numeric) > 1:
@@ -42,33 +48,34 @@ def pair_trends(real: DataFrame, synthetic: DataFrame, columns: list[str]) -> Da
         parts.append(both.select(F.lit("trend").alias("property"), F.concat_ws("|", "a", "b").alias("column"), (1 - F.abs(F.col("r") - F.col("s")) / 2).alias("score")))
     mixed = [(a, b) for a, b in combinations(columns, 2) if a not in numeric or b not in numeric]
     if mixed:
-        x, y = _categories(real, synthetic, columns, numeric)
-        for a, b in mixed:
-            parts.append(_contingency(x, y, a, b).select(F.lit("trend").alias("property"), F.lit(f"{a}|{b}").alias("column"), "score"))
+        found = contingency(*_categories(real, synthetic, columns, numeric), mixed)
+        parts.append(found.select(F.lit("trend").alias("property"), F.concat_ws("|", "a", "b").alias("column"), "score"))
     return reduce(DataFrame.unionByName, parts)
 
 
 def _categories(real: DataFrame, synthetic: DataFrame, columns: list[str], numeric: list[str]) -> tuple[DataFrame, DataFrame]:
     """Both frames with numbers as one of CONTINGENCY_BINS equal bins of the real values (-1 below them, and one more above)."""
-    ends = real.agg(*[f(F.col(c).cast("double")).alias(f"{n}{i}") for i, c in enumerate(numeric) for n, f in (("l", F.min), ("h", F.max))]).first() if numeric else None
+    ends = real.agg(*[f(stats.number(c)).alias(f"{n}{i}") for i, c in enumerate(numeric) for n, f in (("l", F.min), ("h", F.max))]).first() if numeric else None
     bins = {}
     for i, c in enumerate(numeric):
-        low, high, x = ends[f"l{i}"], ends[f"h{i}"], F.col(c).cast("double")
+        low, high, x = ends[f"l{i}"], ends[f"h{i}"], stats.number(c)
         if low is None:
             bins[c] = F.when(x.isNotNull(), F.lit(0))
             continue
         at = F.least(F.lit(CONTINGENCY_BINS - 1), F.floor((x - F.lit(low)) / F.lit((high - low) / CONTINGENCY_BINS or 1.0)).cast("int"))
         bins[c] = F.when(x < low, -1).when(x > high, CONTINGENCY_BINS).when(x.isNotNull(), at)
-    made = [bins.get(c, F.col(c)).alias(c) for c in columns]
+    made = [bins.get(c, F.col(c)).cast("string").alias(c) for c in columns]
     return real.select(*made), synthetic.select(*made)
 
 
-def _contingency(real: DataFrame, synthetic: DataFrame, a: str, b: str) -> DataFrame:
-    """score: 1 - half the sum of the differences of the shares of each pair of values, over the rows that have both."""
-    counts = lambda d, n: d.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(F.col(a).alias("a"), F.col(b).alias("b")).agg(F.count(F.lit(1)).alias(n))
-    both = counts(real, "u").join(counts(synthetic, "v"), ["a", "b"], "full_outer").na.fill(0, ["u", "v"])
-    totals = both.agg(F.sum("u").alias("nu"), F.sum("v").alias("nv"))
-    return both.crossJoin(F.broadcast(totals)).agg((1 - F.sum(F.abs(F.col("u") / F.col("nu") - F.col("v") / F.col("nv"))) / 2).alias("score"))  # totals is one row
+def contingency(real: DataFrame, synthetic: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """a, b, score: 1 - half the sum of the differences of the shares of each pair of values, over the rows that have both; all pairs of columns in one pass."""
+    cells = F.array(*[F.struct(F.lit(k).alias("pair"), F.col(a).cast("string").alias("x"), F.col(b).cast("string").alias("y")) for k, (a, b) in enumerate(pairs)])
+    side = lambda df, u, v: df.select(F.explode(cells).alias("e"), F.lit(u).alias("u"), F.lit(v).alias("v")).select("e.*", "u", "v")
+    both = side(real, 1, 0).unionByName(side(synthetic, 0, 1)).where("x is not null and y is not null")
+    counts = both.groupBy("pair", "x", "y").agg(F.sum("u").alias("u"), F.sum("v").alias("v"))
+    every = real.sparkSession.createDataFrame([(k, a, b) for k, (a, b) in enumerate(pairs)], "pair int, a string, b string")
+    return every.join(stats.share_overlap(counts, "pair"), "pair", "left").select("a", "b", F.col("overlap").alias("score"))
 
 
 def quality(real: DataFrame, synthetic: DataFrame, columns: list[str]) -> DataFrame:

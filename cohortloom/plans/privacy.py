@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark import StorageLevel
@@ -14,6 +15,14 @@ from cohortloom.operators.neighbours import nearest
 from cohortloom.sources import tables
 
 
+#: Numbers that rows are looked up by if they may differ.
+GRID_COLUMNS = 2
+#: The quantile of a normal distribution for 95 % intervals.
+Z95 = 1.959963984540054
+#: What an attack's row has besides if there are control rows.
+CONTROLLED = ("rate_low", "rate_high", "control_rate", "control_low", "control_high", "excess")
+
+
 def scaled_pair(real: DataFrame, synthetic: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
     """Both frames with their own means for what is missing, and with the real frame's standard scores (ddof 0)."""
     real, synthetic = impute_mean(real, columns), impute_mean(synthetic, columns)
@@ -22,12 +31,49 @@ def scaled_pair(real: DataFrame, synthetic: DataFrame, columns: list[str]) -> tu
     return real.withColumns(scale), synthetic.withColumns(scale)
 
 
-def new_row_share(real: DataFrame, synthetic: DataFrame, columns: list[str]) -> DataFrame:
-    """n, n_new, share of synthetic rows that no real row equals (higher is safer)."""
+def new_row_share(real: DataFrame, synthetic: DataFrame, columns: list[str], tolerance: float = 0.0) -> DataFrame:
+    """n, n_new, share of synthetic rows that no real row matches (higher is safer; share is NULL without rows).
+
+    A row matches if all its values are equal (NULL equals NULL); a number x of the synthetic row also matches what differs by tolerance * |x| at most.
+    """
+    if not 0 <= tolerance < 1:
+        raise ValueError("a tolerance of 0 or more and below 1 is expected")
+    numeric = [c for c in stats.numeric_columns(real) if c in columns] if tolerance else []
+    if numeric:
+        return _new_rows_by_cells(real, synthetic, columns, numeric, tolerance)
     seen = real.select(*columns).distinct().withColumn("seen", F.lit(1))
     on = reduce(lambda a, b: a & b, [synthetic[c].eqNullSafe(seen[c]) for c in columns])
     found = synthetic.join(seen, on, "left")
-    return found.agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("seen").isNull(), 1).otherwise(0)).alias("n_new")).withColumn("share", F.col("n_new") / F.col("n"))
+    return found.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.when(F.col("seen").isNull(), 1).otherwise(0)), F.lit(0)).alias("n_new")).withColumn("share", F.try_divide("n_new", "n"))
+
+
+def _new_rows_by_cells(real: DataFrame, synthetic: DataFrame, columns: list[str], numeric: list[str], tolerance: float) -> DataFrame:
+    """Numbers lie in cells by sign and logarithm, as wide as the tolerance, so a match is in the same cell or next to it.
+
+    The GRID_COLUMNS numbers with the most cells, and all categories, are keys of the join; a synthetic row goes to 3 cells a number. The other
+    numbers are compared where the rows meet. Equal rows are one on either side, so a frequent row is no hot key.
+    """
+    width = -math.log1p(-tolerance) * (1 + 1e-9)
+    x = {c: stats.number(c) for c in numeric}
+    cell = {c: F.coalesce(F.when(v == 0, 0).otherwise(F.floor(F.log(F.abs(v)) / width)), F.lit(0)) for c, v in x.items()}
+    sign = {c: F.coalesce(F.signum(v), F.lit(2.0)) for c, v in x.items()}
+    spread = real.agg(*[F.approx_count_distinct(F.struct(sign[c], cell[c])).alias(f"d{i}") for i, c in enumerate(numeric)]).first()
+    grid = sorted(numeric, key=lambda c: -spread[f"d{numeric.index(c)}"])[:GRID_COLUMNS]
+    keys = {f"s{i}": sign[c] for i, c in enumerate(grid)} | {f"k{i}": cell[c] for i, c in enumerate(grid)}
+    names = {c: f"r_{i}" for i, c in enumerate(columns)}
+    a = real.select(*columns).distinct().withColumns(keys).withColumnsRenamed(names)
+    b = synthetic.groupBy(*columns).agg(F.count(F.lit(1)).alias("rows")).withColumns(keys).withColumn("row", F.struct(*columns))
+    asks = b
+    for i in range(len(grid)):
+        near = F.when(F.abs(F.col(f"s{i}")) == 1, F.array(*[F.col(f"k{i}") + d for d in (-1, 0, 1)])).otherwise(F.array(f"k{i}"))
+        asks = asks.withColumn(f"k{i}", F.explode(near))
+    on = [asks[k] == a[k] for k in keys]
+    for c in columns:
+        equal = asks[c].eqNullSafe(a[names[c]])
+        on.append(equal if c not in numeric else equal | (F.abs(asks[c].cast("double") - a[names[c]].cast("double")) <= tolerance * F.abs(asks[c].cast("double"))))
+    found = asks.join(a, reduce(lambda p, q: p & q, on), "left_semi").select("row", "rows").distinct()
+    totals = b.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n")).crossJoin(found.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("known")))  # one row each
+    return totals.select("n", (F.col("n") - F.col("known")).alias("n_new")).withColumn("share", F.try_divide("n_new", "n"))
 
 
 def closest_records(real: DataFrame, synthetic: DataFrame, key: str, columns: list[str]) -> DataFrame:
@@ -85,11 +131,16 @@ def categorical_cap(real: DataFrame, synthetic: DataFrame, known: list[str], sen
 
 
 def numerical_lr(real: DataFrame, synthetic: DataFrame, known: str, sensitive: str) -> DataFrame:
-    """slope, intercept of the synthetic table, and the mean absolute error on the real one over its range (higher is safer)."""
-    fit = synthetic.agg(F.regr_slope(F.col(sensitive).cast("double"), F.col(known).cast("double")).alias("slope"), F.regr_intercept(F.col(sensitive).cast("double"), F.col(known).cast("double")).alias("intercept"))
+    """slope, intercept of the synthetic table, and the mean absolute error on the real one over its range (higher is safer).
+
+    NULL where the known column is constant in the synthetic table, or the sensitive one in the real table.
+    """
+    y, x = stats.number(sensitive), stats.number(known)
+    fit = synthetic.agg(F.regr_sxy(y, x).alias("xy"), F.regr_sxx(y, x).alias("xx"), F.regr_avgy(y, x).alias("y"), F.regr_avgx(y, x).alias("x"))
+    fit = fit.withColumn("slope", F.try_divide("xy", "xx")).select("slope", (F.col("y") - F.col("slope") * F.col("x")).alias("intercept"))
     rows = real.crossJoin(F.broadcast(fit))  # fit is one row
     error = F.abs(F.col(sensitive) - (F.col("slope") * F.col(known) + F.col("intercept")))
-    return rows.groupBy("slope", "intercept").agg((F.avg(error) / (F.max(sensitive) - F.min(sensitive))).alias("relative_error"))
+    return rows.groupBy("slope", "intercept").agg(F.try_divide(F.avg(error), (F.max(sensitive) - F.min(sensitive)).cast("double")).alias("relative_error"))
 
 
 def linkability(real: DataFrame, synthetic: DataFrame, key: str, left: list[str], right: list[str], attack: Column, k: int = 10) -> DataFrame:
@@ -149,15 +200,41 @@ def inference(real: DataFrame, synthetic: DataFrame, key: str, known: list[str],
     return row.select("n_attacks", "n_right", F.when(F.col("n_attacks") > 0, F.col("n_right") / F.col("n_attacks")).alias("rate"), "baseline").withColumn("risk", F.col("rate") - F.col("baseline"))
 
 
+def success_bounds(hits: Column, n: Column, z: float = Z95) -> tuple[Column, Column]:
+    """The ends of the score interval of a rate of success; NULL without attempts."""
+    p = F.try_divide(hits, n)
+    middle, width = (p + z * z / 2 / n) / (1 + z * z / n), z * F.sqrt(p * (1 - p) / n + z * z / 4 / n / n) / (1 + z * z / n)
+    some = n > 0
+    return F.when(some, F.greatest(F.lit(0.0), F.try_subtract(middle, width))), F.when(some, F.least(F.lit(1.0), middle + width))
+
+
+def with_control(attack: DataFrame, control: DataFrame, hits: str) -> DataFrame:
+    """An attack's row (or a row a column) with the bounds of its rate, and those of the same attack on rows that the synthetic table was not made from.
+
+    control_rate is what general knowledge achieves; excess = (rate - control_rate) / (1 - control_rate), at least 0, is what is told of
+    the real rows beyond that.
+    """
+    n = F.when(F.col("n_attacks") > 0, F.col("n_attacks").cast("double"))
+    low, high = success_bounds(F.col(hits), n)
+    own = attack.withColumns({"rate_low": low, "rate_high": high})
+    other = control.select(*(["column"] if "column" in control.columns else []), F.col("n_attacks").alias("n_control"), F.col("rate").alias("control_rate"), low.alias("control_low"), high.alias("control_high"))
+    both = own.join(other, "column", "left") if "column" in control.columns else own.crossJoin(other)  # one row each
+    return both.withColumn("excess", F.greatest(F.lit(0.0), F.try_divide(F.col("rate") - F.col("control_rate"), 1 - F.col("control_rate"))))
+
+
 def risk_band(risk: Column) -> Column:
     return F.when(risk < 0.1, "low").when(risk < 0.3, "medium").when(risk.isNotNull(), "high")
 
 
-def evaluate(real: DataFrame, synthetic: DataFrame, key: str, attack: Column | None = None) -> DataFrame:
+def evaluate(real: DataFrame, synthetic: DataFrame, key: str, attack: Column | None = None, control: DataFrame | None = None, tolerance: float = 0.0, exact: bool = False) -> DataFrame:
     """section, column, metric, value of all metrics over the columns that both frames have, and the mean of the risks.
 
     attack picks the rows that linkability and inference attack (without it, those whose key is divisible by 20). The metrics are a
-    few numbers a column, so each is computed at once and the distances that several of them share are released.
+    few numbers a column, so each is computed at once and the distances that several of them share are released. A metric that a
+    column has none of (no values, or a constant) is NULL and does not count.
+
+    control: real rows that the synthetic table was not made from; the attacks are made on them, too, and get control_rate and
+    bounds. tolerance: how far numbers of equal rows may differ; exact: p-values are exact for small samples.
     """
     common = [c for c in real.columns if c in synthetic.columns and c != key]
     if not common:
@@ -171,16 +248,22 @@ def evaluate(real: DataFrame, synthetic: DataFrame, key: str, attack: Column | N
         for r in row.collect():
             rows.extend((section, r["column"] if "column" in row.columns else column, n, None if r[n] is None else float(r[n])) for n in names)
 
-    add(new_row_share(real, synthetic, common), "new_rows", ["share"])
-    for c in numeric:
-        sizes = F.lit(real.where(F.col(c).isNotNull()).count()), F.lit(synthetic.where(F.col(c).isNotNull()).count())
-        add(stats.ks_statistic(real, synthetic, c).withColumn("p_value", stats.ks_p_value(F.col("ks"), *sizes)), "numeric", ["ks", "p_value"], c)
-        add(stats.wasserstein(real, synthetic, c), "numeric", ["w1"], c)
+    def attacked(made: Callable[[DataFrame], DataFrame], section: str, hits: str, column: str = "") -> None:
+        row = made(real)
+        if control is not None:
+            row = with_control(row, made(control), hits)
+        add(row, section, ["rate", "baseline", "risk", *(CONTROLLED if control is not None else ())], column)
+
+    add(new_row_share(real, synthetic, common, tolerance), "new_rows", ["share"])
+    if numeric:
+        found = stats.distances(real, synthetic, numeric)
+        found = stats.ks_p_values(found) if exact else found.withColumn("p_value", F.when(F.col("ks").isNotNull(), stats.ks_p_value(F.col("ks"), F.col("n"), F.col("m"))))
+        add(found, "numeric", ["ks", "p_value", "w1"])
     for c in numeric[1:]:
         add(numerical_lr(real, synthetic, numeric[0], c), "numerical_lr", ["relative_error"], c)
     for c in categorical[1:]:
         add(categorical_cap(real, synthetic, [categorical[0]], c), "cap", ["protection"], c)
-    add(singling_out(real, synthetic, common), "singling_out", ["rate", "baseline", "risk"])
+    attacked(lambda rows: singling_out(rows, synthetic, common), "singling_out", "n_singled")
     if numeric:
         near, n = closest_records(real, synthetic, key, numeric).persist(StorageLevel.DISK_ONLY), synthetic.count()
         add(distance_stats(near, n), "closest", ["mean", "median", "min", "max", "std"])
@@ -189,8 +272,8 @@ def evaluate(real: DataFrame, synthetic: DataFrame, key: str, attack: Column | N
     if len(numeric) > 1:
         known, sensitive = numeric[: min(3, len(numeric) - 1)], numeric[min(3, len(numeric) - 1) :][:3]
         add(attribute_disclosure(real, synthetic, key, known, sensitive), "attribute", ["risk"])
-        add(linkability(real, synthetic, key, numeric[:1], numeric[1:2], attack), "linkability", ["rate", "baseline", "risk"])
-        add(inference(real, synthetic, key, numeric[1:4], numeric[0], attack), "inference", ["rate", "baseline", "risk"], numeric[0])
+        attacked(lambda rows: linkability(rows, synthetic, key, numeric[:1], numeric[1:2], attack), "linkability", "n_linked")
+        attacked(lambda rows: inference(rows, synthetic, key, numeric[1:4], numeric[0], attack), "inference", "n_right", numeric[0])
     risks = {s: [v for section, _, m, v in rows if section == s and m == ("rate" if s == "membership" else "risk") and v is not None] for s in ("singling_out", "linkability", "inference", "membership", "attribute")}
     means = [sum(v) / len(v) for v in risks.values() if v]
     if means:
@@ -198,12 +281,17 @@ def evaluate(real: DataFrame, synthetic: DataFrame, key: str, attack: Column | N
     return real.sparkSession.createDataFrame(rows, "section string, column string, metric string, value double")
 
 
-def run(real: DataFrame, synthetic: DataFrame, key: str, folder: str, plausible: bool = True) -> dict[str, dict]:
-    """The privacy stage: plausible rows only, intervals as days, the metrics with the band of each risk as one JSON report in the folder."""
+def run(real: DataFrame, synthetic: DataFrame, key: str, folder: str, plausible: bool = True, control: DataFrame | None = None, tolerance: float = 0.01) -> dict[str, dict]:
+    """The privacy stage: plausible rows only, intervals as days, the metrics with the band of each risk as one JSON report in the folder.
+
+    Without control rows, synthetic ones stand in for them (those whose key is divisible by 4), so control_rate is then what the attacks achieve on rows they know.
+    """
     if plausible:
         real, synthetic = transforms.plausible(real), transforms.plausible(synthetic)
     real, synthetic = transforms.intervals_to_days(real), transforms.intervals_to_days(synthetic)
-    banded = evaluate(real, synthetic, key).withColumn("band", F.when(F.col("metric").isin("risk", "mean_risk"), risk_band(F.col("value"))))
+    if control is None:
+        control = synthetic.where(F.pmod(F.col(key).cast("long"), F.lit(4)) == 0)
+    banded = evaluate(real, synthetic, key, control=control, tolerance=tolerance, exact=True).withColumn("band", F.when(F.col("metric").isin("risk", "mean_risk"), risk_band(F.col("value"))))
     report: dict[str, dict] = {}
     for r in banded.collect():
         report.setdefault(r["section"], {}).setdefault(r["column"], {})[r["metric"]] = r["value"] if r["band"] is None else {"value": r["value"], "band": r["band"]}

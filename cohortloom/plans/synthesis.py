@@ -186,26 +186,32 @@ def _uniform(ids: np.ndarray, seed: int, stream: int) -> np.ndarray:
     return (x >> np.uint64(11)).astype(float) / (1 << 53)
 
 
-#: Synthesizers by name; deep ones can be added by users who have their libraries.
+#: Synthesizers by name: what fits a model (df, columns) and what draws from it (spark, model, n, seed). mixture.py and tree.py add
+#: theirs; users can add others.
 SYNTHESIZERS: dict[str, tuple[Callable, Callable]] = {"GC": (fit_gaussian_copula, sample_gaussian_copula)}
 
 
-def synthesize(df: DataFrame, columns: list[str], n: int, kind: str = "GC", seed: int = 42) -> DataFrame:
+def synthesizer(kind: str) -> tuple[Callable, Callable]:
+    from cohortloom.plans import mixture, tree  # noqa: F401  (they enter themselves)
+
     if kind not in SYNTHESIZERS:
         raise ValueError(f"no synthesizer {kind!r}; known: {sorted(SYNTHESIZERS)}")
-    fit, sample = SYNTHESIZERS[kind]
+    return SYNTHESIZERS[kind]
+
+
+def synthesize(df: DataFrame, columns: list[str], n: int, kind: str = "GC", seed: int = 42) -> DataFrame:
+    fit, sample = synthesizer(kind)
     return sample(df.sparkSession, fit(df, columns), n, seed)
 
 
 def run(df: DataFrame, columns: list[str], n: int, folder: str, kind: str = "GC", seed: int = 42) -> DataFrame:
     """The synthesis stage: decimals as doubles and intervals as days; writes the model, its metadata and the rows, and gives the rows."""
     df = transforms.intervals_to_days(transforms.decimals_to_double(df))
-    if kind != "GC":
-        made = synthesize(df, columns, n, kind, seed)
-    else:
-        copula = fit_gaussian_copula(df, columns)
-        copula.save(df.sparkSession, f"{folder}/synth_{kind}")
-        made = sample_gaussian_copula(df.sparkSession, copula, n, seed)
+    fit, sample = synthesizer(kind)
+    model = fit(df, columns)
+    if hasattr(model, "save"):
+        model.save(df.sparkSession, f"{folder}/synth_{kind}")
+    made = sample(df.sparkSession, model, n, seed)
     target = f"{folder}/synthdata_{kind}_{n}.parquet"
     tables.write_parquet(made, target)
     return df.sparkSession.read.parquet(target)

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -42,10 +44,10 @@ def read(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame
 
 
 def read_feather(spark: SparkSession, path: str) -> DataFrame:
-    """Spark has no Feather source. The file passes through the driver: convert it once with to_parquet()."""
-    from pyarrow import feather
+    """A file or a folder of files, a task for each record batch."""
+    from cohortloom.sources import feather
 
-    return spark.createDataFrame(feather.read_table(path))
+    return feather.read(spark, path)
 
 
 def existing(df: DataFrame, wanted: list[str]) -> list[str]:
@@ -78,13 +80,13 @@ def to_parquet(spark: SparkSession, source: str, target: str, as_text: list[str]
     write_parquet(df.withColumns({c: F.col(c).cast("string") for c in existing(df, as_text or [])}), target)
 
 
-def convert_large(spark: SparkSession, sources: dict[str, str], folder: str, least_mb: float = 500) -> dict[str, str]:
-    """Converts CSV files of more than least_mb; returns original -> converted and writes the same map as JSON."""
+def convert_large(spark: SparkSession, sources: dict[str, str], folder: str, least_mb: float = 500, home: str | None = None) -> dict[str, str]:
+    """Converts CSV files of more than least_mb; returns original -> converted and writes the same map as JSON. home: the path that the folder will have."""
     done = {}
     for name, path in sources.items():
         if file_format(path) == "csv" and size_mb(spark, path) > least_mb:
-            done[path] = f"{folder}/{name}.parquet"
-            to_parquet(spark, path, done[path])
+            to_parquet(spark, path, f"{folder}/{name}.parquet")
+            done[path] = f"{home or folder}/{name}.parquet"
     write_json(spark, done, f"{folder}/conversion_map.json")
     return done
 
@@ -129,6 +131,34 @@ def write_json(spark: SparkSession, value: object, path: str) -> None:
         out.close()
 
 
+def read_json(spark: SparkSession, path: str) -> object:
+    return json.loads("".join(r["value"] for r in spark.read.text(path, wholetext=True).collect()))
+
+
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    """One step of the file system; an earlier target goes first."""
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+    files = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(new, True)
+    if not files.rename(old, new):
+        raise OSError(f"{source} could not be renamed to {target}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that driver and executors share (spark.checkpoint.dir); without one, only where Spark runs on this machine, a temporary folder."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="scratch")
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
 def stage_path(folder: str, name: str, settings: object) -> str:
     """Where a stage's result lies; other settings give another path, so a result is never taken for another's."""
     mark = hashlib.sha256(json.dumps(settings, sort_keys=True, default=str).encode()).hexdigest()[:12]
