@@ -1,7 +1,9 @@
 """Exact nearest neighbours of a query set against a table, by cells with a bound.
 
-Equal points of the table are one, with the ids of its first k rows, and equal queries are one. Points go to the cell of their
-nearest pivot (pivots come from a bounded sample), and a large cell is cut into blocks. A query first searches a block of its own cell;
+Equal points of the table are one, with the ids of its first k rows, and equal queries are one. Points go to the cell of a
+near pivot, and a large cell is cut into blocks. There are as many cells as the table has half blocks (up to a broadcast of
+TREE_NUMBERS numbers), so pivots, which come from a bounded sample, are a tree of two levels: a point goes to its nearest top pivot and to the nearest
+pivot below that. A query first searches a block of its own cell;
 the distance of its k-th neighbour there bounds the rest: only cells that can reach into that distance (distance to the pivot
 less the cell's radius) are searched as well. Queries and points meet by a shuffle: in each block the points come first and the
 queries stream past them, and the best k of all blocks are merged. So the result is that of comparing every query with every
@@ -19,10 +21,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from cohortloom.sources import tables
+
 #: Points of a block, and queries that share a copy of it.
 BLOCK_POINTS, BLOCK_QUERIES = 8192, 1 << 18
-#: Most cells; numbers of the sample that pivots come from; numbers of a matrix of distances.
-MAX_CELLS, SAMPLE_NUMBERS, MATRIX_NUMBERS = 4096, 1 << 20, 1 << 20
+#: Most numbers of all pivots, and of the sample that they come from at least; numbers of a matrix of distances.
+TREE_NUMBERS, SAMPLE_NUMBERS, MATRIX_NUMBERS = 1 << 22, 1 << 20, 1 << 20
 _NONE = np.iinfo(np.int64).max
 
 
@@ -109,46 +113,77 @@ def _against_all(shared, names: list[str], k: int):
 
 @dataclass
 class Cells:
+    """pivots: one a cell, those of a top pivot one after another: first[t]:first[t + 1]."""
+
     pivots: np.ndarray
+    tops: np.ndarray
+    first: np.ndarray
     radius: np.ndarray  # of each cell; -1 if it has no points
     blocks: np.ndarray
     copies: np.ndarray  # of a cell's blocks in the second search
 
+    @staticmethod
+    def grown(pivots: np.ndarray) -> Cells:
+        """Some pivots are top pivots, about as many as each has below it."""
+        tops = pivots[: int(np.ceil(np.sqrt(len(pivots))))]
+        under = np.concatenate([_distances(pivots[i : i + 1024], tops).argmin(axis=1) for i in range(0, len(pivots), 1024)])
+        order = np.argsort(under, kind="stable")
+        ones = np.ones(len(pivots), np.int64)
+        return Cells(pivots[order], tops, np.searchsorted(under[order], np.arange(len(tops) + 1)), np.zeros(len(pivots)), ones, ones)
+
+    def filled(self, radius: np.ndarray, blocks: np.ndarray, copies: np.ndarray) -> Cells:
+        return Cells(self.pivots, self.tops, self.first, radius, blocks, copies)
+
+    @property
+    def top_radius(self) -> np.ndarray:
+        """How far the points below each top pivot can lie from it; -1 if it has none."""
+        far = np.sqrt(((self.pivots - np.repeat(self.tops, np.diff(self.first), axis=0)) ** 2).sum(axis=1)) + self.radius
+        far = np.where(self.radius >= 0, far * (1 + 1e-9), -1)
+        return np.array([far[i:j].max(initial=-1) for i, j in zip(self.first[:-1], self.first[1:])])
+
     def own(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(nearest cell that has points, distance to its pivot)."""
-        cell, distance = np.empty(len(x), np.int64), np.empty(len(x))
-        step = max(1, MATRIX_NUMBERS // len(self.pivots))
+        """(a near cell that has points, distance to its pivot)."""
+        cell, distance = np.zeros(len(x), np.int64), np.zeros(len(x))
+        empty = self.top_radius < 0
+        step = max(1, MATRIX_NUMBERS // len(self.tops))
         for i in range(0, len(x), step):
-            d = np.where(self.radius >= 0, _distances(x[i : i + step], self.pivots), np.inf)
-            cell[i : i + step] = d.argmin(axis=1)
-            distance[i : i + step] = d.min(axis=1)
+            top = np.where(empty, np.inf, _distances(x[i : i + step], self.tops)).argmin(axis=1)
+            for t in np.unique(top).tolist():
+                rows, below = i + np.flatnonzero(top == t), slice(self.first[t], self.first[t + 1])
+                d = np.where(self.radius[below] >= 0, _distances(x[rows], self.pivots[below]), np.inf)
+                cell[rows], distance[rows] = d.argmin(axis=1) + self.first[t], d.min(axis=1)
         return cell, distance
 
     def within(self, x: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(query, cell) where the cell can have a point as near as reach."""
-        rows, cells = [], []
-        step = max(1, MATRIX_NUMBERS // len(self.pivots))
+        found, top_radius = [np.zeros((2, 0), np.int64)], self.top_radius
+        step = max(1, MATRIX_NUMBERS // len(self.tops))
+        near = lambda gap, r: gap <= r[:, None] + 1e-9 * (1 + np.abs(gap))
         for i in range(0, len(x), step):
-            gap = _distances(x[i : i + step], self.pivots) - self.radius
-            row, cell = np.nonzero((gap <= reach[i : i + step, None] + 1e-9 * (1 + np.abs(gap))) & (self.radius >= 0))
-            rows.append(row + i)
-            cells.append(cell)
-        return np.concatenate(rows), np.concatenate(cells)
+            mine = reach[i : i + step]
+            open_ = near(_distances(x[i : i + step], self.tops) - top_radius, mine) & (top_radius >= 0)
+            for t in np.flatnonzero(open_.any(axis=0)).tolist():
+                rows, below = np.flatnonzero(open_[:, t]), slice(self.first[t], self.first[t + 1])
+                row, cell = np.nonzero(near(_distances(x[i + rows], self.pivots[below]) - self.radius[below], mine[rows]) & (self.radius[below] >= 0))
+                found.append(np.stack([rows[row] + i, cell + self.first[t]]))
+        return tuple(np.concatenate(found, axis=1))
 
 
 def _by_cells(asks: DataFrame, points: DataFrame, names: list[str], n: int, k: int) -> DataFrame:
-    spark = points.sparkSession
-    share = min(1.0, SAMPLE_NUMBERS / len(names) / n)
+    spark, d = points.sparkSession, len(names)
+    wanted = max(1, min(-(-2 * n // BLOCK_POINTS), TREE_NUMBERS // d))
+    rows = max(SAMPLE_NUMBERS // d, 2 * wanted)
     chance = F.pmod(F.xxhash64(F.lit(3), *names), F.lit(1 << 30)) / float(1 << 30)
-    sample = np.unique(_points(points.where(chance < share).select(*names).limit(2 * SAMPLE_NUMBERS // len(names)).toArrow(), names), axis=0)
-    pivots = sample[np.random.default_rng(1).permutation(len(sample))[: min(MAX_CELLS, -(-2 * n // BLOCK_POINTS))]]
-    first = Cells(pivots, np.zeros(len(pivots)), np.ones(len(pivots), np.int64), np.ones(len(pivots), np.int64))
-    located = points.mapInArrow(_located(spark.sparkContext.broadcast(first), names), ", ".join(f"{x} double" for x in names) + ", ts array<long>, cell int, gap double")
-    by_cell = {r["cell"]: r for r in located.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("gap").alias("radius")).collect()}  # MAX_CELLS rows at most
-    sizes = np.array([by_cell[c]["n"] if c in by_cell else 0 for c in range(len(pivots))])
-    n_asks = asks.count()
-    copies = np.maximum(1, np.full(len(pivots), -(-n_asks // BLOCK_QUERIES)))
-    cells = Cells(pivots, np.array([by_cell[c]["radius"] if c in by_cell else -1.0 for c in range(len(pivots))]), np.maximum(1, -(-sizes // BLOCK_POINTS)), copies)
+    sample = np.unique(_points(points.where(chance < min(1.0, rows / n)).select(*names).limit(2 * rows).toArrow(), names), axis=0)
+    tree = Cells.grown(sample[np.random.default_rng(1).permutation(len(sample))[:wanted]])
+    located = points.mapInArrow(_located(spark.sparkContext.broadcast(tree), names), ", ".join(f"{x} double" for x in names) + ", ts array<long>, cell int, gap double")
+    path = tables.scratch(spark, "located")
+    located.write.parquet(path)
+    located = spark.read.schema(located.schema).parquet(path)
+    by_cell = located.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("gap").alias("radius")).toArrow()  # a row a cell
+    sizes, radius = np.zeros(len(tree.pivots), np.int64), np.full(len(tree.pivots), -1.0)
+    sizes[by_cell["cell"].to_numpy()], radius[by_cell["cell"].to_numpy()] = by_cell["n"].to_numpy(), by_cell["radius"].to_numpy()
+    cells = tree.filled(radius, np.maximum(1, -(-sizes // BLOCK_POINTS)), np.full(len(sizes), max(1, -(-asks.count() // BLOCK_QUERIES))))
     shared = spark.sparkContext.broadcast(cells)
     fields = "cell int, block int, copy int, asks boolean, " + _found_type(names)
     order = ["cell", "block", "copy", "asks"]

@@ -149,7 +149,7 @@ def _summed(rows: DataFrame, model: Autoencoder, with_gradients: bool) -> np.nda
 def mean_loss(rows: DataFrame, model: Autoencoder) -> float | None:
     """Mean squared error of the known cells of rows with vectors x."""
     loss, n = _summed(rows, model, False)
-    return loss / n if n else None
+    return float(loss / n) if n else None
 
 
 def _shaped(flat: np.ndarray, like: list[np.ndarray]) -> list[np.ndarray]:
@@ -161,7 +161,7 @@ def gradient(rows: DataFrame, model: Autoencoder) -> tuple[float | None, list[np
     """(mean squared error of rows with vectors x, its derivative by each weight)."""
     total = _summed(rows, model, True)
     n = max(1.0, total[1])
-    return (total[0] / n if total[1] else None), _shaped(total[2:] / n, model.weights)
+    return (float(total[0] / n) if total[1] else None), _shaped(total[2:] / n, model.weights)
 
 
 class _Adam:

@@ -7,14 +7,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from cohortloom.functions.codesets import in_codes
 from cohortloom.operators import features, shape, stats, transforms
 from cohortloom.operators.neighbours import nearest
-from cohortloom.plans import audit, pipeline, privacy, synthesis
+from cohortloom.plans import audit, autoencoder, mixture, pipeline, privacy, synthesis, tree
 from cohortloom.scores.maggic import maggic
-from cohortloom.scores.stumps import stump_score
+from cohortloom.scores.stumps import INPUTS, RANGES, stump_score
+from cohortloom.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -98,6 +99,17 @@ def first_after_any_before_fused(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(shape.as_of_fused(events, _refs(events), "user_id", "event_type", "value", "ts", "ref", {"purchase": "purchase_first_after"}, {"view": "view_any_before"}))
 
 
+@query(ASOF_SQL)
+def stored_list_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from lists that were stored as text."""
+    events = load(spark, sf_dir, "events")
+    wide = shape.expand(events, "user_id", "event_type", "value", {"purchase": "purchase", "view": "view"}, ["ts"])
+    entry = lambda e: F.concat(F.lit("("), F.coalesce(e["value"].cast("string"), F.lit("nan")), F.lit(", '"), e["ts"].cast("string"), F.lit("')"))
+    wide = wide.withColumns({c: F.concat(F.lit("["), F.array_join(F.transform(c, entry), ", "), F.lit("]")) for c in ("purchase", "view")}).join(_refs(events), "user_id", "left")
+    wide = shape.as_of(shape.as_of(wide, ["purchase"], "ref", "after", "ts"), ["view"], "ref", "anybefore", "ts")
+    return rounded(wide.select("user_id", "purchase_first_after", "view_any_before"))
+
+
 @query("""
     with e as (select * from events where event_type in ('purchase', 'view', 'click', 'error'))
     select user_id,
@@ -471,6 +483,13 @@ def new_row_synthesis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(privacy.new_row_share(*_halves(spark, sf_dir, "part", "p_partkey"), ["p_brand", "p_size", "p_type"]))
 
 
+@query("""select cast(count(*) as bigint) as n, cast(count(*) filter (not hit) as bigint) as n_new, round(count(*) filter (not hit) / count(*), 6) as share
+    from (select exists (select 1 from part r where r.p_partkey % 2 = 0 and r.p_brand = s.p_brand and abs(r.p_size - s.p_size) <= 0.01 * abs(s.p_size) and abs(r.p_retailprice - s.p_retailprice) <= 0.01 * abs(s.p_retailprice)) as hit from part s where s.p_partkey % 2 = 1)""")
+def new_row_tolerance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose numbers differ by a hundredth at most are equal."""
+    return rounded(privacy.new_row_share(*_halves(spark, sf_dir, "part", "p_partkey"), ["p_brand", "p_size", "p_retailprice"], 0.01))
+
+
 NN_COLUMNS = ["c_acctbal", "c_nationkey"]
 NN_SQL = """r as (select c_custkey as real_id, (c_acctbal - avg(c_acctbal) over ()) / stddev_pop(c_acctbal) over () as a, (c_nationkey - avg(c_nationkey) over ()) / stddev_pop(c_nationkey) over () as b from customer where c_custkey % 2 = 0),
     p as (select avg(c_acctbal) as ma, stddev_pop(c_acctbal) as sa, avg(c_nationkey) as mb, stddev_pop(c_nationkey) as sb from customer where c_custkey % 2 = 0),
@@ -552,6 +571,59 @@ def inference_attack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(privacy.inference(*_customer_halves(spark, sf_dir), "c_custkey", ["c_nationkey"], "c_acctbal", F.col("c_custkey") % 20 == 0, 0.25))
 
 
+def _bounds_sql(k: str, n: str, low: str, high: str) -> str:
+    p, z = f"({k} / {n})", privacy.Z95
+    middle, width = f"({p} + {z * z / 2} / {n})", f"{z} * sqrt({p} * (1 - {p}) / {n} + {z * z / 4} / {n} / {n})"
+    return f"round(greatest(0, ({middle} - {width}) / (1 + {z * z} / {n})), 6) as {low}, round(least(1, ({middle} + {width}) / (1 + {z * z} / {n})), 6) as {high}"
+
+
+@query(f"""with c as (select c_custkey as id, c_custkey % 3 as side, c_acctbal as a, c_nationkey as b from customer),
+    q as (select id, side, a, b from c where side != 1 and id % 20 = 0), s as (select id as sid, a as sa, b as sb from c where side = 1),
+    x as (select id, side, sid from q, s qualify row_number() over (partition by id order by abs(a - sa), sid) <= 10),
+    y as (select id, sid from q, s qualify row_number() over (partition by id order by abs(b - sb), sid) <= 10),
+    h as (select distinct x.id, side from x join y using (id, sid)),
+    o as (select (select count(*) from q where side = 0) as n, (select count(*) from h where side = 0) as k, (select count(*) from q where side = 2) as m, (select count(*) from h where side = 2) as j)
+    select cast(n as bigint) as n_attacks, cast(k as bigint) as n_linked, round(k / n, 6) as rate, {_bounds_sql("k", "n", "rate_low", "rate_high")}, cast(m as bigint) as n_control, round(j / m, 6) as control_rate,
+      {_bounds_sql("j", "m", "control_low", "control_high")}, round(greatest(0, (k / n - j / m) / nullif(1 - j / m, 0)), 6) as excess from o""")
+def linkability_control(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Linkability of real rows against that of rows the synthetic table was not made from, with the bounds of both rates."""
+    thirds = [load(spark, sf_dir, "customer").where(F.col("c_custkey") % 3 == k).select("c_custkey", *NN_COLUMNS) for k in range(3)]
+    attack = lambda rows: privacy.linkability(rows, thirds[1], "c_custkey", ["c_acctbal"], ["c_nationkey"], F.col("c_custkey") % 20 == 0)
+    return rounded(privacy.with_control(attack(thirds[0]), attack(thirds[2]), "n_linked").drop("baseline", "risk"))
+
+
+@query(f"""with v as (select c_custkey % 3 as side, c_acctbal as x, count(*) as n from customer where c_acctbal is not null group by 1, 2),
+    w as (select x, coalesce(max(n) filter (side = 0), 0) as u, coalesce(max(n) filter (side = 1), 0) as v, coalesce(max(n) filter (side = 2), 0) as c from v group by 1),
+    o as (select count(*) filter (v = 1) as n, count(*) filter (v = 1 and u = 1) as k, count(*) filter (v = 1 and c = 1) as j from w)
+    select 'c_acctbal' as "column", cast(n as bigint) as n_attacks, cast(k as bigint) as n_singled, round(k / n, 6) as rate, {_bounds_sql("k", "n", "rate_low", "rate_high")},
+      cast(n as bigint) as n_control, round(j / n, 6) as control_rate, {_bounds_sql("j", "n", "control_low", "control_high")}, round(greatest(0, (k / n - j / n) / nullif(1 - j / n, 0)), 6) as excess from o""")
+def singling_out_control(spark: SparkSession, sf_dir: str) -> DataFrame:
+    thirds = [load(spark, sf_dir, "customer").where(F.col("c_custkey") % 3 == k) for k in range(3)]
+    attack = lambda rows: privacy.singling_out(rows, thirds[1], ["c_acctbal"])
+    return rounded(privacy.with_control(attack(thirds[0]), attack(thirds[2]), "n_singled").drop("baseline", "risk"))
+
+
+#: In each nation the suppliers with even and odd keys; the share of orders that stay below a distance is followed step by step.
+EXACT_SQL = """with recursive s as (select s_nationkey as k, s_acctbal as x, s_suppkey % 2 as side from supplier where s_acctbal is not null),
+    z as (select k, count(*) filter (side = 0) as n, count(*) filter (side = 1) as m from s group by 1 having n > 0 and m > 0),
+    d as (select k, max(abs(f - g)) as ks from (select s.k, s.x, (select count(*) from s t where t.k = s.k and t.side = 0 and t.x <= s.x) / z.n as f, (select count(*) from s t where t.k = s.k and t.side = 1 and t.x <= s.x) / z.m as g from s join z on s.k = z.k) group by 1),
+    p as (select z.k, n, m, round(ks * n * m) - 0.5 as reach, 0 as t, [1.0::double] || list_transform(range(0, n), lambda i: 0.0::double) as inside from z join d using (k)
+      union all select k, n, m, reach, t + 1, list_transform(range(0, n + 1), lambda i: case when t + 1 - i < 0 or t + 1 - i > m or abs(i * m - (t + 1 - i) * n) > reach then 0.0
+        else (i * (case when i > 0 then inside[i] else 0 end) + (t + 1 - i) * inside[i + 1]) / (t + 1) end) from p where t < n + m)
+    select d.k as s_nationkey, round(ks, 6) as ks, round(1 - inside[n + 1], 6) as p_value from p join d using (k) where t = n + m"""
+
+
+@query(EXACT_SQL)
+def ks_p_value_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exact p-value of the distance of two small samples, for every nation."""
+    rows = load(spark, sf_dir, "supplier").where("s_acctbal is not null").select("s_nationkey", F.col("s_acctbal").alias("x"), (F.col("s_suppkey") % 2).alias("side"))
+    every, upto = Window.partitionBy("s_nationkey"), Window.partitionBy("s_nationkey").orderBy("x")
+    count = lambda side, w: F.count(F.when(F.col("side") == side, 1)).over(w)
+    steps = rows.select("s_nationkey", count(0, every).alias("n"), count(1, every).alias("m"), count(0, upto).alias("i"), count(1, upto).alias("j")).where("n > 0 and m > 0")
+    found = steps.groupBy("s_nationkey", "n", "m").agg(F.max(F.abs(F.col("i") / F.col("n") - F.col("j") / F.col("m"))).alias("ks"))
+    return rounded(stats.ks_p_values(found).select("s_nationkey", "ks", "p_value"))
+
+
 @query("""with c as (select c_custkey % 2 = 0 as even, c_acctbal as x from customer)
     select 'c_acctbal' as "column", cast(count(*) filter (not even) - count(*) filter (even) as bigint) as n, round(avg(x) filter (not even) - avg(x) filter (even), 6) as mean, round(stddev_samp(x) filter (not even) - stddev_samp(x) filter (even), 6) as std,
       round(min(x) filter (not even) - min(x) filter (even), 6) as min, round(quantile_cont(x, 0.25) filter (not even) - quantile_cont(x, 0.25) filter (even), 6) as q25, round(quantile_cont(x, 0.5) filter (not even) - quantile_cont(x, 0.5) filter (even), 6) as q50,
@@ -614,18 +686,118 @@ def marker_hf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.groupBy("bpdias", "rdw", r6("score").alias("score")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _many_trees() -> list[tuple]:
+    """60 made-up trees over all inputs, by rule."""
+    at = lambda k, i: round(RANGES[INPUTS[i]][0] + (RANGES[INPUTS[i]][1] - RANGES[INPUTS[i]][0]) * (k * 7 % 19 + 1) / 20, 3)
+    return [((k % 8 + 1) / 16, ("one", "both", "either")[k % 3], k % 8, k % 2 == 0, at(k, k % 8), (k + 3) % 8, k % 5 < 2, at(k + 5, (k + 3) % 8)) for k in range(60)]
+
+
+def _many_trees_sql() -> str:
+    holds = lambda i, ge, x: f"{INPUTS[i]} {'>=' if ge else '<'} {x}"
+    low = {"one": "{0}", "both": "{0} and {1}", "either": "{0} or {1}"}
+    total = " + ".join(f"{w} * case when {low[kind].format(holds(i, ge, x), holds(j, ge2, y))} then -1 else 1 end" for w, kind, i, ge, x, j, ge2, y in _many_trees())
+    good = " and ".join(f"{n} between {a} and {b}" for n, (a, b) in RANGES.items())
+    return f"""with i as (select {", ".join(f"{v} as {k}" for k, v in MARKER_INPUTS.items())} from lineitem)
+      select bpdias, rdw, round(case when {good} then ({total}) / 4.0 else -99.0 end, 6) as score, cast(count(*) as bigint) as n from i group by 1, 2, 3"""
+
+
+@query(_many_trees_sql())
+def marker_hf_many_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inputs = load(spark, sf_dir, "lineitem").selectExpr(*[f"{v} as {k}" for k, v in MARKER_INPUTS.items()])
+    made = stump_score(inputs, {k: k for k in MARKER_INPUTS}, _many_trees(), 4.0, "score")
+    return made.groupBy("bpdias", "rdw", r6("score").alias("score")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query()
 def gaussian_copula_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return synthesis.synthesize(load(spark, sf_dir, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_returnflag"], 1000)
 
 
-@query("select distinct l_returnflag as value, true as near from lineitem")
+@query("select l_returnflag as value, round(count(*) / sum(count(*)) over (), 6) as share from lineitem where l_returnflag is not null group by 1")
 def copula_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whether each category is drawn as often as it occurs, to two hundredths of all rows."""
+    """The share that the fitted copula draws each category with."""
+    flag = synthesis.fit_gaussian_copula(load(spark, sf_dir, "lineitem"), ["l_quantity", "l_returnflag"]).columns[1]
+    ends = [0.0, *flag.grid.tolist()]
+    return rounded(spark.createDataFrame([(v, high - low) for v, low, high in zip(flag.values, ends, ends[1:])], "value string, share double"))
+
+
+MIXED = ["l_quantity", "l_extendedprice", "l_discount", "l_returnflag"]
+
+
+@query(" union all ".join(f"""select '{c}' as "column", 'mean' as part, round(avg({c}), 4) as value from lineitem union all select '{c}', 'spread', round(stddev_pop({c}), 4) from lineitem""" for c in MIXED[:3])
+    + " union all select 'l_returnflag', l_returnflag, round(count(*) / sum(count(*)) over (), 4) from lineitem where l_returnflag is not null group by 2")
+def mixture_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean and spread of each number, and the share of each category, of all components together: expectation maximisation keeps those of the table."""
+    model = mixture.fit_mixture(load(spark, sf_dir, "lineitem"), MIXED, 4, 12)
+    rows = []
+    for j, (c, _, centre, spread, _, _) in enumerate(model.numbers):
+        w = model.weight * model.known[:, j] / (model.weight @ model.known[:, j])
+        mean = w @ model.mean[:, j]
+        rows += [(c, "mean", float(mean * spread + centre)), (c, "spread", float((w @ (model.variance[:, j] + model.mean[:, j] ** 2) - mean**2) ** 0.5 * spread))]
+    rows += [(c, v, float(model.weight @ model.chances[j][:, k])) for j, (c, _, values) in enumerate(model.categories) for k, v in enumerate(values)]
+    return spark.createDataFrame(rows, '"column" string, part string, value double'.replace('"', "`")).withColumn("value", F.round("value", 4))
+
+
+@query()
+def mixture_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return synthesis.synthesize(load(spark, sf_dir, "lineitem"), MIXED, 1000, "mixture")
+
+
+TREE_COLUMNS = ["l_returnflag", "l_linestatus", "l_linenumber", "l_tax"]
+
+
+@query(" union all ".join(f"""select '{a}' as a, '{b}' as b, round(sum(n / total * ln(n * total / (na * nb))), 6) as information from
+      (select count(*) as n, sum(count(*)) over () as total, sum(count(*)) over (partition by {a}) as na, sum(count(*)) over (partition by {b}) as nb from lineitem group by {a}, {b})""" for i, a in enumerate(TREE_COLUMNS) for b in TREE_COLUMNS[i + 1 :]))
+def tree_information(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mutual information of each pair of columns, that the dependency tree is made from."""
+    model = tree.fit_tree(load(spark, sf_dir, "lineitem"), TREE_COLUMNS)
+    return rounded(spark.createDataFrame([(a, b, v) for (a, b), v in model.information.items()], "a string, b string, information double"))
+
+
+@query()
+def tree_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return synthesis.synthesize(load(spark, sf_dir, "lineitem"), [*TREE_COLUMNS, "l_extendedprice"], 1000, "tree")
+
+
+NETWORK_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount"]
+
+
+def _network(ends: list[tuple]) -> autoencoder.Autoencoder:
+    return autoencoder.new_autoencoder(NETWORK_COLUMNS, ends, 3, 2, 7)
+
+
+def _network_sql() -> str:
+    """The untrained network written out: its weights are a fixed draw, its inputs are scaled by the table's ends."""
+    w = _network([(0.0, 1.0, 0.5)] * 3).weights
+
+    def layer(inputs: list[str], k: int, form: str) -> list[str]:
+        return [form.format(" + ".join(f"{x} * ({m!r})" for x, m in zip(inputs, w[k][:, j].tolist())) + f" + ({float(w[k + 1][j])!r})") for j in range(w[k].shape[1])]
+
+    names = lambda p, n: [f"{p}{i}" for i in range(n)]
+    steps, inputs = [], names("x", 3)
+    for k, (p, form) in enumerate((("a", "greatest(0, {})"), ("z", "{}"), ("c", "greatest(0, {})"), ("y", "1 / (1 + exp(-({})))"))):
+        made = layer(inputs, 2 * k, form)
+        inputs = names(p, len(made))
+        steps.append(f"{p} as (select *, {', '.join(f'{e} as {n}' for e, n in zip(made, inputs))} from {'x' if not k else 'azc'[k - 1]})")
+    scaled = ", ".join(f"({c} - min({c}) over ()) / (max({c}) over () - min({c}) over ()) as x{i}" for i, c in enumerate(NETWORK_COLUMNS))
+    return f"""with x as (select l_linenumber, {scaled} from lineitem), {', '.join(steps)}
+      select l_linenumber, round(avg(((y0 - x0) ** 2 + (y1 - x1) ** 2 + (y2 - x2) ** 2) / 3), 6) as error, round(avg(z0), 6) as code_0, round(avg(z1), 6) as code_1 from y group by 1"""
+
+
+@query(_network_sql())
+def autoencoder_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes and errors of a network on the whole table."""
     rows = load(spark, sf_dir, "lineitem")
-    made = synthesis.synthesize(rows, ["l_quantity", "l_returnflag"], 20_000)
-    share = lambda d, n: d.groupBy(F.col("l_returnflag").alias("value")).agg((F.count(F.lit(1)) / F.lit(float(d.count()))).alias(n))
-    return share(rows, "u").join(share(made, "v"), "value", "full_outer").select("value", (F.abs(F.coalesce("u", F.lit(0)) - F.coalesce("v", F.lit(0))) < 0.02).alias("near"))
+    made = autoencoder.apply(rows, "l_linenumber", _network(autoencoder.column_ends(rows, NETWORK_COLUMNS)))
+    return rounded(made.groupBy("l_linenumber").agg(F.avg("error").alias("error"), *[F.avg(F.get("code", F.lit(k))).alias(f"code_{k}") for k in (0, 1)]))
+
+
+@query()
+def autoencoder_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training and validation loss of each epoch."""
+    rows = load(spark, sf_dir, "lineitem").withColumn("line", F.struct("l_orderkey", "l_linenumber").cast("string"))
+    model = autoencoder.train(rows, "line", NETWORK_COLUMNS, tables.scratch(spark, "training"), autoencoder.Training(16, 2, 2, 3, rate=0.01))
+    return rounded(spark.createDataFrame([(h["epoch"], h["train_loss"], h["val_loss"]) for h in model.history], "epoch int, train_loss double, val_loss double"))
 
 
 def _report_sql() -> str:
@@ -682,20 +854,19 @@ PIPELINE_SQL = f"""with {REFS_SQL},
 @query(PIPELINE_SQL)
 def configured_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The settings-driven pipeline end to end: flat and expanded sources, transforms, merge, as-of values."""
-    settings = pipeline.parse({
-        "name": "demo", "absolute_path": sf_dir,
-        "customer.parquet": ["c_custkey", "c_mktsegment"],
-        "events.parquet": ["user_id", "event_type", {"value": {"purchase": "purchase", "view": "view"}}, ["ts"]],
-        "MergedTransforms": {"segment": {"func": "map", "kwargs": {"map": {"BUILDING": 1, "MACHINERY": 2}}}},
+    refs = f"{tables.scratch(spark, 'refs')}.parquet"
+    tables.write_parquet(_refs(load(spark, sf_dir, "events")), refs)
+    settings = {
+        "name": "demo", "absolute_path": "", "preprocessing": tables.scratch(spark, "cohort"),
+        f"{sf_dir}/customer.parquet": ["c_custkey", "c_mktsegment"],
+        f"{sf_dir}/events.parquet": ["user_id", "event_type", {"value": {"purchase": "purchase", "view": "view"}}, ["ts"]],
+        refs: ["user_id", "ref"],
         "InitTransforms": {"c_mktsegment": {"func": "fillna", "kwargs": {"values": {"c_mktsegment": "none"}}}},
+        "MergedTransforms": {"c_mktsegment": {"func": "map", "kwargs": {"map": {"BUILDING": 1, "MACHINERY": 2}}}},
         "ref_date": "ref", "tuple_vals_after": ["purchase"], "tuple_vals_anybefore": ["view"],
-    })
-    sources = [pipeline.load_source(spark, settings, s) for s in settings.sources]
-    sources[0] = sources[0].withColumn("segment", F.col("c_mktsegment"))
-    sources[1] = sources[1].join(_refs(load(spark, sf_dir, "events")), "user_id", "left").withColumnRenamed("user_id", "c_custkey")
-    merged = pipeline._apply(shape.merge(sources, "c_custkey"), settings.merged, None)
-    made = pipeline.select_values(merged, settings, "ts")
-    return rounded(made.select("c_custkey", F.coalesce("segment", F.lit(-1)).alias("segment"), "purchase_first_after", "view_any_before"))
+    }
+    made = pipeline.run(spark, settings)
+    return rounded(made.select("c_custkey", F.coalesce("c_mktsegment", F.lit(-1)).alias("segment"), "purchase_first_after", "view_any_before"))
 
 
 @query("select p_partkey, p_brand in ('Brand#1', 'Brand#2', 'Brand#3') or starts_with(p_brand, 'Brand#1') as hit from part")

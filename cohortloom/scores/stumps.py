@@ -10,9 +10,11 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DoubleType
 
-TREE = "struct<weight:double,kind:string,i:int,ge:boolean,at:double,j:int,ge2:boolean,at2:double>"
 INPUTS = ("bpdias", "creatn", "bun", "hgb", "wbc", "plt", "alb", "rdw")
 # The range of each input, outside of which there is no score.
 RANGES = {"bpdias": (20, 120), "creatn": (0, 25), "bun": (0, 160), "hgb": (2, 20), "wbc": (0, 40), "plt": (0, 1500), "alb": (0, 6), "rdw": (10, 30)}
@@ -21,40 +23,39 @@ OUT_OF_RANGE = -99.0
 COMPILED_TREES = 25
 
 
-def _holds(values: Column, i: Column, ge: Column, at: Column) -> Column:
-    x = F.get(values, i)
-    return F.when(ge, x >= at).otherwise(x < at)
-
-
 def _compiled(inputs: list[Column], weight: float, kind: str, i: int, ge: bool, at: float, j: int, ge2: bool, at2: float) -> Column:
     first, second = (inputs[i] >= at if ge else inputs[i] < at), (inputs[j] >= at2 if ge2 else inputs[j] < at2)
     low = {"one": first, "both": first & second, "either": first | second}.get(kind, F.lit(False))
     return F.when(low, F.lit(-weight)).otherwise(F.lit(weight))
 
 
-def _folded(values: Column, trees: list[tuple]) -> Column:
-    literal = F.array(*[F.struct(*[F.lit(x).cast(t).alias(n) for x, (n, t) in zip(tree, (f.split(":") for f in TREE[7:-1].split(",")))]) for tree in trees])
+def _votes(inputs: list[Column], trees: list[tuple]) -> Column:
+    """The same for any number of trees, in Arrow batches."""
 
-    def vote(t: Column) -> Column:
-        first, second = _holds(values, t["i"], t["ge"], t["at"]), _holds(values, t["j"], t["ge2"], t["at2"])
-        low = F.when(t["kind"] == "one", first).when(t["kind"] == "both", first & second).when(t["kind"] == "either", first | second).otherwise(F.lit(False))
-        return F.when(low, -1.0).otherwise(1.0)
+    @F.pandas_udf(DoubleType())
+    def votes(*x: pd.Series) -> pd.Series:
+        x = [v.to_numpy(float) for v in x]
+        total = np.zeros(len(x[0]))
+        for weight, kind, i, ge, at, j, ge2, at2 in trees:
+            first, second = (x[i] >= at if ge else x[i] < at), (x[j] >= at2 if ge2 else x[j] < at2)
+            low = {"one": first, "both": first & second, "either": first | second}.get(kind, False)
+            total += np.where(low, -weight, weight)
+        return pd.Series(total)
 
-    return F.aggregate(literal, F.lit(0.0), lambda s, t: s + t["weight"] * vote(t))
+    return votes(*inputs)
 
 
 def stump_score(df: DataFrame, columns: dict[str, str], trees: list[tuple], scale: float, out: str = "marker_hf", check_ranges: bool = True) -> DataFrame:
     """Adds the weighted sum of trees over `scale`; -99 if an input is missing or out of range.
 
-    Up to COMPILED_TREES trees are a sum of compiled conditions; more are one literal array folded by `aggregate`, as hundreds of
-    nested conditions would pass the size that can be compiled.
+    Up to COMPILED_TREES trees are a sum of compiled conditions; as hundreds of conditions would pass the size that is compiled,
+    more are summed over Arrow batches.
     """
     inputs = [F.when(~F.isnan(F.col(columns[i]).cast("double")), F.col(columns[i]).cast("double")) for i in INPUTS]
-    values = F.array(*inputs)
     if len(trees) <= COMPILED_TREES:
         total = sum((_compiled(inputs, *tree) for tree in trees), F.lit(0.0)) / F.lit(scale)
     else:
-        total = _folded(values, trees) / F.lit(scale)
+        total = _votes(inputs, trees) / F.lit(scale)
     good = reduce(lambda a, b: a & b, [v.isNotNull() for v in inputs])
     if check_ranges:
         for i, name in enumerate(INPUTS):
