@@ -3,15 +3,16 @@
 Texts become words (runs of letters and digits, without case). From each place of a text a random walk
 reads words: step j gives out the current word and moves on if bit j of the word's hash is set. This
 is the CGK embedding; two places whose words differ by few edits give out mostly the same words, so
-edit distance becomes Hamming distance. A repetition takes K of the first STEPS outputs as a bucket key
-(bit sampling); a walk that has passed its text's end is in no bucket. Benchmark items are walked from anchors every ANCHOR words, so that an edit near an item's start spoils
-some anchors only. A place that shares a bucket with an anchor is a candidate: the item-sized window
+edit distance becomes Hamming distance. A repetition takes some of the first outputs as a bucket key
+(bit sampling); a walk that has passed its text's end is in no bucket. Benchmark items are walked from anchors all along, so that an edit spoils
+some anchors only: every third word by long walks, and every word by short ones for items of few words, of which a copy keeps short
+stretches only (WALKS). A place that shares a bucket with an anchor is a candidate: the item-sized window
 around it is compared by exact word edit distance, with the window's ends free.
 
-All places of all texts are walked; a walk stops as soon as its outputs so far are no anchor's. Walks alone
-lose copies with many edits, short ones above all, so every item has exact seeds too: of an item that
+All places of all texts are walked; a walk stops as soon as its outputs so far are no anchor's. The walks alone find over 0.9 of the copies with a quarter
+of their words edited, at every length from SHORT words on (a test without the rest measures it). To find the others as well, every item has exact seeds: of an item that
 `most` edits are allowed for, cut into most + 1 pieces, one piece at least is without an edit, and each place
-of a text that has the first words of a piece (SEED_WORDS at most) is a candidate. So all copies are found.
+of a text that has the first words of a piece (SEED_WORDS at most) is a candidate.
 Items of fewer than SHORT words have seeds only. An item contaminates a text when 1 - distance / words of
 the item is at least 0.75.
 
@@ -38,14 +39,15 @@ from .arrowtext import chunks, mix, string_buffers, tidy, Words
 from .session import written
 
 SIMILARITY = 0.75
-#: Repetitions, outputs of the walk, and outputs sampled in each repetition.
-REPETITIONS, STEPS, K = 6, 14, 5
-ANCHOR = 3
+#: Kinds of walks: fewest and most words of an item, repetitions, outputs of a walk, outputs sampled in a repetition, words from anchor to
+#: anchor, and words after the last anchor. A copy of few words keeps short stretches only, so short items have short walks from every word, too.
+WALKS = [(8, 1 << 30, 6, 14, 5, 3, 10), (8, 24, 3, 5, 3, 1, 2)]
+#: Fewest words of an item that is walked.
 SHORT = 8
 #: Most words of a seed.
 SEED_WORDS = 4
-#: Items, and bytes of items, that are sent to the tasks at once. So many bytes are 1 M words at most, with 350,000 anchors and
-#: 250,000 seeds; their tables take 60 MB (a test measures it), in a worker as on the driver.
+#: Items, and bytes of items, that are sent to the tasks at once. So many bytes are 1 M words at most; their tables take
+#: 100 MB at most (a test measures it), in a worker as on the driver.
 BLOCK_ITEMS, BLOCK_BYTES = 20_000, 2 << 20
 #: Bits of a table for each key in it.
 KEY_BITS = 16
@@ -68,10 +70,10 @@ def _may_be_in(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (table[(at >> _U(3)).astype(np.int64)] >> (at & _U(7)).astype(np.uint8)) & np.uint8(1) != 0
 
 
-def _sampled(seed: int = 9) -> list[np.ndarray]:
+def _sampled(repetitions: int, steps: int, k: int, seed: int = 9) -> list[np.ndarray]:
     """The sampled steps of each repetition, no two of them neighbours (these often give out the same word)."""
     rng = np.random.default_rng(seed)
-    return [np.sort(rng.choice(STEPS - K + 1, K, replace=False)) + np.arange(K) for _ in range(REPETITIONS)]
+    return [np.sort(rng.choice(steps - k + 1, k, replace=False)) + np.arange(k) for _ in range(repetitions)]
 
 
 def _bits(hashes: np.ndarray, repetition: int) -> np.ndarray:
@@ -79,11 +81,11 @@ def _bits(hashes: np.ndarray, repetition: int) -> np.ndarray:
     return np.where(hashes == 0, _U(0), mix(hashes ^ mix(np.array([repetition + 1], _U))))
 
 
-def _walk(hashes: np.ndarray, bits: np.ndarray, at: np.ndarray, sampled: np.ndarray, may: list[np.ndarray] | None) -> tuple[np.ndarray, np.ndarray]:
+def _walk(hashes: np.ndarray, bits: np.ndarray, at: np.ndarray, sampled: np.ndarray, may: list[np.ndarray] | None, whole: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """(place, key) of the walks from `at` whose sampled outputs could be an anchor's. may: tables of the keys so far.
 
-    Without tables, the anchors' own walks: the key is 0 where a walk passes the end, or where in all K
-    outputs fewer than K - 1 places of the text appear, which would put common words in one bucket.
+    Without tables, the anchors' own walks: the key is 0 where a walk passes the end, or where in all outputs, K of them,
+    fewer than K - 1 places of the text appear, which would put common words in one bucket.
     """
     place, key, step = at, np.zeros(len(at), _U), 0
     before, moves = at, np.zeros(len(at), np.int64)
@@ -98,7 +100,7 @@ def _walk(hashes: np.ndarray, bits: np.ndarray, at: np.ndarray, sampled: np.ndar
         if may is None:
             moves += (now != before) | (k == 0)
             before = now
-            ended_, few = here == 0, (k == K - 1) & (moves < K - 1)
+            ended_, few = here == 0, (k == whole - 1) & (moves < whole - 1)
             key[ended_ | few] = 0
         else:
             keep = _may_be_in(may[k], key) & (here != 0)
@@ -169,23 +171,24 @@ class Items:
         self.ids = ids
         self.words = [words.hash[a:b] for a, b in zip(words.ptr[:-1], words.ptr[1:])]
         self.distinct = [np.unique(w) for w in self.words]
-        self.sampled = _sampled()
         hashes, _, starts = ended(words)
-        anchors = [(i, o) for i, w in enumerate(self.words) if len(w) >= SHORT for o in range(0, max(1, len(w) - 9), ANCHOR)]
-        self.owner = np.array([a for a, _ in anchors], np.int64)
-        self.offset = np.array([o for _, o in anchors], np.int64)
-        at = starts[self.owner] + self.offset if anchors else np.zeros(0, np.int64)
-        self.may, self.keys, self.order = [], [], []
-        for r, sampled in enumerate(self.sampled):
-            bits, tables = _bits(hashes, r), []
-            for k in range(K):
-                _, key = _walk(hashes, bits, at, sampled[: k + 1], None)
-                tables.append(_table(key[key != 0]))
-            order = np.flatnonzero(key != 0)
-            order = order[np.argsort(key[order], kind="stable")]
-            self.may.append(tables)
-            self.keys.append(key[order])
-            self.order.append(order)
+        # of each kind of walk: per repetition the sampled steps, which keys may be an anchor's, and keys, items and offsets in order of the key
+        self.walks: list[list[tuple]] = []
+        self.anchors = 0
+        for least, most, repetitions, steps, k, apart, rest in WALKS:
+            anchors = [(i, o) for i, w in enumerate(self.words) if least <= len(w) < most for o in range(0, max(1, len(w) - rest + 1), apart)]
+            self.anchors += len(anchors)
+            owner, offset = (np.array([x[c] for x in anchors], np.int32) for c in (0, 1))
+            at, made = starts[owner] + offset, []
+            for r, sampled in enumerate(_sampled(repetitions, steps, k) if anchors else []):
+                bits, tables = _bits(hashes, r), []
+                for j in range(k):
+                    _, key = _walk(hashes, bits, at, sampled[: j + 1], None, k)
+                    tables.append(_table(key[key != 0]))
+                order = np.flatnonzero(key != 0)
+                order = order[np.argsort(key[order], kind="stable")]
+                made.append((sampled, tables, key[order], owner[order], offset[order]))
+            self.walks.append(made)
         # for each seed length: which keys may be a seed's, and keys, items and offsets in order of the key
         seeds: dict[int, list[tuple[int, int]]] = {}
         for i, w in enumerate(self.words):
@@ -213,10 +216,11 @@ class Items:
             place = np.repeat(place, n)
             found.append(np.stack([text(place), place - offset[take], owner[take]], axis=1))
 
-        if len(self.owner):
-            for r, sampled in enumerate(self.sampled):
-                place, key = _walk(hashes, _bits(hashes, r), at, sampled, self.may[r])
-                add(place, key, self.keys[r], self.owner[self.order[r]], self.offset[self.order[r]])
+        for r in range(max(map(len, self.walks))):
+            bits = _bits(hashes, r)
+            for sampled, tables, keys, owner, offset in [w[r] for w in self.walks if r < len(w)]:
+                place, key = _walk(hashes, bits, at, sampled, tables)
+                add(place, key, keys, owner, offset)
         for g, grams in _grams(hashes):
             if g in self.seeds:
                 table, keys, owner, offset = self.seeds[g]

@@ -7,7 +7,7 @@ spread over all shards. Every prefix of that order has each source in proportion
 
 No window sees more than a small piece: ranks are counted within (source, bucket of the seeded hash)
 and offset by the sums of the earlier buckets, and places are counted in the same way within buckets of
-the fractional rank. Equal rows are counted as one with a weight and dealt out again at the end, so a
+the fractional rank. Equal rows are counted as one with a weight and dealt out again at the end, PIECE copies from one row, so a
 row that is repeated for a third of the table is no hot key either.
 
 Defined results: a null source is a source of its own; a null text has size 1 and crc32 0; a null doc_id stays null; a very
@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 #: Buckets that ranks and places are counted in; the sums over buckets are this small at any input size.
 BUCKETS = 4096
+#: Most copies of a row that are dealt out from one row; a row with more is cut into as many first, and these are spread.
+PIECE = 4096
 #: Different starts of a source.
 STARTS = 1 << 16
 
@@ -47,7 +49,12 @@ def interleave(docs: DataFrame, n_shards: int = 8, seed: int = 17) -> DataFrame:
         return frame.join(sums, [*by, bucket]).withColumn("rank0", F.col("before") + F.col("inside")).drop("before", "inside")
 
     ranked = offset(rows, ["stratum"], "bucket", ["h", "doc_id", "size", "text_crc32"])
-    ranked = ranked.select(*same, "h", F.col("of_all").alias("of_source"), F.explode(F.sequence(F.col("rank0"), F.col("rank0") + F.col("copies") - 1)).alias("rank"))
+    ranked = ranked.select(*same, "h", F.col("of_all").alias("of_source"), "rank0", "copies")
+    starts = F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(PIECE).cast("long"))
+    many = ranked.where(F.col("copies") > PIECE).withColumn("piece", F.explode(starts)).repartition("h", "piece")
+    many = many.withColumn("rank0", F.col("rank0") + F.col("piece")).withColumn("copies", F.least(F.lit(PIECE), F.col("copies") - F.col("piece"))).drop("piece")
+    ranked = ranked.where(F.col("copies") <= PIECE).unionByName(many)
+    ranked = ranked.withColumn("rank", F.explode(F.sequence(F.col("rank0"), F.col("rank0") + F.col("copies") - 1))).drop("rank0", "copies")
     start = F.pmod(F.xxhash64(F.lit(seed), "stratum"), F.lit(STARTS))
     spread = ranked.withColumn("place", (STARTS * F.col("rank") + start) / (STARTS * F.col("of_source"))).withColumn("part", F.floor(F.col("place") * BUCKETS).cast("int")).withColumn("all", F.lit(1)).withColumn("copies", F.lit(1))
     placed = offset(spread, ["all"], "part", ["place", "stratum", "rank"])

@@ -4,6 +4,7 @@ import pickle
 import random
 
 import numpy as np
+import pytest
 
 from cohortloom.llm import decontaminate as dc
 
@@ -94,6 +95,18 @@ def test_every_copy_with_a_quarter_of_its_words_edited_is_found():
         assert got == {k: e for k, e in least.items() if e <= n // 4}
 
 
+def test_walks_alone_find_most_copies_at_every_length():
+    for n in [*range(8, 25), 30, 40, 60]:
+        for edits in {1, n // 8, n // 4}:
+            rng = random.Random(100 * n + edits)
+            items = [_words(rng, n) for _ in range(40)]
+            raw = [" ".join(_words(rng, 30) + _edited(rng, w, edits) + _words(rng, 30)).encode() for w in items]
+            block = dc.Items(list(range(len(items))), [" ".join(w) for w in items])
+            block.seeds = {}
+            got = {(d, i) for d, i, *_ in block.matches(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]), 0.75)}
+            assert sum((i, i) in got for i in range(len(items))) >= 36, (n, edits)
+
+
 def test_blocks_of_items_give_the_same(spark, monkeypatch):
     rng = random.Random(8)
     items = [_words(rng, 20) for _ in range(30)]
@@ -104,14 +117,15 @@ def test_blocks_of_items_give_the_same(spark, monkeypatch):
     assert sorted(map(tuple, dc.find_leaks(docs, bench).collect())) == whole and len(whole) >= 30
 
 
-def test_a_full_block_of_items_stays_small():
+@pytest.mark.parametrize("words, least", [(130, 150_000), (12, 500_000)])
+def test_a_full_block_of_items_stays_small(words, least):
     rng = random.Random(10)
     texts, size = [], 0
-    while size < dc.BLOCK_BYTES:
-        texts.append(" ".join(f"{rng.randrange(36**2):x}" for _ in range(130)))
+    while size < dc.BLOCK_BYTES and len(texts) < dc.BLOCK_ITEMS * 4:
+        texts.append(" ".join(f"{rng.randrange(36**2):x}" for _ in range(words)))
         size += len(texts[-1])
     block = dc.Items(list(range(len(texts))), texts)
-    assert len(block.owner) > 150_000 and len(pickle.dumps(block)) < 80 << 20
+    assert block.anchors > least and len(pickle.dumps(block)) < (80 << 20 if words > 24 else 100 << 20)
 
 
 def test_a_very_long_text(spark):

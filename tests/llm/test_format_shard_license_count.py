@@ -218,3 +218,14 @@ def test_unknown_kinds_of_added_tokens_are_refused(tmp_path):
     (tmp_path / "odd.json").write_text(json.dumps(spec))
     with pytest.raises(ValueError, match="added tokens"):
         token_count.Counter(str(tmp_path / "odd.json"))
+
+
+def test_a_row_repeated_for_a_third_of_the_table_is_dealt_by_pieces(spark, monkeypatch):
+    rows = [(7, "same", "hot")] * 900 + [(i, f"text {i}", "ab"[i % 2]) for i in range(1800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    whole = sorted(sharding.interleave(docs).collect())
+    monkeypatch.setattr(sharding, "PIECE", 64)
+    dealt = sharding.interleave(docs)
+    assert sorted(dealt.collect()) == whole
+    hot = [sum(r.shard == s for r in whole if r.source == "hot") for s in range(8)]
+    assert max(hot) - min(hot) <= 2 and sorted((r.shard, r.slot) for r in whole) == [(s, k) for s in range(8) for k in range(sum(r.shard == s for r in whole))]
