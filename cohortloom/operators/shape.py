@@ -90,19 +90,22 @@ def as_of(df: DataFrame, columns: list[str], ref: str, kind: str, time: str) ->
     return df.withColumns(made)
 
 
-def as_of_fused(long: DataFrame, refs: DataFrame, key: str, code_col: str, value_col: str, time: str, ref: str, after: dict[str, str], before: dict[str, str]) -> DataFrame:
+def as_of_fused(long: DataFrame, refs: DataFrame, key: str, code_col: str, value_col: str, time: str, ref: str, after: dict[str, str], before: dict[str, str], counts: dict[str, str] | None = None) -> DataFrame:
     """The same straight from the long table, without arrays: partial minima by key, one shuffle.
 
-    after, before: code -> output column. refs has one row per key with the reference.
+    after, before: code -> output column; counts: code -> a column with the number of its rows. refs has one row per key with the reference.
     """
-    codes = [str(c) for c in {**after, **before}]
-    rows = long.where(literals_like(long, code_col, codes) & F.col(value_col).isNotNull() & F.col(time).isNotNull()).join(refs.select(key, ref), key, "left")
+    counts = counts or {}
+    codes = [str(c) for c in {**after, **before, **counts}]
+    whole = F.col(value_col).isNotNull() & F.col(time).isNotNull()
+    rows = long.where(literals_like(long, code_col, codes) & (F.lit(True) if counts else whole)).join(refs.select(key, ref), key, "left")
     order, code = F.struct(time, value_col), F.col(code_col).cast("string")
     late = F.col(ref).isNull() | (F.col(time) >= F.col(ref))
     early = F.col(ref).isNull() | (F.col(time) < F.col(ref))
     value = F.col(value_col).cast("double")
-    pick = lambda c, cond: F.min_by(F.when((code == str(c)) & cond, value), F.when((code == str(c)) & cond, order))
-    return rows.groupBy(key).agg(*[pick(c, late).alias(o) for c, o in after.items()], *[pick(c, early).alias(o) for c, o in before.items()])
+    pick = lambda c, cond: F.min_by(F.when((code == str(c)) & cond & whole, value), F.when((code == str(c)) & cond & whole, order))
+    found = [*[pick(c, late).alias(o) for c, o in after.items()], *[pick(c, early).alias(o) for c, o in before.items()], *[F.count_if(code == str(c)).alias(o) for c, o in counts.items()]]
+    return rows.groupBy(key).agg(*found)
 
 
 #: Visit ids that never take part in a merge, whatever their case.

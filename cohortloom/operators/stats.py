@@ -10,7 +10,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, IntegerType
 
 #: Ranges that a cumulative distribution is cut into, at least, and rows of a range, so that no task sorts a whole column.
 RANGES, RANGE_ROWS = 64, 2_000_000
@@ -160,6 +160,20 @@ def _long_values(a: DataFrame, b: DataFrame, columns: list[str], value: Callable
     return both.groupBy("c", "x").agg(F.sum("u").alias("u"), F.sum("v").alias("v"))
 
 
+def cuts_below(cuts: list[list[float]], which: Column, x: Column, with_equal: bool = False) -> Column:
+    """How many of the ascending cuts of a list are below x (with_equal: or equal to it); which: the place of the list. By binary search in Arrow batches."""
+    sorted_cuts, side = [np.array(c, float) for c in cuts], "right" if with_equal else "left"
+
+    @F.pandas_udf(IntegerType())
+    def below(c: pd.Series, v: pd.Series) -> pd.Series:
+        c, v, out = c.to_numpy(), v.to_numpy(float), np.zeros(len(c), np.int32)
+        for k in np.unique(c).tolist():
+            out[c == k] = np.searchsorted(sorted_cuts[k], v[c == k], side)
+        return pd.Series(out)
+
+    return below(which, x)
+
+
 def _cumulative(a: DataFrame, b: DataFrame, columns: list[str]) -> DataFrame:
     """c (place of the column), x, f, g, next_x, n, m: both distribution functions at each value (NULL of a side without values), and values of both sides.
 
@@ -170,10 +184,7 @@ def _cumulative(a: DataFrame, b: DataFrame, columns: list[str]) -> DataFrame:
     both = a.select(*x).unionByName(b.select(*x))
     ranges = max(RANGES, -(-both.count() // RANGE_ROWS))
     found = both.approxQuantile([f"x{i}" for i in range(len(columns))], [i / ranges for i in range(1, ranges)], min(0.005, 0.3 / ranges))
-    cuts = F.array(*[F.array(*map(F.lit, sorted(set(q)))).cast("array<double>") for q in found])
-    # the number of the column's cuts below x
-    part = F.size(F.filter(F.get(cuts, F.col("c")), lambda cut: cut < F.col("x")))
-    counts = _long_values(a, b, columns, number).withColumn("part", part)
+    counts = _long_values(a, b, columns, number).withColumn("part", cuts_below([sorted(set(q)) for q in found], F.col("c"), F.col("x")))
     every = Window.partitionBy("c").orderBy("part")  # one row a range
     totals = counts.groupBy("c", "part").agg(F.sum("u").alias("pu"), F.sum("v").alias("pv"), F.min("x").alias("first_x"))
     earlier = every.rowsBetween(Window.unboundedPreceding, -1)

@@ -50,7 +50,7 @@ class State:
         else:
             c = F.nanvl(c.cast("double"), F.lit(None).cast("double"))
             inner = self.edges[1:-1]
-            found = F.size(F.filter(F.array(*map(F.lit, inner)), lambda e: e <= c)) if inner else F.lit(0)
+            found = stats.cuts_below([inner], F.lit(0), c, True) if inner else F.lit(0)
         return F.when(c.isNull(), self.size - 1).otherwise(found).cast("int")
 
     def draw(self, state: np.ndarray, u: np.ndarray) -> pd.Series:

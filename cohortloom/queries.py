@@ -66,14 +66,11 @@ def _refs(events: DataFrame) -> DataFrame:
       round(w.view_any_before, 6) as view_any_before, cast(coalesce(w.n_purchase, 0) as bigint) as n_purchase
     from customer c left join w on c.c_custkey = w.user_id""")
 def flagship_patient_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per customer: expanded events merged by key, and as-of values around the first signup."""
+    """One row per customer: as-of values around the first signup, straight from the long table, merged by key."""
     events = load(spark, sf_dir, "events")
-    wide = shape.expand(events, "user_id", "event_type", "value", {"purchase": "purchase", "view": "view"}, ["ts"])
-    wide = wide.join(_refs(events), "user_id", "left").withColumnRenamed("user_id", "c_custkey")
-    frame = shape.merge([load(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"), wide], "c_custkey")
-    frame = shape.as_of(shape.as_of(frame, ["purchase"], "ref", "after", "ts"), ["view"], "ref", "anybefore", "ts")
-    n = F.when(F.col("purchase").isNull(), 0).otherwise(F.size("purchase")).cast("long")
-    return rounded(frame.select("c_custkey", "c_mktsegment", "purchase_first_after", "view_any_before", n.alias("n_purchase")))
+    made = shape.as_of_fused(events, _refs(events), "user_id", "event_type", "value", "ts", "ref", {"purchase": "purchase_first_after"}, {"view": "view_any_before"}, {"purchase": "n_purchase"})
+    frame = shape.merge([load(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"), made.withColumnRenamed("user_id", "c_custkey")], "c_custkey")
+    return rounded(frame.withColumn("n_purchase", F.coalesce("n_purchase", F.lit(0)).cast("long")))
 
 
 ASOF_SQL = f"""

@@ -94,3 +94,21 @@ def test_control_rows(spark):
     p, z, n = row.rate, privacy.Z95, 300
     assert row.rate_low == pytest.approx((p + z * z / 2 / n - z * math.sqrt(p * (1 - p) / n + z * z / 4 / n / n)) / (1 + z * z / n))
     assert row.excess == pytest.approx((row.rate - row.control_rate) / (1 - row.control_rate))
+
+
+def test_profile_and_own_means(spark):
+    df = rows(spark, 0, 40)
+    made = stats.profile(df, 10)
+    assert {r.column: r.n_null for r in made["nulls"].collect()}["nothing"] == 40
+    assert {r.column for r in made["numbers"].collect()} >= {"key", "x", "nothing", "same"} and made["sample"].count() < 40
+    assert [(r.value, r.n) for r in made["top_word"].collect()] == [("a", 14), ("b", 13), ("c", 13)] and made["top_empty"].count() == 0
+    from cohortloom.operators.features import impute_mean
+
+    some = spark.createDataFrame([(1.0, None), (None, None), (5.0, None)], "a double, b double")
+    assert sorted(map(tuple, impute_mean(some, ["a", "b"]).collect())) == [(1.0, None), (3.0, None), (5.0, None)]
+
+
+def test_cuts_are_counted_by_list(spark):
+    df = spark.createDataFrame([(0, 1.0), (0, 2.0), (1, 2.0), (1, 9.0), (0, None)], "c int, x double")
+    found = [(r.a, r.b) for r in df.select(stats.cuts_below([[1.0, 2.0], [5.0]], F.col("c"), F.col("x")).alias("a"), stats.cuts_below([[1.0, 2.0], [5.0]], F.col("c"), F.col("x"), True).alias("b")).collect()]
+    assert found[:4] == [(0, 1), (1, 2), (0, 0), (1, 1)]
