@@ -2,8 +2,9 @@
 
 A byte goes if a string of LENGTH bytes covers it that also starts earlier (smaller doc_id, or same text, earlier start).
 
-Every window of LENGTH bytes has an anchor, the smallest hash of its ANCHOR-byte strings; equal windows have equal anchors. Windows
-that follow one another with one anchor are a segment (of MOST_WINDOWS windows at most), so all windows equal to one lie in segments with its anchor.
+Every window of LENGTH bytes has an anchor, the smallest hash of its ANCHOR-byte strings, at the first place where it has it. Equal
+windows have equal anchors. The windows that follow one another with one place of an anchor are a segment, so all windows equal to one lie
+in other segments with the same anchor: two windows of a segment have it at different distances, and are different.
 
 1. Anchors are counted. Those that occur once have no repeated window; a bit table of bounded size keeps most of their segments
    out of what follows (it decides nothing).
@@ -36,14 +37,16 @@ from .components import HOT_PARTS, join_by_hot_keys
 from .session import discard, written
 
 LENGTH, ANCHOR = 100, 32
-#: Most windows of a segment, most segments of an anchor that are indexed together, and bytes of segments in an index (one anchor's may be more).
-MOST_WINDOWS, MOST_SEGMENTS, INDEX_BYTES = 256, 4096, 1 << 20
+#: Most segments of an anchor that are indexed together, and bytes of segments in an index (one anchor's may be more).
+MOST_SEGMENTS, INDEX_BYTES = 4096, 1 << 20
 #: Fewest and most slots of a bit table (eight for each key that is looked for; with more keys it holds back less).
 SLOTS = 1 << 20, 1 << 27
 #: Copies of a row that are given out at once.
 OUT_ROWS = 4096
 
 _U = np.uint64
+#: Places of a chunk.
+_PLACES = _U(CHUNK_BYTES - 1)
 _INVERSE = _U(pow(_BASE, -1, 1 << 64))
 
 
@@ -161,7 +164,9 @@ class Segments:
         inverse = _inverses(n)
         with np.errstate(over="ignore"):
             sums = np.concatenate([np.zeros(1, _U), np.cumsum(_BYTE[data] * powers(n), dtype=_U)])
-            low = mix((sums[ANCHOR:] - sums[:-ANCHOR]) * inverse[: n - ANCHOR + 1])
+            hashes = mix((sums[ANCHOR:] - sums[:-ANCHOR]) * inverse[: n - ANCHOR + 1])
+        # the upper bits of a hash with its place below them: the smallest of these is the first place of the smallest hash
+        low = (hashes & ~_PLACES) | np.arange(len(hashes), dtype=_U)
         width, whole = 1, length - ANCHOR + 1
         while 2 * width <= whole:
             low = np.minimum(low[:-width], low[width:])
@@ -174,19 +179,15 @@ class Segments:
         at = np.flatnonzero(inside)
         if not len(at):
             return (np.zeros(0, np.int64),) * 5
-        value = low[at]
+        where = (low[at] & _PLACES).astype(np.int64)
         new = np.ones(len(at), bool)
-        new[1:] = (value[1:] != value[:-1]) | (np.diff(at) > 1)
+        new[1:] = where[1:] != where[:-1]
         first = np.flatnonzero(new)
-        size = np.diff(np.append(first, len(at)))
-        pieces = -(-size // MOST_WINDOWS)
-        nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        start = at[np.repeat(first, pieces)] + nth * MOST_WINDOWS
-        windows = np.minimum(np.repeat(size, pieces) - nth * MOST_WINDOWS, MOST_WINDOWS)
+        start, windows = at[first], np.diff(np.append(first, len(at)))
         with np.errstate(over="ignore"):
             bytes_ = mix((sums[start + windows + length - 1] - sums[start]) * inverse[start] + windows.astype(_U))
         text = np.searchsorted(offsets, start, "right") - 1
-        return text, start - offsets[text], windows, mix(np.repeat(value[first], pieces)).view(np.int64), bytes_.view(np.int64)
+        return text, start - offsets[text], windows, mix(hashes[where[first]]).view(np.int64), bytes_.view(np.int64)
 
 
 def _cut(b: pa.RecordBatch, length: int) -> Iterator[tuple[int, pa.RecordBatch, np.ndarray, np.ndarray, Segments]]:

@@ -49,6 +49,8 @@ def texts(seed, n=120):
             text += "-" * rng.randrange(90, 1500)
         if k % 19 == 0:
             text += ("ab,cd " * 60) + "x" + ("ab,cd " * 30)
+        if k % 23 == 0:
+            text = (" ".join(rng.choice(vocabulary) for _ in range(9)) + "\n") * rng.randrange(2, 9)  # repeats in itself alone
         out.append(text)
     return out
 
@@ -57,7 +59,7 @@ def got(df):
     return sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in df.collect())
 
 
-SETTINGS = [{}, {"MOST_SEGMENTS": 3, "CHUNK_BYTES": 700}, {"INDEX_BYTES": 1, "MOST_WINDOWS": 9, "MOST_SEGMENTS": 50}, {"MOST_SEGMENTS": 0, "OUT_ROWS": 2}]
+SETTINGS = [{}, {"MOST_SEGMENTS": 3, "CHUNK_BYTES": 700}, {"INDEX_BYTES": 1, "MOST_SEGMENTS": 50}, {"MOST_SEGMENTS": 0, "OUT_ROWS": 2}]
 
 
 @pytest.mark.parametrize("seed, settings", list(enumerate(SETTINGS)))
@@ -90,6 +92,21 @@ def test_rows_at_the_edges(spark):
     assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.repeat_digests(df).collect()) == want
 
 
+@pytest.mark.parametrize("period", [1, 7, 31, 50, 68, 69, 70, 100, 101, 150])
+def test_one_text_that_repeats_in_itself(period):
+    rng = random.Random(period)
+    text = bytes(rng.choice(b"abcdefgh") for _ in range(period)) * (600 // period)
+    s = suffix_dedup.Segments(np.frombuffer(text, np.uint8), np.array([0, len(text)]), 100)
+    seen: dict[bytes, set] = {}
+    for k, (place, windows) in enumerate(zip(s.place.tolist(), s.windows.tolist())):
+        for i in range(place, place + windows):
+            seen.setdefault(text[i : i + 100], set()).add((k, int(s.anchor[k])))
+    assert s.windows.sum() == len(text) - 99
+    for i in range(len(text) - 99):
+        copies = sum(text[j : j + 100] == text[i : i + 100] for j in range(len(text) - 99))
+        assert len(seen[text[i : i + 100]]) == copies and len({a for _, a in seen[text[i : i + 100]]}) == 1
+
+
 def test_a_very_long_text(spark):
     rng = np.random.default_rng(3)
     body = rng.integers(97, 123, 2_500_000, dtype=np.uint8).tobytes().decode()
