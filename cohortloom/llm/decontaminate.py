@@ -124,9 +124,10 @@ def _most(similarity: float, words: int) -> int:
     return int(np.floor((1 - similarity) * words + 1e-9))
 
 
-def _shared(distinct: np.ndarray, window: np.ndarray) -> int:
-    """How many words of the window are among the distinct ones, which are not none."""
-    return int((distinct[np.minimum(np.searchsorted(distinct, window), len(distinct) - 1)] == window).sum())
+def _shared(distinct: np.ndarray, uses: np.ndarray, window: np.ndarray) -> int:
+    """How many words of an item the window has, each as often as both have it. distinct: the item's words, which are not none, and their uses."""
+    at = np.minimum(np.searchsorted(distinct, window), len(distinct) - 1)
+    return int(np.minimum(np.bincount(at[distinct[at] == window], minlength=len(distinct)), uses).sum())
 
 
 def ended(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -170,7 +171,7 @@ class Items:
         words = Words(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]), plain=True)
         self.ids = ids
         self.words = [words.hash[a:b] for a, b in zip(words.ptr[:-1], words.ptr[1:])]
-        self.distinct = [np.unique(w) for w in self.words]
+        self.distinct = [np.unique(w, return_counts=True) for w in self.words]
         hashes, _, starts = ended(words)
         # of each kind of walk: per repetition the sampled steps, which keys may be an anchor's, and keys, items and offsets in order of the key
         self.walks: list[list[tuple]] = []
@@ -233,19 +234,30 @@ class Items:
         words = Words(data, offsets, plain=True)
         hashes, at, starts = ended(words)
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
+        windows: dict[tuple[int, int], list[list[int]]] = {}
         for d, place, item in self.candidates(hashes, at, starts).tolist():
-            w = self.words[item]
-            most = _most(similarity, len(w))
+            n = len(self.words[item])
+            most = _most(similarity, n)
             lo, hi = int(words.ptr[d]), int(words.ptr[d + 1])
             a = max(lo, lo + place - int(starts[d]) - most - 1)
-            b = min(hi, lo + place - int(starts[d]) + len(w) + most + 1)
-            window = words.hash[a:b]
-            if b - a < len(w) - most or _shared(self.distinct[item], window) < len(w) - most:
-                continue
-            distance, start, to = edit_distance(w, window)
-            if distance <= most:
-                mine = (distance, a - lo + start, a - lo + to)
-                best[d, item] = min(best.get((d, item), mine), mine)
+            b = min(hi, lo + place - int(starts[d]) + n + most + 1)
+            mine = windows.setdefault((d, item), [])
+            # places come in order; windows that overlap by half, with what several anchors of one copy give, are one
+            if mine and mine[-1][1] - a >= n // 2:
+                mine[-1][1] = max(b, mine[-1][1])
+            else:
+                mine.append([a, b])
+        for (d, item), mine in windows.items():
+            w, lo = self.words[item], int(words.ptr[d])
+            most = _most(similarity, len(w))
+            for a, b in mine:
+                window = words.hash[a:b]
+                if b - a < len(w) - most or _shared(*self.distinct[item], window) < len(w) - most:
+                    continue
+                distance, start, to = edit_distance(w, window)
+                if distance <= most:
+                    found = (distance, a - lo + start, a - lo + to)
+                    best[d, item] = min(best.get((d, item), found), found)
         for (d, item), (distance, start, to) in sorted(best.items()):
             yield d, item, distance, len(self.words[item]), start, to
 
