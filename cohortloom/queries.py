@@ -16,6 +16,7 @@ from cohortloom.plans import audit, autoencoder, mixture, pipeline, privacy, syn
 from cohortloom.scores.maggic import maggic
 from cohortloom.scores.stumps import INPUTS, RANGES, stump_score
 from cohortloom.sources import tables
+from cohortloom.streaming.convert import convert_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -44,6 +45,53 @@ def rounded(df: DataFrame) -> DataFrame:
     return df.select(*[r6(c).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
+# --- sources and sinks: a table is written by the library and read again -----------------------------
+
+ORDERS = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"]
+ORDERS_SQL = "select o_orderkey, o_custkey, round(o_totalprice, 6) as o_totalprice, o_orderpriority from orders"
+
+
+def _orders_file(spark: SparkSession, sf_dir: str, ending: str) -> str:
+    """The orders as a folder of CSV files."""
+    path = f"{tables.scratch(spark, 'orders')}{ending}"
+    rows = load(spark, sf_dir, "orders").select(*ORDERS)
+    if ending == ".csv.gz":
+        rows.write.option("header", True).option("compression", "gzip").csv(path)
+    else:
+        tables.write_csv(rows, path)
+    return path
+
+
+@query(ORDERS_SQL)
+def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = tables.read(spark, _orders_file(spark, sf_dir, ".csv"))
+    return rounded(read.select(F.col("o_orderkey").cast("long"), F.col("o_custkey").cast("long"), "o_totalprice", "o_orderpriority"))
+
+
+@query(ORDERS_SQL)
+def gzip_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(tables.read(spark, _orders_file(spark, sf_dir, ".csv.gz"), "o_orderkey long, o_custkey long, o_totalprice double, o_orderpriority string"))
+
+
+@query("select cast(o_orderkey as varchar) as o_orderkey, o_custkey, round(o_totalprice, 6) as o_totalprice, o_orderpriority from orders")
+def converted_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A large CSV is converted once; the loader finds the Parquet by the conversion map."""
+    source, folder = _orders_file(spark, sf_dir, ".csv"), tables.scratch(spark, "converted")
+    tables.convert_large(spark, {"orders": source}, folder, 0)
+    read = tables.read(spark, tables.converted(spark, source, folder))
+    return rounded(read.select(F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("long"), "o_totalprice", "o_orderpriority"))
+
+
+@query(ORDERS_SQL)
+def streamed_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that are new are converted, once each."""
+    source, target, state = _orders_file(spark, sf_dir, ".csv"), tables.scratch(spark, "streamed"), tables.scratch(spark, "state")
+    schema = "o_orderkey long, o_custkey long, o_totalprice double, o_orderpriority string"
+    for _ in range(2):  # the second run finds nothing new
+        convert_new_files(spark, source, target, schema, state)
+    return rounded(spark.read.schema(schema).parquet(target))
+
+
 # --- frames that several queries share -------------------------------------------------------------
 
 CODES = {"purchase": "purchase", "view": "view", "click": "click", "error": "error"}
@@ -96,6 +144,19 @@ def first_after_any_before_fused(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(shape.as_of_fused(events, _refs(events), "user_id", "event_type", "value", "ts", "ref", {"purchase": "purchase_first_after"}, {"view": "view_any_before"}))
 
 
+@query(f"""
+    with {REFS_SQL}, e as (select e.*, r.ref from events e left join refs r using (user_id) where event_type in ('purchase', 'view'))
+    select user_id, max(case when event_type = 'purchase' and props is not null and (ref is null or ts >= ref) then 1.0 end) as purchase_first_after,
+      max(case when event_type = 'view' and props is not null and (ref is null or ts < ref) then 1.0 end) as view_any_before
+    from e group by 1""")
+def text_measurements_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A measurement that is text counts as 1.0, being there."""
+    events = load(spark, sf_dir, "events")
+    wide = shape.expand(events, "user_id", "event_type", "props", {"purchase": "purchase", "view": "view"}, ["ts"]).join(_refs(events), "user_id", "left")
+    wide = shape.as_of(shape.as_of(wide, ["purchase"], "ref", "after", "ts"), ["view"], "ref", "anybefore", "ts")
+    return wide.select("user_id", "purchase_first_after", "view_any_before")
+
+
 @query(ASOF_SQL)
 def stored_list_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same from lists that were stored as text."""
