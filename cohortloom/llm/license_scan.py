@@ -73,7 +73,35 @@ SENTENCES: dict[str, str] = {
     "unlicense": "this is free and unencumbered software released into the public domain",
     "mpl-2.0": "this source code form is subject to the terms of the mozilla public license v 2 0",
     "reserved": "all rights reserved",
+    "gpl-2-only": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license version 2 as published by the free software foundation",
+    "gpl-2-only-2": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation version 2",
+    "gpl-3-only": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license version 3 as published by the free software foundation",
+    "apache-2.0-asf": "licensed to the apache software foundation asf under one or more contributor license agreements",
+    "apache-2.0-asf-use": "the asf licenses this file to you under the apache license version 2 0 the license you may not use this file except in compliance with the license",
+    "bsd-go": "use of this source code is governed by a bsd style license that can be found in the license file",
+    "mit-go": "use of this source code is governed by an mit style license that can be found in the license file",
+    "zlib-asis": "this software is provided as is without any express or implied warranty",
+    "zlib-grant": "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions",
+    "boost": "boost software license version 1 0",
+    "boost-short": "distributed under the boost software license version 1 0",
+    "cc-by-4.0-long": "licensed under a creative commons attribution 4 0 international license",
+    "cc-by-sa-4.0-long": "licensed under a creative commons attribution sharealike 4 0 international license",
+    "cc-by-nc-4.0-long": "licensed under a creative commons attribution noncommercial 4 0 international license",
+    "cc-by-nd-4.0-long": "licensed under a creative commons attribution noderivatives 4 0 international license",
+    "cc-by-nc-sa-4.0-long": "licensed under a creative commons attribution noncommercial sharealike 4 0 international license",
 }
+# Licences whose tag 'SPDX-License-Identifier: <licence>' is known.
+TAGGED = ["MIT", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-or-later", "AGPL-3.0-or-later", "MPL-2.0", "ISC", "Zlib", "BSL-1.0", "CC0-1.0", "CC-BY-4.0", "Unlicense", "EPL-2.0"]
+SENTENCES |= {f"spdx-{t}": "spdx license identifier " + re.sub("[^a-z0-9]+", " ", t.lower()) for t in TAGGED}
+#: A normalised sentence's parts that name a work or its holder, and what stands for all of them: whose name must not be used, what is free
+#: software, and what is under a Creative Commons licence.
+NAMES = [
+    ("^neither the name of .{1,120} nor the names of its contributors may be used", "neither the name of the copyright holder nor the names of its contributors may be used"),
+    ("^.{1,80} is free software you can redistribute it", "this is free software you can redistribute it"),
+    ("^.{0,80}licensed under (a |the )?creative commons attribution", "licensed under a creative commons attribution"),
+]
+for _part, _common in NAMES:
+    SENTENCES = {k: re.sub(_part, _common, v) for k, v in SENTENCES.items()}
 #: Any sentence that begins so is a copyright notice.
 NOTICE_PREFIX, NOTICE = "copyright ", "notice"
 
@@ -119,29 +147,46 @@ RULES: list[tuple[str, list[str]]] = [
     ("Apache-2.0", ["apache-title", "apache-2.0-date"]),
     ("EPL-2.0", ["epl-2.0"]),
     ("Unlicense", ["unlicense"]),
+    ("GPL-2.0-only", ["gpl-2-only"]),
+    ("GPL-2.0-only", ["gpl-2-only-2"]),
+    ("GPL-3.0-only", ["gpl-3-only"]),
+    ("Apache-2.0", ["apache-2.0-asf-use"]),
+    ("Apache-2.0", ["apache-2.0-asf"]),
+    ("BSD", ["bsd-go"]),
+    ("MIT", ["mit-go"]),
+    ("Zlib", ["zlib-grant"]),
+    ("BSL-1.0", ["boost"]),
+    ("BSL-1.0", ["boost-short"]),
+    ("CC-BY-4.0", ["cc-by-4.0-long"]),
+    ("CC-BY-SA-4.0", ["cc-by-sa-4.0-long"]),
+    ("CC-BY-NC-4.0", ["cc-by-nc-4.0-long"]),
+    ("CC-BY-ND-4.0", ["cc-by-nd-4.0-long"]),
+    ("CC-BY-NC-SA-4.0", ["cc-by-nc-sa-4.0-long"]),
+    *[(t, [f"spdx-{t}"]) for t in TAGGED],
     ("Proprietary", [NOTICE, "reserved"]),
     ("Proprietary", ["reserved"]),
 ]
 
 #: A letter for each identifier.
-LETTER = {k: "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"[i] for i, k in enumerate([*SENTENCES, NOTICE])}
+_ALPHABET = [chr(c) for first, last in ("AZ", "az", "\u0391\u03a1", "\u03b1\u03c1", "\u0410\u042f") for c in range(ord(first), ord(last) + 1)]
+LETTER = {k: _ALPHABET[i] for i, k in enumerate([*SENTENCES, NOTICE])}
 #: The rules as strings of letters, and as one ordered alternation.
 SEQUENCES: dict[str, str] = {}
 for _name, _ids in RULES:
     SEQUENCES.setdefault("".join(LETTER[i] for i in _ids), _name)
 PATTERN = "|".join(SEQUENCES)
-assert re.fullmatch(r"[A-Za-z|]+", PATTERN) and len(LETTER) <= 52
+assert all(c.isalpha() or c == "|" for c in PATTERN)
 
 #: A line starts as a known sentence if these words are its first, whatever signs are between them.
 _STARTS = ["mit license", "permission is hereby granted", "the above copyright notice and", "this program is free software", "this program is distributed in", "redistribution and use in source", "licensed under the apache", "unless required by applicable law", "redistributions of source code", "redistributions in binary form", "neither the name of", "permission to use copy", "this library is free software", "this is free and unencumbered", "this program and the accompanying", "this source code form", "all rights reserved", "copyright c", "copyright [0-9]{4}"]
 #: Ends of a sentence in the third cut.
 BLOCK_END = r"(?i)(?<=[.!?]|conditions:|met:|\);)(?<! v\.)[ \t\r\n\x0B\f]+|\n[^A-Za-z0-9]*\n|\n(?=[^A-Za-z0-9\n]*(?:" + "|".join(x.replace(" ", "[^A-Za-z0-9]+") for x in _STARTS) + r")[^A-Za-z0-9])"
 #: 'All rights reserved' that belongs to the notice after it.
-ABSORBED = f"{LETTER['reserved']} *(?=[{''.join(LETTER[i] for i in ('bsd-grant', 'mit-grant', 'isc-grant', 'gpl-free', 'gpl-free-2', 'lgpl-free', 'lgpl-free-3', 'agpl-free', 'apache-2.0-head'))}])"
+ABSORBED = f"{LETTER['reserved']} *(?=[{''.join(LETTER[i] for i in ('bsd-grant', 'mit-grant', 'isc-grant', 'gpl-free', 'gpl-free-2', 'lgpl-free', 'lgpl-free-3', 'agpl-free', 'apache-2.0-head', 'gpl-2-only', 'gpl-2-only-2', 'gpl-3-only', 'bsd-go', 'mit-go', 'zlib-asis', 'zlib-grant'))}])"
 #: What stands between a BSD notice's grant and its clauses: numbers, and clauses in other words.
 BSD_GAPS = f"(?<=[{''.join(LETTER[i] for i in ('bsd-grant', 'bsd-source', 'bsd-binary'))}]) {{1,12}}(?=[{''.join(LETTER[i] for i in ('bsd-source', 'bsd-binary', 'bsd-name'))}])"
 #: Every known sentence has one of these words, so a text without any of them has no known sentence.
-TRIGGERS = ["license", "copyright", "permission", "reserved", "warranty", "redistribution", "domain", "june", "november", "february", "january"]
+TRIGGERS = ["license", "licence", "copyright", "permission", "reserved", "warranty", "redistribution", "domain", "june", "november", "february", "january"]
 assert all(any(t in s.split() or t + "d" in s.split() for t in TRIGGERS) or "redistributions" in s for s in [*SENTENCES.values(), NOTICE_PREFIX])
 
 _SPACE = r"[ \t\r\n\x0B\f]+"
@@ -153,6 +198,8 @@ def _letters(sentences: Column) -> Column:
 
     def letter(s: Column) -> Column:
         clean = F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " "))
+        for part, common in NAMES:
+            clean = F.regexp_replace(clean, part, common)
         at = F.array_position(known, clean).cast("int")
         return F.when(at > 0, F.substring(letters, at, 1)).when(F.startswith(clean, F.lit(NOTICE_PREFIX)), F.lit(LETTER[NOTICE])).otherwise(F.lit(" "))
 
@@ -191,7 +238,10 @@ def license_oracle() -> str:
     names = "map {" + ", ".join(f"'{k}': '{v}'" for k, v in SEQUENCES.items()) + "}"
 
     def seq(sentences: str) -> str:
-        return f"""array_to_string(list_transform(list_transform({sentences}, lambda s: trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'))),
+        clean = "trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'))"
+        for part, common in NAMES:
+            clean = f"regexp_replace({clean}, '{part}', '{common}')"
+        return f"""array_to_string(list_transform(list_transform({sentences}, lambda s: {clean}),
             lambda c: case when coalesce(list_position({known}, c), 0) > 0 then substr('{letters}', cast(list_position({known}, c) as int), 1)
                            when starts_with(c, '{NOTICE_PREFIX}') then '{LETTER[NOTICE]}' else ' ' end), '')"""
 

@@ -229,3 +229,25 @@ def test_a_row_repeated_for_a_third_of_the_table_is_dealt_by_pieces(spark, monke
     assert sorted(dealt.collect()) == whole
     hot = [sum(r.shard == s for r in whole if r.source == "hot") for s in range(8)]
     assert max(hot) - min(hot) <= 2 and sorted((r.shard, r.slot) for r in whole) == [(s, k) for s in range(8) for k in range(sum(r.shard == s for r in whole))]
+
+
+#: Notices as they stand in files, with the licence that is found.
+VARIANTS = [
+    ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.\n3. Neither the name of Example Corporation nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n", "BSD-3-Clause"),
+    ("// Copyright 2009 The Example Authors. All rights reserved.\n// Use of this source code is governed by a BSD-style\n// license that can be found in the LICENSE file.\n", "BSD"),
+    ("# Licensed to the Apache Software Foundation (ASF) under one or more\n# contributor license agreements.  See the NOTICE file distributed with\n# this work for additional information regarding copyright ownership.\n# The ASF licenses this file to You under the Apache License, Version 2.0\n# (the \"License\"); you may not use this file except in compliance with\n# the License.\n", "Apache-2.0"),
+    ("/* SPDX-License-Identifier: GPL-2.0-only */\nint x;\n", "GPL-2.0-only"),
+    ("# SPDX-License-Identifier: MIT\n", "MIT"),
+    ("Example is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.\n", "GPL-3.0-or-later"),
+    ("Example is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.\n", "LGPL-2.1-or-later"),
+    ("This program is free software; you can redistribute it and/or modify it\nunder the terms of the GNU General Public License version 2 as published by\nthe Free Software Foundation.\n", "GPL-2.0-only"),
+    ("This work is licensed under the Creative Commons Attribution-ShareAlike 4.0 International License.\n", "CC-BY-SA-4.0"),
+    ("The text is licensed under a Creative Commons Attribution 4.0\nInternational License.\n", "CC-BY-4.0"),
+    ("Distributed under the Boost Software License, Version 1.0.\n", "BSL-1.0"),
+    ("This software is provided 'as-is', without any express or implied\nwarranty.\n\nPermission is granted to anyone to use this software for any purpose,\nincluding commercial applications, and to alter it and redistribute it\nfreely, subject to the following restrictions:\n\n1. The origin of this software must not be misrepresented.\n", "Zlib"),
+]
+
+
+def test_variants_of_notices(spark):
+    got = {r.doc_id: r.licences for r in license_scan.scan_licenses(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(VARIANTS)], "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(len(VARIANTS))] == [name for _, name in VARIANTS]
