@@ -6,13 +6,14 @@ Every float is rounded to six decimals on both sides, counts are BIGINT, and eve
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from cohortloom.functions.codesets import in_codes
 from cohortloom.operators import features, shape, stats, transforms
 from cohortloom.operators.neighbours import nearest
-from cohortloom.plans import audit, autoencoder, mixture, pipeline, privacy, synthesis, tree
+from cohortloom.plans import audit, autoencoder, mixture, pipeline, privacy, stages, synthesis, tree
 from cohortloom.scores.maggic import maggic
 from cohortloom.scores.stumps import INPUTS, RANGES, stump_score
 from cohortloom.sources import tables
@@ -927,6 +928,28 @@ def configured_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(made.select("c_custkey", F.coalesce("c_mktsegment", F.lit(-1)).alias("segment"), "purchase_first_after", "view_any_before"))
 
 
+@query(f"""with p as ({PIPELINE_SQL}), n as (select count(*) as rows, count(*) filter (segment != -1) as mapped, count(purchase_first_after) as bought from p)
+    select 'preprocessed' as stage, cast(rows as bigint) as rows, cast(mapped as bigint) as known from n union all select 'selected', rows, bought from n union all select 'imputed', rows, rows from n union all select 'synthetic', rows, rows from n""")
+def staged_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From raw tables to the privacy report by the graph of stages: the rows of each stage, and those with a known value."""
+    refs = f"{tables.scratch(spark, 'refs')}.parquet"
+    tables.write_parquet(_refs(load(spark, sf_dir, "events")), refs)
+    etl = {
+        "name": "staged", "absolute_path": "",
+        f"{sf_dir}/customer.parquet": ["c_custkey", "c_mktsegment"],
+        f"{sf_dir}/events.parquet": ["user_id", "event_type", {"value": {"purchase": "purchase", "view": "view"}}, ["ts"]],
+        refs: ["user_id", "ref"],
+        "MergedTransforms": {"c_mktsegment": {"func": "map", "kwargs": {"map": {"BUILDING": 1, "MACHINERY": 2}}}},
+        "ref_date": "ref", "tuple_vals_after": ["purchase"], "tuple_vals_anybefore": ["view"],
+    }
+    columns = ["c_mktsegment", "purchase_first_after", "view_any_before"]
+    synth = {"columns": columns, "num_points": load(spark, sf_dir, "customer").count(), "synth_type": "tree"}
+    where = stages.everything(spark, {"folder": tables.scratch(spark, "stages"), "key": "c_custkey", "etl": etl, "synth": synth})
+    wanted = {"preprocessed": "c_mktsegment", "selected": "purchase_first_after", "imputed": "view_any_before", "synthetic": "c_custkey"}
+    parts = [spark.read.parquet(f"{where[name]}/rows").agg(F.lit(name).alias("stage"), F.count(F.lit(1)).alias("rows"), F.count(c).alias("known")) for name, c in wanted.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("select p_partkey, p_brand in ('Brand#1', 'Brand#2', 'Brand#3') or starts_with(p_brand, 'Brand#1') as hit from part")
 def code_prefix_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     brand = F.col("p_brand")
