@@ -66,6 +66,8 @@ class Column_:
             return np.rint(out).astype("int64").tolist() if self.type in ("int", "bigint", "smallint", "tinyint") else out.tolist()
         if self.joined:  # the value is joined afterwards
             return p.tolist()
+        if not self.values:
+            return [None] * len(p)
         return [self.values[k] for k in np.minimum(np.searchsorted(self.grid, p, "left"), len(self.values) - 1)]
 
 
