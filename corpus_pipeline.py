@@ -21,14 +21,16 @@ from cohortloom.llm.session import discard, written
 MIN_LANGUAGE_SCORE = 0.5
 
 
-#: Rows of a batch that goes to Python, where the session has no number of its own: texts are long, and both sides hold a batch.
-BATCH_ROWS = "1000"
+#: Rows of a batch that goes to Python in the stages that read whole texts, as both sides hold a batch; the last stage makes blocks of its own, and
+#: keeps the usual number.
+BATCH_ROWS, USUAL_ROWS = "1000", "10000"
 
 
-def _small_batches(spark: SparkSession) -> None:
+def _batches(spark: SparkSession, rows: str = BATCH_ROWS) -> None:
+    """Where the session has no number of its own."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(name) == "10000":
-        spark.conf.set(name, BATCH_ROWS)
+    if spark.conf.get(name) in (BATCH_ROWS, USUAL_ROWS):
+        spark.conf.set(name, rows)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,33 +39,33 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the rows whose quality score is 0.3 or more; learns from labels of the incoming rows. A null or empty text has a score too."""
-    _small_batches(spark)
+    _batches(spark)
     network = quality_mil.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality_mil.keep(docs, network)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the rows with a clear language; learns from those that are not held out. Texts that are null or have no letter have none."""
-    _small_batches(spark)
+    _batches(spark)
     model = language_id.fit(docs.where(~language_id.held_out(F.col("doc_id"), 3, 1)))
     return language_id.keep(docs, model, MIN_LANGUAGE_SCORE)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one row, the one with the smallest doc_id (null last), of each group of near duplicates, and all rows without words."""
-    _small_batches(spark)
+    _batches(spark)
     return jaccard_join.keep_one_of_each_group(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the rows that hold a passage of the benchmark, and no other row with the same doc_id."""
-    _small_batches(spark)
+    _batches(spark)
     return decontaminate.keep(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row that is left, with digests of the ids and of the decoded bytes."""
-    _small_batches(spark)
+    _batches(spark, USUAL_ROWS)
     made = byte_bpe.encode_and_decode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return made.select("doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
