@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .arrowtext import chunks, string_buffers, tidy
-from .session import discard, written
+from .session import discard, small_batches, written
 from .token_count import WordCutter
 
 #: Texts whose words are folded ahead (in expectation), and the most words of them.
@@ -144,13 +144,13 @@ class Codec:
 
         return _let(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), known)
 
-    def fold_ahead(self, docs: DataFrame) -> list[bytes]:
-        """The distinct words of a bounded sample of texts with their ids, packed by the executors."""
+    def fold_ahead(self, docs: DataFrame, most: int) -> list[bytes]:
+        """The `most` distinct words of a bounded sample of texts with their ids, packed by the executors."""
         share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
         chance = F.pmod(F.xxhash64(F.lit(41), "doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
         used = written(docs.where(chance < share).select("text").mapInArrow(tidy(_word_counts), "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
         # the most used words that are not too many: a table of counts of counts says from how many uses on
-        left, least = MAX_WORDS, 1 << 62
+        left, least = most, 1 << 62
         for n, words in used.groupBy("n").count().orderBy(F.desc("n")).collect():
             left -= words
             if left < 0:
@@ -161,9 +161,9 @@ class Codec:
         discard(used)
         return packed
 
-    def encode(self, docs: DataFrame) -> DataFrame:
+    def encode(self, docs: DataFrame, ahead: int = MAX_WORDS) -> DataFrame:
         """One row a block of texts: their doc_ids, and what _ids_and_bytes() needs to put their ids together."""
-        shared = self.spark.sparkContext.broadcast(self.fold_ahead(docs))
+        shared = self.spark.sparkContext.broadcast(self.fold_ahead(docs, ahead))
         return docs.mapInArrow(tidy(_cut_blocks(shared)), BLOCK).withColumn("others", self.encode_words(F.col("others")))
 
 
@@ -279,8 +279,12 @@ def _binaries(data: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)]).cast(pa.binary())
 
 
-def encode_and_decode(docs: DataFrame, vocabulary: str) -> DataFrame:
-    """doc_id, n_tokens, ids (little-endian unsigned 32-bit) and decoded (bytes) of every row."""
+def encode_and_decode(docs: DataFrame, vocabulary: str, ahead: int = MAX_WORDS) -> DataFrame:
+    """doc_id, n_tokens, ids (little-endian unsigned 32-bit) and decoded (bytes) of every row.
+
+    Each worker holds at most `ahead` words that are folded ahead (about 250 bytes a word): fewer take less memory and more time.
+    """
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     codec = Codec(docs.sparkSession, vocabulary)
     return codec.encode(docs).mapInArrow(tidy(_ids_and_bytes(codec.pieces)), "doc_id long, n_tokens long, ids binary, decoded binary")

@@ -10,6 +10,20 @@ from pyspark.sql import DataFrame, SparkSession
 from .arrowtext import give_back
 
 
+#: Bytes at which a batch that goes to Python ends.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Batches that go to Python end at BATCH_BYTES (a longer row goes alone), unless the session has set a bound of its own.
+
+    Both sides hold a batch, and the usual bound is a number of rows, whatever their length.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if name not in spark.conf.getAll:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def use_checkpoints(spark: SparkSession) -> None:
     """Takes the cluster's spark.checkpoint.dir; only where it is unset, and Spark runs on this machine alone, an own folder."""
     context = spark.sparkContext

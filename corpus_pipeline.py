@@ -15,7 +15,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortloom.llm import byte_bpe, decontaminate, jaccard_join, language_id, quality_mil
-from cohortloom.llm.session import discard, written
+from cohortloom.llm.session import discard, small_batches, written
 
 #: Below this share of the probability a language is a guess.
 MIN_LANGUAGE_SCORE = 0.5
@@ -25,9 +25,13 @@ MIN_LANGUAGE_SCORE = 0.5
 #: keeps the usual number.
 BATCH_ROWS, USUAL_ROWS = "1000", "10000"
 
+#: Words that the last stage folds ahead, as its workers follow those of the other stages.
+WORDS_AHEAD = 300_000
+
 
 def _batches(spark: SparkSession, rows: str = BATCH_ROWS) -> None:
     """Where the session has no number of its own."""
+    small_batches(spark)
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if spark.conf.get(name) in (BATCH_ROWS, USUAL_ROWS):
         spark.conf.set(name, rows)
@@ -66,7 +70,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row that is left, with digests of the ids and of the decoded bytes."""
     _batches(spark, USUAL_ROWS)
-    made = byte_bpe.encode_and_decode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    made = byte_bpe.encode_and_decode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), ahead=WORDS_AHEAD)
     return made.select("doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

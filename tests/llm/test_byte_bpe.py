@@ -39,5 +39,18 @@ def test_each_distinct_word_of_a_block_is_folded_once(spark):
     assert len(blocks) == 1 and sorted(blocks[0].others) == sorted({w for t in texts for w in [t.split()[0]] + [" " + x for x in t.split()[1:]]})
 
 
+def test_words_folded_ahead_and_batches_change_no_result(spark):
+    rows = spark.createDataFrame([(i, f"a few wordz {i} of texxt " * (1 + i % 5)) for i in range(200)], "doc_id long, text string")
+    usual = sorted(byte_bpe.encode_and_decode(rows, PATH).collect())
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "64")
+    try:
+        assert sorted(byte_bpe.encode_and_decode(rows, PATH, ahead=3).collect()) == usual
+        assert spark.conf.get(name) in ("64", "64b")  # a session's own bound stays
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_empty_table(spark):
     assert byte_bpe.encode_and_decode(spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0
