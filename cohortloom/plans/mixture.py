@@ -1,6 +1,6 @@
 """Synthetic tables by a mixture: rows come from components that have a normal distribution for each number and shares for each category.
 
-The fit is expectation maximisation. In a round every task sums, for its rows, the components' chances and what they weigh (counts,
+The fit is expectation maximisation. Rows are coded and packed into blocks of bytes once, which every round reads as matrices. In a round every task sums, for its rows, the components' chances and what they weigh (counts,
 sums and squares of known numbers, counts of categories); Spark adds these up, and the driver makes the next mixture from them. So a round is
 one pass whatever the size of the table, and only the mixture itself comes to the driver. It starts from a bounded sample (SAMPLE_ROWS rows,
 for the centres only).
@@ -12,6 +12,7 @@ table without rows gives a mixture of which all rows are missing.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -26,6 +27,8 @@ from cohortloom.sources import tables
 
 #: Most values of a category column that components have shares of; rows that the first centres come from.
 LISTED_VALUES, SAMPLE_ROWS = 256, 20_000
+#: Bytes of a block of packed rows (small, as a batch to Python can hold 10,000 of them), and rows that are weighed at once.
+BLOCK_BYTES, CHUNK_ROWS = 4096, 4096
 #: Least variance, as a part of the column's.
 LEAST_VARIANCE = 1e-4
 COMPONENTS, ROUNDS, LEAST_GAIN = 8, 40, 1e-4
@@ -67,27 +70,33 @@ class Mixture:
         tables.write_json(spark, self.metadata(), f"{folder}/metadata.json")
 
     def log_chances(self, x: np.ndarray, codes: np.ndarray) -> np.ndarray:
-        """The logarithm of weight times density, a row a row and a column a component. x: standard scores, NaN if missing."""
-        out = np.tile(np.log(np.maximum(self.weight, 1e-300)), (len(x), 1))
-        for j in range(x.shape[1]):
-            there = ~np.isnan(x[:, j])
-            v = np.where(there, x[:, j], 0)[:, None]
-            density = -0.5 * ((v - self.mean[:, j]) ** 2 / self.variance[:, j] + np.log(2 * np.pi * self.variance[:, j])) + np.log(np.maximum(self.known[:, j], 1e-12))
-            out += np.where(there[:, None], density, np.log(np.maximum(1 - self.known[:, j], 1e-12)))
-        for j, chance in enumerate(self.chances):
-            out += np.log(np.maximum(chance, 1e-12)).T[codes[:, j]]
+        """The logarithm of weight times density, a row a component and a column a row. x: standard scores, NaN if missing, a row a number; codes: a row a category column."""
+        out = np.repeat(np.log(np.maximum(self.weight, 1e-300))[:, None], x.shape[1], axis=1)
+        for j, v in enumerate(x):
+            density = v - self.mean[:, j, None]
+            density *= np.sqrt(0.5 / self.variance[:, j, None])
+            density *= density
+            np.subtract((np.log(np.maximum(self.known[:, j], 1e-12)) - 0.5 * np.log(2 * np.pi * self.variance[:, j]))[:, None], density, out=density)
+            missing = np.isnan(v)
+            if missing.any():
+                density[:, missing] = np.log(np.maximum(1 - self.known[:, j], 1e-12))[:, None]
+            out += density
+        for at, chance in zip(codes, self.chances):
+            out += np.take(np.log(np.maximum(chance, 1e-12)), at, axis=1)
         return out
 
     def weighed(self, x: np.ndarray, codes: np.ndarray) -> np.ndarray:
         """Log-likelihood, and per component: rows, known cells, sums, squares, counts of values; one vector."""
-        logs = self.log_chances(x, codes)
-        top = logs.max(axis=1, keepdims=True)
-        total = np.exp(logs - top)
-        share = total / total.sum(axis=1, keepdims=True)
-        there, v = ~np.isnan(x), np.nan_to_num(x)
-        counts = [np.stack([np.bincount(codes[:, j], w, c.shape[1]) for w in share.T]) for j, c in enumerate(self.chances)]
-        likelihood = float((np.log(total.sum(axis=1)) + top[:, 0]).sum())
-        return np.concatenate([[likelihood], share.sum(axis=0), *[(share.T @ m).ravel() for m in (there.astype(float), v, v * v)], *[c.ravel() for c in counts]])
+        share = self.log_chances(x, codes)
+        top = share.max(axis=0)
+        share -= top
+        np.exp(share, out=share)
+        total = share.sum(axis=0)
+        likelihood = float((np.log(total) + top).sum())
+        share /= total
+        there, v = (~np.isnan(x)).astype(float), np.nan_to_num(x)
+        counts = [np.stack([np.bincount(at, w, c.shape[1]) for w in share]) for at, c in zip(codes, self.chances)]
+        return np.concatenate([[likelihood], share.sum(axis=1), *[(share @ m.T).ravel() for m in (there, v, v * v)], *[c.ravel() for c in counts]])
 
     def next(self, sums: np.ndarray) -> Mixture:
         """The mixture that the sums of weighed() are likeliest for."""
@@ -116,13 +125,34 @@ def code(column: str, values: list) -> Column:
 
 
 def _matrices(b: pa.RecordBatch, d: int, c: int) -> tuple[np.ndarray, np.ndarray]:
-    x = np.stack([b.column(f"x{j}").to_numpy(zero_copy_only=False).astype(float) for j in range(d)], axis=1) if d else np.zeros((b.num_rows, 0))
-    codes = np.stack([b.column(f"c{j}").to_numpy() for j in range(c)], axis=1) if c else np.zeros((b.num_rows, 0), np.int32)
+    """Coded rows as matrices, a row a column of theirs."""
+    x = np.stack([b.column(f"x{j}").to_numpy(zero_copy_only=False).astype(float) for j in range(d)]) if d else np.zeros((0, b.num_rows))
+    codes = np.stack([b.column(f"c{j}").to_numpy() for j in range(c)]) if c else np.zeros((0, b.num_rows), np.int32)
     return x, codes
 
 
+def _packed(coded: DataFrame, d: int, c: int) -> DataFrame:
+    """cells: some rows a block, each as its d standard scores and c codes, all doubles. Blocks of a table of few partitions are dealt out to all cores."""
+    width = max(1, d + c)
+    step = max(1, BLOCK_BYTES // (8 * width))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            cells = np.zeros((b.num_rows, width))
+            cells[:, : d + c] = np.concatenate(_matrices(b, d, c)).T
+            yield pa.RecordBatch.from_arrays([pa.array([cells[i : i + step].tobytes() for i in range(0, b.num_rows, step)], pa.binary())], names=["cells"])
+
+    packed, cores = coded.mapInArrow(run, "cells binary"), coded.sparkSession.sparkContext.defaultParallelism
+    return packed.repartition(cores, F.xxhash64("cells")) if packed.rdd.getNumPartitions() < cores else packed
+
+
 def _weighed(mixture: Mixture, b: pa.RecordBatch) -> np.ndarray:
-    return mixture.weighed(*_matrices(b, len(mixture.numbers), len(mixture.categories)))
+    d, c = len(mixture.numbers), len(mixture.categories)
+    column = b.column("cells").cast(pa.binary())
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    cells = np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]].view(float).reshape(-1, max(1, d + c))
+    parts = (np.ascontiguousarray(cells[i : i + CHUNK_ROWS].T) for i in range(0, len(cells), CHUNK_ROWS))
+    return sum(mixture.weighed(m[:d], m[d : d + c].astype(np.int64)) for m in parts)
 
 
 def fit_mixture(df: DataFrame, columns: list[str], components: int = COMPONENTS, rounds: int = ROUNDS, seed: int = 42) -> Mixture:
@@ -140,14 +170,14 @@ def fit_mixture(df: DataFrame, columns: list[str], components: int = COMPONENTS,
         else:
             other.append((c, types[c], _shares(df, c), 1 - row[f"k_{c}"] / row["n"]))
     coded = df.select(*[((x[n[0]] - n[2]) / n[3]).alias(f"x{j}") for j, n in enumerate(numbers)], *[code(c, values).alias(f"c{j}") for j, (c, _, values) in enumerate(categories)], F.xxhash64(F.lit(seed), *columns).alias("h"))
-    coded = coded.persist(StorageLevel.MEMORY_AND_DISK)
     mixture = _start(coded, columns, numbers, categories, other, components, seed, row["n"])
     size = 1 + len(mixture.weight) * (1 + 3 * len(numbers) + sum(len(v) + 1 for _, _, v in categories))
+    packed = _packed(coded.drop("h"), len(numbers), len(categories)).persist(StorageLevel.MEMORY_AND_DISK)
     for _ in range(rounds if row["n"] else 0):
-        mixture = mixture.next(summed(coded.drop("h"), size, mixture, _weighed))
+        mixture = mixture.next(summed(packed, size, mixture, _weighed))
         if len(mixture.likelihood) > 1 and mixture.likelihood[-1] - mixture.likelihood[-2] < LEAST_GAIN:
             break
-    coded.unpersist()
+    packed.unpersist()
     return mixture
 
 
@@ -156,7 +186,8 @@ def _start(coded: DataFrame, order: list[str], numbers: list, categories: list,
     share = min(1.0, SAMPLE_ROWS / max(n, 1))
     rows = coded.where(F.pmod("h", F.lit(1 << 20)) < share * (1 << 20)).orderBy("h").limit(2 * SAMPLE_ROWS).toArrow().combine_chunks().to_batches()
     rng = np.random.default_rng(seed)
-    x, codes = _matrices(rows[0], len(numbers), len(categories)) if rows else (np.full((1, len(numbers)), np.nan), np.full((1, len(categories)), 0))
+    x, codes = _matrices(rows[0], len(numbers), len(categories)) if rows else (np.full((len(numbers), 1), np.nan), np.full((len(categories), 1), 0))
+    x, codes = x.T, codes.T
     seen = np.concatenate([np.nan_to_num(x), np.stack([codes[:, j] == v for j, (_, _, values) in enumerate(categories) for v in range(len(values) + 1)], axis=1)] if categories else [np.nan_to_num(x)], axis=1).astype(float)
     chosen = [int(rng.integers(len(seen)))]
     far = ((seen - seen[chosen[0]]) ** 2).sum(axis=1)

@@ -97,3 +97,27 @@ def test_mutual_information_of_known_tables(spark):
     rows = spark.createDataFrame([(a, a, b) for a in range(2) for b in range(5) for _ in range(3)], "s0 int, s1 int, s2 int")
     found = {r.pair: r.information for r in tree.mutual_information(tree.pair_counts(rows, ["s0", "s1", "s2"])).collect()}
     assert found[0] == pytest.approx(np.log(2)) and found[1] == pytest.approx(0) and found[2] == pytest.approx(0)
+
+
+def test_rounds_of_the_mixture_read_packed_blocks(spark, clusters, monkeypatch):
+    """Weighing equals the plain formula, and a round takes few blocks instead of a row of Spark each."""
+    sizes, plain = [], mixture.summed
+    monkeypatch.setattr(mixture, "summed", lambda rows, *more: sizes.append(rows.count()) or plain(rows, *more))
+    monkeypatch.setattr(mixture, "CHUNK_ROWS", 100)
+    model = mixture.fit_mixture(clusters, ["x", "y", "kind"], 3, 2)
+    assert len(sizes) == 2 and 1 < sizes[0] < 12_000 / 50
+    rows = clusters.select("x", "y", "kind").collect()
+    known = [[None if v is None or np.isnan(v) else (v - n[2]) / n[3] for n, v in zip(model.numbers, r)] for r in rows]
+    at = [len(model.categories[0][2]) if r.kind is None else model.categories[0][2].index(r.kind) for r in rows]
+    normal = lambda v, m, s: np.exp(-((v - m) ** 2) / (2 * s)) / np.sqrt(2 * np.pi * s)
+    chance = lambda r, a, k: model.weight[k] * max(model.chances[0][k, a], 1e-12) * np.prod([max(1 - model.known[k, j], 1e-12) if v is None else model.known[k, j] * normal(v, model.mean[k, j], model.variance[k, j]) for j, v in enumerate(r)])
+    each = np.array([[chance(r, a, k) for k in range(3)] for r, a in zip(known, at)])
+    share = each / each.sum(axis=1, keepdims=True)
+    sums = []
+    monkeypatch.setattr(mixture, "summed", lambda *more: sums.append(plain(*more)) or sums[-1])
+    monkeypatch.setattr(mixture, "_start", lambda *_: model)
+    mixture.fit_mixture(clusters, ["x", "y", "kind"], 3, 1)
+    assert sums[0][0] == pytest.approx(np.log(each.sum(axis=1)).sum())
+    np.testing.assert_allclose(sums[0][1:4], share.sum(axis=0))
+    x = np.array([[0 if v is None else v for v in r] for r in known])
+    np.testing.assert_allclose(sums[0][10:16].reshape(3, 2), share.T @ x, rtol=1e-7, atol=1e-7)
