@@ -772,12 +772,17 @@ def gaussian_copula_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return synthesis.synthesize(load(spark, sf_dir, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_returnflag"], 1000)
 
 
-@query("select l_returnflag as value, round(count(*) / sum(count(*)) over (), 6) as share from lineitem where l_returnflag is not null group by 1")
+@query("select l_returnflag as value, round(count(*) / sum(count(*)) over (), 6) as share, true as near from lineitem where l_returnflag is not null group by 1")
 def copula_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The share that the fitted copula draws each category with."""
-    flag = synthesis.fit_gaussian_copula(load(spark, sf_dir, "lineitem"), ["l_quantity", "l_returnflag"]).columns[1]
+    """The share of each category in the fitted copula, and whether it is drawn as often as it occurs, to two hundredths of all rows."""
+    rows, category = load(spark, sf_dir, "lineitem"), "l_returnflag"
+    model = synthesis.fit_gaussian_copula(rows, ["l_quantity", category])
+    flag, made = model.columns[1], synthesis.sample_gaussian_copula(spark, model, 20_000)
     ends = [0.0, *flag.grid.tolist()]
-    return rounded(spark.createDataFrame([(v, high - low) for v, low, high in zip(flag.values, ends, ends[1:])], "value string, share double"))
+    fitted = spark.createDataFrame([(v, high - low) for v, low, high in zip(flag.values, ends, ends[1:])], "value string, share double")
+    part = lambda d, n: d.groupBy(F.col(category).alias("value")).agg((F.count(F.lit(1)) / F.lit(float(d.count() or 1))).alias(n)).where("value is not null")
+    found = fitted.join(part(rows, "u"), "value", "full_outer").join(part(made, "v"), "value", "full_outer")
+    return rounded(found.select("value", "share", (F.abs(F.coalesce("u", F.lit(0)) - F.coalesce("v", F.lit(0))) < 0.02).alias("near")))
 
 
 MIXED = ["l_quantity", "l_extendedprice", "l_discount", "l_returnflag"]

@@ -121,3 +121,15 @@ def test_rounds_of_the_mixture_read_packed_blocks(spark, clusters, monkeypatch):
     np.testing.assert_allclose(sums[0][1:4], share.sum(axis=0))
     x = np.array([[0 if v is None else v for v in r] for r in known])
     np.testing.assert_allclose(sums[0][10:16].reshape(3, 2), share.T @ x, rtol=1e-7, atol=1e-7)
+
+
+def test_the_shares_of_the_copula_are_those_of_drawn_rows_too(spark, monkeypatch, tmp_path):
+    """The query draws from the model: drawn rows without a category are seen."""
+    from cohortloom.queries import QUERIES
+
+    spark.createDataFrame([(float(i % 7), "abbb"[i % 4]) for i in range(400)], "l_quantity double, l_returnflag string").write.parquet(str(tmp_path / "lineitem.parquet"))
+    rows = lambda: {(r.value, r.share, r.near) for r in QUERIES["copula_shares"](spark, str(tmp_path)).collect()}
+    assert rows() == {("a", 0.25, True), ("b", 0.75, True)}
+    draw = synthesis.sample_gaussian_copula
+    monkeypatch.setattr(synthesis, "sample_gaussian_copula", lambda *more: draw(*more).where("l_returnflag = 'b'"))
+    assert rows() == {("a", 0.25, False), ("b", 0.75, False)}
