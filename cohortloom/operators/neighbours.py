@@ -7,7 +7,8 @@ pivot below that. A query first searches a block of its own cell;
 the distance of its k-th neighbour there bounds the rest: only cells that can reach into that distance (distance to the pivot
 less the cell's radius) are searched as well. Queries and points meet by a shuffle: in each block the points come first and the
 queries stream past them, and the best k of all blocks are merged. So the result is that of comparing every query with every
-row, neither side passes through the driver, and a table of one block is broadcast instead.
+row, neither side passes through the driver, and a table of a few blocks is broadcast instead. A cell's blocks are copied for the queries
+that come to it (counted before each search), and what a search needs is written first, so a task has one Python process.
 
 Rows with a null coordinate are nobody's neighbours and have none.
 """
@@ -23,10 +24,12 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from cohortloom.sources import tables
 
-#: Points of a block, and queries that share a copy of it.
-BLOCK_POINTS, BLOCK_QUERIES = 8192, 1 << 18
+#: Points of a block, queries that share a copy of it, and blocks of a table that is broadcast.
+BLOCK_POINTS, BLOCK_QUERIES, WHOLE_BLOCKS = 1024, 1 << 18, 8
+#: Rows of a batch that a task deals to blocks or gives back.
+DEALT_ROWS = 8192
 #: Most numbers of all pivots, and of the sample that they come from at least; numbers of a matrix of distances.
-TREE_NUMBERS, SAMPLE_NUMBERS, MATRIX_NUMBERS = 1 << 22, 1 << 20, 1 << 20
+TREE_NUMBERS, SAMPLE_NUMBERS, MATRIX_NUMBERS = 1 << 22, 1 << 20, 1 << 17
 _NONE = np.iinfo(np.int64).max
 
 
@@ -37,9 +40,9 @@ def nearest(queries: DataFrame, table: DataFrame, query_id: str, table_id: str,
     points, asked = _distinct_points(whole(table, table_id, "t"), names, k), whole(queries, query_id, "q")
     asks = asked.select(*names).distinct()
     n = points.count()
-    if n <= BLOCK_POINTS:
+    if n <= WHOLE_BLOCKS * BLOCK_POINTS:
         rows = points.toArrow()
-        shared = points.sparkSession.sparkContext.broadcast((_points(rows, names), rows["ts"].to_pylist()))
+        shared = points.sparkSession.sparkContext.broadcast((_points(rows, names), rows["ts"].combine_chunks()))
         found = asks.mapInArrow(_against_all(shared, names, k), _found_type(names))
     else:
         found = _by_cells(asks, points, names, n, k)
@@ -69,24 +72,37 @@ def _found_type(names: list[str]) -> str:
 
 def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Summed column by column, so that a distance does not depend on what it is computed with."""
+    d = _squares(x, y)
+    return np.sqrt(d, out=d)
+
+
+def _squares(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     d = np.zeros((len(x), len(y)))
     for c in range(x.shape[1]):
-        d += (x[:, c, None] - y[None, :, c]) ** 2
-    return np.sqrt(d)
+        gap = x[:, c, None] - y[None, :, c]
+        gap *= gap
+        d += gap
+    return d
 
 
-def _best(x: np.ndarray, y: np.ndarray, ids: list[list[int]], k: int) -> tuple[list[list[int]], list[list[float]]]:
-    """The k nearest rows of each query among some points, each of which stands for several rows."""
-    ts, distances = [], []
+def _best(x: np.ndarray, y: np.ndarray, ids: pa.ListArray, k: int) -> tuple[pa.ListArray, pa.ListArray]:
+    """The k nearest rows of each query among some points, each of which stands for several rows: their ids and distances."""
     step = max(1, MATRIX_NUMBERS // max(1, len(y)))
-    first = np.array([t[0] for t in ids], np.int64)
+    if k == 1:
+        first = ids.flatten().to_numpy()[ids.value_lengths().to_numpy().cumsum() - ids.value_lengths().to_numpy()]
+        t, low = np.full(len(x), _NONE), np.full(len(x), np.nan)
+        for i in range(0, len(x), step):
+            d = _squares(x[i : i + step], y)
+            row, point = np.nonzero(d <= d.min(axis=1, keepdims=True) * (1 + 1e-14))  # roots of these can be equal
+            far = np.sqrt(d[row, point])
+            order = np.lexsort((first[point], far, row))
+            query, at = np.unique(row[order], return_index=True)
+            t[i + query], low[i + query] = first[point[order[at]]], far[order[at]]
+        at = pa.array(np.arange(len(x) + 1), pa.int32())
+        return pa.ListArray.from_arrays(at, pa.array(t)), pa.ListArray.from_arrays(at, pa.array(low))
+    ts, distances, ids = [], [], ids.to_pylist()
     for i in range(0, len(x), step):
         d = _distances(x[i : i + step], y)
-        if k == 1:
-            low = d.min(axis=1)
-            ts += [[t] for t in np.where(d == low[:, None], first, _NONE).min(axis=1).tolist()]
-            distances += [[v] for v in low.tolist()]
-            continue
         # all points that are as near as the k-th
         reach = np.partition(d, min(k, len(y)) - 1, axis=1)[:, min(k, len(y)) - 1]
         for row, r in zip(d, reach):
@@ -94,11 +110,11 @@ def _best(x: np.ndarray, y: np.ndarray, ids: list[list[int]], k: int) -> tuple[l
             near.sort()
             ts.append([t for _, t in near[:k]])
             distances.append([float(v) for v, _ in near[:k]])
-    return ts, distances
+    return pa.array(ts, pa.list_(pa.int64())), pa.array(distances, pa.list_(pa.float64()))
 
 
-def _found(b: pa.RecordBatch, names: list[str], ts: list, distances: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([*[b.column(x) for x in names], pa.array(ts, pa.list_(pa.int64())), pa.array(distances, pa.list_(pa.float64()))], names=[*names, "ts", "distances"])
+def _found(b: pa.RecordBatch, names: list[str], ts: pa.Array, distances: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*[b.column(x) for x in names], ts, distances], names=[*names, "ts", "distances"])
 
 
 def _against_all(shared, names: list[str], k: int):
@@ -171,28 +187,37 @@ class Cells:
 
 def _by_cells(asks: DataFrame, points: DataFrame, names: list[str], n: int, k: int) -> DataFrame:
     spark, d = points.sparkSession, len(names)
+    def written(rows: DataFrame, name: str) -> DataFrame:
+        path = tables.scratch(spark, name)
+        rows.write.parquet(path)
+        return spark.read.schema(rows.schema).parquet(path)
+
     wanted = max(1, min(-(-2 * n // BLOCK_POINTS), TREE_NUMBERS // d))
     rows = max(SAMPLE_NUMBERS // d, 2 * wanted)
     chance = F.pmod(F.xxhash64(F.lit(3), *names), F.lit(1 << 30)) / float(1 << 30)
     sample = np.unique(_points(points.where(chance < min(1.0, rows / n)).select(*names).limit(2 * rows).toArrow(), names), axis=0)
     tree = Cells.grown(sample[np.random.default_rng(1).permutation(len(sample))[:wanted]])
     located = points.mapInArrow(_located(spark.sparkContext.broadcast(tree), names), ", ".join(f"{x} double" for x in names) + ", ts array<long>, cell int, gap double")
-    path = tables.scratch(spark, "located")
-    located.write.parquet(path)
-    located = spark.read.schema(located.schema).parquet(path)
+    located = written(located, "located")
     by_cell = located.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("gap").alias("radius")).toArrow()  # a row a cell
     sizes, radius = np.zeros(len(tree.pivots), np.int64), np.full(len(tree.pivots), -1.0)
     sizes[by_cell["cell"].to_numpy()], radius[by_cell["cell"].to_numpy()] = by_cell["n"].to_numpy(), by_cell["radius"].to_numpy()
-    cells = tree.filled(radius, np.maximum(1, -(-sizes // BLOCK_POINTS)), np.full(len(sizes), max(1, -(-asks.count() // BLOCK_QUERIES))))
-    shared = spark.sparkContext.broadcast(cells)
+    kept = tree.filled(radius, np.maximum(1, -(-sizes // BLOCK_POINTS)), np.ones(len(sizes), np.int64))
+    filled = spark.sparkContext.broadcast(kept)
     fields = "cell int, block int, copy int, asks boolean, " + _found_type(names)
     order = ["cell", "block", "copy", "asks"]
 
-    def search(dealt: DataFrame) -> DataFrame:
+    def search(queries: DataFrame, deal, wanted: DataFrame) -> DataFrame:
+        """wanted: cell and n, how many queries come to it."""
+        found, copies = wanted.groupBy("cell").agg(F.sum("n").alias("n")).toArrow(), np.ones(len(sizes), np.int64)
+        copies[found["cell"].to_numpy()] = np.maximum(1, -(-found["n"].to_numpy() // BLOCK_QUERIES))
+        shared = spark.sparkContext.broadcast(kept.filled(kept.radius, kept.blocks, copies))
+        dealt = located.mapInArrow(_deal_points(shared, names), fields).unionByName(queries.mapInArrow(deal(shared), fields))
         return dealt.repartition(*order[:3]).sortWithinPartitions(*order).mapInArrow(_search(names, k), _found_type(names))
 
-    near = search(located.mapInArrow(_deal_points(shared, names), fields).unionByName(asks.mapInArrow(_deal_first(shared, names), fields)))
-    rest = search(located.mapInArrow(_deal_points(shared, names), fields).unionByName(near.mapInArrow(_deal_rest(shared, names, k), fields)))
+    asks = written(asks.mapInArrow(_located(filled, names), ", ".join(f"{x} double" for x in names) + ", cell int, gap double"), "asks")
+    near = written(search(asks, lambda shared: _deal_first(shared, names), asks.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))), "near")
+    rest = search(near, lambda shared: _deal_rest(shared, names, k), near.mapInArrow(_reached(filled, names, k), "cell int, n long"))
     # the best k of all blocks; what was found in the first one is found there again
     pairs = rest.select(*names, F.arrays_zip("distances", "ts").alias("f")).groupBy(*names).agg(F.sort_array(F.flatten(F.collect_list("f"))).alias("f"))
     return pairs.select(*names, F.slice(F.col("f.ts"), 1, k).alias("ts"), F.slice(F.col("f.distances"), 1, k).alias("distances"))
@@ -208,8 +233,8 @@ def _located(shared, names: list[str]):
 
 
 def _dealt(b: pa.RecordBatch, names: list[str], take: np.ndarray, cell: np.ndarray, block: np.ndarray, copy: np.ndarray, asks: bool) -> Iterator[pa.RecordBatch]:
-    for i in range(0, len(take), BLOCK_POINTS):
-        at = slice(i, i + BLOCK_POINTS)
+    for i in range(0, len(take), DEALT_ROWS):
+        at = slice(i, i + DEALT_ROWS)
         rows = b.take(pa.array(take[at]))
         none = pa.nulls(rows.num_rows, pa.list_(pa.int64())), pa.nulls(rows.num_rows, pa.list_(pa.float64()))
         head = [pa.array(cell[at], pa.int32()), pa.array(block[at], pa.int32()), pa.array(copy[at], pa.int32()), pa.array(np.full(rows.num_rows, asks))]
@@ -248,25 +273,46 @@ def _deal_first(shared, names: list[str]):
         cells = shared.value
         for b in batches:
             x = _points(b, names)
-            cell, salt = cells.own(x)[0], _salt(x)
+            cell, salt = b.column("cell").to_numpy().astype(np.int64), _salt(x)
             yield from _dealt(b, names, np.arange(len(x)), cell, (salt % cells.blocks[cell].astype(np.uint64)).astype(np.int64), (salt // np.uint64(5) % cells.copies[cell].astype(np.uint64)).astype(np.int64), True)
 
     return run
 
 
+def _within(cells: Cells, b: pa.RecordBatch, names: list[str], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The queries of a batch, and (query, cell) where the k-th neighbour so far does not rule the cell out."""
+    x, found = _points(b, names), b.column("distances")
+    many = found.value_lengths().to_numpy()
+    reach = np.full(len(x), np.inf)
+    reach[many >= k] = found.flatten().to_numpy()[(np.cumsum(many) - many + k - 1)[many >= k]]
+    return x, *cells.within(x, reach)
+
+
+def _reached(shared, names: list[str], k: int):
+    """How many queries go to each cell."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(0, b.num_rows, DEALT_ROWS):
+                cell, n = np.unique(_within(shared.value, b.slice(i, DEALT_ROWS), names, k)[2], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), pa.array(n, pa.int64())], names=["cell", "n"])
+
+    return run
+
+
 def _deal_rest(shared, names: list[str], k: int):
     """Every query to all blocks of the cells that its k-th neighbour so far does not rule out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = shared.value
-        for b in batches:
-            x = _points(b, names)
-            reach = np.array([d[k - 1] if len(d) >= k else np.inf for d in b.column("distances").to_pylist()])
-            row, cell = cells.within(x, reach)
-            blocks = cells.blocks[cell]
-            take, cell = np.repeat(row, blocks), np.repeat(cell, blocks)
-            block = np.arange(len(take)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
-            yield from _dealt(b, names, take, cell, block, (_salt(x)[take] // np.uint64(5) % cells.copies[cell].astype(np.uint64)).astype(np.int64), True)
+        for whole in batches:
+            for i in range(0, whole.num_rows, DEALT_ROWS):
+                b = whole.slice(i, DEALT_ROWS)
+                x, row, cell = _within(cells, b, names, k)
+                blocks = cells.blocks[cell]
+                take, cell = np.repeat(row, blocks), np.repeat(cell, blocks)
+                block = np.arange(len(take)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+                yield from _dealt(b, names, take, cell, block, (_salt(x)[take] // np.uint64(5) % cells.copies[cell].astype(np.uint64)).astype(np.int64), True)
 
     return run
 
@@ -275,7 +321,7 @@ def _search(names: list[str], k: int):
     """Rows in the order of their block, its points first: what each query finds there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, y, ids, waiting = None, np.zeros((0, len(names))), [], []
+        key, y, ids, waiting = None, np.zeros((0, len(names))), None, []
         for b in batches:
             if not b.num_rows:
                 continue
@@ -284,16 +330,16 @@ def _search(names: list[str], k: int):
             for i, j in zip(cuts[:-1], cuts[1:]):
                 rows = b.slice(i, j - i)
                 if key != tuple(keys[i, :3]):
-                    key, y, ids, waiting = tuple(keys[i, :3]), np.zeros((0, len(names))), [], []
+                    key, y, ids, waiting = tuple(keys[i, :3]), np.zeros((0, len(names))), None, []
                 if not keys[i, 3]:
-                    waiting.append(_points(rows, names))
-                    ids += rows.column("ts").to_pylist()
+                    waiting.append(rows.select([*names, "ts"]))
                     continue
                 if waiting:
-                    y, waiting = np.concatenate(waiting), []
+                    points, waiting = pa.Table.from_batches(waiting).combine_chunks(), []
+                    y, ids = _points(points, names), points["ts"].combine_chunks()
                 if len(y):
                     yield _found(rows, names, *_best(_points(rows, names), y, ids, k))
                 elif key is not None:  # an empty block: nothing found, and so nothing ruled out
-                    yield _found(rows, names, [[]] * rows.num_rows, [[]] * rows.num_rows)
+                    yield _found(rows, names, pa.array([[]] * rows.num_rows, pa.list_(pa.int64())), pa.array([[]] * rows.num_rows, pa.list_(pa.float64())))
 
     return run

@@ -95,3 +95,16 @@ def test_stages_write_their_reports(spark, tmp_path):
     assert json.loads((tmp_path / "privacy_report.json").read_text()) == made
     with pytest.raises(ValueError):
         audit.run(a.limit(0), a, str(tmp_path))
+
+
+def test_blocks_are_copied_only_where_queries_come(spark, monkeypatch):
+    """300 queries at one place: the other cells' points are sent once."""
+    monkeypatch.setattr(neighbours, "BLOCK_POINTS", 10)
+    monkeypatch.setattr(neighbours, "BLOCK_QUERIES", 50)
+    copies, filled = [], neighbours.Cells.filled
+    monkeypatch.setattr(neighbours.Cells, "filled", lambda self, *parts: copies.append(parts[2]) or filled(self, *parts))
+    t = spark.range(200).selectExpr("id as t", "cast(id as double) as x")
+    q = spark.range(300).selectExpr("id as q", "100 + id / 1000 as x")
+    got = neighbours.nearest(q, t, "q", "t", ["x"])
+    assert {(r.q, r.t) for r in got.collect()} == {(i, 100) for i in range(300)}
+    assert max(copies[-1]) >= 6 and sorted(copies[-1])[len(copies[-1]) // 2] == 1
