@@ -59,7 +59,7 @@ def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float
         places = [p * (n - 1) for p in probabilities] if n else []
         own = values.select(F.col(f"x{i}").alias("x")).where("x is not null")
         ranked = _ranked(own, sorted({r for p in places for r in (math.floor(p), math.ceil(p))}), n)
-        out[c] = [(math.floor(p) + 1 - p) * ranked[math.floor(p)] + (p - math.floor(p)) * ranked[math.ceil(p)] for p in places] or [None] * len(probabilities)
+        out[c] = [ranked[math.floor(p)] + (p - math.floor(p)) * (ranked[math.ceil(p)] - ranked[math.floor(p)]) for p in places] or [None] * len(probabilities)
     return out
 
 

@@ -108,3 +108,12 @@ def test_blocks_are_copied_only_where_queries_come(spark, monkeypatch):
     got = neighbours.nearest(q, t, "q", "t", ["x"])
     assert {(r.q, r.t) for r in got.collect()} == {(i, 100) for i in range(300)}
     assert max(copies[-1]) >= 6 and sorted(copies[-1])[len(copies[-1]) // 2] == 1
+
+
+def test_a_quantile_among_equal_values_is_their_value(spark, monkeypatch):
+    """Nothing that is equal to the quantile counts as below it, whatever the place between the ranks."""
+    monkeypatch.setattr(stats, "EXACT_ROWS", 10)
+    v = 0.9
+    df = spark.range(44).select(F.lit(v).alias("x"))
+    at = [p / 97 for p in range(1, 97)]
+    assert stats.exact_quantiles(df, ["x"], at)["x"] == [v] * 96
