@@ -1,10 +1,9 @@
 """Byte-level BPE encoding and decoding, words folded in higher-order functions (operator 3).
 
-Bytes are letters of Latin-1 here, so a byte array is an array of letters and two pieces are joined by
-joining strings. The ranks of the vocabulary are one literal: an array of small maps, by a hash of the
-piece. A word is folded over its bytes: as long as a pair of neighbours has a rank, the lowest one is
-merged, the leftmost first; the ranks of all pairs are kept and only the two beside a merge are looked up anew.
-A word that is a piece itself is not folded.
+The ranks of all pairs of pieces that together are a piece are one literal: a row of numbers in which each left piece has a place and
+each right piece a distance from it. A word is folded over its bytes: as long as a pair of neighbours has a rank, the lowest one is
+merged, the leftmost first; a part, its place and the rank of its pair are one number, and only the two pairs beside a merge
+are looked up anew. A word that is a piece itself is not folded.
 
 Distinct words are folded, not their uses. The most used ones of a bounded, hash-chosen sample of texts are folded
 ahead, and their ids go to the workers that cut texts into words. Of the others, those of a block of texts
@@ -42,11 +41,14 @@ SAMPLE_DOCS, MAX_WORDS = 50_000, 650_000
 BLOCK_BYTES = 4 << 20
 #: Ids of texts that are decoded at once (one longer text goes alone).
 ROW_IDS = 1 << 17
-#: Maps in the literal of ranks.
-RANK_BUCKETS = 1 << 13
 #: Ids must stay below the first code point that is no letter of its own; OTHER stands for a word that is folded later.
 MAX_IDS, OTHER = 0xD800, "\ue000"
-NO_RANK = (1 << 31) - 1
+#: A part of a word is one long: the rank of the pair it begins (the code of what they are together), the place of its first byte, its code.
+CODE_BITS, RANK_SHIFT = 16, 46
+NO_RANK = 1 << 16
+#: Groups of pairs (a prime that divides no width), how far a group can be moved on, and widths of the row of pairs.
+GROUPS, MOVES, WIDTHS = 30_011, 1 << 13, (300_007, 600_011, 1_200_007)
+NO_PAIR = NO_RANK << RANK_SHIFT
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -58,21 +60,41 @@ def read_ranks(path: str) -> dict[bytes, int]:
     return ranks
 
 
-def _bucket(key: Column, buckets: int) -> Column:
-    return F.pmod(F.hash(key), F.lit(buckets))
-
-
-def _rank_literal(spark: SparkSession, ranks: dict[str, int]) -> Column:
-    """The ranks as a literal array of maps; its JSON is read once, when the plan is optimised."""
-    rows = spark.createDataFrame([(k,) for k in ranks], "piece string").select("piece", _bucket(F.col("piece"), RANK_BUCKETS).alias("bucket")).toArrow()
-    maps: list[dict[str, int]] = [{} for _ in range(RANK_BUCKETS)]
-    for piece, bucket in zip(rows["piece"].to_pylist(), rows["bucket"].to_pylist()):
-        maps[bucket][piece] = ranks[piece]
-    return F.from_json(F.lit(json.dumps(maps, ensure_ascii=False, separators=(",", ":"))), "array<map<string,int>>")
+class PairTable:
+    """The rank of every pair of pieces that together are a piece, in one row of numbers.
 
+    A piece's code is its id and 1; 0 is no piece. A pair is left << 16 | right, its place its remainder by `width`, moved on by what all
+    pairs of its group (the remainder by GROUPS) are moved on, so that no two share a place. The row has pair << 16 | joined there.
+    """
 
-def _look_up(table: Column, key: Column, buckets: int) -> Column:
-    return F.try_element_at(F.get(table, _bucket(key, buckets)), key)
+    def __init__(self, ranks: dict[bytes, int]):
+        found = {(ranks[k[:i]] + 1) << 16 | (ranks[k[i:]] + 1): v + 1 for k, v in ranks.items() for i in range(1, len(k)) if k[:i] in ranks and k[i:] in ranks}
+        pairs = np.array(list(found), np.int64)
+        self.width = next(w for w in WIDTHS if w >= 2 * len(pairs))  # GROUPS times that is beyond all pairs, so those of a group have different remainders
+        group, place = pairs % GROUPS, pairs % self.width
+        order = np.argsort(group, kind="stable")
+        groups, first, many = np.unique(group[order], return_index=True, return_counts=True)
+        free, self.moved, on = np.ones(self.width + MOVES, bool), np.zeros(GROUPS, np.int64), np.random.default_rng(0).permutation(MOVES)
+        for k in np.argsort(-many, kind="stable").tolist():
+            mine = place[order[first[k] : first[k] + many[k]]]
+            for i in range(0, MOVES, 64):
+                fits = np.flatnonzero(free[on[i : i + 64, None] + mine].all(axis=1))
+                if len(fits):
+                    break
+            self.moved[groups[k]] = on[i + fits[0]]
+            free[on[i + fits[0]] + mine] = False
+        self.row = np.zeros(self.width + MOVES, np.int64)
+        self.row[self.moved[group] + place] = pairs << 16 | np.array(list(found.values()), np.int64)
+
+    def rank(self, table: Column, left: Column, right: Column) -> Column:
+        """The code of the piece that two are together; NO_RANK if they are none: then the row has another pair, which leaves more than 16 bits."""
+        pair = F.shiftleft(left, 16).bitwiseOR(right)
+        return F.least(F.get(table["row"], (F.get(table["moved"], (pair % GROUPS).cast("int")) + pair % self.width).cast("int")).bitwiseXOR(F.shiftleft(pair, 16)), F.lit(NO_RANK))
+
+
+def _literal(values: list, kind: str) -> Column:
+    """Read once, when the plan is optimised."""
+    return F.from_json(F.lit(json.dumps(values, separators=(",", ":"))), f"array<{kind}>")
 
 
 def _let(value: Column, body) -> Column:
@@ -80,69 +102,61 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _placed(state: Column) -> Column:
-    """parts and ranks, with the place of the lowest rank (the leftmost one), 0 if no pair has a rank."""
-
-    def at(low: Column) -> Column:
-        return F.when(low == NO_RANK, F.lit(0)).otherwise(F.array_position(state["ranks"], low).cast("int"))
+def _code(part: Column) -> Column:
+    return part.bitwiseAND(F.lit((1 << CODE_BITS) - 1))
 
-    return F.struct(state["parts"].alias("parts"), state["ranks"].alias("ranks"), _let(F.array_min(state["ranks"]), at).alias("at"))
 
-
-def _rank(ranks: Column, piece: Column) -> Column:
-    return _look_up(ranks, piece, RANK_BUCKETS)
+def _part(rank: Column, rest: Column) -> Column:
+    return F.shiftleft(rank, RANK_SHIFT).bitwiseOR(rest)
 
 
 class Codec:
     """Expressions that encode and decode by one vocabulary."""
 
     def __init__(self, spark: SparkSession, path: str):
-        ranks = {k.decode("latin-1"): v for k, v in read_ranks(path).items()}
+        ranks = read_ranks(path)
         self.spark = spark
-        self.ranks = _rank_literal(spark, ranks)
+        self.pairs = PairTable(ranks)
         self.pieces = [b""] * (max(ranks.values()) + 1)
         for k, v in ranks.items():
-            self.pieces[v] = k.encode("latin-1")
-        self.letters = F.from_json(F.lit(json.dumps([chr(i) for i in range(len(self.pieces))])), "array<string>")
-
-    def _pair(self, ranks: Column, a: Column, b: Column) -> Column:
-        return F.coalesce(_rank(ranks, F.concat(a, b)), F.lit(NO_RANK))
+            self.pieces[v] = k
+        letters = [chr(i) for i in range(len(self.pieces))]
+        single = [ranks[bytes([b])] + 1 for b in range(256)]
+        self.literals = F.struct(
+            _literal(self.pairs.row.tolist(), "bigint").alias("row"), _literal(self.pairs.moved.tolist(), "int").alias("moved"),
+            _literal(single, "bigint").alias("single"), _literal(["", *letters], "string").alias("letters"),
+        )
+        whole = {w: v for k, v in ranks.items() if (w := k.decode("utf-8", "ignore")).encode() == k}
+        self.whole = _pack(pa.RecordBatch.from_arrays([pa.array(list(whole)), pa.array([letters[v] for v in whole.values()])], names=["word", "ids"]))
 
     def _merge(self, table: Column, state: Column) -> Column:
-        """The state after its lowest-ranked pair is merged; at: the place of that pair, 0 if there is none."""
-
-        def merged(s: Column) -> Column:
-            parts, ranks, at = s["parts"], s["ranks"], s["at"]
+        """The state after its lowest-ranked pair, the leftmost one, is merged."""
 
-            def around(joined: Column) -> Column:
-                new = F.array(self._pair(table, F.element_at(parts, at - 1), joined), self._pair(table, joined, F.element_at(parts, at + 2)))
-                return F.struct(
-                    F.concat(F.slice(parts, F.lit(1), at - 1), F.array(joined), F.slice(parts, at + 2, F.size(parts))).alias("parts"),
-                    F.concat(F.slice(ranks, F.lit(1), at - 2), new, F.slice(ranks, at + 2, F.size(ranks))).alias("ranks"),
-                )
+        def merged(low: Column, at: Column) -> Column:
+            joined = F.shiftright(low, RANK_SHIFT)
+            before, after = F.get(state, at - 2), F.get(state, at + 1)
+            new = F.array(
+                _part(self.pairs.rank(table, _code(before), joined), before.bitwiseAND(F.lit((1 << RANK_SHIFT) - 1))),
+                _part(self.pairs.rank(table, joined, _code(after)), low.bitwiseAND(F.lit((1 << RANK_SHIFT) - (1 << CODE_BITS))).bitwiseOR(joined)),
+            )
+            return F.flatten(F.array(F.slice(state, F.lit(1), at - 2), new, F.slice(state, at + 2, F.lit(1 << 30))))
 
-            return _let(_let(F.concat(F.element_at(parts, at), F.element_at(parts, at + 1)), around), _placed)
-
-        return F.when(state["at"] == 0, state).otherwise(merged(state))
+        return _let(F.array_min(state), lambda low: F.when(low >= NO_PAIR, state).otherwise(_let(F.array_position(state, low).cast("int"), lambda at: merged(low, at))))
 
     def encode_words(self, words: Column) -> Column:
         """The ids of each word of an array, as letters. The literals are bound once, so that a plan holds one copy of them."""
-        return _let(F.struct(self.ranks.alias("ranks"), self.letters.alias("letters")), lambda t: F.transform(words, lambda w: self._encode(t["ranks"], t["letters"], w)))
-
-    def _encode(self, table: Column, letters_of: Column, word: Column) -> Column:
+        return _let(self.literals, lambda t: F.transform(words, lambda w: self._encode(t, w)))
 
-        def fold(letters: Column) -> Column:
-            pairs = F.transform(F.arrays_zip(F.slice(letters, 1, F.size(letters) - 1).alias("a"), F.slice(letters, 2, F.size(letters)).alias("b")), lambda p: self._pair(table, p["a"], p["b"]))
-            # an end mark on both sides, which no piece has, so that every pair has two neighbours
-            end, none = F.array(F.lit(OTHER)), F.array(F.lit(NO_RANK))
-            start = F.struct(F.concat(end, letters, end).alias("parts"), F.concat(none, pairs, none).alias("ranks"))
-            folded = F.aggregate(F.slice(letters, 2, F.size(letters)), _let(start, _placed), lambda s, _: self._merge(table, s), lambda s: F.slice(s["parts"], F.lit(2), F.size(s["parts"]) - 2))
-            return F.array_join(F.transform(folded, lambda p: F.get(letters_of, _rank(table, p))), "")
+    def _encode(self, table: Column, word: Column) -> Column:
 
-        def known(raw: Column) -> Column:
-            return F.coalesce(F.get(letters_of, _rank(table, raw)), _let(F.split(raw, ""), fold))
+        def fold(codes: Column) -> Column:
+            parts = F.transform(codes, lambda c, i: _part(self.pairs.rank(table, c, F.get(codes, i + 1)), F.shiftleft(i.cast("long"), CODE_BITS).bitwiseOR(c)))
+            end = F.array(F.lit(NO_PAIR))  # no piece, on both sides, so that every pair has two neighbours
+            return F.aggregate(F.slice(codes, F.lit(2), F.lit(1 << 30)), F.concat(end, parts, end), lambda s, _: self._merge(table, s))
 
-        return _let(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), known)
+        latin = F.decode(F.encode(word, "UTF-8"), "ISO-8859-1")
+        folded = _let(F.transform(F.split(latin, ""), lambda c: F.get(table["single"], F.ascii(c))), fold)
+        return F.array_join(F.transform(folded, lambda p: F.get(table["letters"], _code(p).cast("int"))), "")
 
     def fold_ahead(self, docs: DataFrame, most: int) -> list[bytes]:
         """The `most` distinct words of a bounded sample of texts with their ids, packed by the executors."""
@@ -163,17 +177,21 @@ class Codec:
 
     def encode(self, docs: DataFrame, ahead: int = MAX_WORDS) -> DataFrame:
         """One row a block of texts: their doc_ids, and what _ids_and_bytes() needs to put their ids together."""
-        shared = self.spark.sparkContext.broadcast(self.fold_ahead(docs, ahead))
+        shared = self.spark.sparkContext.broadcast([*self.fold_ahead(docs, ahead), self.whole])
         return docs.mapInArrow(tidy(_cut_blocks(shared)), BLOCK).withColumn("others", self.encode_words(F.col("others")))
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pack(b: pa.RecordBatch) -> bytes:
     """Words and ids as compressed bytes, so that the driver holds no objects for them."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, b.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(b)
+    return sink.getvalue().to_pybytes()
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, b.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-            out.write_batch(b)
-        yield pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["packed"])
+        yield pa.RecordBatch.from_arrays([pa.array([_pack(b)], pa.binary())], names=["packed"])
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

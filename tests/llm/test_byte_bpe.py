@@ -54,3 +54,12 @@ def test_words_folded_ahead_and_batches_change_no_result(spark):
 
 def test_empty_table(spark):
     assert byte_bpe.encode_and_decode(spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0
+
+
+def test_every_pair_has_a_place_of_its_own():
+    ranks = byte_bpe.read_ranks(PATH)
+    table = byte_bpe.PairTable(ranks)
+    pairs = {(ranks[k[:i]] + 1) << 16 | (ranks[k[i:]] + 1): v + 1 for k, v in ranks.items() for i in range(1, len(k)) if k[:i] in ranks and k[i:] in ranks}
+    keys = np.array([*pairs, *[k ^ 1 for k in pairs if k ^ 1 not in pairs]])
+    found = table.row[table.moved[keys % byte_bpe.GROUPS] + keys % table.width] ^ (keys << 16)
+    assert found[: len(pairs)].tolist() == list(pairs.values()) and (found[len(pairs) :] >= byte_bpe.NO_RANK).all()
