@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding, words folded in higher-order functions (operator 3).
 
-The ranks of all pairs of pieces that together are a piece are one literal: a row of numbers in which each left piece has a place and
-each right piece a distance from it. A word is folded over its bytes: as long as a pair of neighbours has a rank, the lowest one is
+The ranks of all pairs of pieces that together are a piece are one row of numbers, which comes as a broadcast table of one row (a literal would be
+written out in the text of each plan, and the driver keeps these texts). A word is folded over its bytes: as long as a pair of neighbours has a rank, the lowest one is
 merged, the leftmost first; a part, its place and the rank of its pair are one number, and only the two pairs beside a merge
 are looked up anew. A word that is a piece itself is not folded.
 
@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import base64
 import collections
-import json
 from array import array
 from collections.abc import Iterator
 
@@ -49,6 +48,8 @@ NO_RANK = 1 << 16
 #: Groups of pairs (a prime that divides no width), how far a group can be moved on, and widths of the row of pairs.
 GROUPS, MOVES, WIDTHS = 30_011, 1 << 13, (300_007, 600_011, 1_200_007)
 NO_PAIR = NO_RANK << RANK_SHIFT
+#: What a word is folded by: ranks of pairs, what groups of pairs are moved on by, codes of bytes, letters of codes.
+TABLES = "row", "moved", "single", "letters"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -86,17 +87,12 @@ class PairTable:
         self.row = np.zeros(self.width + MOVES, np.int64)
         self.row[self.moved[group] + place] = pairs << 16 | np.array(list(found.values()), np.int64)
 
-    def rank(self, table: Column, left: Column, right: Column) -> Column:
+    def rank(self, table: dict[str, Column], left: Column, right: Column) -> Column:
         """The code of the piece that two are together; NO_RANK if they are none: then the row has another pair, which leaves more than 16 bits."""
         pair = F.shiftleft(left, 16).bitwiseOR(right)
         return F.least(F.get(table["row"], (F.get(table["moved"], (pair % GROUPS).cast("int")) + pair % self.width).cast("int")).bitwiseXOR(F.shiftleft(pair, 16)), F.lit(NO_RANK))
 
 
-def _literal(values: list, kind: str) -> Column:
-    """Read once, when the plan is optimised."""
-    return F.from_json(F.lit(json.dumps(values, separators=(",", ":"))), f"array<{kind}>")
-
-
 def _let(value: Column, body) -> Column:
     """body(value), with value computed once."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -122,14 +118,12 @@ class Codec:
             self.pieces[v] = k
         letters = [chr(i) for i in range(len(self.pieces))]
         single = [ranks[bytes([b])] + 1 for b in range(256)]
-        self.literals = F.struct(
-            _literal(self.pairs.row.tolist(), "bigint").alias("row"), _literal(self.pairs.moved.tolist(), "int").alias("moved"),
-            _literal(single, "bigint").alias("single"), _literal(["", *letters], "string").alias("letters"),
-        )
+        arrays = pa.array(self.pairs.row), pa.array(self.pairs.moved.astype(np.int32)), pa.array(single), pa.array(["", *letters])
+        self.tables = spark.createDataFrame(pa.table({f"table_{c}": pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for c, x in zip(TABLES, arrays)}))
         whole = {w: v for k, v in ranks.items() if (w := k.decode("utf-8", "ignore")).encode() == k}
         self.whole = _pack(pa.RecordBatch.from_arrays([pa.array(list(whole)), pa.array([letters[v] for v in whole.values()])], names=["word", "ids"]))
 
-    def _merge(self, table: Column, state: Column) -> Column:
+    def _merge(self, table: dict[str, Column], state: Column) -> Column:
         """The state after its lowest-ranked pair, the leftmost one, is merged."""
 
         def merged(low: Column, at: Column) -> Column:
@@ -143,11 +137,19 @@ class Codec:
 
         return _let(F.array_min(state), lambda low: F.when(low >= NO_PAIR, state).otherwise(_let(F.array_position(state, low).cast("int"), lambda at: merged(low, at))))
 
-    def encode_words(self, words: Column) -> Column:
-        """The ids of each word of an array, as letters. The literals are bound once, so that a plan holds one copy of them."""
-        return _let(self.literals, lambda t: F.transform(words, lambda w: self._encode(t, w)))
+    def encode_words(self, rows: DataFrame, words: str) -> DataFrame:
+        """The rows, with the ids of each word, as letters, in place of an array of words. A row meets a copy of the tables, so it should have many words."""
+
+        def bound(table: dict[str, Column]) -> Column:
+            """Each array is taken from the row once, not at each look-up."""
+            if len(table) < len(TABLES):
+                name = TABLES[len(table)]
+                return _let(F.col(f"table_{name}"), lambda x: bound(table | {name: x}))
+            return F.transform(words, lambda w: self._encode(table, w))
+
+        return rows.crossJoin(F.broadcast(self.tables)).select(*[bound({}).alias(c) if c == words else c for c in rows.columns])
 
-    def _encode(self, table: Column, word: Column) -> Column:
+    def _encode(self, table: dict[str, Column], word: Column) -> Column:
 
         def fold(codes: Column) -> Column:
             parts = F.transform(codes, lambda c, i: _part(self.pairs.rank(table, c, F.get(codes, i + 1)), F.shiftleft(i.cast("long"), CODE_BITS).bitwiseOR(c)))
@@ -170,7 +172,7 @@ class Codec:
             if left < 0:
                 break
             least = n
-        folded = used.where(F.col("n") >= least).select("word", F.get(self.encode_words(F.array("word")), F.lit(0)).alias("ids"))
+        folded = self.encode_words(used.where(F.col("n") >= least).select("word").mapInArrow(_gathered, "word array<string>, ids array<string>"), "ids")
         packed = [bytes(r["packed"]) for r in folded.mapInArrow(tidy(_packed), "packed binary").collect()]
         discard(used)
         return packed
@@ -178,7 +180,7 @@ class Codec:
     def encode(self, docs: DataFrame, ahead: int = MAX_WORDS) -> DataFrame:
         """One row a block of texts: their doc_ids, and what _ids_and_bytes() needs to put their ids together."""
         shared = self.spark.sparkContext.broadcast([*self.fold_ahead(docs, ahead), self.whole])
-        return docs.mapInArrow(tidy(_cut_blocks(shared)), BLOCK).withColumn("others", self.encode_words(F.col("others")))
+        return self.encode_words(docs.mapInArrow(tidy(_cut_blocks(shared)), BLOCK), "others")
 
 
 def _pack(b: pa.RecordBatch) -> bytes:
@@ -189,9 +191,17 @@ def _pack(b: pa.RecordBatch) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words of a batch in one row, twice: one array gives way to their ids."""
+    for b in batches:
+        words = pa.ListArray.from_arrays(pa.array([0, b.num_rows], pa.int32()), b.column("word").cast(pa.string()))
+        yield pa.RecordBatch.from_arrays([words, words], names=["word", "ids"])
+
+
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        yield pa.RecordBatch.from_arrays([pa.array([_pack(b)], pa.binary())], names=["packed"])
+        flat = pa.RecordBatch.from_arrays([b.column(c).flatten() for c in ("word", "ids")], names=["word", "ids"])
+        yield pa.RecordBatch.from_arrays([pa.array([_pack(flat)], pa.binary())], names=["packed"])
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

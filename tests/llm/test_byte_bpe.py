@@ -63,3 +63,9 @@ def test_every_pair_has_a_place_of_its_own():
     keys = np.array([*pairs, *[k ^ 1 for k in pairs if k ^ 1 not in pairs]])
     found = table.row[table.moved[keys % byte_bpe.GROUPS] + keys % table.width] ^ (keys << 16)
     assert found[: len(pairs)].tolist() == list(pairs.values()) and (found[len(pairs) :] >= byte_bpe.NO_RANK).all()
+
+
+def test_plans_do_not_spell_out_the_ranks(spark, capsys):
+    rows = spark.createDataFrame([(1, "a few wordz")], "doc_id long, text string")
+    byte_bpe.encode_and_decode(rows, PATH).explain("extended")
+    assert len(capsys.readouterr().out) < 100_000
