@@ -5,10 +5,10 @@ near pivot, and a large cell is cut into blocks. There are as many cells as the
 TREE_NUMBERS numbers), so pivots, which come from a bounded sample, are a tree of two levels: a point goes to its nearest top pivot and to the nearest
 pivot below that. A query first searches a block of its own cell;
 the distance of its k-th neighbour there bounds the rest: only cells that can reach into that distance (distance to the pivot
-less the cell's radius) are searched as well. Queries and points meet by a shuffle: in each block the points come first and the
+less the cell's radius, and distance to the box of the cell's points) are searched as well, but not that block again, so most queries are done by then. Queries and points meet by a shuffle: in each block the points come first and the
 queries stream past them, and the best k of all blocks are merged. So the result is that of comparing every query with every
 row, neither side passes through the driver, and a table of a few blocks is broadcast instead. A cell's blocks are copied for the queries
-that come to it (counted before each search), and what a search needs is written first, so a task has one Python process.
+that come to it (counted before each search), left out of the second search if none do, and what a search needs is written first, so a task has one Python process.
 
 Rows with a null coordinate are nobody's neighbours and have none.
 """
@@ -16,7 +16,7 @@ Rows with a null coordinate are nobody's neighbours and have none.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,7 @@ BLOCK_POINTS, BLOCK_QUERIES, WHOLE_BLOCKS = 1024, 1 << 18, 8
 #: Rows of a batch that a task deals to blocks or gives back.
 DEALT_ROWS = 8192
 #: Most numbers of all pivots, and of the sample that they come from at least; numbers of a matrix of distances.
-TREE_NUMBERS, SAMPLE_NUMBERS, MATRIX_NUMBERS = 1 << 22, 1 << 20, 1 << 17
+TREE_NUMBERS, SAMPLE_NUMBERS, MATRIX_NUMBERS = 1 << 22, 1 << 17, 1 << 17
 _NONE = np.iinfo(np.int64).max
 
 
@@ -37,7 +37,7 @@ def nearest(queries: DataFrame, table: DataFrame, query_id: str, table_id: str,
     """query_id, table_id, distance, place (1..k): Euclidean, equal distances in the order of table_id."""
     names = [f"x{i}" for i in range(len(columns))]
     whole = lambda df, key, name: df.select(F.col(key).cast("long").alias(name), *[F.col(c).cast("double").alias(x) for c, x in zip(columns, names)]).na.drop(subset=names)
-    points, asked = _distinct_points(whole(table, table_id, "t"), names, k), whole(queries, query_id, "q")
+    points, asked = _written(_distinct_points(whole(table, table_id, "t"), names, k), "points"), whole(queries, query_id, "q")
     asks = asked.select(*names).distinct()
     n = points.count()
     if n <= WHOLE_BLOCKS * BLOCK_POINTS:
@@ -46,10 +46,14 @@ def nearest(queries: DataFrame, table: DataFrame, query_id: str, table_id: str,
         found = asks.mapInArrow(_against_all(shared, names, k), _found_type(names))
     else:
         found = _by_cells(asks, points, names, n, k)
-    found = asked.join(found, names).select("q", F.explode(F.arrays_zip("ts", "distances")).alias("f")).select("q", F.col("f.ts").alias("t"), F.col("f.distances").alias("distance"))
-    order = Window.partitionBy("q").orderBy("distance", "t")  # k rows a query
-    found = found.withColumn("place", F.row_number().over(order))
-    return found.select(F.col("q").alias(query_id), F.col("t").alias(table_id), "distance", "place")
+    found = asked.join(found, names).select("q", F.posexplode(F.arrays_zip("ts", "distances")).alias("at", "f"))  # in the order of distance and id
+    return found.select(F.col("q").alias(query_id), F.col("f.ts").alias(table_id), F.col("f.distances").alias("distance"), (F.col("at") + 1).alias("place"))
+
+
+def _written(rows: DataFrame, name: str) -> DataFrame:
+    path = tables.scratch(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def _distinct_points(points: DataFrame, names: list[str], k: int) -> DataFrame:
@@ -136,7 +140,9 @@ class Cells:
     first: np.ndarray
     radius: np.ndarray  # of each cell; -1 if it has no points
     blocks: np.ndarray
-    copies: np.ndarray  # of a cell's blocks in the second search
+    copies: np.ndarray  # of a cell's blocks in a search
+    low: np.ndarray | None = None  # the box of each cell's points
+    high: np.ndarray | None = None
 
     @staticmethod
     def grown(pivots: np.ndarray) -> Cells:
@@ -148,7 +154,7 @@ class Cells:
         return Cells(pivots[order], tops, np.searchsorted(under[order], np.arange(len(tops) + 1)), np.zeros(len(pivots)), ones, ones)
 
     def filled(self, radius: np.ndarray, blocks: np.ndarray, copies: np.ndarray) -> Cells:
-        return Cells(self.pivots, self.tops, self.first, radius, blocks, copies)
+        return replace(self, radius=radius, blocks=blocks, copies=copies)
 
     @property
     def top_radius(self) -> np.ndarray:
@@ -170,6 +176,14 @@ class Cells:
                 cell[rows], distance[rows] = d.argmin(axis=1) + self.first[t], d.min(axis=1)
         return cell, distance
 
+    def box_distance(self, x: np.ndarray, cell: np.ndarray) -> np.ndarray:
+        """Of each point to the box of a cell; computed as distances of points are, so rounding never puts it beyond a point inside."""
+        d = np.zeros(len(x))
+        for c in range(x.shape[1]):
+            gap = np.maximum(np.maximum(self.low[cell, c] - x[:, c], x[:, c] - self.high[cell, c]), 0.0)
+            d += gap * gap
+        return np.sqrt(d)
+
     def within(self, x: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(query, cell) where the cell can have a point as near as reach."""
         found, top_radius = [np.zeros((2, 0), np.int64)], self.top_radius
@@ -181,45 +195,56 @@ class Cells:
             for t in np.flatnonzero(open_.any(axis=0)).tolist():
                 rows, below = np.flatnonzero(open_[:, t]), slice(self.first[t], self.first[t + 1])
                 row, cell = np.nonzero(near(_distances(x[i + rows], self.pivots[below]) - self.radius[below], mine[rows]) & (self.radius[below] >= 0))
-                found.append(np.stack([rows[row] + i, cell + self.first[t]]))
+                row, cell = rows[row], cell + self.first[t]
+                keep = ~(self.box_distance(x[i + row], cell) > mine[row])
+                found.append(np.stack([row[keep] + i, cell[keep]]))
         return tuple(np.concatenate(found, axis=1))
 
 
 def _by_cells(asks: DataFrame, points: DataFrame, names: list[str], n: int, k: int) -> DataFrame:
     spark, d = points.sparkSession, len(names)
-    def written(rows: DataFrame, name: str) -> DataFrame:
-        path = tables.scratch(spark, name)
-        rows.write.parquet(path)
-        return spark.read.schema(rows.schema).parquet(path)
-
     wanted = max(1, min(-(-2 * n // BLOCK_POINTS), TREE_NUMBERS // d))
     rows = max(SAMPLE_NUMBERS // d, 2 * wanted)
     chance = F.pmod(F.xxhash64(F.lit(3), *names), F.lit(1 << 30)) / float(1 << 30)
     sample = np.unique(_points(points.where(chance < min(1.0, rows / n)).select(*names).limit(2 * rows).toArrow(), names), axis=0)
     tree = Cells.grown(sample[np.random.default_rng(1).permutation(len(sample))[:wanted]])
     located = points.mapInArrow(_located(spark.sparkContext.broadcast(tree), names), ", ".join(f"{x} double" for x in names) + ", ts array<long>, cell int, gap double")
-    located = written(located, "located")
-    by_cell = located.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("gap").alias("radius")).toArrow()  # a row a cell
-    sizes, radius = np.zeros(len(tree.pivots), np.int64), np.full(len(tree.pivots), -1.0)
-    sizes[by_cell["cell"].to_numpy()], radius[by_cell["cell"].to_numpy()] = by_cell["n"].to_numpy(), by_cell["radius"].to_numpy()
-    kept = tree.filled(radius, np.maximum(1, -(-sizes // BLOCK_POINTS)), np.ones(len(sizes), np.int64))
+    located = _written(located, "located")
+    ends = [f(x).alias(f"{e}{x}") for x in names for e, f in (("low_", F.min), ("high_", F.max))]
+    by_cell = located.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("gap").alias("radius"), *ends).toArrow()  # a row a cell
+    sizes, radius, at = np.zeros(len(tree.pivots), np.int64), np.full(len(tree.pivots), -1.0), by_cell["cell"].to_numpy()
+    sizes[at], radius[at] = by_cell["n"].to_numpy(), by_cell["radius"].to_numpy()
+    low, high = np.zeros((2, *tree.pivots.shape))
+    low[at], high[at] = (_points(by_cell, [f"{e}{x}" for x in names]) for e in ("low_", "high_"))
+    kept = replace(tree.filled(radius, np.maximum(1, -(-sizes // BLOCK_POINTS)), np.ones(len(sizes), np.int64)), low=low, high=high)
     filled = spark.sparkContext.broadcast(kept)
-    fields = "cell int, block int, copy int, asks boolean, " + _found_type(names)
+    fields = "cell int, block int, copy int, asks boolean, " + ", ".join(f"{x} double" for x in names) + ", ts array<long>"
     order = ["cell", "block", "copy", "asks"]
 
-    def search(queries: DataFrame, deal, wanted: DataFrame) -> DataFrame:
-        """wanted: cell and n, how many queries come to it."""
-        found, copies = wanted.groupBy("cell").agg(F.sum("n").alias("n")).toArrow(), np.ones(len(sizes), np.int64)
-        copies[found["cell"].to_numpy()] = np.maximum(1, -(-found["n"].to_numpy() // BLOCK_QUERIES))
-        shared = spark.sparkContext.broadcast(kept.filled(kept.radius, kept.blocks, copies))
-        dealt = located.mapInArrow(_deal_points(shared, names), fields).unionByName(queries.mapInArrow(deal(shared), fields))
-        return dealt.repartition(*order[:3]).sortWithinPartitions(*order).mapInArrow(_search(names, k), _found_type(names))
+    def come(queries: DataFrame) -> np.ndarray:
+        """Copies of each cell's blocks for the queries that come to it; queries: cell and n."""
+        found, copies = queries.groupBy("cell").agg(F.sum("n").alias("n")).toArrow(), np.zeros(len(sizes), np.int64)
+        copies[found["cell"].to_numpy()] = -(-found["n"].to_numpy() // BLOCK_QUERIES)
+        return copies
 
-    asks = written(asks.mapInArrow(_located(filled, names), ", ".join(f"{x} double" for x in names) + ", cell int, gap double"), "asks")
-    near = written(search(asks, lambda shared: _deal_first(shared, names), asks.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))), "near")
-    rest = search(near, lambda shared: _deal_rest(shared, names, k), near.mapInArrow(_reached(filled, names, k), "cell int, n long"))
-    # the best k of all blocks; what was found in the first one is found there again
-    pairs = rest.select(*names, F.arrays_zip("distances", "ts").alias("f")).groupBy(*names).agg(F.sort_array(F.flatten(F.collect_list("f"))).alias("f"))
+    def search(queries: DataFrame, deal, cells: Cells) -> DataFrame:
+        shared = spark.sparkContext.broadcast(cells)
+        dealt = located.mapInArrow(_deal_points(shared, names), fields).unionByName(queries.mapInArrow(deal(shared), fields))
+        return dealt.repartition(*order[:3]).sortWithinPartitions(*order).mapInArrow(_search(names, k), "cell int, block int, " + _found_type(names))
+
+    asks = _written(asks.mapInArrow(_located(filled, names), ", ".join(f"{x} double" for x in names) + ", cell int, gap double"), "asks")
+    first = come(asks.groupBy("cell").agg(F.count(F.lit(1)).alias("n")))
+    near = _written(search(asks, lambda shared: _deal_first(shared, names), kept.filled(radius, kept.blocks, np.maximum(1, first))), "near")
+    copies = come(near.mapInArrow(_reached(filled, names, k), "cell int, n long"))
+    # the best k of all blocks
+    found = near.drop("cell", "block")
+    if copies.any():
+        found = found.unionByName(search(near, lambda shared: _deal_rest(shared, names, k), replace(kept, copies=copies)).drop("cell", "block"))
+    if k == 1:
+        pairs = found.select(*names, F.get("distances", F.lit(0)).alias("distance"), F.get("ts", F.lit(0)).alias("t")).where("t is not null")
+        pairs = pairs.groupBy(*names).agg(F.min(F.struct("distance", "t")).alias("f"))
+        return pairs.select(*names, F.array("f.t").alias("ts"), F.array("f.distance").alias("distances"))
+    pairs = found.select(*names, F.arrays_zip("distances", "ts").alias("f")).groupBy(*names).agg(F.sort_array(F.flatten(F.collect_list("f"))).alias("f"))
     return pairs.select(*names, F.slice(F.col("f.ts"), 1, k).alias("ts"), F.slice(F.col("f.distances"), 1, k).alias("distances"))
 
 
@@ -236,9 +261,10 @@ def _dealt(b: pa.RecordBatch, names: list[str], take: np.ndarray, cell: np.ndarr
     for i in range(0, len(take), DEALT_ROWS):
         at = slice(i, i + DEALT_ROWS)
         rows = b.take(pa.array(take[at]))
-        none = pa.nulls(rows.num_rows, pa.list_(pa.int64())), pa.nulls(rows.num_rows, pa.list_(pa.float64()))
+        # a query's list is empty, not null: Spark measures a batch after every row, and that passes over all nulls at the end of a list column again
+        ts = pa.ListArray.from_arrays(pa.array(np.zeros(rows.num_rows + 1), pa.int32()), pa.array([], pa.int64())) if asks else rows.column("ts")
         head = [pa.array(cell[at], pa.int32()), pa.array(block[at], pa.int32()), pa.array(copy[at], pa.int32()), pa.array(np.full(rows.num_rows, asks))]
-        yield pa.RecordBatch.from_arrays([*head, *[rows.column(x) for x in names], none[0] if asks else rows.column("ts"), none[1]], names=["cell", "block", "copy", "asks", *names, "ts", "distances"])
+        yield pa.RecordBatch.from_arrays([*head, *[rows.column(x) for x in names], ts], names=["cell", "block", "copy", "asks", *names, "ts"])
 
 
 def _salt(x: np.ndarray) -> np.ndarray:
@@ -279,13 +305,19 @@ def _deal_first(shared, names: list[str]):
     return run
 
 
-def _within(cells: Cells, b: pa.RecordBatch, names: list[str], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The queries of a batch, and (query, cell) where the k-th neighbour so far does not rule the cell out."""
+def _within(cells: Cells, b: pa.RecordBatch, names: list[str], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The queries of a batch, and (query, cell, block) where the k-th neighbour so far does not rule the cell out and the block is not searched yet."""
     x, found = _points(b, names), b.column("distances")
     many = found.value_lengths().to_numpy()
     reach = np.full(len(x), np.inf)
     reach[many >= k] = found.flatten().to_numpy()[(np.cumsum(many) - many + k - 1)[many >= k]]
-    return x, *cells.within(x, reach)
+    row, cell = cells.within(x, reach)
+    blocks = cells.blocks[cell]
+    row, cell = np.repeat(row, blocks), np.repeat(cell, blocks)
+    block = np.arange(len(row)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+    own, place = b.column("cell").to_numpy(), b.column("block").to_numpy()
+    rest = (cell != own[row]) | (block != place[row])
+    return x, row[rest], cell[rest], block[rest]
 
 
 def _reached(shared, names: list[str], k: int):
@@ -294,29 +326,33 @@ def _reached(shared, names: list[str], k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(0, b.num_rows, DEALT_ROWS):
-                cell, n = np.unique(_within(shared.value, b.slice(i, DEALT_ROWS), names, k)[2], return_counts=True)
+                _, row, cell, _ = _within(shared.value, b.slice(i, DEALT_ROWS), names, k)
+                once = np.ones(len(row), bool)  # a cell's blocks follow one another
+                once[1:] = (row[1:] != row[:-1]) | (cell[1:] != cell[:-1])
+                cell, n = np.unique(cell[once], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), pa.array(n, pa.int64())], names=["cell", "n"])
 
     return run
 
 
 def _deal_rest(shared, names: list[str], k: int):
-    """Every query to all blocks of the cells that its k-th neighbour so far does not rule out."""
+    """Every query to all other blocks of the cells that its k-th neighbour so far does not rule out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = shared.value
         for whole in batches:
             for i in range(0, whole.num_rows, DEALT_ROWS):
                 b = whole.slice(i, DEALT_ROWS)
-                x, row, cell = _within(cells, b, names, k)
-                blocks = cells.blocks[cell]
-                take, cell = np.repeat(row, blocks), np.repeat(cell, blocks)
-                block = np.arange(len(take)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+                x, take, cell, block = _within(cells, b, names, k)
                 yield from _dealt(b, names, take, cell, block, (_salt(x)[take] // np.uint64(5) % cells.copies[cell].astype(np.uint64)).astype(np.int64), True)
 
     return run
 
 
+def _searched(b: pa.RecordBatch, names: list[str], ts: pa.Array, distances: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([b.column("cell"), b.column("block"), *_found(b, names, ts, distances).columns], names=["cell", "block", *names, "ts", "distances"])
+
+
 def _search(names: list[str], k: int):
     """Rows in the order of their block, its points first: what each query finds there."""
 
@@ -338,8 +374,8 @@ def _search(names: list[str], k: int):
                     points, waiting = pa.Table.from_batches(waiting).combine_chunks(), []
                     y, ids = _points(points, names), points["ts"].combine_chunks()
                 if len(y):
-                    yield _found(rows, names, *_best(_points(rows, names), y, ids, k))
+                    yield _searched(rows, names, *_best(_points(rows, names), y, ids, k))
                 elif key is not None:  # an empty block: nothing found, and so nothing ruled out
-                    yield _found(rows, names, pa.array([[]] * rows.num_rows, pa.list_(pa.int64())), pa.array([[]] * rows.num_rows, pa.list_(pa.float64())))
+                    yield _searched(rows, names, pa.array([[]] * rows.num_rows, pa.list_(pa.int64())), pa.array([[]] * rows.num_rows, pa.list_(pa.float64())))
 
     return run

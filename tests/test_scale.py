@@ -1,6 +1,7 @@
 """Exact quantiles and nearest neighbours by the paths that large tables take."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pyspark.sql import functions as F
@@ -117,3 +118,21 @@ def test_a_quantile_among_equal_values_is_their_value(spark, monkeypatch):
     df = spark.range(44).select(F.lit(v).alias("x"))
     at = [p / 97 for p in range(1, 97)]
     assert stats.exact_quantiles(df, ["x"], at)["x"] == [v] * 96
+
+
+def test_a_search_is_not_repeated_and_a_far_box_is_left_out():
+    """Two cells whose balls overlap, the first of two blocks: a query goes to what is left of its own cell, and to the other one only if its box is near enough."""
+    one = np.ones(2, np.int64)
+    cells = neighbours.Cells.grown(np.array([[0.0, 0.0], [10.0, 0.0]])).filled(np.array([4.0, 9.0]), np.array([2, 1]), one)
+    cells.low, cells.high = np.array([[-4.0, 0.0], [9.5, 0.0]]), np.array([[4.0, 0.0], [19.0, 0.0]])
+    asked = {"x0": [3.9, 3.9, 3.9], "x1": [0.0, 0.0, 0.0], "cell": pa.array([0, 0, 0], pa.int32()), "block": pa.array([0, 1, 0], pa.int32()), "distances": pa.array([[1.0], [5.6], []], pa.list_(pa.float64()))}
+    _, row, cell, block = neighbours._within(cells, pa.record_batch(asked), ["x0", "x1"], 1)
+    assert sorted(zip(row.tolist(), cell.tolist(), block.tolist())) == [(0, 0, 1), (1, 0, 0), (1, 1, 0), (2, 0, 1), (2, 1, 0)]
+
+
+def test_queries_are_dealt_without_null_lists():
+    """Spark measures a batch after every row, and nulls at the end of a list column cost it a pass each time."""
+    b = pa.record_batch({"x0": [1.0, 2.0]})
+    zero = np.zeros(2, np.int64)
+    for dealt in neighbours._dealt(b, ["x0"], np.arange(2), zero, zero, zero, True):
+        assert dealt.num_rows == 2 and not any(c.null_count for c in dealt.columns)
